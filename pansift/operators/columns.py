@@ -189,10 +189,12 @@ def distinct_counts(df: DataFrame, cols: Iterable[str], cap: int | None = None)
 
 
 def is_discrete_numeric(df: DataFrame, cols: Iterable[str] | None = None, max_unique: int = 8) -> DataFrame:
-    """Per numeric column: distinct non-missing count and whether it is <= ``max_unique``."""
+    """Per numeric column: whether it has at most ``max_unique`` distinct
+    non-missing values, and that count when it does (NULL above the cap:
+    only candidate columns are counted exactly)."""
     cols = list(cols) if cols is not None else numeric_columns(df)
     n = distinct_counts(df, cols, cap=max_unique)
-    rows = [(c, int(n[c]), int(n[c] <= max_unique)) for c in cols]
+    rows = [(c, int(n[c]) if n[c] <= max_unique else None, int(n[c] <= max_unique)) for c in cols]
     return df.sparkSession.createDataFrame(
         rows, "column string, n_distinct bigint, is_discrete int")
 

@@ -303,3 +303,51 @@ cte("panel_clean", "SELECT p.* REPLACE (" + ", ".join(
     + ") FROM panel_ff p CROSS JOIN panel_med m", ["panel_ff", "panel_med"])
 
 PANEL_FLOATS = WEATHER_COLS + STRUCT_COLS + LAG_COLS + ["log_complaints_total"]
+
+
+# --------------------------------------------------------------------------
+# Generic workbench table: customer with deterministic gaps, padding and
+# mixed case (the driver tables hold no NULLs).
+# --------------------------------------------------------------------------
+
+def workbench(spark, sf_dir) -> DataFrame:
+    c = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    return c.select(
+        k.alias("id"), F.col("c_name").alias("name"), F.col("c_nationkey").alias("nation"),
+        F.when(k % 7 == 0, None).otherwise(F.col("c_acctbal")).alias("balance"),
+        (F.col("c_acctbal") / 100.0 + F.col("c_nationkey")).alias("score"),
+        F.when(k % 11 == 0, None).when(k % 3 == 0, F.concat(F.lit("  "), F.lower("c_mktsegment"), F.lit("\t")))
+         .otherwise(F.col("c_mktsegment")).alias("segment"),
+        F.when(k % 13 == 0, None).otherwise((k % 4).cast("int")).alias("tier"))
+
+
+cte("wb", """SELECT c_custkey AS id, c_name AS name, c_nationkey AS nation,
+  CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_acctbal END AS balance,
+  c_acctbal / 100.0 + c_nationkey AS score,
+  CASE WHEN c_custkey % 11 = 0 THEN NULL WHEN c_custkey % 3 = 0 THEN '  ' || lower(c_mktsegment) || chr(9)
+       ELSE c_mktsegment END AS segment,
+  CASE WHEN c_custkey % 13 = 0 THEN NULL ELSE CAST(c_custkey % 4 AS INTEGER) END AS tier
+  FROM customer""")
+
+cte("citywide", """SELECT date, CAST(sum(complaints_total) AS BIGINT) AS citywide_complaints_total FROM panel_raw GROUP BY date""",
+    ["panel_raw"])
+cte("robust", """SELECT c.date, c.citywide_complaints_total,
+  0.6745 * (c.citywide_complaints_total - m.med) / CASE WHEN d.mad = 0 THEN 1 ELSE d.mad END AS citywide_robust_z
+  FROM citywide c CROSS JOIN (SELECT quantile_cont(citywide_complaints_total, 0.5) AS med FROM citywide) m
+  CROSS JOIN (SELECT quantile_cont(abs(c2.citywide_complaints_total - m2.med), 0.5) AS mad FROM citywide c2
+              CROSS JOIN (SELECT quantile_cont(citywide_complaints_total, 0.5) AS med FROM citywide) m2) d""", ["citywide"])
+cte("quality_by_date", """SELECT *, CAST(abs(citywide_robust_z) > 3.5 AS INTEGER) AS is_outlier_citywide,
+  CAST(citywide_robust_z < -3.5 AS INTEGER) AS is_outlier_low_citywide,
+  CAST(citywide_robust_z > 3.5 AS INTEGER) AS is_outlier_high_citywide FROM robust""", ["robust"])
+
+PANEL_SCHEMA = ([("date", "date"), ("borough", "string"), ("complaints_total", "bigint"), ("unique_complaints", "bigint")]
+                + [(c, "bigint") for c in TOPK_COLS] + [(c, "double") for c in WEATHER_COLS]
+                + [("census_income_borough_median", "double"), ("census_population_borough_sum", "double"),
+                   ("airbnb_listing_count", "bigint"), ("airbnb_price_mean", "double"), ("airbnb_price_median", "double"),
+                   ("airbnb_rating_mean", "double"), ("airbnb_total_reviews", "double"),
+                   ("airbnb_entire_home_pct", "double"), ("airbnb_per_1000_people_borough", "double"),
+                   ("day_of_week", "int"), ("is_weekend", "int"), ("month", "int"), ("week_of_year", "int")]
+                + [(c, "double") for c in LAG_COLS] + [("log_complaints_total", "double"),
+                   ("event_count", "int"), ("event_has_parade", "int"), ("event_has_holiday", "int")])
+PANEL_NUMERIC = [c for c, t in PANEL_SCHEMA if t in ("bigint", "double", "int")]

@@ -15,12 +15,18 @@ import pandas as pd
 
 
 def norm(v):
-    if v is None:
+    if v is None or v is pd.NaT:
         return None
+    try:
+        if pd.isna(v):
+            return None
+    except (TypeError, ValueError):
+        pass
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 4) + 0.0
+        r = round(v, 4) + 0.0
+        return int(r) if r.is_integer() and abs(r) < 1e15 else r
     if isinstance(v, (pd.Timestamp, dt.datetime)):
         ts = pd.Timestamp(v)
         return ts.date().isoformat() if ts == ts.normalize() else ts.isoformat()
@@ -47,7 +53,7 @@ def main(sf_dir: str, names: list[str]):
     from pansift.session import get_spark
     from pansift.plans.registry import load_all
     from pansift.plans.standins import TABLES
-    spark = get_spark("local[8]", shuffle_partitions=8)
+    spark = get_spark("local[8]", shuffle_partitions=8, conf={"spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     reg = load_all()
     con = duckdb.connect()
