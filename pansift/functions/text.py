@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 # label becomes part of a column name, and the trademark signs removed from
 # event titles.
 NAME_CHAR_MAP = {" ": "_", "/": "_", "-": "_", "&": "AND"}
-TRADEMARK_SIGNS = "®™©"
+TRADEMARK_SIGNS = "℠®™"
 
 
 def _c(c) -> Column:

@@ -83,6 +83,22 @@ def _examples(df: DataFrame, cols: Sequence[str], k: int) -> DataFrame:
                                       lambda s: s["value"])).alias("examples"))
 
 
+def distinct_counts_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Exact distinct non-missing count per column as (column, unique_n).
+
+    One job for all columns: (column, value) pairs are deduplicated with a
+    map-side partial aggregate, then counted per column.  Avoids the
+    per-column Expand that several ``count(DISTINCT)`` in one aggregate
+    produce.
+    """
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
+                                         for c in cols])).alias("kv")).select("kv.*")
+    pairs = long.where(F.col("value").isNotNull()).select("column", "value").distinct()
+    got = pairs.groupBy("column").agg(F.count(F.lit(1)).alias("unique_n"))
+    names = df.sparkSession.createDataFrame([(c,) for c in cols], "column string")
+    return names.join(got, "column", "left").select("column", F.coalesce("unique_n", F.lit(0)).alias("unique_n"))
+
+
 def data_dictionary(df: DataFrame, examples: int = 5, approx: bool = False,
                     exact_distinct: bool = True) -> DataFrame:
     """Per column: dtype, missing n / %, distinct n, and numeric stats (std
@@ -91,10 +107,13 @@ def data_dictionary(df: DataFrame, examples: int = 5, approx: bool = False,
     cols = df.columns
     aggs = [F.count(F.lit(1)).alias("_rows")]
     rows = []
-    distinct = F.count_distinct if exact_distinct else (lambda c: F.approx_count_distinct(c, 0.01))
     txt_cols = []
     for i, c in enumerate(cols):
-        aggs += [F.count_if(F.col(c).isNull()).alias(f"na{i}"), distinct(F.col(c)).alias(f"u{i}")]
+        aggs.append(F.count_if(F.col(c).isNull()).alias(f"na{i}"))
+        if not exact_distinct:
+            aggs.append(F.approx_count_distinct(F.col(c), 0.01).alias(f"u{i}"))
+        else:
+            aggs.append(F.lit(None).cast("long").alias(f"u{i}"))
         dtype = F.lit(df.schema[c].dataType.simpleString()).alias("dtype")
         base = [F.lit(c).alias("column"), dtype, F.col(f"na{i}").alias("missing_n"),
                 (F.col(f"na{i}") * 100.0 / F.col("_rows")).alias("missing_pct"), F.col(f"u{i}").alias("unique_n")]
@@ -113,6 +132,9 @@ def data_dictionary(df: DataFrame, examples: int = 5, approx: bool = False,
                                  nul.alias("median"), nul.alias("p75"), nul.alias("max"),
                                  F.lit(None).cast("string").alias("examples")))
     out = _long(df.agg(*aggs), rows)
+    if exact_distinct:
+        u = distinct_counts_long(df, cols).withColumnRenamed("unique_n", "_u")
+        out = out.join(F.broadcast(u), "column", "left").withColumn("unique_n", F.col("_u")).drop("_u")
     if txt_cols and examples:
         ex = _examples(df, txt_cols, examples).withColumnRenamed("examples", "_ex")
         out = out.join(F.broadcast(ex), "column", "left") \

@@ -18,8 +18,13 @@ def panel_inputs(spark, sf, top_k=8) -> PanelInputs:
 
 
 def raw_panel(spark, sf):
-    """Stage-1 panel before the quality step (natural gaps kept)."""
-    return build_panel(panel_inputs(spark, sf), quality=False)
+    """Stage-1 panel before the quality step (natural gaps kept).
+
+    Checkpointed (reliable, shared checkpoint folder): it is days x entities
+    small, and the stage-2 operators that read it make several passes.
+    """
+    from pansift.session import cut_lineage
+    return cut_lineage(build_panel(panel_inputs(spark, sf), quality=False))
 
 
 def clean_panel(spark, sf):
