@@ -314,3 +314,76 @@ def split_binary_continuous(df: DataFrame, cols: Sequence[str]) -> tuple[list, l
                          for i, c in enumerate(cols)}})
     binary = [c for i, c in enumerate(cols) if st[f"o{i}"] == 0 and st[f"a{i}"] is not None]
     return binary, [c for c in cols if c not in binary]
+
+
+# --------------------------------------------------------------------------
+# Power transforms: lambda by maximum likelihood on a refining grid.
+# Each pass is one aggregate with one variance per (column, lambda); no
+# data leaves the executors except those sums.
+# --------------------------------------------------------------------------
+
+def _bc_expr(x, lam: float):
+    return F.log(x) if abs(lam) < 1e-12 else (F.pow(x, F.lit(lam)) - 1.0) / F.lit(lam)
+
+
+def _yj_expr(x, lam: float):
+    pos = F.log1p(x) if abs(lam) < 1e-12 else (F.pow(x + 1.0, F.lit(lam)) - 1.0) / F.lit(lam)
+    neg = -F.log1p(-x) if abs(lam - 2) < 1e-12 else -(F.pow(1.0 - x, F.lit(2.0 - lam)) - 1.0) / F.lit(2.0 - lam)
+    return F.when(x >= 0, pos).otherwise(neg)
+
+
+def _grid_search(df: DataFrame, cols: Sequence[str], transform, jac_expr, lo=-3.0, hi=3.0,
+                 points: int = 21, passes: int = 4) -> dict:
+    """Maximise llf(l) = -n/2 ln var_pop(T_l(x)) + (l - 1) * J(x) per column,
+    refining the grid around the best point on every pass."""
+    cols = list(cols)
+    base = fit_row(df, {**{f"n{i}": F.count(F.col(c)) for i, c in enumerate(cols)},
+                        **{f"j{i}": F.sum(jac_expr(F.col(c).cast("double"))) for i, c in enumerate(cols)}})
+    bounds = {c: (lo, hi) for c in cols}
+    best = {c: None for c in cols}
+    for _ in range(passes):
+        grids = {c: [bounds[c][0] + (bounds[c][1] - bounds[c][0]) * k / (points - 1) for k in range(points)] for c in cols}
+        ex = {f"v{i}_{k}": F.var_pop(transform(F.col(c).cast("double"), lam))
+              for i, c in enumerate(cols) for k, lam in enumerate(grids[c])}
+        st = fit_row(df, ex)
+        for i, c in enumerate(cols):
+            n, jac = base[f"n{i}"], base[f"j{i}"] or 0.0
+            scores = []
+            for k, lam in enumerate(grids[c]):
+                v = st[f"v{i}_{k}"]
+                if v is None or not (v > 0) or math.isinf(v):
+                    continue
+                scores.append((-n / 2.0 * math.log(v) + (lam - 1.0) * jac, lam))
+            if not scores:
+                continue
+            _, lam = max(scores)
+            best[c] = lam
+            step = (bounds[c][1] - bounds[c][0]) / (points - 1)
+            bounds[c] = (lam - step, lam + step)
+    return best
+
+
+def box_cox(df: DataFrame, col: str, eps: float = 1e-3, out: str | None = None,
+            lambda_col: str | None = None, passes: int = 4) -> DataFrame:
+    """Box-Cox of (missing -> 0) + eps with lambda by maximum likelihood;
+    lambda is kept as a constant column."""
+    x = F.coalesce(F.col(col).cast("double"), F.lit(0.0)) + F.lit(eps)
+    tmp = df.withColumn("_bc_x", x)
+    lam = _grid_search(tmp, ["_bc_x"], _bc_expr, lambda v: F.log(v), passes=passes)["_bc_x"]
+    return tmp.withColumn(out or f"boxcox_{col}", _bc_expr(F.col("_bc_x"), lam)) \
+              .withColumn(lambda_col or f"_boxcox_lambda_{col}", F.lit(lam)).drop("_bc_x")
+
+
+def yeo_johnson_fit(df: DataFrame, cols: Sequence[str], passes: int = 4) -> dict:
+    jac = lambda x: F.signum(x) * F.log1p(F.abs(x))
+    return _grid_search(df, cols, _yj_expr, jac, passes=passes)
+
+
+def yeo_johnson(df: DataFrame, cols: Sequence[str], standardize: bool = True, passes: int = 4) -> DataFrame:
+    """Yeo-Johnson per column (lambda by ML, all columns in one aggregate per
+    pass), then z-score with ddof 0.  Missing stays missing."""
+    cols = list(cols)
+    lams = yeo_johnson_fit(df, cols, passes)
+    ex = {c: _yj_expr(F.col(c).cast("double"), lams[c]) for c in cols if lams[c] is not None}
+    out = df.withColumns(ex)
+    return scale_zscore(out, list(ex), ddof=0, skip_constant=True) if standardize else out

@@ -216,8 +216,9 @@ cte("events_daily", f"""SELECT date, {strip_upper('borough')} AS borough, CAST(c
   FROM events_expanded WHERE date IS NOT NULL GROUP BY 1, 2""", ["events_expanded"])
 
 
-def with_ctes(names: list[str], body: str) -> str:
-    """Render ``WITH`` for the named CTEs (plus their dependencies, in order) + body."""
+def with_ctes(names: list[str], body: str, extra: list[tuple[str, str]] | None = None) -> str:
+    """Render ``WITH`` for the named CTEs (plus their dependencies, in order),
+    then ``extra`` (name, sql) CTEs local to one query, then the body."""
     order: list[str] = []
 
     def visit(n):
@@ -229,9 +230,10 @@ def with_ctes(names: list[str], body: str) -> str:
 
     for n in names:
         visit(n)
-    if not order:
+    parts = [f"{n} AS ({SQL_CTES[n][0]})" for n in order] + [f"{n} AS ({q})" for n, q in (extra or [])]
+    if not parts:
         return body
-    return "WITH " + ",\n".join(f"{n} AS ({SQL_CTES[n][0]})" for n in order) + "\n" + body
+    return "WITH " + ",\n".join(parts) + "\n" + body
 
 
 # --------------------------------------------------------------------------
