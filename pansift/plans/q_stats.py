@@ -6,3 +6,209 @@ from pyspark.sql import functions as F
 
 from pansift.plans import standins as S
 from pansift.plans.registry import query
+from pansift.operators import stats as ST
+from pansift.operators import viewdata as V
+from pansift.plans.pipelines import ENTITY
+from pansift.plans.q_pipelines import raw_panel
+
+CORR_COLS = ["complaints_total", "temp_mean", "precipitation_sum", "wind_speed_mean", "cloud_cover_mean",
+             "snowfall_sum", "event_count", "is_weekend", "temp_mean_lag1", "airbnb_listing_count"]
+
+
+@query("corr_matrix", S.with_ctes(["panel_raw"], " UNION ALL ".join(
+    f"SELECT '{a}' AS x, '{b}' AS y, corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)) AS r FROM panel_raw"
+    for a in CORR_COLS for b in CORR_COLS)), floats=["r"])
+def q_corr_matrix(spark, sf):
+    return ST.corr_matrix(raw_panel(spark, sf), CORR_COLS, "pairwise")
+
+
+@query("corr_matrix_complete", S.with_ctes(["panel_raw"], " UNION ALL ".join(
+    f"SELECT '{a}' AS x, '{b}' AS y, corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)) AS r FROM cc"
+    for a in CORR_COLS[:5] for b in CORR_COLS[:5]), extra=[("cc", "SELECT * FROM panel_raw WHERE "
+    + " AND ".join(f"{c} IS NOT NULL" for c in CORR_COLS[:5]))]), floats=["r"])
+def q_corr_matrix_complete(spark, sf):
+    return ST.corr_matrix(raw_panel(spark, sf), CORR_COLS[:5], "complete")
+
+
+@query("corr_pair", S.with_ctes(["wb"], """SELECT count(balance) FILTER (WHERE score IS NOT NULL) AS n,
+  corr(balance, score) AS r FROM wb"""), floats=["r"])
+def q_corr_pair(spark, sf):
+    return ST.corr_pair(S.workbench(spark, sf), "balance", "score")
+
+
+CITY = """SELECT date, sum(complaints_total) AS complaints_total_city, avg(temp_mean) AS temp_mean,
+  coalesce(sum(precipitation_sum), 0) AS precipitation_sum, avg(wind_speed_mean) AS wind_speed_mean FROM panel_raw GROUP BY date"""
+
+
+def _city(spark, sf):
+    from pansift.operators.aggregate import citywide_daily
+    return citywide_daily(raw_panel(spark, sf))
+
+
+@query("pearson_test_fit", S.with_ctes(["panel_raw"], """SELECT count(*) AS n, corr(temp_mean, complaints_total_city) AS r,
+  regr_slope(complaints_total_city, temp_mean) AS slope, min(temp_mean) AS x_min, max(temp_mean) AS x_max,
+  regr_intercept(complaints_total_city, temp_mean) AS intercept FROM city
+  WHERE temp_mean IS NOT NULL AND complaints_total_city IS NOT NULL""", extra=[("city", CITY)]),
+    floats=["r", "slope", "x_min", "x_max", "intercept"])
+def q_pearson_test_fit(spark, sf):
+    return ST.pearson_test_fit(_city(spark, sf), "temp_mean", "complaints_total_city", with_p=False)
+
+
+@query("pearson_p_value", None)
+def q_pearson_p_value(spark, sf):
+    return ST.pearson_test_fit(_city(spark, sf), "temp_mean", "complaints_total_city", with_p=True)
+
+
+SKEW_COLS = ["precipitation_sum", "complaints_total", "temp_mean", "wind_speed_mean", "snowfall_sum"]
+
+
+@query("skewness_adj", S.with_ctes(["panel_raw"], " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", skewness({c}) AS skew FROM panel_raw" for c in SKEW_COLS)), floats=["skew"])
+def q_skewness_adj(spark, sf):
+    return ST.skewness_adj(raw_panel(spark, sf), SKEW_COLS)
+
+
+@query("acf", S.with_ctes(["panel_raw"], "SELECT 0 AS lag, 1.0 AS acf, 1.96 / sqrt((SELECT count(x) FROM lagged)) AS band UNION ALL "
+    + " UNION ALL ".join(f"SELECT {k}, corr(x, l{k}), 1.96 / sqrt((SELECT count(x) FROM lagged)) FROM lagged" for k in range(1, 31)),
+    extra=[("lagged", "SELECT CAST(x AS DOUBLE) AS x, " + ", ".join(f"lag(CAST(x AS DOUBLE), {k}) OVER (ORDER BY date) AS l{k}" for k in range(1, 31))
+            + " FROM (SELECT date, sum(complaints_total) AS x FROM panel_raw GROUP BY date)")]), floats=["acf", "band"])
+def q_acf(spark, sf):
+    city = raw_panel(spark, sf).groupBy("date").agg(F.sum("complaints_total").alias("x"))
+    return ST.acf(city, "date", "x", 30)
+
+
+VIF_FEATURES = ["temp_mean", "precipitation_sum", "wind_speed_mean", "cloud_cover_mean",
+                "census_income_borough_median", "airbnb_listing_count", "event_count", "is_weekend"]
+
+
+@query("vif", None)
+def q_vif(spark, sf):
+    return ST.vif(raw_panel(spark, sf), VIF_FEATURES)
+
+
+@query("vif_two", S.with_ctes(["panel_raw"], """SELECT f AS feature, 1.0 / (1.0 - r * r) AS vif FROM
+  (SELECT corr(temp_mean, cloud_cover_mean) AS r FROM panel_raw WHERE temp_mean IS NOT NULL AND cloud_cover_mean IS NOT NULL),
+  (VALUES ('temp_mean'), ('cloud_cover_mean')) t(f)"""), floats=["vif"])
+def q_vif_two(spark, sf):
+    return ST.vif(raw_panel(spark, sf), ["temp_mean", "cloud_cover_mean"])
+
+
+OLS_NUM = ["temp_mean", "precipitation_sum", "is_weekend", "event_count", "month"]
+
+
+@query("ols_summary", None)
+def q_ols_summary(spark, sf):
+    return ST.ols_summary(raw_panel(spark, sf), "log_complaints_total", OLS_NUM, [ENTITY])
+
+
+@query("influence", None)
+def q_influence(spark, sf):
+    return ST.influence(raw_panel(spark, sf), "log_complaints_total", OLS_NUM, [ENTITY], keys=["date", ENTITY])
+
+
+@query("top_influential", None)
+def q_top_influential(spark, sf):
+    infl = ST.influence(raw_panel(spark, sf), "log_complaints_total", OLS_NUM, [ENTITY], keys=["date", ENTITY])
+    return ST.top_influential(infl, 10).select("date", ENTITY, "cooks_d", "leverage", "student_resid_external")
+
+
+PCA_COLS = ["temp_mean", "precipitation_sum", "wind_speed_mean", "cloud_cover_mean", "complaints_total", "event_count"]
+
+
+@query("pca_2d", None)
+def q_pca_2d(spark, sf):
+    scores, ratios = ST.pca_2d(raw_panel(spark, sf), PCA_COLS, 2, keys=["date", ENTITY])
+    return scores.withColumns({"explained_1": F.lit(ratios[0]), "explained_2": F.lit(ratios[1])})
+
+
+@query("histogram", """SELECT CAST(least(floor((o_totalprice - lo) / ((hi - lo) / 30)), 29) AS INTEGER) AS bin,
+  lo + least(floor((o_totalprice - lo) / ((hi - lo) / 30)), 29) * ((hi - lo) / 30) AS bin_lo,
+  lo + (least(floor((o_totalprice - lo) / ((hi - lo) / 30)), 29) + 1) * ((hi - lo) / 30) AS bin_hi, count(*) AS count
+  FROM orders, (SELECT min(o_totalprice) AS lo, max(o_totalprice) AS hi FROM orders) s GROUP BY 1, 2, 3""",
+    floats=["bin_lo", "bin_hi"])
+def q_histogram(spark, sf):
+    return V.histogram(S.table(spark, sf, "orders"), "o_totalprice", 30)
+
+
+@query("histogram_by", """SELECT o_orderstatus, CAST(least(floor((o_totalprice - lo) / ((hi - lo) / 10)), 9) AS INTEGER) AS bin,
+  lo + least(floor((o_totalprice - lo) / ((hi - lo) / 10)), 9) * ((hi - lo) / 10) AS bin_lo,
+  lo + (least(floor((o_totalprice - lo) / ((hi - lo) / 10)), 9) + 1) * ((hi - lo) / 10) AS bin_hi, count(*) AS count
+  FROM orders, (SELECT min(o_totalprice) AS lo, max(o_totalprice) AS hi FROM orders) s GROUP BY 1, 2, 3, 4""",
+    floats=["bin_lo", "bin_hi"])
+def q_histogram_by(spark, sf):
+    return V.histogram(S.table(spark, sf, "orders"), "o_totalprice", 10, by=["o_orderstatus"])
+
+
+@query("bar_counts", "SELECT c_mktsegment, CAST(c_nationkey % 3 AS BIGINT) AS grp, count(*) AS n FROM customer GROUP BY 1, 2")
+def q_bar_counts(spark, sf):
+    c = S.table(spark, sf, "customer").withColumn("grp", (F.col("c_nationkey") % 3).cast("long"))
+    return V.bar_counts(c, "c_mktsegment", ["grp"])
+
+
+@query("bar_counts_binned", """SELECT CAST(CASE WHEN c_acctbal <= lo THEN 1 ELSE CAST(least(greatest(ceil((c_acctbal - lo) / ((hi - lo) / 10)), 1), 10) AS INTEGER) END AS VARCHAR) AS c_acctbal,
+  count(*) AS n FROM customer, (SELECT min(c_acctbal) AS lo, max(c_acctbal) AS hi FROM customer) s GROUP BY 1""")
+def q_bar_counts_binned(spark, sf):
+    return V.bar_counts(S.table(spark, sf, "customer"), "c_acctbal")
+
+
+@query("box_stats", S.with_ctes(["panel_raw"], """SELECT s.*, w.whisker_low, w.whisker_high, w.n_outliers FROM
+  (SELECT borough, count(complaints_total) AS n, quantile_cont(complaints_total, 0.25) AS q1, quantile_cont(complaints_total, 0.5) AS median,
+   quantile_cont(complaints_total, 0.75) AS q3,
+   quantile_cont(complaints_total, 0.25) - 1.5 * (quantile_cont(complaints_total, 0.75) - quantile_cont(complaints_total, 0.25)) AS lower_fence,
+   quantile_cont(complaints_total, 0.75) + 1.5 * (quantile_cont(complaints_total, 0.75) - quantile_cont(complaints_total, 0.25)) AS upper_fence
+   FROM panel_raw GROUP BY borough) s
+  LEFT JOIN (SELECT p.borough, min(CASE WHEN p.complaints_total >= b.lf THEN p.complaints_total END) AS whisker_low,
+   max(CASE WHEN p.complaints_total <= b.uf THEN p.complaints_total END) AS whisker_high,
+   count_if(p.complaints_total < b.lf OR p.complaints_total > b.uf) AS n_outliers
+   FROM panel_raw p JOIN (SELECT borough, quantile_cont(complaints_total, 0.25) - 1.5 * (quantile_cont(complaints_total, 0.75) - quantile_cont(complaints_total, 0.25)) AS lf,
+     quantile_cont(complaints_total, 0.75) + 1.5 * (quantile_cont(complaints_total, 0.75) - quantile_cont(complaints_total, 0.25)) AS uf
+     FROM panel_raw GROUP BY borough) b ON p.borough = b.borough GROUP BY p.borough) w ON s.borough = w.borough"""),
+    floats=["q1", "median", "q3", "lower_fence", "upper_fence", "whisker_low", "whisker_high"])
+def q_box_stats(spark, sf):
+    return V.box_stats(raw_panel(spark, sf), ENTITY, "complaints_total")
+
+
+@query("kde", None)
+def q_kde(spark, sf):
+    return V.kde(raw_panel(spark, sf), "temp_mean", by=ENTITY)
+
+
+@query("scatter_sample", None)
+def q_scatter_sample(spark, sf):
+    return V.scatter_sample(S.table(spark, sf, "lineitem"), "l_extendedprice", "l_discount", "l_returnflag", n=2000)
+
+
+@query("top_category", """SELECT c_mktsegment, n FROM (SELECT c_mktsegment, count(*) AS n FROM customer GROUP BY 1)
+  ORDER BY n DESC, c_mktsegment LIMIT 1""")
+def q_top_category(spark, sf):
+    return V.top_category(S.table(spark, sf, "customer"), "c_mktsegment")
+
+
+@query("insight", S.with_ctes(["wb"], """SELECT 'mean_median' AS kind, avg(balance) AS value, median(balance) AS value2,
+  CAST(NULL AS VARCHAR) AS label FROM wb"""), floats=["value", "value2"])
+def q_insight(spark, sf):
+    return V.insight(S.workbench(spark, sf), "balance")
+
+
+@query("insight_scatter", S.with_ctes(["wb"], """SELECT 'correlation' AS kind, corr(balance, score) AS value,
+  CAST(NULL AS DOUBLE) AS value2, CAST(NULL AS VARCHAR) AS label FROM wb"""), floats=["value"])
+def q_insight_scatter(spark, sf):
+    return V.insight(S.workbench(spark, sf), "balance", "score", "Scatter")
+
+
+@query("recommend_view", S.with_ctes(["wb"], """SELECT 'tier' AS x, 'balance' AS y,
+  CASE WHEN (SELECT count(DISTINCT tier) FROM wb) <= 8 THEN 'Boxplot' ELSE 'Scatter' END AS recommendation,
+  CASE WHEN (SELECT count(DISTINCT tier) FROM wb) <= 8 THEN 'group vs numeric' ELSE 'numeric vs numeric' END AS reason"""))
+def q_recommend_view(spark, sf):
+    return V.recommend_view(S.workbench(spark, sf), "tier", "balance")
+
+
+@query("before_after_stats", S.with_ctes(["wb"], """SELECT 'original' AS variable, 'balance' AS "column", round(avg(balance), 4) AS mean,
+  round(stddev_samp(balance), 4) AS sd, round(min(balance), 4) AS min, round(median(balance), 4) AS median, round(max(balance), 4) AS max FROM wb
+  UNION ALL SELECT 'engineered', 'balance_sq', round(avg(balance * balance), 4), round(stddev_samp(balance * balance), 4),
+  round(min(balance * balance), 4), round(median(balance * balance), 4), round(max(balance * balance), 4) FROM wb"""),
+    floats={"mean": 2, "sd": 2, "min": 2, "median": 2, "max": 2})
+def q_before_after_stats(spark, sf):
+    from pansift.operators.features import square
+    d = square(S.workbench(spark, sf), "balance")
+    return V.before_after_stats(d, "balance", "balance_sq")

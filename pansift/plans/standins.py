@@ -79,8 +79,8 @@ def hourly_weather(spark, sf_dir) -> DataFrame:
         F.when(F.col("o_orderpriority") == PARADE_PRIORITY, tp / 50000.0).otherwise(0.0).alias("precipitation"),
         F.when(F.col("o_orderpriority") == PARADE_PRIORITY, tp / 60000.0).otherwise(0.0).alias("rain"),
         F.when((F.col("o_orderpriority") == "5-LOW") & (tp < 100000.0), tp / 100000.0).otherwise(0.0).alias("snowfall"),
-        (tp / 20000.0).alias("wind_speed_10m"),
-        (tp / 15000.0).alias("wind_gusts_10m"),
+        ((F.col("o_custkey") % 37) * 0.5 + 2.0).alias("wind_speed_10m"),
+        ((F.col("o_custkey") % 37) * 0.75 + tp / 100000.0).alias("wind_gusts_10m"),
         (F.col("o_custkey") % 101).cast("double").alias("cloud_cover"))
 
 
@@ -173,7 +173,7 @@ cte("hourly_weather", f"""SELECT o_orderdate AS timestamp_local,
   CASE WHEN o_orderpriority = '{PARADE_PRIORITY}' THEN o_totalprice / 50000.0 ELSE 0.0 END AS precipitation,
   CASE WHEN o_orderpriority = '{PARADE_PRIORITY}' THEN o_totalprice / 60000.0 ELSE 0.0 END AS rain,
   CASE WHEN o_orderpriority = '5-LOW' AND o_totalprice < 100000.0 THEN o_totalprice / 100000.0 ELSE 0.0 END AS snowfall,
-  o_totalprice / 20000.0 AS wind_speed_10m, o_totalprice / 15000.0 AS wind_gusts_10m,
+  (o_custkey % 37) * 0.5 + 2.0 AS wind_speed_10m, (o_custkey % 37) * 0.75 + o_totalprice / 100000.0 AS wind_gusts_10m,
   CAST(o_custkey % 101 AS DOUBLE) AS cloud_cover FROM orders""")
 cte("weather_daily", """SELECT CAST(timestamp_local AS DATE) AS date,
   avg(temperature_2m) AS temp_mean, max(temperature_2m) AS temp_max, min(temperature_2m) AS temp_min,
