@@ -240,7 +240,8 @@ class OLSFit:
         rows = []
         for term, coef, se in [("Intercept", self.intercept, se_0)] + list(zip(self.xs, self.beta, se_b)):
             t = coef / se if se > 0 else float("nan")
-            rows.append((term, float(coef), float(se), float(t), t_two_sided_p(t, self.dof)))
+            pv = t_two_sided_p(float(t), float(self.dof))
+            rows.append((term, float(coef), float(se), float(t), None if pv is None else float(pv)))
         return rows
 
 
