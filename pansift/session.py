@@ -58,3 +58,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (never ``localCheckpoint``): survives executor loss."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the shared checkpoint folder for intermediate
+    written tables (never a machine-local temp folder on a cluster)."""
+    import uuid
+    return f"{checkpoint_dir(spark).rstrip('/')}/pansift-scratch/{name}-{uuid.uuid4().hex}"
