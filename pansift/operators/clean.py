@@ -9,7 +9,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -322,35 +322,53 @@ def split_binary_continuous(df: DataFrame, cols: Sequence[str]) -> tuple[list, l
 # data leaves the executors except those sums.
 # --------------------------------------------------------------------------
 
-def _bc_expr(x, lam: float):
-    return F.log(x) if abs(lam) < 1e-12 else (F.pow(x, F.lit(lam)) - 1.0) / F.lit(lam)
+def _bc_expr(x, lam):
+    """Box-Cox; ``lam`` is a float or a Column (per-row lambda in the grid search)."""
+    lam = F.lit(float(lam)) if not isinstance(lam, Column) else lam
+    return F.when(F.abs(lam) < 1e-12, F.log(x)).otherwise((F.pow(x, lam) - 1.0) / lam)
 
 
-def _yj_expr(x, lam: float):
-    pos = F.log1p(x) if abs(lam) < 1e-12 else (F.pow(x + 1.0, F.lit(lam)) - 1.0) / F.lit(lam)
-    neg = -F.log1p(-x) if abs(lam - 2) < 1e-12 else -(F.pow(1.0 - x, F.lit(2.0 - lam)) - 1.0) / F.lit(2.0 - lam)
+def _yj_expr(x, lam):
+    lam = F.lit(float(lam)) if not isinstance(lam, Column) else lam
+    pos = F.when(F.abs(lam) < 1e-12, F.log1p(x)).otherwise((F.pow(x + 1.0, lam) - 1.0) / lam)
+    neg = F.when(F.abs(lam - 2) < 1e-12, -F.log1p(-x)).otherwise(-(F.pow(1.0 - x, 2.0 - lam) - 1.0) / (2.0 - lam))
     return F.when(x >= 0, pos).otherwise(neg)
 
 
 def _grid_search(df: DataFrame, cols: Sequence[str], transform, jac_expr, lo=-3.0, hi=3.0,
                  points: int = 21, passes: int = 4) -> dict:
     """Maximise llf(l) = -n/2 ln var_pop(T_l(x)) + (l - 1) * J(x) per column,
-    refining the grid around the best point on every pass."""
+    refining the grid around the best point on every pass.
+
+    Columns are unpivoted to (column, value) so one pass is a single
+    ``groupBy(column)`` with ``points`` variances: the aggregate width does
+    not grow with the number of columns, and each column's current grid
+    bounds travel as literals in a small map.
+    """
     cols = list(cols)
-    base = fit_row(df, {**{f"n{i}": F.count(F.col(c)) for i, c in enumerate(cols)},
-                        **{f"j{i}": F.sum(jac_expr(F.col(c).cast("double"))) for i, c in enumerate(cols)}})
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"),
+                                                  finite_or_null(F.col(c).cast("double")).alias("x"))
+                                         for c in cols])).alias("kv")).select("kv.*").where(F.col("x").isNotNull())
+    base = {r["column"]: (r["n"], r["j"] or 0.0) for r in
+            long.groupBy("column").agg(F.count("x").alias("n"), F.sum(jac_expr(F.col("x"))).alias("j")).collect()}
     bounds = {c: (lo, hi) for c in cols}
     best = {c: None for c in cols}
     for _ in range(passes):
-        grids = {c: [bounds[c][0] + (bounds[c][1] - bounds[c][0]) * k / (points - 1) for k in range(points)] for c in cols}
-        ex = {f"v{i}_{k}": F.var_pop(transform(F.col(c).cast("double"), lam))
-              for i, c in enumerate(cols) for k, lam in enumerate(grids[c])}
-        st = fit_row(df, ex)
-        for i, c in enumerate(cols):
-            n, jac = base[f"n{i}"], base[f"j{i}"] or 0.0
+        lo_map = F.create_map(*[a for c in cols for a in (F.lit(c), F.lit(bounds[c][0]))])
+        hi_map = F.create_map(*[a for c in cols for a in (F.lit(c), F.lit(bounds[c][1]))])
+        lam_lo, lam_hi = lo_map[F.col("column")], hi_map[F.col("column")]
+        exprs = []
+        for k in range(points):
+            lam = lam_lo + (lam_hi - lam_lo) * F.lit(k / (points - 1))
+            exprs.append(F.var_pop(transform(F.col("x"), lam)).alias(f"v{k}"))
+        rows = long.groupBy("column").agg(*exprs).collect()
+        for r in rows:
+            c = r["column"]
+            n, jac = base.get(c, (0, 0.0))
+            b0, b1 = bounds[c]
             scores = []
-            for k, lam in enumerate(grids[c]):
-                v = st[f"v{i}_{k}"]
+            for k in range(points):
+                v, lam = r[f"v{k}"], b0 + (b1 - b0) * k / (points - 1)
                 if v is None or not (v > 0) or math.isinf(v):
                     continue
                 scores.append((-n / 2.0 * math.log(v) + (lam - 1.0) * jac, lam))
@@ -358,7 +376,7 @@ def _grid_search(df: DataFrame, cols: Sequence[str], transform, jac_expr, lo=-3.
                 continue
             _, lam = max(scores)
             best[c] = lam
-            step = (bounds[c][1] - bounds[c][0]) / (points - 1)
+            step = (b1 - b0) / (points - 1)
             bounds[c] = (lam - step, lam + step)
     return best
 

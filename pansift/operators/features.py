@@ -138,7 +138,7 @@ def share_columns(df: DataFrame, count_cols: Sequence[str], total: str) -> tuple
     """``*_cnt`` / total -> ``*_share``; returns (df, share columns, shares without OTHER)."""
     shares = {c.replace("_cnt", "_share"): safe_div(F.col(c), F.col(total)) for c in count_cols}
     names = list(shares)
-    return df.withColumns(shares), names, [s for s in names if "OTHER" not in s]
+    return df.withColumns(shares), names, [s for s in names if "OTHER" not in s.upper()]
 
 
 def composition_diversity(df: DataFrame, share_cols: Sequence[str], prefix: str = "complaint") -> DataFrame:

@@ -39,3 +39,162 @@ def q_build_panel(spark, sf):
 @query("panel_features", S.with_ctes(["panel_feat"], "SELECT * FROM panel_feat"), floats=S.PANEL_FLOATS)
 def q_panel_features(spark, sf):
     return build_panel(panel_inputs(spark, sf), upto="features")
+from pansift.plans.pipelines import (CleanConfig, clean_table, cleaning_audit, engineer_feature, feature_view,
+                                     filtered_view, model_matrix, skew_transforms, weather_effects)
+
+SHARES = [c.replace("_cnt", "_share") for c in S.TOPK_COLS]
+SHARES_NO_OTHER = [s for s in SHARES if "OTHER" not in s.upper()]
+COMP = SHARES_NO_OTHER + ["complaint_entropy", "complaint_hhi", "complaint_top_share", "heat_hot_water_share"]
+NAMED_SHARE = ("heat_hot_water_share", "top1_cnt")
+
+
+def features_of(spark, sf):
+    from pansift.operators.profile import robust_z
+    p = raw_panel(spark, sf)
+    return feature_view(p, S.TOPK_COLS, robust_z(p, "date", "complaints_total"), NAMED_SHARE)
+
+
+def _fv_sql():
+    sh = ", ".join(f"CAST({c} AS DOUBLE) / nullif(complaints_total, 0) AS {c.replace('_cnt', '_share')}" for c in S.TOPK_COLS)
+    ent = " + ".join(f"coalesce(-greatest({s}, 1e-12) * ln(greatest({s}, 1e-12)), 0)" for s in SHARES)
+    hhi = " + ".join(f"coalesce({s} * {s}, 0)" for s in SHARES)
+    fv1 = f"""SELECT *, CAST(coalesce(event_count, 0) > 0 AS INTEGER) AS event_day,
+  CAST(date_diff('day', (SELECT min(date) FROM panel_raw), date) AS INTEGER) AS day_index,
+  sin(2 * pi() * day_of_week / 7) AS dow_sin, cos(2 * pi() * day_of_week / 7) AS dow_cos,
+  sin(2 * pi() * (month - 1) / 12) AS month_sin, cos(2 * pi() * (month - 1) / 12) AS month_cos,
+  temp_max - temp_min AS temp_range, CAST(coalesce(temp_min <= 0, false) AS INTEGER) AS is_freezing,
+  CAST(coalesce(precipitation_sum > 0, false) AS INTEGER) AS is_precip, CAST(coalesce(snowfall_sum > 0, false) AS INTEGER) AS is_snow,
+  CAST(complaints_total AS DOUBLE) / nullif(census_population_borough_sum, 0) * 1000 AS complaints_per_1000_people, {sh}
+  FROM panel_raw"""
+    fv2 = f"""SELECT *, {ent} AS complaint_entropy, {hhi} AS complaint_hhi, greatest({', '.join(SHARES)}) AS complaint_top_share,
+  CAST(top1_cnt AS DOUBLE) / nullif(CAST(complaints_total AS DOUBLE), 0) AS heat_hot_water_share FROM fv1"""
+    lags = ", ".join(f"lag({c}, 1) OVER w AS {c}_lag1" for c in COMP)
+    fv3 = f"""SELECT *, lag(complaints_total, 1) OVER w AS complaints_total_lag1, lag(complaints_total, 7) OVER w AS complaints_total_lag7,
+  CASE WHEN count(complaints_total) OVER wp >= 3 THEN avg(complaints_total) OVER wp END AS complaints_total_ma7_prev,
+  CASE WHEN count(temp_mean) OVER wp >= 3 THEN avg(temp_mean) OVER wp END AS temp_mean_ma7_prev,
+  lag(complaints_total, 2) OVER w AS complaints_total_lag2, {lags}
+  FROM fv2 WINDOW w AS (PARTITION BY borough ORDER BY date),
+  wp AS (PARTITION BY borough ORDER BY date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)"""
+    fv4 = """SELECT *, complaints_total_lag1 - complaints_total_lag2 AS complaints_total_diff_lag1,
+  CAST(complaints_total_lag1 - complaints_total_lag2 AS DOUBLE) / nullif(complaints_total_lag2, 0) AS complaints_total_pct_change_lag1,
+  is_weekend * precipitation_sum AS weekend_x_precip, event_day * is_weekend AS event_x_weekend,
+  event_day * temp_mean AS event_x_temp, is_freezing * heat_hot_water_share AS freezing_x_heat_share,
+  CASE WHEN temp_mean IS NULL THEN NULL WHEN temp_mean <= 0 THEN '<=0C' WHEN temp_mean <= 10 THEN '0-10C'
+       WHEN temp_mean <= 20 THEN '10-20C' WHEN temp_mean <= 30 THEN '20-30C' ELSE '>30C' END AS temp_bin FROM fv3"""
+    body = """SELECT f.*, CAST(coalesce(q.is_outlier_citywide, 0) AS INTEGER) AS is_outlier_citywide,
+  CAST(coalesce(q.is_outlier_low_citywide, 0) AS INTEGER) AS is_outlier_low_citywide,
+  CAST(coalesce(q.is_outlier_high_citywide, 0) AS INTEGER) AS is_outlier_high_citywide
+  FROM fv4 f LEFT JOIN quality_by_date q ON f.date = q.date"""
+    return S.with_ctes(["panel_raw", "quality_by_date"], body, extra=[("fv1", fv1), ("fv2", fv2), ("fv3", fv3), ("fv4", fv4)])
+
+
+FV_FLOATS = S.PANEL_FLOATS + SHARES + ["dow_sin", "dow_cos", "month_sin", "month_cos", "temp_range", "complaints_per_1000_people",
+             "complaint_entropy", "complaint_hhi", "complaint_top_share", "heat_hot_water_share", "complaints_total_ma7_prev",
+             "temp_mean_ma7_prev", "complaints_total_pct_change_lag1", "weekend_x_precip", "event_x_temp",
+             "freezing_x_heat_share"] + [f"{c}_lag1" for c in COMP]
+
+
+@query("feature_view", _fv_sql(), floats=FV_FLOATS)
+def q_feature_view(spark, sf):
+    return features_of(spark, sf)
+
+
+@query("census_to_entity", S.with_ctes(["census_entity"], "SELECT * FROM census_entity"),
+    floats=["census_income_borough_median", "census_population_borough_sum"])
+def q_census_to_entity(spark, sf):
+    from pansift.plans.pipelines import census_to_entity
+    return census_to_entity(S.requests(spark, sf), S.census(spark, sf), S.ENTITY_DOMAIN)
+
+
+@query("skew_transforms", None)
+def q_skew_transforms(spark, sf):
+    return skew_transforms(raw_panel(spark, sf))
+
+
+MM_PREDICTORS = ["day_index", "dow_sin", "dow_cos", "month_sin", "month_cos", "is_weekend", "event_day",
+                 "temp_mean", "temp_range", "wind_speed_mean", "cloud_cover_mean",
+                 "precipitation_sum_wins", "log1p_precipitation_sum", "boxcox_precipitation_sum",
+                 "is_freezing", "is_precip", "is_snow",
+                 "complaints_total_lag1", "complaints_total_lag2", "complaints_total_lag7", "complaints_total_ma7_prev",
+                 "temp_mean_ma7_prev", "complaints_total_diff_lag1", "complaints_total_pct_change_lag1"] \
+    + [f"{c}_lag1" for c in COMP] + ["weekend_x_precip", "event_x_weekend", "event_x_temp"]
+STRUCTURAL = S.STRUCT_COLS
+
+
+@query("model_matrix", None)
+def q_model_matrix(spark, sf):
+    from pansift.operators import clean as CL
+    from pansift.operators.features import TEMP_BIN_LABELS
+    from pansift.session import cut_lineage
+    fv = cut_lineage(features_of(spark, sf))
+    miss = [c for c in fv.columns if c not in ("date", "borough")]
+    from pansift.plans.pipelines import missing_columns
+    cols = missing_columns(fv.select(*miss))
+    proc = cut_lineage(skew_transforms(CL.impute_time_safe(fv, "borough", "date", cols)))
+    mats = model_matrix(proc, "log_complaints_total", MM_PREDICTORS, STRUCTURAL,
+                        levels={"temp_bin": TEMP_BIN_LABELS})
+    return mats["X_A_std"]
+
+
+@query("weather_effects", S.with_ctes(["panel_raw"], " UNION ALL ".join(
+    f"SELECT '{a}' AS x, '{b}' AS y, corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)) AS r FROM d"
+    for a in ["complaints_total_city", "temp_mean", "precipitation_sum", "wind_speed_mean", "event_day", "is_weekend"]
+    for b in ["complaints_total_city", "temp_mean", "precipitation_sum", "wind_speed_mean", "event_day", "is_weekend"]),
+    extra=[("d", """SELECT date, sum(complaints_total) AS complaints_total_city, avg(temp_mean) AS temp_mean,
+  coalesce(sum(precipitation_sum), 0) AS precipitation_sum, avg(wind_speed_mean) AS wind_speed_mean,
+  max(event_count) AS event_day, max(is_weekend) AS is_weekend FROM panel_raw GROUP BY date""")]), floats=["r"])
+def q_weather_effects(spark, sf):
+    return weather_effects(raw_panel(spark, sf))["corr"]
+
+
+@query("filtered_view", S.with_ctes(["wb"], """SELECT CAST(tier AS VARCHAR) AS tier, CAST(nation % 2 AS VARCHAR) AS nation, count(*) AS n
+  FROM wb WHERE balance BETWEEN 0 AND 8000 AND CAST(segment AS VARCHAR) IN ('BUILDING', 'MACHINERY', 'HOUSEHOLD')
+  GROUP BY 1, 2"""))
+def q_filtered_view(spark, sf):
+    d = S.workbench(spark, sf).withColumn("nation", F.col("nation") % 2)
+    return filtered_view(d, rng=("balance", 0, 8000), cats=("segment", ["BUILDING", "MACHINERY", "HOUSEHOLD"]),
+                         group_cols=["nation"], plot="Bar Chart", x="tier")
+
+
+CLEAN_CFG = CleanConfig(remove_duplicates=True, missing_strategy="median", standardize_labels=True,
+                        outlier_strategy="remove_iqr", outlier_cols=["balance"], scaling="zscore",
+                        scale_cols=["score"], encode_cols=["segment"])
+SEGS = ["automobile", "building", "furniture", "household", "machinery"]
+
+
+def _clean_sql():
+    med = lambda c: f"(SELECT quantile_cont({c}, 0.5) FROM d0)"
+    c1 = f"""SELECT coalesce(id, {med('id')}) AS id, lower(regexp_replace(name, '^\\s+|\\s+$', '', 'g')) AS name,
+  coalesce(nation, {med('nation')}) AS nation, coalesce(balance, {med('balance')}) AS balance,
+  coalesce(score, {med('score')}) AS score, coalesce(CAST(tier AS DOUBLE), {med('tier')}) AS tier,
+  lower(regexp_replace(segment, '^\\s+|\\s+$', '', 'g')) AS segment FROM d0"""
+    c2 = """SELECT c1.* FROM c1, (SELECT quantile_cont(balance, 0.25) AS q1, quantile_cont(balance, 0.75) AS q3 FROM c1) b
+  WHERE c1.balance BETWEEN b.q1 - 1.5 * (b.q3 - b.q1) AND b.q3 + 1.5 * (b.q3 - b.q1) OR c1.balance IS NULL"""
+    body = ("SELECT id, name, nation, balance, (score - (SELECT avg(score) FROM c2)) / (SELECT stddev_samp(score) FROM c2) AS score, tier, "
+            + ", ".join(f"CAST(coalesce(segment = '{v}', false) AS INTEGER) AS segment{v}" for v in SEGS) + " FROM c2")
+    return S.with_ctes(["wb"], body, extra=[("d0", "SELECT DISTINCT * FROM wb"), ("c1", c1), ("c2", c2)])
+
+
+@query("clean_table", _clean_sql(), floats=["balance", "score", "tier", "id", "nation"])
+def q_clean_table(spark, sf):
+    return clean_table(S.workbench(spark, sf), CLEAN_CFG)[0]
+
+
+@query("cleaning_audit", S.with_ctes(["wb"], """SELECT * FROM (VALUES ('rows', (SELECT count(*) FROM wb), (SELECT count(*) FROM wb WHERE balance IS NOT NULL)),
+  ('columns', 7, 7), ('missing_cells', (SELECT count_if(balance IS NULL) + count_if(segment IS NULL) + count_if(tier IS NULL) FROM wb),
+   (SELECT count_if(segment IS NULL) + count_if(tier IS NULL) FROM wb WHERE balance IS NOT NULL)),
+  ('duplicate_rows', (SELECT count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM wb)) FROM wb),
+   (SELECT count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM wb WHERE balance IS NOT NULL)) FROM wb WHERE balance IS NOT NULL)))
+  t(metric, "before", "after")"""))
+def q_cleaning_audit(spark, sf):
+    wb = S.workbench(spark, sf)
+    return cleaning_audit(wb, wb.dropna(subset=["balance"]))
+
+
+@query("engineer_feature", S.with_ctes(["wb"], """SELECT 'original' AS variable, 'balance' AS "column", round(avg(balance), 4) AS mean,
+  round(stddev_samp(balance), 4) AS sd, round(min(balance), 4) AS min, round(median(balance), 4) AS median, round(max(balance), 4) AS max FROM wb
+  UNION ALL SELECT 'engineered', 'ratio', round(avg(r), 4), round(stddev_samp(r), 4), round(min(r), 4), round(median(r), 4), round(max(r), 4)
+  FROM (SELECT CASE WHEN abs(score) >= 1e-8 THEN balance / score END AS r FROM wb)"""),
+    floats={"mean": 2, "sd": 2, "min": 2, "median": 2, "max": 2})
+def q_engineer_feature(spark, sf):
+    return engineer_feature(S.workbench(spark, sf), "ratio", "balance", "score", " ratio ")[1]
