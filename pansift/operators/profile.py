@@ -204,8 +204,8 @@ def domain_values(df: DataFrame, col: str) -> DataFrame:
 
 def column_mode(df: DataFrame, col: str) -> DataFrame:
     """Most frequent value (ties -> smallest) with its count; type kept."""
-    counts = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-    best = counts.agg(F.min(F.struct((-F.col("n")).alias("nn"), F.col(col).alias("v"))).alias("b"))
+    counts = df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    best = counts.agg(F.min(F.struct((-F.col("_c")).alias("nn"), F.col("_v").alias("v"))).alias("b"))
     return best.select(F.col("b.v").alias(col), (-F.col("b.nn")).alias("n"))
 
 
