@@ -54,10 +54,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (never ``localCheckpoint``): survives executor loss."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Materialise ``df`` as a Parquet table in the shared checkpoint folder
+    and continue from that table (never ``localCheckpoint``).
+
+    Unlike ``Dataset.checkpoint()`` on an unpersisted plan, which runs the
+    lineage twice (once to count, once to write the files), this computes
+    it once; the written table survives executor loss and gives the
+    optimizer real file statistics for the stages that follow.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
