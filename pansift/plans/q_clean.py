@@ -194,3 +194,15 @@ def q_split_binary_continuous(spark, sf):
 @query("quality_report_and_fix", S.with_ctes(["panel_clean"], "SELECT * FROM panel_clean"), floats=S.PANEL_FLOATS)
 def q_quality_report_and_fix(spark, sf):
     return quality_report_and_fix(raw_panel(spark, sf))[0]
+
+
+KNN_COLS = ["temp_mean", "wind_speed_mean", "cloud_cover_mean", "complaints_total", "temp_mean_lag1"]
+
+
+@query("impute_knn", None)
+def q_impute_knn(spark, sf):
+    from pansift.operators.knn import impute_knn
+    p = raw_panel(spark, sf)
+    pos = F.array_position(F.array(*[F.lit(e) for e in S.ENTITY_DOMAIN]), F.col(ENTITY))
+    p = p.withColumn("row_key", F.unix_date("date").cast("long") * 16 + pos)
+    return impute_knn(p.select("row_key", "date", ENTITY, *KNN_COLS), KNN_COLS, "row_key", k=5)

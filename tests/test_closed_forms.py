@@ -132,3 +132,45 @@ def test_rank_top_per_key_exact_with_hot_key(spark):
     out = rank_top_per_key(df, "k", [F.desc("v")], 3).collect()
     got = sorted((r["k"], r["v"]) for r in out)
     assert got == [("cold", 0), ("cold", 1), ("cold", 2), ("hot", 4997), ("hot", 4998), ("hot", 4999)]
+
+
+def _brute_knn(X, k):
+    """Reference brute force: NaN-aware Euclidean, 1/d weights, zero-distance rule."""
+    X = np.asarray(X, dtype=float)
+    n, p = X.shape
+    out = X.copy()
+    for i in range(n):
+        for j in range(p):
+            if not np.isnan(X[i, j]):
+                continue
+            cands = []
+            for m in range(n):
+                if m == i or np.isnan(X[m, j]):
+                    continue
+                both = ~np.isnan(X[i]) & ~np.isnan(X[m])
+                if not both.any():
+                    continue
+                d = math.sqrt(((X[i, both] - X[m, both]) ** 2).sum() * p / both.sum())
+                cands.append((d, m, X[m, j]))
+            cands.sort()
+            top = cands[:k]
+            if not top:
+                continue
+            if any(d == 0 for d, _, _ in top):
+                ws = [1.0 if d == 0 else 0.0 for d, _, _ in top]
+            else:
+                ws = [1.0 / d for d, _, _ in top]
+            out[i, j] = sum(w * v for w, (_, _, v) in zip(ws, top)) / sum(ws)
+    return out
+
+
+def test_knn_matches_brute_force(spark):
+    from pansift.operators.knn import impute_knn
+    rng = np.random.default_rng(7)
+    X = rng.normal(size=(60, 4)).round(3)
+    X[rng.random(X.shape) < 0.15] = np.nan
+    rows = [(i, *[None if np.isnan(v) else float(v) for v in X[i]]) for i in range(len(X))]
+    df = spark.createDataFrame(rows, "id long, a double, b double, c double, d double").repartition(3)
+    got = impute_knn(df, ["a", "b", "c", "d"], "id", k=5, batch_rows=25).orderBy("id").toPandas()
+    exp = _brute_knn(X, 5)
+    assert np.allclose(got[["a", "b", "c", "d"]].to_numpy(dtype=float), exp, atol=1e-9, equal_nan=True)
