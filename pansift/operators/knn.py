@@ -80,13 +80,12 @@ def _local_best(recv: pd.DataFrame, cols: Sequence[str], k: int, chunk: int = 51
     return run
 
 
-def impute_knn(df: DataFrame, cols: Sequence[str], key: str, k: int = 5,
-               batch_rows: int = 50_000) -> DataFrame:
-    """Fill gaps in ``cols`` from the k nearest donors (weights 1/d).
-
-    ``key`` is a unique, non-null long column identifying rows (it keeps
-    the result stable when tasks are retried).
-    """
+def knn_donor_join(df: DataFrame, cols: Sequence[str], key: str, k: int = 5,
+                   batch_rows: int = 50_000) -> DataFrame:
+    """Distance (theta) join with top-k: for every row with a gap and every
+    missing column, its k nearest donors as (rid, col, d, v, did, rank),
+    where ``col`` indexes ``cols``, ``d`` is the NaN-aware distance, ``v``
+    the donor's value and ``did`` the donor key.  Ties: donor key ascending."""
     cols = list(cols)
     base = df.select(F.col(key).cast("long").alias("_rid"), *[finite_or_null(F.col(c).cast("double")).alias(c) for c in cols])
     gap = F.lit(False)
@@ -95,7 +94,7 @@ def impute_knn(df: DataFrame, cols: Sequence[str], key: str, k: int = 5,
     receivers = base.where(gap)
     n_recv = receivers.count()
     if n_recv == 0:
-        return df
+        return df.sparkSession.createDataFrame([], CAND_SCHEMA + ", rank int")
     n_batches = max(1, math.ceil(n_recv / batch_rows))
     cands = None
     for b in range(n_batches):
@@ -103,7 +102,18 @@ def impute_knn(df: DataFrame, cols: Sequence[str], key: str, k: int = 5,
         pdf = part.toPandas()  # at most ~batch_rows rows (size-checked above)
         got = base.mapInPandas(_local_best(pdf, cols, k), CAND_SCHEMA)
         cands = got if cands is None else cands.unionByName(got)
-    best = rank_top_per_key(cands, ["rid", "col"], [F.asc("d"), F.asc("did")], k)
+    return rank_top_per_key(cands, ["rid", "col"], [F.asc("d"), F.asc("did")], k)
+
+
+def impute_knn(df: DataFrame, cols: Sequence[str], key: str, k: int = 5,
+               batch_rows: int = 50_000) -> DataFrame:
+    """Fill gaps in ``cols`` from the k nearest donors (weights 1/d).
+
+    ``key`` is a unique, non-null long column identifying rows (it keeps
+    the result stable when tasks are retried).
+    """
+    cols = list(cols)
+    best = knn_donor_join(df, cols, key, k, batch_rows)
     zero = F.max((F.col("d") == 0).cast("int")).over(Window.partitionBy("rid", "col"))
     w = F.when(F.col("_z") == 1, (F.col("d") == 0).cast("double")).otherwise(1.0 / F.col("d"))
     filled = best.withColumn("_z", zero).groupBy("rid", "col").agg(

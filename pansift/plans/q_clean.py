@@ -206,3 +206,12 @@ def q_impute_knn(spark, sf):
     pos = F.array_position(F.array(*[F.lit(e) for e in S.ENTITY_DOMAIN]), F.col(ENTITY))
     p = p.withColumn("row_key", F.unix_date("date").cast("long") * 16 + pos)
     return impute_knn(p.select("row_key", "date", ENTITY, *KNN_COLS), KNN_COLS, "row_key", k=5)
+
+
+@query("knn_donor_join", None)
+def q_knn_donor_join(spark, sf):
+    from pansift.operators.knn import knn_donor_join
+    p = raw_panel(spark, sf)
+    pos = F.array_position(F.array(*[F.lit(e) for e in S.ENTITY_DOMAIN]), F.col(ENTITY))
+    p = p.withColumn("row_key", F.unix_date("date").cast("long") * 16 + pos)
+    return knn_donor_join(p, KNN_COLS, "row_key", k=5)
