@@ -195,6 +195,6 @@ def q_cleaning_audit(spark, sf):
   round(stddev_samp(balance), 4) AS sd, round(min(balance), 4) AS min, round(median(balance), 4) AS median, round(max(balance), 4) AS max FROM wb
   UNION ALL SELECT 'engineered', 'ratio', round(avg(r), 4), round(stddev_samp(r), 4), round(min(r), 4), round(median(r), 4), round(max(r), 4)
   FROM (SELECT CASE WHEN abs(score) >= 1e-8 THEN balance / score END AS r FROM wb)"""),
-    floats={"mean": 2, "sd": 2, "min": 2, "median": 2, "max": 2})
+    floats={"mean": 4, "sd": 4, "min": 4, "median": 4, "max": 4})
 def q_engineer_feature(spark, sf):
     return engineer_feature(S.workbench(spark, sf), "ratio", "balance", "score", " ratio ")[1]

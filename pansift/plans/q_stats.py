@@ -207,7 +207,7 @@ def q_recommend_view(spark, sf):
   round(stddev_samp(balance), 4) AS sd, round(min(balance), 4) AS min, round(median(balance), 4) AS median, round(max(balance), 4) AS max FROM wb
   UNION ALL SELECT 'engineered', 'balance_sq', round(avg(balance * balance), 4), round(stddev_samp(balance * balance), 4),
   round(min(balance * balance), 4), round(median(balance * balance), 4), round(max(balance * balance), 4) FROM wb"""),
-    floats={"mean": 2, "sd": 2, "min": 2, "median": 2, "max": 2})
+    floats={"mean": 4, "sd": 4, "min": 4, "median": 4, "max": 4})
 def q_before_after_stats(spark, sf):
     from pansift.operators.features import square
     d = square(S.workbench(spark, sf), "balance")
