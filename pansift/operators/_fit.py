@@ -21,7 +21,7 @@ def fit_row(df: DataFrame, exprs: dict) -> dict:
         return {}
     items = list(exprs.items())
     out: dict = {}
-    chunk = 400
+    chunk = 200
     for i in range(0, len(items), chunk):
         part = items[i:i + chunk]
         row = df.agg(*[e.alias(k) for k, e in part]).first()

@@ -336,7 +336,7 @@ def _yj_expr(x, lam):
 
 
 def _grid_search(df: DataFrame, cols: Sequence[str], transform, jac_expr, lo=-3.0, hi=3.0,
-                 points: int = 21, passes: int = 4) -> dict:
+                 points: int = 21, passes: int = 3, refine_points: int = 11) -> dict:
     """Maximise llf(l) = -n/2 ln var_pop(T_l(x)) + (l - 1) * J(x) per column,
     refining the grid around the best point on every pass.
 
@@ -353,13 +353,14 @@ def _grid_search(df: DataFrame, cols: Sequence[str], transform, jac_expr, lo=-3.
             long.groupBy("column").agg(F.count("x").alias("n"), F.sum(jac_expr(F.col("x"))).alias("j")).collect()}
     bounds = {c: (lo, hi) for c in cols}
     best = {c: None for c in cols}
-    for _ in range(passes):
+    for it in range(passes):
+        npts = points if it == 0 else refine_points
         lo_map = F.create_map(*[a for c in cols for a in (F.lit(c), F.lit(bounds[c][0]))])
         hi_map = F.create_map(*[a for c in cols for a in (F.lit(c), F.lit(bounds[c][1]))])
         lam_lo, lam_hi = lo_map[F.col("column")], hi_map[F.col("column")]
         exprs = []
-        for k in range(points):
-            lam = lam_lo + (lam_hi - lam_lo) * F.lit(k / (points - 1))
+        for k in range(npts):
+            lam = lam_lo + (lam_hi - lam_lo) * F.lit(k / (npts - 1))
             exprs.append(F.var_pop(transform(F.col("x"), lam)).alias(f"v{k}"))
         rows = long.groupBy("column").agg(*exprs).collect()
         for r in rows:
@@ -367,22 +368,29 @@ def _grid_search(df: DataFrame, cols: Sequence[str], transform, jac_expr, lo=-3.
             n, jac = base.get(c, (0, 0.0))
             b0, b1 = bounds[c]
             scores = []
-            for k in range(points):
-                v, lam = r[f"v{k}"], b0 + (b1 - b0) * k / (points - 1)
+            for k in range(npts):
+                v, lam = r[f"v{k}"], b0 + (b1 - b0) * k / (npts - 1)
                 if v is None or not (v > 0) or math.isinf(v):
                     continue
                 scores.append((-n / 2.0 * math.log(v) + (lam - 1.0) * jac, lam))
             if not scores:
                 continue
-            _, lam = max(scores)
+            i_best = max(range(len(scores)), key=lambda i: scores[i][0])
+            lam = scores[i_best][1]
+            step = (b1 - b0) / (npts - 1)
+            if it == passes - 1 and 0 < i_best < len(scores) - 1:
+                # parabola through the best point and its neighbours
+                (y0, x0), (y1, x1), (y2, x2) = scores[i_best - 1], scores[i_best], scores[i_best + 1]
+                den = (y0 - 2 * y1 + y2)
+                if den < 0 and abs(x2 - x0 - 2 * step) < 1e-9:
+                    lam = x1 + 0.5 * step * (y0 - y2) / den
             best[c] = lam
-            step = (b1 - b0) / (points - 1)
             bounds[c] = (lam - step, lam + step)
     return best
 
 
 def box_cox(df: DataFrame, col: str, eps: float = 1e-3, out: str | None = None,
-            lambda_col: str | None = None, passes: int = 4) -> DataFrame:
+            lambda_col: str | None = None, passes: int = 3) -> DataFrame:
     """Box-Cox of (missing -> 0) + eps with lambda by maximum likelihood;
     lambda is kept as a constant column."""
     x = F.coalesce(F.col(col).cast("double"), F.lit(0.0)) + F.lit(eps)
@@ -392,12 +400,12 @@ def box_cox(df: DataFrame, col: str, eps: float = 1e-3, out: str | None = None,
               .withColumn(lambda_col or f"_boxcox_lambda_{col}", F.lit(lam)).drop("_bc_x")
 
 
-def yeo_johnson_fit(df: DataFrame, cols: Sequence[str], passes: int = 4) -> dict:
+def yeo_johnson_fit(df: DataFrame, cols: Sequence[str], passes: int = 3) -> dict:
     jac = lambda x: F.signum(x) * F.log1p(F.abs(x))
     return _grid_search(df, cols, _yj_expr, jac, passes=passes)
 
 
-def yeo_johnson(df: DataFrame, cols: Sequence[str], standardize: bool = True, passes: int = 4) -> DataFrame:
+def yeo_johnson(df: DataFrame, cols: Sequence[str], standardize: bool = True, passes: int = 3) -> DataFrame:
     """Yeo-Johnson per column (lambda by ML, all columns in one aggregate per
     pass), then z-score with ddof 0.  Missing stays missing."""
     cols = list(cols)

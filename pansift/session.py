@@ -26,6 +26,9 @@ def get_spark(master: str | None = None, app: str = "pansift",
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
+        if master.startswith("local"):
+            # local mode: the driver JVM is also the only executor
+            b = b.config("spark.driver.memory", "8g")
     for k, v in DEFAULT_CONF.items():
         b = b.config(k, v)
     if shuffle_partitions:

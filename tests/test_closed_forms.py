@@ -174,3 +174,28 @@ def test_knn_matches_brute_force(spark):
     got = impute_knn(df, ["a", "b", "c", "d"], "id", k=5, batch_rows=25).orderBy("id").toPandas()
     exp = _brute_knn(X, 5)
     assert np.allclose(got[["a", "b", "c", "d"]].to_numpy(dtype=float), exp, atol=1e-9, equal_nan=True)
+
+
+def _yj_np(x, lam):
+    out = np.empty_like(x)
+    pos = x >= 0
+    out[pos] = np.log1p(x[pos]) if abs(lam) < 1e-12 else ((x[pos] + 1) ** lam - 1) / lam
+    out[~pos] = -np.log1p(-x[~pos]) if abs(lam - 2) < 1e-12 else -((1 - x[~pos]) ** (2 - lam) - 1) / (2 - lam)
+    return out
+
+
+def test_lambda_matches_dense_numpy_search(spark):
+    rng = np.random.default_rng(11)
+    x = np.concatenate([rng.gamma(2.0, 2.0, size=1500) - 1.0, rng.normal(size=500)])
+    df = spark.createDataFrame([(float(v),) for v in x], "x double")
+    lam = CL.yeo_johnson_fit(df, ["x"])["x"]
+    grid = np.linspace(-3, 3, 60001)
+    jac = (np.sign(x) * np.log1p(np.abs(x))).sum()
+    llf = [-len(x) / 2 * np.log(_yj_np(x, g).var()) + (g - 1) * jac for g in grid]
+    assert abs(lam - grid[int(np.argmax(llf))]) < 2e-3
+    xp = rng.lognormal(size=2000) * 3
+    dfp = spark.createDataFrame([(float(v),) for v in xp], "x double")
+    bl = CL.box_cox(dfp, "x", eps=0.0).first()["_boxcox_lambda_x"]
+    lx = np.log(xp)
+    llb = [-len(xp) / 2 * np.log(((xp ** g - 1) / g if abs(g) > 1e-12 else lx).var()) + (g - 1) * lx.sum() for g in grid]
+    assert abs(bl - grid[int(np.argmax(llb))]) < 2e-3
