@@ -54,7 +54,16 @@ def q_impute_ffill_median(spark, sf):
 EDA_COLS = ["temp_mean", "temp_mean_lag1", "wind_speed_mean", "complaints_total_ma7"]
 
 
-@query("impute_eda_view", None)
+def _eda_sql():
+    bf = ", ".join(f"""coalesce(first_value({c} IGNORE NULLS) OVER (PARTITION BY borough ORDER BY date ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING),
+  last_value({c} IGNORE NULLS) OVER (PARTITION BY borough ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS {c}""" for c in EDA_COLS)
+    ind = ", ".join(f"CAST({c} IS NULL AS INTEGER) AS {c}_missing" for c in EDA_COLS)
+    body = "SELECT date, borough, " + ", ".join(f"coalesce({c}, (SELECT quantile_cont({c}, 0.5) FROM bf)) AS {c}" for c in EDA_COLS) \
+        + ", " + ", ".join(f"{c}_missing" for c in EDA_COLS) + " FROM bf"
+    return S.with_ctes(["panel_raw"], body, extra=[("bf", f"SELECT date, borough, {bf}, {ind} FROM panel_raw")])
+
+
+@query("impute_eda_view", _eda_sql(), floats=EDA_COLS)
 def q_impute_eda_view(spark, sf):
     p = raw_panel(spark, sf).select("date", ENTITY, *EDA_COLS)
     return CL.impute_eda_view(p, ENTITY, "date", EDA_COLS)
@@ -91,7 +100,11 @@ def q_outliers_remove_iqr(spark, sf):
     return CL.outliers_remove_iqr(d, ["balance", "score"])
 
 
-@query("outliers_remove_iqr_sequential", None)
+@query("outliers_remove_iqr_sequential", S.with_ctes(["wb"], """SELECT s1.* FROM s1,
+  (SELECT quantile_cont(score, 0.25) AS q1, quantile_cont(score, 0.75) AS q3 FROM s1) s
+  WHERE s1.score BETWEEN s.q1 - 1.5 * (s.q3 - s.q1) AND s.q3 + 1.5 * (s.q3 - s.q1)""",
+    extra=[("s1", """SELECT wb.* FROM wb, (SELECT quantile_cont(balance, 0.25) AS q1, quantile_cont(balance, 0.75) AS q3 FROM wb) b
+  WHERE wb.balance BETWEEN b.q1 - 1.5 * (b.q3 - b.q1) AND b.q3 + 1.5 * (b.q3 - b.q1)""")]))
 def q_outliers_remove_iqr_sequential(spark, sf):
     return CL.outliers_remove_iqr(_wb(spark, sf), ["balance", "score"], sequential=True)
 
