@@ -139,7 +139,7 @@ def data_dictionary(df: DataFrame, examples: int = 5, approx: bool = False,
         ex = _examples(df, txt_cols, examples).withColumnRenamed("examples", "_ex")
         out = out.join(F.broadcast(ex), "column", "left") \
                  .withColumn("examples", F.coalesce("examples", "_ex")).drop("_ex")
-    return out
+    return out.orderBy(F.desc("missing_pct"), F.desc("unique_n"), F.asc("column"))
 
 
 def missing_table(df: DataFrame) -> DataFrame:
@@ -148,7 +148,7 @@ def missing_table(df: DataFrame) -> DataFrame:
     aggs = [F.count(F.lit(1)).alias("_rows")] + [F.count_if(F.col(c).isNull()).alias(f"na{i}") for i, c in enumerate(cols)]
     rows = [F.struct(F.lit(c).alias("column"), F.col(f"na{i}").alias("missing_n"),
                      (F.col(f"na{i}") * 100.0 / F.col("_rows")).alias("missing_pct")) for i, c in enumerate(cols)]
-    return _long(df.agg(*aggs), rows).where(F.col("missing_n") > 0)
+    return _long(df.agg(*aggs), rows).where(F.col("missing_n") > 0).orderBy(F.desc("missing_pct"), F.asc("column"))
 
 
 def missing_mask(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:

@@ -197,7 +197,7 @@ def vif(df: DataFrame, features: Sequence[str]) -> DataFrame:
     else:
         inv = np.linalg.inv(corr)
         diag = [float(inv[i, i]) for i in range(len(feats))]
-    rows = [(f, diag[i]) for i, f in enumerate(feats)]
+    rows = sorted([(f, diag[i]) for i, f in enumerate(feats)], key=lambda r: -r[1])
     return df.sparkSession.createDataFrame(rows, "feature string, vif double")
 
 
