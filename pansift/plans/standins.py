@@ -4,7 +4,7 @@ Each stand-in has a Spark builder and an equivalent SQL CTE so the
 registry can compare both engines.  Mapping (see blueprint 7.2):
 
 * service requests -> lineitem x part x supplier x nation x region
-  (key = order-line, created = ship date, borough = region, complaint
+  (key = order * 100 + line, created = ship date, borough = region, complaint
   type = brand, zip = part key)
 * hourly weather -> orders (one reading per order timestamp)
 * public events -> orders (type from priority, citywide ``ALL`` rows for
@@ -58,7 +58,8 @@ def requests(spark, sf_dir) -> DataFrame:
     """Raw service-request stand-in (duplicates on unique_key included)."""
     li = table(spark, sf_dir, "lineitem")
     li = li.select(
-        F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("unique_key"),
+        # numeric order-line key (TPC-H line numbers are 1..7): cheaper to hash and shuffle than text
+        (F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("unique_key"),
         F.col("l_shipdate").alias("created_date"), "l_partkey", "l_suppkey", "l_quantity",
         "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
@@ -151,7 +152,7 @@ def cte(name: str, sql: str, deps: list[str] | None = None) -> None:
 cte("supplier_entity", """SELECT s.s_suppkey, r.r_name FROM supplier s
   JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey""")
 cte("nation_entity", """SELECT n.n_nationkey, r.r_name FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey""")
-cte("requests", """SELECT CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR) AS unique_key,
+cte("requests", """SELECT l.l_orderkey * 100 + l.l_linenumber AS unique_key,
   l.l_shipdate AS created_date, se.r_name AS borough, p.p_brand AS complaint_type, l.l_partkey AS incident_zip,
   l.l_partkey, l.l_suppkey, l.l_quantity, l.l_extendedprice, l.l_discount, l.l_tax, l.l_returnflag, l.l_linestatus
   FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey JOIN supplier_entity se ON l.l_suppkey = se.s_suppkey""",
