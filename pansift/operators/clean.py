@@ -429,3 +429,40 @@ def yeo_johnson(df: DataFrame, cols: Sequence[str], standardize: bool = True, pa
     ex = {c: _yj_expr(F.col(c).cast("double"), lams[c]) for c in cols if lams[c] is not None}
     out = df.withColumns(ex)
     return scale_zscore(out, list(ex), ddof=0, skip_constant=True) if standardize else out
+
+
+def moments_fit(df: DataFrame, cols: Sequence[str]) -> dict:
+    """One aggregate for everything the variance filter, the binary /
+    continuous split and the z / min-max scalers need:
+    {col: dict(n, mean, sd_pop, sd_samp, var_pop, min, max, nonbinary)}."""
+    cols = list(cols)
+    ex = {}
+    for i, c in enumerate(cols):
+        x = F.col(c).cast("double")
+        ex.update({f"n{i}": F.count(x), f"m{i}": F.avg(x), f"sp{i}": F.stddev_pop(x), f"ss{i}": F.stddev_samp(x),
+                   f"vp{i}": F.var_pop(x), f"a{i}": F.min(x), f"b{i}": F.max(x),
+                   f"o{i}": F.count_if(~F.round(x, 6).isin(0.0, 1.0))})
+    st = fit_row(df, ex)
+    return {c: {"n": st[f"n{i}"], "mean": st[f"m{i}"], "sd_pop": st[f"sp{i}"], "sd_samp": st[f"ss{i}"],
+                "var_pop": st[f"vp{i}"], "min": st[f"a{i}"], "max": st[f"b{i}"], "nonbinary": st[f"o{i}"]}
+            for i, c in enumerate(cols)}
+
+
+def apply_zscore(df: DataFrame, fit: dict, cols: Sequence[str], ddof: int = 0) -> DataFrame:
+    """z-scores from a ``moments_fit`` result (constant columns unchanged)."""
+    ex = {}
+    for c in cols:
+        m, s = fit[c]["mean"], fit[c]["sd_pop" if ddof == 0 else "sd_samp"]
+        if m is not None and s:
+            ex[c] = (F.col(c).cast("double") - F.lit(m)) / F.lit(s)
+    return df.withColumns(ex) if ex else df
+
+
+def apply_minmax(df: DataFrame, fit: dict, cols: Sequence[str]) -> DataFrame:
+    """(x - min) / (max - min) from a ``moments_fit`` result (constant columns unchanged)."""
+    ex = {}
+    for c in cols:
+        a, b = fit[c]["min"], fit[c]["max"]
+        if a is not None and b - a != 0:
+            ex[c] = (F.col(c).cast("double") - F.lit(a)) / F.lit(b - a)
+    return df.withColumns(ex) if ex else df

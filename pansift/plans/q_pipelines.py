@@ -121,19 +121,29 @@ MM_PREDICTORS = ["day_index", "dow_sin", "dow_cos", "month_sin", "month_cos", "i
 STRUCTURAL = S.STRUCT_COLS
 
 
-@query("model_matrix", None)
-def q_model_matrix(spark, sf):
+def _model_inputs(spark, sf):
     from pansift.operators import clean as CL
-    from pansift.operators.features import TEMP_BIN_LABELS
-    from pansift.session import cut_lineage
-    fv = cut_lineage(features_of(spark, sf))
-    miss = [c for c in fv.columns if c not in ("date", "borough")]
     from pansift.plans.pipelines import missing_columns
-    cols = missing_columns(fv.select(*miss))
-    proc = cut_lineage(skew_transforms(CL.impute_time_safe(fv, "borough", "date", cols)))
-    mats = model_matrix(proc, "log_complaints_total", MM_PREDICTORS, STRUCTURAL,
+    from pansift.session import cut_lineage
+    fv = cut_lineage(features_of(spark, sf), "feature_view")
+    cols = missing_columns(fv.select(*[c for c in fv.columns if c not in ("date", "borough")]))
+    return cut_lineage(skew_transforms(CL.impute_time_safe(fv, "borough", "date", cols)), "proc_time")
+
+
+def _matrices(spark, sf, lazy_power: bool = False):
+    from pansift.operators.features import TEMP_BIN_LABELS
+    return model_matrix(_model_inputs(spark, sf), "log_complaints_total", MM_PREDICTORS, STRUCTURAL,
                         levels={"temp_bin": TEMP_BIN_LABELS})
-    return mats["X_A_std"]
+
+
+@query("model_matrix", None)
+def q_model_matrix(spark, sf):
+    return _matrices(spark, sf)["X_A_std"]
+
+
+@query("model_matrix_power", None)
+def q_model_matrix_power(spark, sf):
+    return _matrices(spark, sf)["X_A_power"]
 
 
 @query("weather_effects", S.with_ctes(["panel_raw"], " UNION ALL ".join(
