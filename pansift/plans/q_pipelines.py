@@ -17,14 +17,28 @@ def panel_inputs(spark, sf, top_k=8) -> PanelInputs:
                        entire_token=S.LISTING_ENTIRE_TOKEN, top_k=top_k, topk_naming="rank")
 
 
+_STAGE1_TABLES: dict = {}
+
+
 def raw_panel(spark, sf):
     """Stage-1 panel before the quality step (natural gaps kept).
 
-    Checkpointed (reliable, shared checkpoint folder): it is days x entities
-    small, and the stage-2 operators that read it make several passes.
+    As in the reference, where the second script reads the panel the first
+    one wrote, stage-2 queries read the stage-1 panel as a table: the first
+    call in a session writes it to the shared checkpoint folder
+    (days x entities small; survives executor loss), later calls read it.
     """
-    from pansift.session import cut_lineage
-    return cut_lineage(build_panel(panel_inputs(spark, sf), quality=False))
+    from pansift.session import write_stage
+    key = (id(spark), sf)
+    path = _STAGE1_TABLES.get(key)
+    if path is not None:
+        try:
+            return spark.read.parquet(path)
+        except Exception:  # noqa: BLE001 - table gone: rebuild it
+            _STAGE1_TABLES.pop(key, None)
+    path = write_stage(build_panel(panel_inputs(spark, sf), quality=False), "stage1_panel")
+    _STAGE1_TABLES[key] = path
+    return spark.read.parquet(path)
 
 
 def clean_panel(spark, sf):

@@ -66,10 +66,14 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     it once; the written table survives executor loss and gives the
     optimizer real file statistics for the stages that follow.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
+    return df.sparkSession.read.parquet(write_stage(df, name))
+
+
+def write_stage(df: DataFrame, name: str = "stage") -> str:
+    """Write ``df`` as a Parquet table in the shared checkpoint folder; return its path."""
+    path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return path
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
