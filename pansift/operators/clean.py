@@ -362,23 +362,25 @@ def _grid_search(df: DataFrame, cols: Sequence[str], transform, jac_expr, lo=-3.
     bounds travel as literals in a small map.
     """
     cols = list(cols)
-    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"),
+    # columns are addressed by an integer id: per-row bounds come from O(1)
+    # indexing into literal arrays instead of string-keyed map lookups
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("cid"),
                                                   finite_or_null(F.col(c).cast("double")).alias("x"))
-                                         for c in cols])).alias("kv")).select("kv.*").where(F.col("x").isNotNull())
-    base = {r["column"]: (r["n"], r["j"] or 0.0) for r in
-            long.groupBy("column").agg(F.count("x").alias("n"), F.sum(jac_expr(F.col("x"))).alias("j")).collect()}
+                                         for i, c in enumerate(cols)])).alias("kv")).select("kv.*").where(F.col("x").isNotNull())
+    base = {cols[r["cid"]]: (r["n"], r["j"] or 0.0) for r in
+            long.groupBy("cid").agg(F.count("x").alias("n"), F.sum(jac_expr(F.col("x"))).alias("j")).collect()}
     bounds = {c: (lo, hi) for c in cols}
     best = {c: None for c in cols}
     for it in range(passes):
         npts = points if it == 0 else refine_points
-        lo_map = F.create_map(*[a for c in cols for a in (F.lit(c), F.lit(bounds[c][0]))])
-        hi_map = F.create_map(*[a for c in cols for a in (F.lit(c), F.lit(bounds[c][1]))])
-        lam_lo, lam_hi = lo_map[F.col("column")], hi_map[F.col("column")]
+        lo_arr = F.array(*[F.lit(float(bounds[c][0])) for c in cols])
+        hi_arr = F.array(*[F.lit(float(bounds[c][1])) for c in cols])
+        lam_lo, lam_hi = lo_arr[F.col("cid")], hi_arr[F.col("cid")]
         exprs = []
         for k in range(npts):
             lam = lam_lo + (lam_hi - lam_lo) * F.lit(k / (npts - 1))
             exprs.append(F.var_pop(transform(F.col("x"), lam)).alias(f"v{k}"))
-        rows = long.groupBy("column").agg(*exprs).collect()
+        rows = [dict(r.asDict(), column=cols[r["cid"]]) for r in long.groupBy("cid").agg(*exprs).collect()]
         for r in rows:
             c = r["column"]
             n, jac = base.get(c, (0, 0.0))

@@ -63,9 +63,23 @@ NAMED_SHARE = ("heat_hot_water_share", "top1_cnt")
 
 
 def features_of(spark, sf):
+    """The stage-2 feature view over the stage-1 panel; like the panel it is
+    the reuse point of the later steps (imputed views, transforms, model
+    matrices), so it is written once per session and read afterwards."""
     from pansift.operators.profile import robust_z
+    from pansift.session import write_stage
+    key = (id(spark), sf, "feature_view")
+    path = _STAGE1_TABLES.get(key)
+    if path is not None:
+        try:
+            return spark.read.parquet(path)
+        except Exception:  # noqa: BLE001 - table gone: rebuild it
+            _STAGE1_TABLES.pop(key, None)
     p = raw_panel(spark, sf)
-    return feature_view(p, S.TOPK_COLS, robust_z(p, "date", "complaints_total"), NAMED_SHARE)
+    fv = feature_view(p, S.TOPK_COLS, robust_z(p, "date", "complaints_total"), NAMED_SHARE)
+    path = write_stage(fv, "feature_view")
+    _STAGE1_TABLES[key] = path
+    return spark.read.parquet(path)
 
 
 def _fv_sql():
@@ -139,7 +153,7 @@ def _model_inputs(spark, sf):
     from pansift.operators import clean as CL
     from pansift.plans.pipelines import missing_columns
     from pansift.session import cut_lineage
-    fv = cut_lineage(features_of(spark, sf), "feature_view")
+    fv = features_of(spark, sf)
     cols = missing_columns(fv.select(*[c for c in fv.columns if c not in ("date", "borough")]))
     return cut_lineage(skew_transforms(CL.impute_time_safe(fv, "borough", "date", cols)), "proc_time")
 
