@@ -199,3 +199,21 @@ def test_lambda_matches_dense_numpy_search(spark):
     lx = np.log(xp)
     llb = [-len(xp) / 2 * np.log(((xp ** g - 1) / g if abs(g) > 1e-12 else lx).var()) + (g - 1) * lx.sum() for g in grid]
     assert abs(bl - grid[int(np.argmax(llb))]) < 2e-3
+
+
+def test_dedupe_hot_key_exact(spark):
+    """A third of all rows share one key: keep-first still returns its first row."""
+    from pansift.operators.timeseries import dedupe_keep_first
+    rows = [("hot", 1000 - i, f"v{i}") for i in range(3000)] + [(f"k{i}", i, f"w{i}") for i in range(6000)]
+    df = spark.createDataFrame(rows, "k string, o int, v string").repartition(8)
+    out = dedupe_keep_first(df, ["k"], ["o"])
+    assert out.count() == 6001
+    assert out.where("k = 'hot'").first()["v"] == "v2999"  # smallest o = 1000 - 2999
+
+
+def test_majority_map_ties_smallest_label(spark):
+    from pansift.operators.aggregate import majority_map
+    rows = [(1, "b"), (1, "a"), (1, "b"), (1, "a"), (2, "c"), (2, None), (None, "a")]
+    df = spark.createDataFrame(rows, "zip long, borough string")
+    got = {r["zip"]: r["borough"] for r in majority_map(df, "zip", "borough").collect()}
+    assert got == {1: "A", 2: "C"}
