@@ -102,11 +102,11 @@ def _api_events(spark, sf):
 
 
 @query("normalize_event_records", """SELECT event_type || ' #' || CAST(event_id AS VARCHAR) AS title, strftime(ts, '%Y-%m-%d') AS date,
-  CASE WHEN user_id % 10 = 0 THEN 'UNKNOWN' ELSE event_type END AS borough, event_type AS type, 'api' AS method,
+  CASE WHEN user_id % 10 = 0 THEN 'UNKNOWN' ELSE event_type END AS borough, event_type AS type, 'events_api' AS source, 'api' AS method,
   CAST(user_id AS VARCHAR) AS location FROM events
   WHERE event_id % 17 <> 0 AND year(ts) = 2024 AND month(ts) <= 6""")
 def q_normalize_event_records(spark, sf):
-    return RD.normalize_event_records(_api_events(spark, sf), "event_date", 2024, 6)
+    return RD.normalize_event_records(_api_events(spark, sf), "event_date", 2024, 6, source="events_api")
 
 
 @query("inline_table", """SELECT m.title, m.date, m.borough, m.type, count(e.event_id) AS n_events FROM (VALUES """

@@ -122,7 +122,7 @@ def ingest_report(df: DataFrame, limit: int | None) -> dict:
 
 def normalize_event_records(df: DataFrame, date_col: str = "event_date", year: int = 2024, max_month: int = 6,
                             mapping: Mapping[str, str] | None = None,
-                            defaults: Mapping[str, str] | None = None) -> DataFrame:
+                            defaults: Mapping[str, str] | None = None, source: str = "api") -> DataFrame:
     """API event records -> (title, date, borough, type, source, method,
     location): empty dates dropped, ``T`` -> space, fraction cut, parsed,
     kept when in ``year`` and month <= ``max_month``; missing borough /
@@ -142,7 +142,7 @@ def normalize_event_records(df: DataFrame, date_col: str = "event_date", year: i
         return F.coalesce(c.cast("string"), F.lit(defaults.get(k))) if k in defaults else c.cast("string")
     return out.select(pick("title").alias("title"), F.date_format("_ts", "yyyy-MM-dd").alias("date"),
                       pick("borough").alias("borough"), pick("type").alias("type"),
-                      F.lit("api").alias("method"), pick("location").alias("location"))
+                      F.lit(source).alias("source"), F.lit("api").alias("method"), pick("location").alias("location"))
 
 
 # Fixed values from the reference: curated holidays and parades of 2024.

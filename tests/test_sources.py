@@ -44,6 +44,7 @@ def test_normalize_event_records(spark):
             ("Empty", "", "BRONX", None), ("B", "2024-06-30T23:00:00.123", "QUEENS", None)]
     df = spark.createDataFrame(rows, "event_name string, event_date string, event_borough string, event_type string")
     out = RD.normalize_event_records(df).orderBy("date").collect()
+    assert all(r["source"] == "api" for r in out)
     assert [(r["title"], r["date"], r["borough"], r["type"]) for r in out] == [
         ("Parade A", "2024-03-02", "UNKNOWN", "parade"), ("B", "2024-06-30", "QUEENS", "permitted")]
 
