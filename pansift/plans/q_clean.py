@@ -85,9 +85,6 @@ def q_missing_indicators(spark, sf):
         .drop("balance", "segment")
 
 
-_IQR = """(SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.75) AS q3 FROM wb)"""
-
-
 @query("outliers_remove_iqr", S.with_ctes(["wb"], """SELECT w.* FROM w,
   (SELECT quantile_cont(balance, 0.25) AS q1, quantile_cont(balance, 0.75) AS q3 FROM w) b,
   (SELECT quantile_cont(score, 0.25) AS q1, quantile_cont(score, 0.75) AS q3 FROM w) s

@@ -158,7 +158,7 @@ def _model_inputs(spark, sf):
     return cut_lineage(skew_transforms(CL.impute_time_safe(fv, "borough", "date", cols)), "proc_time")
 
 
-def _matrices(spark, sf, lazy_power: bool = False):
+def _matrices(spark, sf):
     from pansift.operators.features import TEMP_BIN_LABELS
     return model_matrix(_model_inputs(spark, sf), "log_complaints_total", MM_PREDICTORS, STRUCTURAL,
                         levels={"temp_bin": TEMP_BIN_LABELS})
