@@ -14,7 +14,7 @@ from pansift.plans.pipelines import ENTITY
 def fact(spark, sf):
     """Deduped, dated, standardised, domain-filtered request stand-in."""
     return A.clean_fact(S.requests(spark, sf), "created_date", ENTITY, "unique_key",
-                        S.DEDUPE_ORDER, S.ENTITY_DOMAIN)
+                        S.DEDUPE_ORDER, S.ENTITY_DOMAIN, keep=["complaint_type"])
 
 
 def counts(spark, sf):
