@@ -32,62 +32,82 @@ from pansift.operators.timeseries import rank_top_per_key
 CAND_SCHEMA = "rid long, col int, d double, v double, did long"
 
 
-def _local_best(recv: pd.DataFrame, cols: Sequence[str], k: int, chunk: int = 512):
-    """mapInPandas body: donor batches -> up to k candidates per (receiver, column)."""
-    rx = recv[list(cols)].to_numpy(dtype=float)
-    rid = recv["_rid"].to_numpy()
+def _local_best(recv: pd.DataFrame, cols: Sequence[str], k: int, chunk: int = 512, block: str | None = None):
+    """mapInPandas body: donor batches -> up to k candidates per (receiver, column).
+    With ``block``, receivers only meet donors of their own block."""
     p = len(cols)
 
+    def pairs(recv_part: pd.DataFrame, pdf: pd.DataFrame):
+        rx = recv_part[list(cols)].to_numpy(dtype=float)
+        rid = recv_part["_rid"].to_numpy()
+        dx = pdf[list(cols)].to_numpy(dtype=float)
+        did = pdf["_rid"].to_numpy()
+        yield from _best_pairs(rx, rid, dx, did, p, k, chunk)
+
     def run(batches):
         for pdf in batches:
             if pdf.empty:
                 continue
-            dx = pdf[list(cols)].to_numpy(dtype=float)
-            did = pdf["_rid"].to_numpy()
-            dmask = ~np.isnan(dx)
-            d0 = np.where(dmask, dx, 0.0)
-            out = []
-            for s in range(0, len(rx), chunk):
-                r = rx[s:s + chunk]
-                rmask = ~np.isnan(r)
-                r0 = np.where(rmask, r, 0.0)
-                both = rmask.astype(float) @ dmask.T.astype(float)           # shared coords
-                sq = ((r0 ** 2) @ dmask.T + rmask @ (d0 ** 2).T - 2 * r0 @ d0.T)
-                sq = np.maximum(sq, 0.0)
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    dist = np.sqrt(sq * (p / both))
-                dist[both == 0] = np.nan
-                for j in range(p):
-                    need = np.where(~rmask[:, j])[0]
-                    if need.size == 0:
-                        continue
-                    has = dmask[:, j]
-                    if not has.any():
-                        continue
-                    sub = dist[np.ix_(need, np.where(has)[0])]
-                    vals = dx[has, j]
-                    ids = did[has]
-                    kk = min(k, sub.shape[1])
-                    sub = np.where(np.isnan(sub), np.inf, sub)
-                    idx = np.argpartition(sub, kk - 1, axis=1)[:, :kk]
-                    for row_i, rr in enumerate(need):
-                        for c in idx[row_i]:
-                            dd = sub[row_i, c]
-                            if np.isfinite(dd):
-                                out.append((int(rid[s + rr]), j, float(dd), float(vals[c]), int(ids[c])))
+            if block is None:
+                out = list(pairs(recv, pdf))
+            else:
+                out = []
+                for b, donors in pdf.groupby("_blk", sort=False):
+                    rb = recv[recv["_blk"] == b]
+                    if not rb.empty:
+                        out.extend(pairs(rb, donors))
             if out:
                 yield pd.DataFrame(out, columns=["rid", "col", "d", "v", "did"])
     return run
 
 
+def _best_pairs(rx, rid, dx, did, p, k, chunk):
+    """k nearest donors (NaN-aware distance) per receiver row and missing
+    column, as (rid, col, d, v, did) tuples; receivers in chunks of ``chunk``
+    rows bound the distance matrix held in memory."""
+    dmask = ~np.isnan(dx)
+    d0 = np.where(dmask, dx, 0.0)
+    for s in range(0, len(rx), chunk):
+        r = rx[s:s + chunk]
+        rmask = ~np.isnan(r)
+        r0 = np.where(rmask, r, 0.0)
+        both = rmask.astype(float) @ dmask.T.astype(float)           # shared coordinates
+        sq = np.maximum((r0 ** 2) @ dmask.T + rmask @ (d0 ** 2).T - 2 * r0 @ d0.T, 0.0)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            dist = np.sqrt(sq * (p / both))
+        dist[both == 0] = np.inf                                      # nothing in common: no distance
+        for j in range(p):
+            need = np.where(~rmask[:, j])[0]
+            has = np.where(dmask[:, j])[0]
+            if need.size == 0 or has.size == 0:
+                continue
+            sub = dist[np.ix_(need, has)]
+            kk = min(k, sub.shape[1])
+            idx = np.argpartition(sub, kk - 1, axis=1)[:, :kk]
+            for row_i, rr in enumerate(need):
+                for c in idx[row_i]:
+                    dd = sub[row_i, c]
+                    if np.isfinite(dd):
+                        yield (int(rid[s + rr]), j, float(dd), float(dx[has[c], j]), int(did[has[c]]))
+
+
 def knn_donor_join(df: DataFrame, cols: Sequence[str], key: str, k: int = 5,
-                   batch_rows: int = 50_000) -> DataFrame:
+                   batch_rows: int = 50_000, block_by: str | None = None,
+                   max_pairs: int | None = None) -> DataFrame:
     """Distance (theta) join with top-k: for every row with a gap and every
     missing column, its k nearest donors as (rid, col, d, v, did, rank),
     where ``col`` indexes ``cols``, ``d`` is the NaN-aware distance, ``v``
-    the donor's value and ``did`` the donor key.  Ties: donor key ascending."""
+    the donor's value and ``did`` the donor key.  Ties: donor key ascending.
+
+    ``block_by``: donors only from the receiver's block (e.g. the entity);
+    the work drops from receivers x rows to the sum over blocks.
+    ``max_pairs``: refuse (raise) when an unblocked job would compare more
+    than this many receiver-donor pairs.
+    """
     cols = list(cols)
-    base = df.select(F.col(key).cast("long").alias("_rid"), *[finite_or_null(F.col(c).cast("double")).alias(c) for c in cols])
+    blk = [F.col(block_by).cast("string").alias("_blk")] if block_by else []
+    base = df.select(F.col(key).cast("long").alias("_rid"), *blk,
+                     *[finite_or_null(F.col(c).cast("double")).alias(c) for c in cols])
     gap = F.lit(False)
     for c in cols:
         gap = gap | F.col(c).isNull()
@@ -95,25 +115,28 @@ def knn_donor_join(df: DataFrame, cols: Sequence[str], key: str, k: int = 5,
     n_recv = receivers.count()
     if n_recv == 0:
         return df.sparkSession.createDataFrame([], CAND_SCHEMA + ", rank int")
+    if max_pairs is not None and block_by is None and n_recv * base.count() > max_pairs:
+        raise ValueError("KNN would compare more pairs than max_pairs; pass block_by to restrict donors")
     n_batches = max(1, math.ceil(n_recv / batch_rows))
     cands = None
     for b in range(n_batches):
         part = receivers.where(F.pmod(F.xxhash64("_rid"), F.lit(n_batches)) == b) if n_batches > 1 else receivers
         pdf = part.toPandas()  # at most ~batch_rows rows (size-checked above)
-        got = base.mapInPandas(_local_best(pdf, cols, k), CAND_SCHEMA)
+        got = base.mapInPandas(_local_best(pdf, cols, k, block="_blk" if block_by else None), CAND_SCHEMA)
         cands = got if cands is None else cands.unionByName(got)
     return rank_top_per_key(cands, ["rid", "col"], [F.asc("d"), F.asc("did")], k)
 
 
 def impute_knn(df: DataFrame, cols: Sequence[str], key: str, k: int = 5,
-               batch_rows: int = 50_000) -> DataFrame:
+               batch_rows: int = 50_000, block_by: str | None = None,
+               max_pairs: int | None = None) -> DataFrame:
     """Fill gaps in ``cols`` from the k nearest donors (weights 1/d).
 
     ``key`` is a unique, non-null long column identifying rows (it keeps
     the result stable when tasks are retried).
     """
     cols = list(cols)
-    best = knn_donor_join(df, cols, key, k, batch_rows)
+    best = knn_donor_join(df, cols, key, k, batch_rows, block_by, max_pairs)
     zero = F.max((F.col("d") == 0).cast("int")).over(Window.partitionBy("rid", "col"))
     w = F.when(F.col("_z") == 1, (F.col("d") == 0).cast("double")).otherwise(1.0 / F.col("d"))
     filled = best.withColumn("_z", zero).groupBy("rid", "col").agg(

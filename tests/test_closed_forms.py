@@ -217,3 +217,21 @@ def test_majority_map_ties_smallest_label(spark):
     df = spark.createDataFrame(rows, "zip long, borough string")
     got = {r["zip"]: r["borough"] for r in majority_map(df, "zip", "borough").collect()}
     assert got == {1: "A", 2: "C"}
+
+
+def test_knn_block_by_matches_brute_force_per_block(spark):
+    from pansift.operators.knn import impute_knn
+    rng = np.random.default_rng(9)
+    X = rng.normal(size=(80, 3)).round(3)
+    X[rng.random(X.shape) < 0.15] = np.nan
+    g = np.where(np.arange(80) % 2 == 0, "A", "B")
+    rows = [(i, str(g[i]), *[None if np.isnan(v) else float(v) for v in X[i]]) for i in range(80)]
+    df = spark.createDataFrame(rows, "id long, g string, a double, b double, c double").repartition(4)
+    got = impute_knn(df, ["a", "b", "c"], "id", k=3, block_by="g").orderBy("id").toPandas()
+    exp = np.empty_like(X)
+    for blk in ("A", "B"):
+        m = g == blk
+        exp[m] = _brute_knn(X[m], 3)
+    assert np.allclose(got[["a", "b", "c"]].to_numpy(dtype=float), exp, atol=1e-9, equal_nan=True)
+    with pytest.raises(ValueError):
+        impute_knn(df, ["a", "b", "c"], "id", k=3, max_pairs=10)
