@@ -8,24 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _exists(spark, path: str) -> bool:
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    return fs.exists(p)
-
-
-def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", versioned: bool = False,
-              fmt: str = "csv", partition_by: Sequence[str] = ()) -> str:
-    """Write with a header (CSV) or as Parquet.  ``versioned``: when the
-    target exists, write to ``<path>_v2`` (then ``_v3`` ...) instead of
-    failing.  Returns the path written."""
-    target = path
-    if versioned:
-        k = 2
-        while _exists(df.sparkSession, target):
-            target = f"{path}_v{k}"
-            k += 1
+def _write(df: DataFrame, target: str, mode: str, fmt: str, partition_by: Sequence[str]) -> None:
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -33,7 +16,26 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", versioned:
         w.option("header", True).csv(target)
     else:
         w.format(fmt).save(target)
-    return target
+
+
+def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", versioned: bool = False,
+              fmt: str = "csv", partition_by: Sequence[str] = (), max_versions: int = 100) -> str:
+    """Write with a header (CSV) or in another format.  ``versioned``: when
+    the write is refused because the target exists, write to ``<path>_v2``
+    (then ``_v3`` ...) instead of failing.  Returns the path written."""
+    from pyspark.errors import AnalysisException
+    if not versioned:
+        _write(df, path, mode, fmt, partition_by)
+        return path
+    for k in range(1, max_versions + 1):
+        target = path if k == 1 else f"{path}_v{k}"
+        try:
+            _write(df, target, "errorifexists", fmt, partition_by)
+            return target
+        except AnalysisException as e:
+            if "PATH_ALREADY_EXISTS" not in str(e) and "already exists" not in str(e):
+                raise
+    raise FileExistsError(f"{path}: {max_versions} versions exist")
 
 
 def write_outputs(frames: Mapping[str, DataFrame], out_dir: str, fmt: str = "parquet",
