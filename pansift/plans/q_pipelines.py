@@ -236,3 +236,27 @@ def q_cleaning_audit(spark, sf):
     floats={"mean": 4, "sd": 4, "min": 4, "median": 4, "max": 4})
 def q_engineer_feature(spark, sf):
     return engineer_feature(S.workbench(spark, sf), "ratio", "balance", "score", " ratio ")[1]
+
+
+def _processed(spark, sf, time_safe: bool):
+    from pansift.operators import clean as CL
+    from pansift.plans.pipelines import missing_columns
+    fv = features_of(spark, sf)
+    cols = missing_columns(fv.select(*[c for c in fv.columns if c not in ("date", "borough")]))
+    from pansift.session import cut_lineage
+    view = CL.impute_time_safe(fv, "borough", "date", cols) if time_safe else \
+        CL.impute_eda_view(fv, "borough", "date", cols)
+    # the skew transforms fit several times over the view; cut its window lineage once
+    return skew_transforms(cut_lineage(view, "processed_view"))
+
+
+@query("processed_eda_view", None)
+def q_processed_eda_view(spark, sf):
+    """Every gappy column: indicator, bfill + ffill within entity, then median (text: mode); then skew transforms."""
+    return _processed(spark, sf, time_safe=False)
+
+
+@query("processed_time_safe_view", None)
+def q_processed_time_safe_view(spark, sf):
+    """Every gappy column: indicator, forward fill only (leading gaps stay); then skew transforms."""
+    return _processed(spark, sf, time_safe=True)
