@@ -79,11 +79,18 @@ def ffill(df: DataFrame, entity, date, cols: Iterable[str]) -> DataFrame:
 
 
 def bfill_ffill(df: DataFrame, entity, date, cols: Iterable[str]) -> DataFrame:
-    """Backward fill, then forward fill for the trailing gap."""
-    base = _spec(entity, date)
-    back = base.rowsBetween(0, Window.unboundedFollowing)
-    fwd = base.rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumns({c: F.coalesce(F.first(F.col(c), ignorenulls=True).over(back),
+    """Backward fill, then forward fill for the trailing gap.
+
+    The backward fill is a running ``last(ignorenulls)`` over the reversed
+    date order: a frame from the partition start to the current row is
+    evaluated incrementally, whereas a current-row-to-unbounded-following
+    frame is re-aggregated for every row (quadratic in the series length).
+    """
+    ents = [entity] if isinstance(entity, str) else list(entity or [])
+    order = [date] if isinstance(date, str) else list(date)
+    back = Window.partitionBy(*ents).orderBy(*[F.desc(o) for o in order]).rowsBetween(Window.unboundedPreceding, 0)
+    fwd = _spec(entity, date).rowsBetween(Window.unboundedPreceding, 0)
+    return df.withColumns({c: F.coalesce(F.last(F.col(c), ignorenulls=True).over(back),
                                          F.last(F.col(c), ignorenulls=True).over(fwd)) for c in cols})
 
 
