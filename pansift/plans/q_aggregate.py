@@ -73,7 +73,7 @@ def q_event_indicators(spark, sf):
     return A.event_indicators(ev, "date", ENTITY, "type", "title", domain=S.ENTITY_DOMAIN)
 
 
-@query("citywide_daily", S.with_ctes(["panel_raw"], """SELECT date, sum(complaints_total) AS complaints_total_city,
+@query("citywide_daily", S.with_ctes(["panel_raw"], """SELECT date, CAST(sum(complaints_total) AS BIGINT) AS complaints_total_city,
   avg(temp_mean) AS temp_mean, coalesce(sum(precipitation_sum), 0) AS precipitation_sum, avg(wind_speed_mean) AS wind_speed_mean,
   max(event_count) AS event_day, max(is_weekend) AS is_weekend FROM panel_raw GROUP BY date"""),
     floats=["temp_mean", "precipitation_sum", "wind_speed_mean"])

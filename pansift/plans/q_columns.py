@@ -215,7 +215,7 @@ def q_drop_constant_columns(spark, sf):
     return C.drop_constant_columns(o)[0]
 
 
-@query("variance_threshold", S.with_ctes(["panel_raw"], "SELECT date, borough, complaints_total, temp_mean FROM panel_raw"))
+@query("variance_threshold", S.with_ctes(["panel_raw"], "SELECT date, borough, complaints_total, temp_mean FROM panel_raw"), floats=["temp_mean"])
 def q_variance_threshold(spark, sf):
     p = raw_panel(spark, sf).select("date", "borough", "complaints_total", "temp_mean",
                                     F.lit(3.0).alias("flat"))

@@ -218,12 +218,14 @@ def q_clean_table(spark, sf):
     return clean_table(S.workbench(spark, sf), CLEAN_CFG)[0]
 
 
-@query("cleaning_audit", S.with_ctes(["wb"], """SELECT * FROM (VALUES ('rows', (SELECT count(*) FROM wb), (SELECT count(*) FROM wb WHERE balance IS NOT NULL)),
-  ('columns', 7, 7), ('missing_cells', (SELECT count_if(balance IS NULL) + count_if(segment IS NULL) + count_if(tier IS NULL) FROM wb),
+@query("cleaning_audit", S.with_ctes(["wb"], """SELECT metric, CAST(b AS BIGINT) AS "before", CAST(a AS BIGINT) AS "after" FROM (VALUES
+  ('rows', (SELECT count(*) FROM wb), (SELECT count(*) FROM wb WHERE balance IS NOT NULL)),
+  ('columns', 7, 7),
+  ('missing_cells', (SELECT count_if(balance IS NULL) + count_if(segment IS NULL) + count_if(tier IS NULL) FROM wb),
    (SELECT count_if(segment IS NULL) + count_if(tier IS NULL) FROM wb WHERE balance IS NOT NULL)),
   ('duplicate_rows', (SELECT count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM wb)) FROM wb),
    (SELECT count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM wb WHERE balance IS NOT NULL)) FROM wb WHERE balance IS NOT NULL)))
-  t(metric, "before", "after")"""))
+  t(metric, b, a)"""))
 def q_cleaning_audit(spark, sf):
     wb = S.workbench(spark, sf)
     return cleaning_audit(wb, wb.dropna(subset=["balance"]))

@@ -28,9 +28,9 @@ def q_describe_numeric(spark, sf):
 
 @query("summary_mixed", S.with_ctes(["wb"], _stats_sql(["id", "nation", "balance", "score", "tier"], """SELECT '{c}' AS "column",
   'numeric' AS kind, CAST(min({c}) AS DOUBLE) AS min, quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.5) AS median,
-  avg({c}) AS mean, quantile_cont({c}, 0.75) AS q3, CAST(max({c}) AS DOUBLE) AS max, count_if({c} IS NULL) AS n_missing,
+  avg({c}) AS mean, quantile_cont({c}, 0.75) AS q3, CAST(max({c}) AS DOUBLE) AS max, CAST(count_if({c} IS NULL) AS BIGINT) AS n_missing,
   count(*) AS length FROM wb""") + " UNION ALL " + _stats_sql(["name", "segment"], """SELECT '{c}', 'text', NULL, NULL, NULL,
-  NULL, NULL, NULL, count_if({c} IS NULL), count(*) FROM wb""")),
+  NULL, NULL, NULL, CAST(count_if({c} IS NULL) AS BIGINT), count(*) FROM wb""")),
     floats=["min", "q1", "median", "mean", "q3", "max"])
 def q_summary_mixed(spark, sf):
     return P.summary_mixed(S.workbench(spark, sf))
@@ -39,7 +39,7 @@ def q_summary_mixed(spark, sf):
 def _dd_sql():
     parts = []
     for c, t in S.PANEL_SCHEMA:
-        head = f"""SELECT '{c}' AS "column", '{t}' AS dtype, count_if({c} IS NULL) AS missing_n,
+        head = f"""SELECT '{c}' AS "column", '{t}' AS dtype, CAST(count_if({c} IS NULL) AS BIGINT) AS missing_n,
   count_if({c} IS NULL) * 100.0 / count(*) AS missing_pct, count(DISTINCT {c}) AS unique_n"""
         if c in NUM:
             parts.append(head + f""", avg({c}) AS mean, stddev_pop({c}) AS std, CAST(min({c}) AS DOUBLE) AS min,
@@ -60,7 +60,7 @@ def q_data_dictionary(spark, sf):
 
 
 @query("missing_table", S.with_ctes(["panel_raw"], "SELECT * FROM (" + _stats_sql([c for c, _ in S.PANEL_SCHEMA],
-    """SELECT '{c}' AS "column", count_if({c} IS NULL) AS missing_n, count_if({c} IS NULL) * 100.0 / count(*) AS missing_pct
+    """SELECT '{c}' AS "column", CAST(count_if({c} IS NULL) AS BIGINT) AS missing_n, count_if({c} IS NULL) * 100.0 / count(*) AS missing_pct
   FROM panel_raw""") + ") WHERE missing_n > 0"), floats=["missing_pct"])
 def q_missing_table(spark, sf):
     return P.missing_table(raw_panel(spark, sf))

@@ -43,7 +43,7 @@ def q_stack_long(spark, sf):
     return R.stack_long(raw_panel(spark, sf), ["temp_mean", "temp_mean_lag1"])
 
 
-@query("pivot_wide", """SELECT l_returnflag, count_if(l_linestatus = 'F') AS "F", count_if(l_linestatus = 'O') AS "O"
+@query("pivot_wide", """SELECT l_returnflag, CAST(count_if(l_linestatus = 'F') AS BIGINT) AS "F", CAST(count_if(l_linestatus = 'O') AS BIGINT) AS "O"
   FROM lineitem GROUP BY l_returnflag""")
 def q_pivot_wide(spark, sf):
     return R.pivot_wide(S.table(spark, sf, "lineitem"), ["l_returnflag"], "l_linestatus", ["F", "O"])

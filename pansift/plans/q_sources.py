@@ -50,7 +50,7 @@ def _blocks(spark, sf):
     return g.select("block", doc.alias("doc"))
 
 
-@query("read_json_columnar", """SELECT CAST(floor(event_id / 24) AS BIGINT) AS block, 40.7 AS latitude, 'UTC' AS timezone,
+@query("read_json_columnar", """SELECT CAST(floor(event_id / 24) AS BIGINT) AS block, CAST(40.7 AS DOUBLE) AS latitude, 'UTC' AS timezone,
   event_id AS id, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS time, value FROM events""")
 def q_read_json_columnar(spark, sf):
     docs = _blocks(spark, sf)

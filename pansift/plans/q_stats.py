@@ -159,7 +159,7 @@ def q_bar_counts_binned(spark, sf):
    FROM panel_raw GROUP BY borough) s
   LEFT JOIN (SELECT p.borough, min(CASE WHEN p.complaints_total >= b.lf THEN p.complaints_total END) AS whisker_low,
    max(CASE WHEN p.complaints_total <= b.uf THEN p.complaints_total END) AS whisker_high,
-   count_if(p.complaints_total < b.lf OR p.complaints_total > b.uf) AS n_outliers
+   CAST(count_if(p.complaints_total < b.lf OR p.complaints_total > b.uf) AS BIGINT) AS n_outliers
    FROM panel_raw p JOIN (SELECT borough, quantile_cont(complaints_total, 0.25) - 1.5 * (quantile_cont(complaints_total, 0.75) - quantile_cont(complaints_total, 0.25)) AS lf,
      quantile_cont(complaints_total, 0.75) + 1.5 * (quantile_cont(complaints_total, 0.75) - quantile_cont(complaints_total, 0.25)) AS uf
      FROM panel_raw GROUP BY borough) b ON p.borough = b.borough GROUP BY p.borough) w ON s.borough = w.borough"""),

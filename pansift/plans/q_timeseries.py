@@ -46,7 +46,7 @@ def q_rolling_mean_prev(spark, sf):
 
 @query("rolling_mean_global", S.with_ctes(["panel_raw"], """SELECT date, complaints_total,
   CASE WHEN count(complaints_total) OVER w >= 1 THEN avg(complaints_total) OVER w END AS complaints_total_ma7
-  FROM (SELECT date, sum(complaints_total) AS complaints_total FROM panel_raw GROUP BY date)
+  FROM (SELECT date, CAST(sum(complaints_total) AS BIGINT) AS complaints_total FROM panel_raw GROUP BY date)
   WINDOW w AS (ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)"""), floats=["complaints_total_ma7"])
 def q_rolling_mean_global(spark, sf):
     city = raw_panel(spark, sf).groupBy("date").agg(F.sum("complaints_total").alias("complaints_total"))
@@ -98,7 +98,7 @@ def q_dedupe_keep_first(spark, sf):
 
 
 @query("rank_top_per_key", """SELECT * FROM (SELECT l_suppkey, l_orderkey, l_linenumber, l_extendedprice,
-  row_number() OVER (PARTITION BY l_suppkey ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber) AS rank
+  CAST(row_number() OVER (PARTITION BY l_suppkey ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber) AS INTEGER) AS rank
   FROM lineitem) WHERE rank <= 3""")
 def q_rank_top_per_key(spark, sf):
     li = S.table(spark, sf, "lineitem").select("l_suppkey", "l_orderkey", "l_linenumber", "l_extendedprice")
