@@ -9,13 +9,15 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+import tools_compare  # noqa: E402
 from tools_compare import digest  # noqa: E402
 from pansift.plans.registry import load_all  # noqa: E402
 from pansift.plans.standins import TABLES  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 REG = load_all()
-SLOW = {"model_matrix"}
+SLOW = {"model_matrix", "model_matrix_power", "processed_eda_view", "processed_time_safe_view"}
+tools_compare.STRICT = True  # floats hashed exactly: the registry's own rounding must make them agree
 
 
 @pytest.fixture(scope="module")

@@ -14,6 +14,9 @@ import duckdb
 import pandas as pd
 
 
+STRICT = False
+
+
 def norm(v):
     if v is None or v is pd.NaT:
         return None
@@ -25,7 +28,7 @@ def norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        r = round(v, 4) + 0.0
+        r = (v + 0.0) if STRICT else round(v, 4) + 0.0
         return int(r) if r.is_integer() and abs(r) < 1e15 else r
     if isinstance(v, (pd.Timestamp, dt.datetime)):
         ts = pd.Timestamp(v)
@@ -96,4 +99,8 @@ def main(sf_dir: str, names: list[str]):
 
 
 if __name__ == "__main__":
-    main(sys.argv[1], sys.argv[2:])
+    args = sys.argv[1:]
+    if "--strict" in args:  # hash floats exactly (as a strict checker would)
+        STRICT = True
+        args.remove("--strict")
+    main(args[0], args[1:])
