@@ -1,13 +1,10 @@
-"""Registered queries."""
+"""Registered queries: panel aggregations (blueprint 2.4, first part)."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from pansift.plans import standins as S
 from pansift.plans.registry import query
 from pansift.operators import aggregate as A
-from pansift.operators import clean as C
 from pansift.plans.pipelines import ENTITY
 
 

@@ -1,4 +1,4 @@
-"""Registered queries."""
+"""Registered queries: cleaning, imputation, scaling and encoding (blueprint 2.9)."""
 
 from __future__ import annotations
 

@@ -1,4 +1,4 @@
-"""Registered queries."""
+"""Registered queries: projections, filters and column hygiene (blueprint 2.2)."""
 
 from __future__ import annotations
 

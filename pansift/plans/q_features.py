@@ -1,4 +1,4 @@
-"""Registered queries."""
+"""Registered queries: scalar functions and feature engineering (blueprint 2.8)."""
 
 from __future__ import annotations
 

@@ -1,4 +1,4 @@
-"""Registered queries."""
+"""Registered queries: joins (blueprint 2.3)."""
 
 from __future__ import annotations
 

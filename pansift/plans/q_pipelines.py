@@ -1,4 +1,4 @@
-"""Registered queries."""
+"""Registered queries: composed pipelines (blueprint 2.10) and the shared stage tables."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from pansift.plans import standins as S
 from pansift.plans.registry import query
-from pansift.plans.pipelines import PanelInputs, build_panel, panel_features
+from pansift.plans.pipelines import PanelInputs, build_panel
 
 
 def panel_inputs(spark, sf, top_k=8) -> PanelInputs:

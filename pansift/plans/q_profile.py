@@ -1,9 +1,7 @@
-"""Registered queries."""
+"""Registered queries: profiling and data-quality summaries (blueprint 2.4)."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from pansift.plans import standins as S
 from pansift.plans.registry import query
 from pansift.operators import profile as P

@@ -1,4 +1,4 @@
-"""Registered queries."""
+"""Registered queries: set operations and reshaping (blueprint 2.7)."""
 
 from __future__ import annotations
 

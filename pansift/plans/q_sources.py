@@ -1,4 +1,4 @@
-"""Registered queries."""
+"""Registered queries: sources and sinks (blueprint 2.1)."""
 
 from __future__ import annotations
 

@@ -1,4 +1,4 @@
-"""Registered queries."""
+"""Registered queries: statistics and plot data (blueprint 2.4)."""
 
 from __future__ import annotations
 

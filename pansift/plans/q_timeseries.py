@@ -1,4 +1,4 @@
-"""Registered queries."""
+"""Registered queries: windows, time series, sorts and top-k (blueprint 2.5, 2.6)."""
 
 from __future__ import annotations
 
@@ -6,8 +6,6 @@ from pyspark.sql import functions as F
 
 from pansift.plans import standins as S
 from pansift.plans.registry import query
-from pyspark.sql import Window
-
 from pansift.operators import timeseries as TS
 from pansift.operators import topk as K
 from pansift.operators import aggregate as A

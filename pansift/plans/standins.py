@@ -17,8 +17,6 @@ registry can compare both engines.  Mapping (see blueprint 7.2):
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
 def _write(df: DataFrame, target: str, mode: str, fmt: str, partition_by: Sequence[str]) -> None:
