@@ -37,21 +37,33 @@ def _attach(df: DataFrame, st: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.withColumns({c: F.lit(row[c]) for c in st.columns})
 
 
-def histogram(df: DataFrame, col: str, bins: int = 30, by: Sequence[str] = ()) -> DataFrame:
-    """Equal-width counts on [min, max]; bins are [lo, hi) except the last,
-    which is closed.  ``by``: group / facet columns.  Only non-empty bins."""
+def histogram(df: DataFrame, col: str, bins: int = 30, by: Sequence[str] = (), style: str = "numpy") -> DataFrame:
+    """Equal-width counts; only non-empty bins are returned.
+
+    ``numpy``: ``bins`` bins spanning [min, max], each [lo, hi) except the
+    last, which is closed.  ``centered``: the plotting-library default,
+    width (max - min) / (bins - 1) with the first and last bins centred on
+    min and max, bins right-closed (the first also holds its left edge).
+    ``by``: group / facet columns.
+    """
     by = list(by)
     st = df.agg(F.min(_x(col)).alias("lo"), F.max(_x(col)).alias("hi")).first()
     lo, hi = st["lo"], st["hi"]
     if lo is None:
         return df.sparkSession.createDataFrame([], ", ".join([f"`{b}` string" for b in by] + ["bin int", "bin_lo double", "bin_hi double", "count bigint"]))
-    if lo == hi:
-        lo, hi = lo - 0.5, hi + 0.5
-    w = (hi - lo) / bins
-    idx = F.least(F.floor((_x(col) - F.lit(lo)) / F.lit(w)), F.lit(bins - 1)).cast("int")
+    if style == "centered":
+        w = (hi - lo) / (bins - 1) if hi > lo and bins > 1 else 1.0
+        start = lo - w / 2
+        idx = F.least(F.greatest(F.ceil((_x(col) - F.lit(start)) / F.lit(w)) - 1, F.lit(0)), F.lit(bins - 1)).cast("int")
+    else:
+        if lo == hi:
+            lo, hi = lo - 0.5, hi + 0.5
+        w = (hi - lo) / bins
+        start = lo
+        idx = F.least(F.floor((_x(col) - F.lit(lo)) / F.lit(w)), F.lit(bins - 1)).cast("int")
     g = df.where(_x(col).isNotNull()).groupBy(*by, idx.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
-    return g.withColumns({"bin_lo": F.lit(lo) + F.col("bin") * F.lit(w),
-                          "bin_hi": F.lit(lo) + (F.col("bin") + 1) * F.lit(w)}) \
+    return g.withColumns({"bin_lo": F.lit(start) + F.col("bin") * F.lit(w),
+                          "bin_hi": F.lit(start) + (F.col("bin") + 1) * F.lit(w)}) \
             .select(*by, "bin", "bin_lo", "bin_hi", "count")
 
 
@@ -71,10 +83,15 @@ def bar_counts(df: DataFrame, col: str, by: Sequence[str] = (), bins: int = 10,
 
 
 def box_stats(df: DataFrame, group: str | None, value: str, factor: float = 1.5,
-              approx: bool = False) -> DataFrame:
+              approx: bool = False, group_bins: int | None = None) -> DataFrame:
     """Per group: Q1 / median / Q3, whisker ends (most extreme values inside
-    the 1.5 IQR fences) and outlier count; order by median desc at the sink."""
+    the 1.5 IQR fences) and outlier count; order by median desc at the sink.
+    ``group_bins``: a continuous group column is first cut into that many
+    equal-width, right-closed bins (numbered 1..k)."""
     keys = [group] if group else []
+    if group and group_bins:
+        st0 = df.agg(F.min(_x(group)).alias("lo"), F.max(_x(group)).alias("hi")).first()
+        df = df.withColumn(group, cut_equal_width_expr(_x(group), st0["lo"], st0["hi"], group_bins))
     x = _x(value)
     st = df.groupBy(*keys).agg(quantile_expr(x, [0.25, 0.5, 0.75], approx).alias("_q"), F.count(x).alias("n"))
     st = st.select(*keys, "n", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))

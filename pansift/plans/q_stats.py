@@ -212,3 +212,27 @@ def q_before_after_stats(spark, sf):
     from pansift.operators.features import square
     d = square(S.workbench(spark, sf), "balance")
     return V.before_after_stats(d, "balance", "balance_sq")
+
+
+@query("histogram_centered", """SELECT CAST(least(greatest(ceil((o_totalprice - s0) / w) - 1, 0), 29) AS INTEGER) AS bin,
+  s0 + least(greatest(ceil((o_totalprice - s0) / w) - 1, 0), 29) * w AS bin_lo,
+  s0 + (least(greatest(ceil((o_totalprice - s0) / w) - 1, 0), 29) + 1) * w AS bin_hi, count(*) AS count
+  FROM orders, (SELECT min(o_totalprice) - (max(o_totalprice) - min(o_totalprice)) / 29 / 2 AS s0,
+                       (max(o_totalprice) - min(o_totalprice)) / 29 AS w FROM orders) s GROUP BY 1, 2, 3""",
+    floats=["bin_lo", "bin_hi"])
+def q_histogram_centered(spark, sf):
+    return V.histogram(S.table(spark, sf, "orders"), "o_totalprice", 30, style="centered")
+
+
+@query("box_stats_binned_group", """WITH b AS (SELECT CASE WHEN c_acctbal <= lo THEN 1 ELSE CAST(least(greatest(ceil((c_acctbal - lo) / ((hi - lo) / 5)), 1), 5) AS INTEGER) END AS c_acctbal,
+  CAST(c_nationkey AS DOUBLE) AS v FROM customer, (SELECT min(c_acctbal) AS lo, max(c_acctbal) AS hi FROM customer) s),
+  st AS (SELECT c_acctbal, count(v) AS n, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS median, quantile_cont(v, 0.75) AS q3
+         FROM b GROUP BY c_acctbal)
+  SELECT st.*, st.q1 - 1.5 * (st.q3 - st.q1) AS lower_fence, st.q3 + 1.5 * (st.q3 - st.q1) AS upper_fence,
+    min(CASE WHEN b.v >= st.q1 - 1.5 * (st.q3 - st.q1) THEN b.v END) AS whisker_low,
+    max(CASE WHEN b.v <= st.q3 + 1.5 * (st.q3 - st.q1) THEN b.v END) AS whisker_high,
+    CAST(count_if(b.v < st.q1 - 1.5 * (st.q3 - st.q1) OR b.v > st.q3 + 1.5 * (st.q3 - st.q1)) AS BIGINT) AS n_outliers
+  FROM st JOIN b ON st.c_acctbal = b.c_acctbal GROUP BY ALL""",
+    floats=["q1", "median", "q3", "lower_fence", "upper_fence", "whisker_low", "whisker_high"])
+def q_box_stats_binned_group(spark, sf):
+    return V.box_stats(S.table(spark, sf, "customer"), "c_acctbal", "c_nationkey", group_bins=5)
