@@ -168,7 +168,22 @@ def q_box_stats(spark, sf):
     return V.box_stats(raw_panel(spark, sf), ENTITY, "complaints_total")
 
 
-@query("kde", None)
+KDE_SQL = S.with_ctes(["panel_raw"], """SELECT c.borough, g.i, first(c.g_lo + g.i * (c.g_hi - c.g_lo) / 511) AS x,
+  sum(c.c * exp(-0.5 * power((c.g_lo + g.i * (c.g_hi - c.g_lo) / 511 - c.center) / c.bw, 2))
+      / (c.n * c.bw * sqrt(2 * pi()))) AS density
+  FROM cnt c CROSS JOIN (SELECT CAST(range AS INTEGER) AS i FROM range(512)) g GROUP BY c.borough, g.i""", extra=[
+    ("st0", """SELECT borough, count(temp_mean) AS n, stddev_samp(temp_mean) AS sd,
+       quantile_cont(temp_mean, 0.75) - quantile_cont(temp_mean, 0.25) AS iqr, min(temp_mean) AS lo, max(temp_mean) AS hi
+       FROM panel_raw GROUP BY borough"""),
+    ("st", """SELECT *, 0.9 * (CASE WHEN least(sd, iqr / 1.34) > 0 THEN least(sd, iqr / 1.34) WHEN sd > 0 THEN sd
+       WHEN abs(lo) > 0 THEN abs(lo) ELSE 1.0 END) * power(CAST(n AS DOUBLE), -0.2) AS bw,
+       CASE WHEN hi > lo THEN (hi - lo) / 4096 ELSE 1.0 END AS bin_w FROM st0 WHERE n >= 2"""),
+    ("cnt", """SELECT st.borough, st.n, st.bw, st.lo - 3 * st.bw AS g_lo, st.hi + 3 * st.bw AS g_hi,
+       st.lo + (least(floor((p.temp_mean - st.lo) / st.bin_w), 4095) + 0.5) * st.bin_w AS center, count(*) AS c
+       FROM panel_raw p JOIN st ON p.borough = st.borough WHERE p.temp_mean IS NOT NULL GROUP BY ALL""")])
+
+
+@query("kde", KDE_SQL, floats=["x", "density"])
 def q_kde(spark, sf):
     return V.kde(raw_panel(spark, sf), "temp_mean", by=ENTITY)
 
