@@ -17,30 +17,34 @@ def panel_inputs(spark, sf, top_k=8) -> PanelInputs:
                        entire_token=S.LISTING_ENTIRE_TOKEN, top_k=top_k, topk_naming="rank")
 
 
-_STAGE1_TABLES: dict = {}
+_STAGE_TABLES: dict = {}
 
 
-def raw_panel(spark, sf):
-    """Stage-1 panel before the quality step (natural gaps kept).
-
-    As in the reference, where the second script reads the panel the first
-    one wrote, stage-2 queries read the stage-1 panel as a table: the first
-    call in a session writes it to the shared checkpoint folder
-    (days x entities small; survives executor loss), later calls read it.
-    """
+def stage_table(spark, sf, name: str, build):
+    """A pipeline stage as a table: the first call in a session writes
+    ``build()`` to the shared checkpoint folder (reliable, survives executor
+    loss), later calls read it.  Used for the reference's own hand-off
+    points: the stage-1 panel, the feature view and the processed views."""
     from pansift.session import write_stage
-    key = (id(spark), sf)
-    path = _STAGE1_TABLES.get(key)
+    key = (id(spark), sf, name)
+    path = _STAGE_TABLES.get(key)
     if path is not None:
         try:
             return spark.read.parquet(path)
         except Exception:  # noqa: BLE001 - table gone: rebuild it
-            _STAGE1_TABLES.pop(key, None)
-    path = write_stage(build_panel(panel_inputs(spark, sf), quality=False), "stage1_panel")
-    _STAGE1_TABLES[key] = path
+            _STAGE_TABLES.pop(key, None)
+    path = write_stage(build(), name)
+    _STAGE_TABLES[key] = path
     return spark.read.parquet(path)
 
 
+def raw_panel(spark, sf):
+    """Stage-1 panel before the quality step (natural gaps kept); stage-2
+    queries read it as a table, as the reference's second script reads the
+    panel the first one wrote."""
+    return stage_table(spark, sf, "stage1_panel", lambda: build_panel(panel_inputs(spark, sf), quality=False))
+
+
 def clean_panel(spark, sf):
     return build_panel(panel_inputs(spark, sf), quality=True)
 
@@ -63,23 +67,14 @@ NAMED_SHARE = ("heat_hot_water_share", "top1_cnt")
 
 
 def features_of(spark, sf):
-    """The stage-2 feature view over the stage-1 panel; like the panel it is
-    the reuse point of the later steps (imputed views, transforms, model
-    matrices), so it is written once per session and read afterwards."""
+    """The stage-2 feature view over the stage-1 panel (the reuse point of the
+    imputed views, transforms and model matrices)."""
     from pansift.operators.profile import robust_z
-    from pansift.session import write_stage
-    key = (id(spark), sf, "feature_view")
-    path = _STAGE1_TABLES.get(key)
-    if path is not None:
-        try:
-            return spark.read.parquet(path)
-        except Exception:  # noqa: BLE001 - table gone: rebuild it
-            _STAGE1_TABLES.pop(key, None)
-    p = raw_panel(spark, sf)
-    fv = feature_view(p, S.TOPK_COLS, robust_z(p, "date", "complaints_total"), NAMED_SHARE)
-    path = write_stage(fv, "feature_view")
-    _STAGE1_TABLES[key] = path
-    return spark.read.parquet(path)
+
+    def build():
+        p = raw_panel(spark, sf)
+        return feature_view(p, S.TOPK_COLS, robust_z(p, "date", "complaints_total"), NAMED_SHARE)
+    return stage_table(spark, sf, "feature_view", build)
 
 
 def _fv_sql():
@@ -150,12 +145,8 @@ STRUCTURAL = S.STRUCT_COLS
 
 
 def _model_inputs(spark, sf):
-    from pansift.operators import clean as CL
-    from pansift.plans.pipelines import missing_columns
-    from pansift.session import cut_lineage
-    fv = features_of(spark, sf)
-    cols = missing_columns(fv.select(*[c for c in fv.columns if c not in ("date", "borough")]))
-    return cut_lineage(skew_transforms(CL.impute_time_safe(fv, "borough", "date", cols)), "proc_time")
+    """The time-safe processed view (imputed forward only, skew transforms)."""
+    return _processed(spark, sf, time_safe=True)
 
 
 def _matrices(spark, sf):
@@ -241,15 +232,22 @@ def q_engineer_feature(spark, sf):
 
 
 def _processed(spark, sf, time_safe: bool):
+    """The reference's two processed views, each a stage table: every gappy
+    column gets an indicator and is filled (EDA view: bfill + ffill in
+    entity, then median / mode; time-safe view: forward fill only), then
+    the skew transforms run."""
     from pansift.operators import clean as CL
     from pansift.plans.pipelines import missing_columns
-    fv = features_of(spark, sf)
-    cols = missing_columns(fv.select(*[c for c in fv.columns if c not in ("date", "borough")]))
     from pansift.session import cut_lineage
-    view = CL.impute_time_safe(fv, "borough", "date", cols) if time_safe else \
-        CL.impute_eda_view(fv, "borough", "date", cols)
-    # the skew transforms fit several times over the view; cut its window lineage once
-    return skew_transforms(cut_lineage(view, "processed_view"))
+
+    def build():
+        fv = features_of(spark, sf)
+        cols = missing_columns(fv.select(*[c for c in fv.columns if c not in ("date", "borough")]))
+        view = CL.impute_time_safe(fv, "borough", "date", cols) if time_safe else \
+            CL.impute_eda_view(fv, "borough", "date", cols)
+        # the skew transforms fit several times over the view; cut its window lineage once
+        return skew_transforms(cut_lineage(view, "processed_view"))
+    return stage_table(spark, sf, "processed_time_safe" if time_safe else "processed_eda", build)
 
 
 @query("processed_eda_view", None)
