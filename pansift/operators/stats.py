@@ -279,6 +279,8 @@ def influence(df: DataFrame, y: str, numeric: Sequence[str], categorical: Sequen
     out = out.withColumn("student_resid_external", F.col("resid") / (F.col("_s_i") * F.sqrt(1 - F.col("leverage"))))
     out = out.withColumn("cooks_d", F.col("student_resid_internal") ** 2 * F.col("leverage") / (F.lit(p) * (1 - F.col("leverage"))))
     out = out.withColumn("dffits", F.col("student_resid_external") * F.sqrt(F.col("leverage") / (1 - F.col("leverage"))))
+    out = out.withColumn("dffits_internal",
+                         F.col("student_resid_internal") * F.sqrt(F.col("leverage") / (1 - F.col("leverage"))))
     # DFBETAS for slopes: (A x_c)_j e / (1 - h) / (s_(i) sqrt(A_jj))
     ex = {}
     for j, c in enumerate(xs):

@@ -235,3 +235,11 @@ def test_knn_block_by_matches_brute_force_per_block(spark):
     assert np.allclose(got[["a", "b", "c"]].to_numpy(dtype=float), exp, atol=1e-9, equal_nan=True)
     with pytest.raises(ValueError):
         impute_knn(df, ["a", "b", "c"], "id", k=3, max_pairs=10)
+
+
+def test_listing_missing_room_type_counts_as_not_entire(spark):
+    from pansift.operators.aggregate import listing_metrics
+    rows = [(1, "A", "$100", "Entire home"), (2, "A", "$50", None), (3, "A", "$20,000", "Entire home")]
+    df = spark.createDataFrame(rows, "id long, neighbourhood_group string, price string, room_type string")
+    r = listing_metrics(df, "borough").first()
+    assert r["airbnb_listing_count"] == 2 and r["airbnb_entire_home_pct"] == 0.5 and r["airbnb_price_mean"] == 75.0
