@@ -286,6 +286,11 @@ def influence(df: DataFrame, y: str, numeric: Sequence[str], categorical: Sequen
     for j, c in enumerate(xs):
         ax = sum((F.lit(float(A[j, k])) * xc[k] for k in range(len(xs)) if A[j, k] != 0), F.lit(0.0))
         ex[f"dfbetas_{c}"] = ax * F.col("resid") / (1 - F.col("leverage")) / (F.col("_s_i") * F.lit(math.sqrt(max(A[j, j], 1e-300))))
+    # intercept: row 0 of (X'X)^-1 x_i is 1/n - m'A (x_i - m); its diagonal entry is 1/n + m'A m
+    mA = fit.mx @ A
+    ax0 = F.lit(1.0 / n) - sum((F.lit(float(mA[k])) * xc[k] for k in range(len(xs)) if mA[k] != 0), F.lit(0.0))
+    d00 = 1.0 / n + float(fit.mx @ A @ fit.mx)
+    ex["dfbetas_Intercept"] = ax0 * F.col("resid") / (1 - F.col("leverage")) / (F.col("_s_i") * F.lit(math.sqrt(max(d00, 1e-300))))
     out = out.withColumns(ex).drop("_s_i")
     return out.withColumns({"cooks_threshold": F.lit(4.0 / n), "leverage_threshold": F.lit(2.0 * p / n)})
 

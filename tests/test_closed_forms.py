@@ -38,6 +38,13 @@ def test_ols_matches_numpy_and_leverages_sum_to_p(spark, ols_frame):
     s2 = resid @ resid / (len(pdf) - 5)
     cooks = resid ** 2 / (5 * s2) * np.diag(H) / (1 - np.diag(H)) ** 2
     assert np.allclose(infl["cooks_d"], cooks, atol=1e-9)
+    h = np.diag(H)
+    resid = np.asarray(resid, dtype=float)
+    XtXi = np.linalg.inv(X.T @ X)
+    s_i = np.sqrt(((len(pdf) - 5) * s2 - resid ** 2 / (1 - h)) / (len(pdf) - 6))
+    dfb = (XtXi @ X.T).T * (resid / (1 - h))[:, None] / (s_i[:, None] * np.sqrt(np.diag(XtXi))[None, :])
+    for j, name in enumerate(["Intercept", "g_T_b", "g_T_c", "x1", "x2"]):
+        assert np.allclose(infl[f"dfbetas_{name}"], dfb[:, j], atol=1e-9), name
 
 
 def test_vif_orthogonal_is_one(spark):
