@@ -182,7 +182,7 @@ def distinct_counts(df: DataFrame, cols: Iterable[str], cap: int | None = None)
     cols = list(cols)
     if cap is None:
         return fit_row(df, {c: F.count_distinct(F.col(c)) for c in cols})
-    approx = fit_row(df, {c: F.approx_count_distinct(F.col(c), 0.01) for c in cols})
+    approx = fit_row(df, {c: F.approx_count_distinct(F.col(c)) for c in cols})  # rsd 0.05: slack of the 2 cap + 4 threshold
     cand = [c for c in cols if approx[c] <= 2 * cap + 4]
     exact = fit_row(df, {c: F.size(F.collect_set(F.col(c))) for c in cand})
     return {c: (exact[c] if c in exact else approx[c]) for c in cols}
