@@ -106,7 +106,7 @@ def box_stats(df: DataFrame, group: str | None, value: str, factor: float = 1.5,
 
 
 def kde(df: DataFrame, col: str, by: str | None = None, grid: int = 512, fine_bins: int = 4096,
-        cut: float = 3.0) -> DataFrame:
+        cut: float = 3.0, approx: bool = False) -> DataFrame:
     """Gaussian kernel density on ``grid`` points from min - 3 bw to max + 3 bw
     with R's default bandwidth 0.9 min(sd, IQR / 1.34) n^-1/5; groups with
     fewer than 2 values are skipped.
@@ -119,7 +119,7 @@ def kde(df: DataFrame, col: str, by: str | None = None, grid: int = 512, fine_bi
     keys = [by] if by else []
     x = _x(col)
     st = df.groupBy(*keys).agg(F.count(x).alias("n"), F.stddev_samp(x).alias("sd"),
-                               quantile_expr(x, [0.25, 0.75]).alias("_q"), F.min(x).alias("lo"), F.max(x).alias("hi"))
+                               quantile_expr(x, [0.25, 0.75], approx).alias("_q"), F.min(x).alias("lo"), F.max(x).alias("hi"))
     iqr = F.col("_q")[1] - F.col("_q")[0]
     small = F.least(F.col("sd"), iqr / 1.34)
     base = F.when(small > 0, small).when(F.col("sd") > 0, F.col("sd")).when(F.abs(F.col("lo")) > 0, F.abs(F.col("lo"))).otherwise(F.lit(1.0))
