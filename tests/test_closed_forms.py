@@ -250,3 +250,17 @@ def test_listing_missing_room_type_counts_as_not_entire(spark):
     df = spark.createDataFrame(rows, "id long, neighbourhood_group string, price string, room_type string")
     r = listing_metrics(df, "borough").first()
     assert r["airbnb_listing_count"] == 2 and r["airbnb_entire_home_pct"] == 0.5 and r["airbnb_price_mean"] == 75.0
+
+
+def test_approx_switches_close_to_exact(spark):
+    from pansift.operators.aggregate import group_summary
+    from pansift.operators.viewdata import kde
+    rng = np.random.default_rng(12)
+    rows = [("g%d" % (i % 3), float(v)) for i, v in enumerate(rng.normal(size=6000))]
+    df = spark.createDataFrame(rows, "g string, x double")
+    exact = {r["g"]: r["median"] for r in group_summary(df, "g", "x").collect()}
+    approx = {r["g"]: r["median"] for r in group_summary(df, "g", "x", approx=True).collect()}
+    assert all(abs(exact[g] - approx[g]) < 0.01 for g in exact)
+    a = kde(df, "x", approx=True).orderBy("i").toPandas()["density"].to_numpy()
+    e = kde(df, "x").orderBy("i").toPandas()["density"].to_numpy()
+    assert np.max(np.abs(a - e)) < 1e-2
