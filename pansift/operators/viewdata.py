@@ -102,7 +102,9 @@ def box_stats(df: DataFrame, group: str | None, value: str, factor: float = 1.5,
         F.min(F.when(F.col("_v") >= F.col("lower_fence"), F.col("_v"))).alias("whisker_low"),
         F.max(F.when(F.col("_v") <= F.col("upper_fence"), F.col("_v"))).alias("whisker_high"),
         F.count_if((F.col("_v") < F.col("lower_fence")) | (F.col("_v") > F.col("upper_fence"))).alias("n_outliers"))
-    return st.join(w, keys, "left") if keys else _attach(w, st, [])
+    if not keys:
+        return _attach(w, st, [])
+    return st.join(w, keys, "left").orderBy(F.desc("median"), *[F.asc(k) for k in keys])
 
 
 def kde(df: DataFrame, col: str, by: str | None = None, grid: int = 512, fine_bins: int = 4096,
