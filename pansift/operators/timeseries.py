@@ -115,15 +115,21 @@ def dedupe_keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] |
 
 
 def rank_top_per_key(df: DataFrame, key, order: Sequence[Column], k: int,
-                     salt_buckets: int = 32, rank_col: str = "rank") -> DataFrame:
+                     salt_buckets: int | None = None, rank_col: str = "rank") -> DataFrame:
     """Top-k rows per key under ``order`` (a total order), ranked 1..k.
 
     Two stages: top-k inside (key, salt) sub-groups, then top-k over at most
-    ``salt_buckets * k`` survivors per key.  A hot key is spread over
-    ``salt_buckets`` tasks in stage one; the result is exact.
+    ``salt_buckets * k`` survivors per key.  By default the number of salt
+    buckets follows the input's partition count (each input split is
+    bounded by ``maxPartitionBytes``), so a key holding a large share of
+    all rows is split into split-sized sub-groups in stage one however large
+    the input grows.  The salt is a hash of the row, so retried tasks
+    reproduce it; the result is exact.
     """
     keys = [key] if isinstance(key, str) else list(key)
     cols = df.columns
+    if salt_buckets is None:
+        salt_buckets = max(32, df.rdd.getNumPartitions())
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(salt_buckets))
     w1 = Window.partitionBy(*keys, "_salt").orderBy(*order)
     stage1 = (df.withColumn("_salt", salt)
