@@ -353,13 +353,15 @@ def _yj_expr(x, lam):
 
 def _grid_search(df: DataFrame, cols: Sequence[str], transform, jac_expr, lo=-3.0, hi=3.0,
                  points: int = 21, passes: int = 3, refine_points: int = 11) -> dict:
-    """Maximise llf(l) = -n/2 ln var_pop(T_l(x)) + (l - 1) * J(x) per column,
-    refining the grid around the best point on every pass.
-
-    Columns are unpivoted to (column, value) so one pass is a single
-    ``groupBy(column)`` with ``points`` variances: the aggregate width does
-    not grow with the number of columns, and each column's current grid
-    bounds travel as literals in a small map.
+    """Maximise llf(l) = -n/2 ln var_pop(T_l(x)) + (l - 1) * J(x) per column:
+    ``points`` grid values on [lo, hi], then ``refine_points`` around the
+    best point on each further pass, finished by a parabola through the
+    best point and its neighbours.
+
+    Columns are unpivoted to (column id, value) so one pass is a single
+    ``groupBy(column)`` with one variance per grid point: the aggregate width
+    does not grow with the number of columns, and each column's current grid
+    bounds are read from literal arrays by its integer id.
     """
     cols = list(cols)
     # columns are addressed by an integer id: per-row bounds come from O(1)
