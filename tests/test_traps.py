@@ -151,3 +151,14 @@ def test_t18_encoding_never_drops_missing_rows(spark):
 def test_t19_range_filter_drops_missing(spark):
     df = spark.createDataFrame([(1.0,), (None,), (5.0,)], "x double")
     assert C.filter_range(df, "x", 0, 2).count() == 1
+
+
+def test_cut_equal_width_matches_pandas(spark):
+    import numpy as np
+    rng = np.random.default_rng(21)
+    x = rng.normal(size=500) * 10
+    df = spark.createDataFrame([(float(v),) for v in x], "x double")
+    for k in (3, 4, 10):
+        got = [r["x_bin"] for r in FE.cut_equal_width(df, "x", k).collect()]
+        exp = (pd.cut(pd.Series(x), k, labels=False) + 1).tolist()
+        assert got == exp, k
