@@ -11,9 +11,10 @@ from pyspark.sql import types as T
 
 from pansift.operators.columns import normalize_columns
 
-# file extension -> Spark data source
-FORMATS = {"csv": "csv", "tsv": "csv", "txt": "csv", "json": "json", "jsonl": "json", "parquet": "parquet",
-           "pq": "parquet", "orc": "orc", "avro": "avro"}
+# file extension -> built-in Spark data source (spreadsheet and R binary files
+# are not readable here; convert them to CSV / Parquet first)
+FORMATS = {"csv": "csv", "tsv": "csv", "json": "json", "jsonl": "json", "parquet": "parquet",
+           "pq": "parquet", "orc": "orc"}
 
 
 def load_table(spark: SparkSession, path: str, fmt: str | None = None, schema=None, **options) -> DataFrame | None:

@@ -51,3 +51,16 @@ def test_normalize_event_records(spark):
 
 def test_load_table_unknown_extension(spark):
     assert RD.load_table(spark, "/nonexistent/file.xyz") is None
+
+
+def test_load_table_by_extension(spark):
+    from pansift.session import scratch_path
+    base = scratch_path(spark, "load")
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "ID long, Name string")
+    df.write.option("header", True).csv(f"{base}/t.csv")
+    df.write.json(f"{base}/t.json")
+    df.write.parquet(f"{base}/t.parquet")
+    assert RD.load_table(spark, f"{base}/t.csv").columns == ["id", "name"]       # normalised header
+    assert sorted(RD.load_table(spark, f"{base}/t.json").columns) == ["id", "name"]
+    assert RD.load_table(spark, f"{base}/t.parquet").count() == 2
+    assert RD.load_table(spark, f"{base}/t.xlsx") is None
