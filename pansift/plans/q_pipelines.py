@@ -260,3 +260,23 @@ def q_processed_eda_view(spark, sf):
 def q_processed_time_safe_view(spark, sf):
     """Every gappy column: indicator, forward fill only (leading gaps stay); then skew transforms."""
     return _processed(spark, sf, time_safe=True)
+
+
+@query("write_stage2_outputs", None)
+def q_write_stage2_outputs(spark, sf):
+    """The reference's final save: both processed views and the four A
+    matrices (each with the target), written under one output folder."""
+    from pansift.session import scratch_path
+    from pansift.sources.sinks import write_outputs
+    mats = _matrices(spark, sf)
+    frames = {"processed": _processed(spark, sf, time_safe=False),
+              "processed_time_safe": _processed(spark, sf, time_safe=True),
+              "model_matrix_A": mats["X_A_vt"], "model_matrix_A_standard": mats["X_A_std"],
+              "model_matrix_A_minmax": mats["X_A_minmax"], "model_matrix_A_power": mats["X_A_power"]}
+    paths = write_outputs(frames, scratch_path(spark, "stage2_outputs"), "parquet")
+    parts = [spark.read.parquet(p).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("name"), "rows")
+             for n, p in paths.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
