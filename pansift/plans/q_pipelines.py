@@ -209,7 +209,8 @@ def q_clean_table(spark, sf):
     return clean_table(S.workbench(spark, sf), CLEAN_CFG)[0]
 
 
-@query("cleaning_audit", S.with_ctes(["wb"], """SELECT metric, CAST(b AS BIGINT) AS "before", CAST(a AS BIGINT) AS "after" FROM (VALUES
+@query("cleaning_audit", S.with_ctes(["wb"], """SELECT metric, CAST(b AS BIGINT) AS "before", CAST(a AS BIGINT) AS "after",
+  CAST(NULL AS VARCHAR) AS detail FROM (VALUES
   ('rows', (SELECT count(*) FROM wb), (SELECT count(*) FROM wb WHERE balance IS NOT NULL)),
   ('columns', 7, 7),
   ('missing_cells', (SELECT count_if(balance IS NULL) + count_if(segment IS NULL) + count_if(tier IS NULL) FROM wb),
