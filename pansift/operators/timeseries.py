@@ -120,16 +120,16 @@ def rank_top_per_key(df: DataFrame, key, order: Sequence[Column], k: int,
 
     Two stages: top-k inside (key, salt) sub-groups, then top-k over at most
     ``salt_buckets * k`` survivors per key.  By default the number of salt
-    buckets follows the input's partition count (each input split is
-    bounded by ``maxPartitionBytes``), so a key holding a large share of
-    all rows is split into split-sized sub-groups in stage one however large
-    the input grows.  The salt is a hash of the row, so retried tasks
-    reproduce it; the result is exact.
+    buckets follows the session's shuffle parallelism
+    (``spark.sql.shuffle.partitions``, sized to the cluster and data), so a
+    key holding a large share of all rows is spread over as many stage-one
+    tasks as any shuffle of the job.  The salt is a hash of the row, so
+    retried tasks reproduce it; the result is exact.
     """
     keys = [key] if isinstance(key, str) else list(key)
     cols = df.columns
     if salt_buckets is None:
-        salt_buckets = max(32, df.rdd.getNumPartitions())
+        salt_buckets = max(32, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(salt_buckets))
     w1 = Window.partitionBy(*keys, "_salt").orderBy(*order)
     stage1 = (df.withColumn("_salt", salt)
