@@ -43,8 +43,9 @@ def get_spark(master: str | None = None, app: str = "pansift",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    When the session has none (local tests) a fresh scratch folder is
-    created; on a cluster the setting must point at shared storage.
+    When the session has none, a fresh scratch folder is created in local
+    mode only (tests); on a cluster the setting is required, since a
+    node-local folder would not survive the loss of that node.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -52,6 +53,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder: stage tables and lineage cuts "
+                               "must survive executor loss")
         configured = tempfile.mkdtemp(prefix="pansift-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
