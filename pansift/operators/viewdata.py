@@ -142,13 +142,25 @@ def kde(df: DataFrame, col: str, by: str | None = None, grid: int = 512, fine_bi
     return pts.groupBy(*keys, "i").agg(F.first(gx).alias("x"), F.sum(contrib).alias("density"))
 
 
+# Fixed parameters of the key-based sampling rule (a modular linear map of
+# the key onto [0, 1), small enough to never overflow a long).
+_SAMPLE_MOD, _SAMPLE_MUL, _SAMPLE_ADD = 1000003, 7919, 104729
+
+
 def scatter_sample(df: DataFrame, x: str, y: str, color: str | None = None, n: int = 5000,
-                   seed: int = 42) -> DataFrame:
+                   seed: int = 42, key: str | None = None) -> DataFrame:
     """About ``n`` points for a scatter plot (a sampling operator): a
-    deterministic hash-based Bernoulli sample, no shuffle and no sort."""
+    deterministic Bernoulli sample with fraction n / rows, no shuffle and no
+    sort.  The uniform draw is a hash of the whole row, or, with ``key``
+    (an integer column), a modular linear map of the key that plain SQL can
+    reproduce."""
     cols = [x, y] + ([color] if color else [])
     total = df.count()
     frac = 1.0 if total <= n else n / total
+    if key is not None:
+        k = F.pmod(F.col(key).cast("long"), F.lit(_SAMPLE_MOD))
+        u = F.pmod(k * _SAMPLE_MUL + (_SAMPLE_ADD + seed), F.lit(_SAMPLE_MOD)) / float(_SAMPLE_MOD)
+        return df.where(u < frac).select(key, *cols)
     u = (F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in df.columns]), F.lit(1_000_000)) / 1_000_000.0)
     return df.where(u < frac).select(*cols)
 

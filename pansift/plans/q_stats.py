@@ -188,8 +188,16 @@ def q_kde(spark, sf):
     return V.kde(raw_panel(spark, sf), "temp_mean", by=ENTITY)
 
 
-@query("scatter_sample", None)
+@query("scatter_sample", """SELECT l_orderkey, l_extendedprice, l_discount, l_returnflag FROM lineitem
+  WHERE CAST(((l_orderkey % 1000003) * 7919 + 104771) % 1000003 AS DOUBLE) / CAST(1000003 AS DOUBLE)
+        < (CASE WHEN (SELECT count(*) FROM lineitem) <= 2000 THEN 1.0 ELSE 2000 / (SELECT count(*) FROM lineitem) END)""")
 def q_scatter_sample(spark, sf):
+    return V.scatter_sample(S.table(spark, sf, "lineitem"), "l_extendedprice", "l_discount", "l_returnflag",
+                            n=2000, key="l_orderkey")
+
+
+@query("scatter_sample_hash", None)
+def q_scatter_sample_hash(spark, sf):
     return V.scatter_sample(S.table(spark, sf, "lineitem"), "l_extendedprice", "l_discount", "l_returnflag", n=2000)
 
 
