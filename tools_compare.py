@@ -1,6 +1,12 @@
 """Local stand-in for the driver's correctness check: run each registered
 Spark query and its DuckDB oracle on the same parquet tables and compare
-row count, column names and an order-insensitive hash of the values."""
+row count, column names and an order-insensitive hash of the values.
+
+    python tools_compare.py <sf_dir> [--strict] [query ...]
+
+Floats are compared after rounding to 4 decimals, or exactly with
+``--strict`` (the registry's own rounding must then make them agree).
+"""
 
 from __future__ import annotations
 
