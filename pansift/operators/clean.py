@@ -410,12 +410,13 @@ def _grid_search(df: DataFrame, cols: Sequence[str], transform, jac_expr, lo=-3.
 
 
 def box_cox(df: DataFrame, col: str, eps: float = 1e-3, out: str | None = None,
-            lambda_col: str | None = None, passes: int = 3) -> DataFrame:
-    """Box-Cox of (missing -> 0) + eps with lambda by maximum likelihood;
-    lambda is kept as a constant column."""
+            lambda_col: str | None = None, passes: int = 3, lam: float | None = None) -> DataFrame:
+    """Box-Cox of (missing -> 0) + eps with lambda by maximum likelihood (or
+    the given ``lam``); lambda is kept as a constant column."""
     x = F.coalesce(F.col(col).cast("double"), F.lit(0.0)) + F.lit(eps)
     tmp = df.withColumn("_bc_x", x)
-    lam = _grid_search(tmp, ["_bc_x"], _bc_expr, lambda v: F.log(v), passes=passes)["_bc_x"]
+    if lam is None:
+        lam = _grid_search(tmp, ["_bc_x"], _bc_expr, lambda v: F.log(v), passes=passes)["_bc_x"]
     return tmp.withColumn(out or f"boxcox_{col}", _bc_expr(F.col("_bc_x"), lam)) \
               .withColumn(lambda_col or f"_boxcox_lambda_{col}", F.lit(lam)).drop("_bc_x")
 

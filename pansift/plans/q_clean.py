@@ -225,3 +225,12 @@ def q_knn_donor_join(spark, sf):
     pos = F.array_position(F.array(*[F.lit(e) for e in S.ENTITY_DOMAIN]), F.col(ENTITY))
     p = p.withColumn("row_key", F.unix_date("date").cast("long") * 16 + pos)
     return knn_donor_join(p, KNN_COLS, "row_key", k=5)
+
+
+@query("box_cox_fixed_lambda", S.with_ctes(["panel_raw"], """SELECT date, borough, precipitation_sum,
+  (power(coalesce(precipitation_sum, 0.0) + 0.001, 0.25) - 1) / 0.25 AS boxcox_precipitation_sum,
+  CAST(0.25 AS DOUBLE) AS _boxcox_lambda_precipitation_sum FROM panel_raw"""),
+    floats=["precipitation_sum", "boxcox_precipitation_sum"])
+def q_box_cox_fixed_lambda(spark, sf):
+    p = raw_panel(spark, sf).select("date", ENTITY, "precipitation_sum")
+    return CL.box_cox(p, "precipitation_sum", lam=0.25)
