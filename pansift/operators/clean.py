@@ -426,11 +426,13 @@ def yeo_johnson_fit(df: DataFrame, cols: Sequence[str], passes: int = 3) -> dict
     return _grid_search(df, cols, _yj_expr, jac, passes=passes)
 
 
-def yeo_johnson(df: DataFrame, cols: Sequence[str], standardize: bool = True, passes: int = 3) -> DataFrame:
+def yeo_johnson(df: DataFrame, cols: Sequence[str], standardize: bool = True, passes: int = 3,
+                lambdas: dict | None = None) -> DataFrame:
     """Yeo-Johnson per column (lambda by ML, all columns in one aggregate per
-    pass), then z-score with ddof 0.  Missing stays missing."""
+    pass, or the given ``lambdas``), then z-score with ddof 0.  Missing
+    stays missing."""
     cols = list(cols)
-    lams = yeo_johnson_fit(df, cols, passes)
+    lams = dict(lambdas) if lambdas is not None else yeo_johnson_fit(df, cols, passes)
     ex = {c: _yj_expr(F.col(c).cast("double"), lams[c]) for c in cols if lams[c] is not None}
     out = df.withColumns(ex)
     return scale_zscore(out, list(ex), ddof=0, skip_constant=True) if standardize else out

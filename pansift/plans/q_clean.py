@@ -234,3 +234,21 @@ def q_knn_donor_join(spark, sf):
 def q_box_cox_fixed_lambda(spark, sf):
     p = raw_panel(spark, sf).select("date", ENTITY, "precipitation_sum")
     return CL.box_cox(p, "precipitation_sum", lam=0.25)
+
+
+YJ_FIXED = {"precipitation_sum": 0.3, "temp_mean": 1.2}
+
+
+def _yj_sql(c: str, lam: float) -> str:
+    return (f"CASE WHEN {c} >= 0 THEN (power({c} + 1, {lam}) - 1) / {lam} "
+            f"ELSE -(power(1 - {c}, {2 - lam}) - 1) / {2 - lam} END")
+
+
+@query("yeo_johnson_fixed_lambda", S.with_ctes(["panel_raw"], "SELECT date, borough, " + ", ".join(
+    f"(t_{c} - (SELECT avg(t_{c}) FROM yj)) / (SELECT stddev_pop(t_{c}) FROM yj) AS {c}" for c in YJ_FIXED)
+    + " FROM yj", extra=[("yj", "SELECT date, borough, " + ", ".join(
+        f"{_yj_sql(c, lam)} AS t_{c}" for c, lam in YJ_FIXED.items()) + " FROM panel_raw")]),
+    floats=list(YJ_FIXED))
+def q_yeo_johnson_fixed_lambda(spark, sf):
+    p = raw_panel(spark, sf).select("date", ENTITY, *YJ_FIXED)
+    return CL.yeo_johnson(p, list(YJ_FIXED), lambdas=YJ_FIXED)
