@@ -269,6 +269,8 @@ def _levels(df: DataFrame, cols: Sequence[str], max_levels: int = 10_000) -> dic
     most ``max_levels`` per column (checked) are brought to the driver.
     """
     cols = list(cols)
+    if not cols:
+        return {}
     long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("v"))
                                          for c in cols])).alias("kv")).select("kv.*").where(F.col("v").isNotNull())
     pairs = long.distinct()

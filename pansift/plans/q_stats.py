@@ -259,3 +259,30 @@ def q_histogram_centered(spark, sf):
     floats=["q1", "median", "q3", "lower_fence", "upper_fence", "whisker_low", "whisker_high"])
 def q_box_stats_binned_group(spark, sf):
     return V.box_stats(S.table(spark, sf, "customer"), "c_acctbal", "c_nationkey", group_bins=5)
+
+
+INFL_SQL = S.with_ctes(["panel_raw"], """SELECT date, borough, temp_mean, log_complaints_total, h AS leverage, e AS resid,
+  e / sqrt(s2 * (1 - h)) AS student_resid_internal,
+  e / (si * sqrt(1 - h)) AS student_resid_external,
+  power(e / sqrt(s2 * (1 - h)), 2) * h / (2 * (1 - h)) AS cooks_d,
+  e / (si * sqrt(1 - h)) * sqrt(h / (1 - h)) AS dffits,
+  e / sqrt(s2 * (1 - h)) * sqrt(h / (1 - h)) AS dffits_internal,
+  xc * e / ((1 - h) * si * sqrt(sxx)) AS dfbetas_temp_mean,
+  (1.0 / n - mx * xc / sxx) * e / (1 - h) / (si * sqrt(1.0 / n + mx * mx / sxx)) AS dfbetas_Intercept,
+  4.0 / n AS cooks_threshold, 4.0 / n AS leverage_threshold
+  FROM (SELECT *, sqrt(((n - 2) * s2 - e * e / (1 - h)) / (n - 3)) AS si FROM r)""", extra=[
+    ("d", "SELECT date, borough, temp_mean, log_complaints_total FROM panel_raw WHERE temp_mean IS NOT NULL AND log_complaints_total IS NOT NULL"),
+    ("m", """SELECT count(*) AS n, avg(temp_mean) AS mx, avg(log_complaints_total) AS my,
+       var_pop(temp_mean) * count(*) AS sxx, covar_pop(temp_mean, log_complaints_total) * count(*) AS sxy FROM d"""),
+    ("f", "SELECT d.*, m.*, d.temp_mean - m.mx AS xc, m.sxy / m.sxx AS b, m.my - m.sxy / m.sxx * m.mx AS a FROM d, m"),
+    ("g", "SELECT *, log_complaints_total - a - b * temp_mean AS e, 1.0 / n + xc * xc / sxx AS h FROM f"),
+    ("r", "SELECT *, (SELECT sum(e * e) FROM g) / (n - 2) AS s2 FROM g")])
+INFL_FLOATS = ["temp_mean", "log_complaints_total", "leverage", "resid", "student_resid_internal", "student_resid_external",
+               "cooks_d", "dffits", "dffits_internal", "dfbetas_temp_mean", "dfbetas_Intercept", "cooks_threshold",
+               "leverage_threshold"]
+
+
+@query("influence_simple", INFL_SQL, floats=INFL_FLOATS)
+def q_influence_simple(spark, sf):
+    """Influence diagnostics of a one-regressor OLS (closed forms in SQL)."""
+    return ST.influence(raw_panel(spark, sf), "log_complaints_total", ["temp_mean"], keys=["date", ENTITY])
