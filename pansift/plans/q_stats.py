@@ -286,3 +286,19 @@ INFL_FLOATS = ["temp_mean", "log_complaints_total", "leverage", "resid", "studen
 def q_influence_simple(spark, sf):
     """Influence diagnostics of a one-regressor OLS (closed forms in SQL)."""
     return ST.influence(raw_panel(spark, sf), "log_complaints_total", ["temp_mean"], keys=["date", ENTITY])
+
+
+OLS1_SQL = S.with_ctes(["panel_raw"], """SELECT term, coef, se, coef / se AS t, r2, 1 - (1 - r2) * (n - 1) / (n - 2) AS adj_r2, n
+  FROM (SELECT 'Intercept' AS term, a AS coef, sqrt(s2 * (1.0 / n + mx * mx / sxx)) AS se, r2, n FROM fit
+        UNION ALL SELECT 'temp_mean', b, sqrt(s2 / sxx), r2, n FROM fit)""", extra=[
+    ("d", "SELECT temp_mean AS x, log_complaints_total AS y FROM panel_raw WHERE temp_mean IS NOT NULL AND log_complaints_total IS NOT NULL"),
+    ("m", """SELECT count(*) AS n, avg(x) AS mx, avg(y) AS my, var_pop(x) * count(*) AS sxx,
+       covar_pop(x, y) * count(*) AS sxy, var_pop(y) * count(*) AS syy FROM d"""),
+    ("fit", """SELECT n, mx, sxx, sxy / sxx AS b, my - sxy / sxx * mx AS a,
+       (syy - sxy / sxx * sxy) / (n - 2) AS s2, 1 - (syy - sxy / sxx * sxy) / syy AS r2 FROM m""")])
+
+
+@query("ols_summary_simple", OLS1_SQL, floats=["coef", "se", "t", "r2", "adj_r2"])
+def q_ols_summary_simple(spark, sf):
+    """One-regressor OLS table (p-values are checked by unit tests)."""
+    return ST.ols_summary(raw_panel(spark, sf), "log_complaints_total", ["temp_mean"]).drop("p")
