@@ -302,3 +302,24 @@ OLS1_SQL = S.with_ctes(["panel_raw"], """SELECT term, coef, se, coef / se AS t,
 def q_ols_summary_simple(spark, sf):
     """One-regressor OLS table (p-values are checked by unit tests)."""
     return ST.ols_summary(raw_panel(spark, sf), "log_complaints_total", ["temp_mean"]).drop("p")
+
+
+VIF3 = ["temp_mean", "cloud_cover_mean", "complaints_total"]
+
+
+def _vif3_sql() -> str:
+    a, b, c = VIF3
+    parts = []
+    for x, y, z in [(a, b, c), (b, a, c), (c, a, b)]:
+        rxy, rxz, ryz = f"corr({x}, {y})", f"corr({x}, {z})", f"corr({y}, {z})"
+        r2 = f"(power({rxy}, 2) + power({rxz}, 2) - 2 * {rxy} * {rxz} * {ryz}) / (1 - power({ryz}, 2))"
+        parts.append(f"SELECT '{x}' AS feature, 1.0 / (1.0 - {r2}) AS vif FROM cc")
+    return S.with_ctes(["panel_raw"], " UNION ALL ".join(parts), extra=[
+        ("cc", f"SELECT CAST({a} AS DOUBLE) AS {a}, CAST({b} AS DOUBLE) AS {b}, CAST({c} AS DOUBLE) AS {c} FROM panel_raw "
+               f"WHERE {a} IS NOT NULL AND {b} IS NOT NULL AND {c} IS NOT NULL")])
+
+
+@query("vif_three", _vif3_sql(), floats=["vif"])
+def q_vif_three(spark, sf):
+    """VIF of three features (closed form through pairwise correlations in SQL)."""
+    return ST.vif(raw_panel(spark, sf), VIF3)
