@@ -323,3 +323,12 @@ def _vif3_sql() -> str:
 def q_vif_three(spark, sf):
     """VIF of three features (closed form through pairwise correlations in SQL)."""
     return ST.vif(raw_panel(spark, sf), VIF3)
+
+
+@query("top_influential_simple", "SELECT date, borough, cooks_d, leverage, student_resid_external FROM ("
+       + INFL_SQL + ") _i ORDER BY cooks_d DESC LIMIT 10",
+       floats=["cooks_d", "leverage", "student_resid_external"])
+def q_top_influential_simple(spark, sf):
+    """The ten largest Cook's distances of the one-regressor model (a top-k report)."""
+    infl = ST.influence(raw_panel(spark, sf), "log_complaints_total", ["temp_mean"], keys=["date", ENTITY])
+    return ST.top_influential(infl, 10).select("date", ENTITY, "cooks_d", "leverage", "student_resid_external")
