@@ -85,3 +85,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     written tables (never a machine-local temp folder on a cluster)."""
     import uuid
     return f"{checkpoint_dir(spark).rstrip('/')}/pansift-scratch/{name}-{uuid.uuid4().hex}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors (once per Spark application), so
+    that Python workers can import it wherever the session was started."""
+    import zipfile
+
+    sc = spark.sparkContext
+    if any(str(f).endswith("/pansift.zip") for f in sc.listFiles):
+        return
+    top = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="pansift-ship-"), "pansift.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(top):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.join("pansift", os.path.relpath(full, top)))
+    sc.addPyFile(path)
