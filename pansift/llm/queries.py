@@ -19,8 +19,37 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return code_digests(table(spark, sf_dir, "documents"))
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pansift.llm.mixing import mix
+    return mix(table(spark, sf_dir, "documents")).drop("copies")
+
+
+def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pansift.llm.exact_dedup import dedup
+    return dedup(table(spark, sf_dir, "documents")).drop("known")
+
+
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pansift.llm.sharding import shard
+    return shard(table(spark, sf_dir, "documents"), 24)
+
+
 SQL: dict[str, str] = {}
 
+SQL["op7_exact_dedup"] = r"""
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+         sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256
+  FROM documents)
+SELECT doc_id,
+       first_value(doc_id) OVER w AS keep_id,
+       count(*) OVER (PARTITION BY text_sha256) AS group_size,
+       row_number() OVER w = 1 AS kept,
+       text_sha256
+FROM t
+WINDOW w AS (PARTITION BY text_sha256 ORDER BY length(text) DESC, doc_id NULLS LAST)
+"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {k: v for k, v in globals().items() if k.startswith("op") and k[2:].split("_")[0].isdigit()}
