@@ -34,6 +34,16 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(table(spark, sf_dir, "documents"), 24)
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pansift.llm.simhash import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op9_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pansift.llm.ann import search
+    return search(table(spark, sf_dir, "embeddings"))
+
+
 SQL: dict[str, str] = {}
 
 SQL["op7_exact_dedup"] = r"""
