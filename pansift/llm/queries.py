@@ -19,6 +19,12 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return code_digests(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pansift.llm.toxicity import fit, score
+    docs = table(spark, sf_dir, "documents")
+    return score(docs, fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pansift.llm.mixing import mix
     return mix(table(spark, sf_dir, "documents")).drop("copies")
