@@ -3,11 +3,12 @@
 Features of a text (``FEATURES``): densities of a fixed and of a learnt
 lexicon, how near lexicon words stand to a second person, capitals,
 punctuation and obfuscation.  Labels are learnt from a bounded sample of
-labelled rows (``FIT_ROWS``), never from the held-out fold.  The sample is cut
-in three by hash: one part gives the learnt lexicon (words and word
-beginnings that are far more frequent in texts with label 1), one the trees,
-one the isotonic calibration.  Trees and calibration are Spark ML's; scoring
-is one pass over the table without a shuffle.
+labelled rows (``FIT_ROWS``), never from the held-out fold.  The learnt lexicon
+holds words and word beginnings that are far more frequent in texts with label
+1.  Trees and calibration see each sampled text through a lexicon learnt
+without its third of the sample, and are fitted on different rows; scoring
+uses the lexicon of the whole sample.  Trees and calibration are Spark ML's;
+scoring is one pass over the table without a shuffle.
 """
 
 from __future__ import annotations
@@ -33,9 +34,11 @@ from pansift.llm.piece_codec import Remembered
 #: Labelled rows that are fitted on, at most; those with the smallest hash of their id.
 FIT_ROWS = 20_000
 #: Entries of the learnt lexicon, at most, and how far from chance each must be (in standard deviations).
-LEARNT_ENTRIES, LEARNT_Z = 1000, 5.0
+LEARNT_ENTRIES, LEARNT_Z = 1000, 6.5
+#: One row in so many calibrates, the others grow the trees.
+CALIBRATED = 4
 #: Lengths of word beginnings that the learnt lexicon may hold.
-BEGINNINGS = (4, 5, 6)
+BEGINNINGS = (3, 4, 5, 6, 7)
 #: Words between a lexicon word and a second person that still count as near.
 NEAR = 5
 
@@ -202,14 +205,20 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, id_col: st
     texts = docs.select(F.col(id_col).cast("long").alias("__id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     # at most fit_rows ids and labels are broadcast
     sample = texts.join(F.broadcast(known), "__id").select(
-        "text", F.col("__label").alias("label"), F.pmod(F.xxhash64("__id", F.lit(1)), F.lit(10)).alias("part"))
+        "text", F.col("__label").alias("label"), F.pmod(F.xxhash64("__id", F.lit(1)), F.lit(3 * CALIBRATED)).alias("part"))
     sample = cut_lineage(sample, "sample")
-    shares = sample.agg(F.avg("label").alias("p")).first().p
-    lexicon = learn_lexicon(sample.where("part < 5"))
-    model = Model(lexicon, None, None, shares or 0.0)
-    rows = sample.where("part >= 5").withColumn("features", array_to_vector(model.feature_udf()(F.col("text"))))
-    rows = cut_lineage(rows.select("features", F.col("label").cast("double").alias("label"), "part").coalesce(4), "features")
-    trees, steps = rows.where("part < 8"), rows.where("part >= 8")
+    share = sample.agg(F.avg("label").alias("p")).first().p
+    model = Model(learn_lexicon(sample), None, None, share or 0.0)
+    seen = None
+    for k in range(3):
+        without = Model(learn_lexicon(sample.where(F.col("part") % 3 != k)), None, None, 0.0)
+        fold = sample.where(F.col("part") % 3 == k).select(
+            array_to_vector(without.feature_udf()(F.col("text"))).alias("features"),
+            F.col("label").cast("double").alias("label"), "part")
+        seen = fold if seen is None else seen.unionByName(fold)
+    rows = cut_lineage(seen.coalesce(6), "features")
+    calibrates = F.col("part") >= 3 * (CALIBRATED - 1)
+    trees, steps = rows.where(~calibrates), rows.where(calibrates)
     if trees.select("label").distinct().count() < 2 or steps.select("label").distinct().count() < 2:
         return model
     model.trees = GBTClassifier(maxIter=20, maxDepth=4, stepSize=0.2, seed=7, minInstancesPerNode=3).fit(trees)
