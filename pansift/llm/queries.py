@@ -19,6 +19,14 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return code_digests(table(spark, sf_dir, "documents"))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pansift.llm import warc
+    folder = warc.archive_folder(spark)
+    manifest = warc.write_archives(table(spark, sf_dir, "pages"), folder)
+    return warc.read_archives(manifest, folder, payloads=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pansift.llm.toxicity import fit, score
     docs = table(spark, sf_dir, "documents")
@@ -66,6 +74,25 @@ FROM t
 WINDOW w AS (PARTITION BY text_sha256 ORDER BY length(text) DESC, doc_id NULLS LAST)
 """
 
+SQL["op3_warc"] = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (
+  SELECT page_id, strlen(html) AS payload_bytes, html, sha1(html) AS hex,
+         min(page_id) OVER (PARTITION BY html) AS first_id
+  FROM p),
+b AS (
+  SELECT *, array_to_string(list_transform(range(1, 41), lambda i:
+    lpad(bin(instr('0123456789abcdef', hex[i]) - 1), 4, '0')), '') AS bits
+  FROM d)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda j:
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[1 + 16 * CAST(bits[5*j+1] AS INT) + 8 * CAST(bits[5*j+2] AS INT)
+           + 4 * CAST(bits[5*j+3] AS INT) + 2 * CAST(bits[5*j+4] AS INT) + CAST(bits[5*j+5] AS INT)]), '') AS payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
+FROM b
+"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {k: v for k, v in globals().items() if k.startswith("op") and k[2:].split("_")[0].isdigit()}
