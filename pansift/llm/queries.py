@@ -9,6 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pansift.llm._common import table
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pansift.llm.line_dedup import dedup_lines
+    return dedup_lines(table(spark, sf_dir, "documents"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pansift.llm.token_counts import count_tokens
     return count_tokens(table(spark, sf_dir, "documents"))
@@ -93,6 +98,38 @@ SELECT page_id, payload_bytes,
 FROM b
 """
 
+SQL["op1_line_dedup"] = r"""
+WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+l AS (
+  SELECT doc_id, CAST(i AS INT) AS line_no,
+         trim(parts[i + 1], ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS line
+  FROM (SELECT doc_id, parts, unnest(range(0, len(parts))) AS i FROM split)),
+c AS (
+  SELECT line, length(line) AS n, min({'d': doc_id, 'l': line_no}) AS first
+  FROM l WHERE line <> '' GROUP BY line),
+h AS (
+  SELECT line, n, first, m, side, CASE WHEN side = 0 THEN left(line, m // 2) ELSE right(line, m - m // 2) END AS half
+  FROM (SELECT line, n, first, unnest([n, n - 1]) AS m FROM c WHERE n >= 16), (VALUES (0), (1)) s(side)),
+pairs AS (
+  SELECT DISTINCT a.line AS line, b.line AS other, a.n AS n, b.n AS o, b.first AS first
+  FROM h a JOIN h b USING (m, side, half)
+  WHERE b.first < a.first AND (a.n = a.m OR b.n = a.m)),
+met AS (
+  SELECT *, coalesce(list_position(list_transform(range(1, least(n, o) + 1), lambda i: line[i] <> other[i]), true),
+                     least(n, o) + 1) - 1 AS p
+  FROM pairs),
+near AS (
+  SELECT line, min(first) AS keep FROM met
+  WHERE (n = o AND substr(line, p + 2) = substr(other, p + 2)) OR (n = o + 1 AND substr(line, p + 2) = substr(other, p + 1))
+     OR (o = n + 1 AND substr(other, p + 2) = substr(line, p + 1))
+  GROUP BY line),
+t AS (SELECT c.line, coalesce(near.keep, c.first) AS keep FROM c LEFT JOIN near USING (line))
+SELECT l.doc_id, l.line_no,
+       coalesce(t.keep.d = l.doc_id AND t.keep.l = l.line_no, true) AS kept,
+       coalesce(t.keep.d, l.doc_id) AS keep_doc_id, coalesce(t.keep.l, l.line_no) AS keep_line_no
+FROM l LEFT JOIN t ON l.line = t.line
+"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {k: v for k, v in globals().items() if k.startswith("op") and k[2:].split("_")[0].isdigit()}
