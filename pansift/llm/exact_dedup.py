@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pansift.llm._common import SPACE, cut_lineage, id_and_text
+from pansift.llm._common import SPACE, cut_lineage, id_and_text, once_each
 
 #: Digests of one shard; what one task holds of the index (about 60 bytes each).
 PER_SHARD = 50_000
@@ -160,6 +160,22 @@ def look_up(index: DataFrame, batch: DataFrame, shards: int) -> DataFrame:
             .withColumn("doc_id", F.col("doc_id").cast("long")))
 
 
+def decide(docs: DataFrame, is_history: Column | None, per_shard: int, id_col: str, text_col: str
+           ) -> tuple[DataFrame, DataFrame]:
+    """Written tables: the digests of all rows, and the groups of equal ones."""
+    rows = cut_lineage(digest_rows(docs, id_col, text_col), "digests")
+    if is_history is None:
+        ends = rows.agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).first()
+        is_history = F.col("doc_id") <= F.lit((ends.a + ends.b) // 2 if ends.a is not None else 0)
+    old = F.coalesce(is_history, F.lit(False))
+    history, batch = (cut_lineage(best_rows(rows.where(c)), n) for c, n in ((old, "history"), (~old, "batch")))
+    shards = max(1, -(-max(history.count(), batch.count()) // per_shard))
+    index = cut_lineage(build_index(history, shards), "index")
+    groups = cut_lineage(look_up(index, batch, shards).withColumnsRenamed(
+        {"n": "group_size", "doc_id": "keep_id", "n_points": "keep_points"}), "groups")
+    return rows, groups
+
+
 def dedup(docs: DataFrame, is_history: Column | None = None, per_shard: int = PER_SHARD,
           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: ``doc_id, keep_id, group_size, kept,
@@ -171,19 +187,29 @@ def dedup(docs: DataFrame, is_history: Column | None = None, per_shard: int = PE
     white space only; of rows with equal id and text exactly one is kept;
     other columns are not read; an empty table gives an empty result.
     """
-    rows = cut_lineage(digest_rows(docs, id_col, text_col), "digests")
-    if is_history is None:
-        ends = rows.agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).first()
-        is_history = F.col("doc_id") <= F.lit((ends.a + ends.b) // 2 if ends.a is not None else 0)
-    old = F.coalesce(is_history, F.lit(False))
-    history, batch = (cut_lineage(best_rows(rows.where(c)), n) for c, n in ((old, "history"), (~old, "batch")))
-    shards = max(1, -(-max(history.count(), batch.count()) // per_shard))
-    index = cut_lineage(build_index(history, shards), "index")
-    groups = cut_lineage(look_up(index, batch, shards).withColumnsRenamed(
-        {"n": "group_size", "doc_id": "keep_id", "n_points": "keep_points"}), "groups")
+    rows, groups = decide(docs, is_history, per_shard, id_col, text_col)
     again = Window.partitionBy("digest", "doc_id", "n_points").orderBy("doc_id")
     numbered = rows.withColumn("copy", F.row_number().over(again))
-    kept = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("n_points") == F.col("keep_points")) & (F.col("copy") == 1)
     return (numbered.join(groups, "digest")
-            .select("doc_id", "keep_id", "group_size", kept.alias("kept"),
+            .select("doc_id", "keep_id", "group_size", (_stays() & (F.col("copy") == 1)).alias("kept"),
                     F.lower(F.hex("digest")).alias("text_sha256"), "known"))
+
+
+def _stays() -> Column:
+    return F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("n_points") == F.col("keep_points"))
+
+
+def survivors(docs: DataFrame, is_history: Column | None = None, per_shard: int = PER_SHARD,
+              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns; cases as in
+    ``dedup``.  Texts meet the decision by id, which no group shares."""
+    rows, groups = decide(docs, is_history, per_shard, id_col, text_col)
+    ends = groups.select("digest", "keep_id", "keep_points")
+    marks = cut_lineage(rows.join(ends, "digest").where(_stays()).groupBy("digest", "keep_id", "keep_points")
+                        .agg((F.count("*") > 1).alias("__rep")), "stays")
+    marks = marks.select(F.col("digest").alias("__digest"), F.col("keep_id").alias("__id"),
+                         F.col("keep_points").alias("__points"), "__rep")
+    text = F.coalesce(docs[text_col], F.lit(""))
+    hit = (docs.join(marks, docs[id_col].cast("long").eqNullSafe(F.col("__id")))
+           .where((F.length(text) == F.col("__points")) & (F.unhex(F.sha2(normalised(text), 256)) == F.col("__digest"))))
+    return once_each(hit, docs.columns, "__rep", "__digest", bool(marks.where("__rep").head(1)))
