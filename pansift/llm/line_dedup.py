@@ -120,7 +120,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """One row per line: ``doc_id, line_no, kept, keep_doc_id, keep_line_no``.
 
     A line goes if an earlier line (by id, then line number) equals it, or
-    lies within one edit of it and it has at least ``NEAR_CHARS`` characters;
+    lies within one edit of it and both have at least ``NEAR_CHARS`` characters;
     ``keep_*`` is the place of the earliest such line, or its own.  White
     space at the ends of a line does not count; blank lines stay; null texts
     are one blank line; null ids come last; rows that repeat an id share their
