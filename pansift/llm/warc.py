@@ -169,7 +169,7 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0, archive_
         def flush(records: list[bytes]) -> pa.RecordBatch:
             path = f"{base}/{uuid.uuid4().hex}.warc.zst"
             data = archive(records)
-            with system.open_output_stream(path) as out:
+            with system.open_output_stream(path, compression=None) as out:
                 out.write(data)
             return pa.RecordBatch.from_pylist([{"path": os.path.basename(path), "records": len(records), "bytes": len(data)}])
 
@@ -203,7 +203,7 @@ def read_archives(manifest: DataFrame, folder: str, payloads: bool = True) -> Da
         for frame in frames:
             for name in frame["path"]:
                 rows, size = [], 0
-                with system.open_input_stream(f"{base}/{name}") as stream:
+                with system.open_input_stream(f"{base}/{name}", compression=None) as stream:
                     for raw in read_archive(stream):
                         rows.append(parse(raw))
                         if not payloads:
