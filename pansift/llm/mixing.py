@@ -84,8 +84,9 @@ def thresholds(rows: DataFrame, sources: DataFrame) -> DataFrame:
         state = state.drop("words", "n")
     # the last cell goes in if that comes nearer to the budget
     edge = F.col("cell") + (2 * F.col("need") > F.col("words")).cast("long")
+    part = target - F.col("passes") * size > 0  # rows without words lie below the first words, too
     return state.select("source", "source_size", "target", "passes",
-                        F.shiftleft(edge, HASH_BITS - bits).alias("threshold"))
+                        F.when(part, F.shiftleft(edge, HASH_BITS - bits)).otherwise(0).alias("threshold"))
 
 
 def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source"
