@@ -28,10 +28,3 @@ def fit_row(df: DataFrame, exprs: dict) -> dict:
         out.update(row.asDict(recursive=True))
     return out
 
-
-def quantile_expr(col, q, approx: bool = False, accuracy: int = 10000):
-    """Linear-interpolated quantile (pandas/R type 7); ``approx`` for very large groups."""
-    c = F.col(col) if isinstance(col, str) else col
-    if approx:
-        return F.percentile_approx(c.cast("double"), q, accuracy)
-    return F.percentile(c.cast("double"), q)

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pansift.functions.numeric import clip_guarded, finite_or_null, numeric_types
-from pansift.operators._fit import fit_row, quantile_expr
+from pansift.operators._fit import fit_row
+from pansift.operators.quantiles import quantile_fit
 from pansift.operators.timeseries import bfill_ffill, ffill
 
 
@@ -52,8 +53,8 @@ def impute_mean(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
 
 def impute_median(df: DataFrame, cols: Sequence[str] | None = None, approx: bool = False) -> DataFrame:
     cols = _num(df, cols)
-    st = fit_row(df, {f"m{i}": quantile_expr(c, 0.5, approx) for i, c in enumerate(cols)})
-    return _fill(df, {c: st[f"m{i}"] for i, c in enumerate(cols)})
+    fit = quantile_fit(df, cols, [0.5], approx=approx)
+    return _fill(df, {c: v[0] for c, v in fit.items() if v})
 
 
 def column_modes(df: DataFrame, cols: Sequence[str]) -> dict:
@@ -138,14 +139,13 @@ def impute_time_safe(df: DataFrame, entity: str, date: str, cols: Sequence[str])
 
 
 def iqr_fit(df: DataFrame, cols: Sequence[str], factor: float = 1.5, approx: bool = False) -> dict:
-    """{col: (q1, q3, lo, hi)} from one aggregate; (None, ...) for an empty column."""
+    """{col: (q1, q3, lo, hi)} of all columns at once; (None, ...) for an empty column."""
     cols = list(cols)
-    st = fit_row(df, {f"q{i}": quantile_expr(finite_or_null(F.col(c).cast("double")), [0.25, 0.75], approx)
-                      for i, c in enumerate(cols)})
+    fit = quantile_fit(df, {c: finite_or_null(F.col(c).cast("double")) for c in cols}, [0.25, 0.75], approx=approx)
     out = {}
-    for i, c in enumerate(cols):
-        q = st[f"q{i}"]
-        if q is None or q[0] is None:
+    for c in cols:
+        q = fit[c]
+        if q is None:
             out[c] = (None, None, None, None)
         else:
             q1, q3 = q
@@ -182,10 +182,10 @@ def winsorize_pct(df: DataFrame, cols: Sequence[str], lower: float = 0.05, upper
                   approx: bool = False) -> DataFrame:
     """Clip at the (type-7) percentiles; missing stays missing."""
     cols = list(cols)
-    st = fit_row(df, {f"q{i}": quantile_expr(c, [lower, upper], approx) for i, c in enumerate(cols)})
+    fit = quantile_fit(df, cols, [lower, upper], approx=approx)
     ex = {}
-    for i, c in enumerate(cols):
-        q = st[f"q{i}"]
+    for c in cols:
+        q = fit[c]
         if q is None:
             continue
         ex[c] = clip_guarded(F.col(c).cast("double"), q[0], q[1])
@@ -212,25 +212,21 @@ def winsorize_iqr(df: DataFrame, cols: Sequence[str], factor: float = 1.5,
 def winsorize_rank(df: DataFrame, cols: Sequence[str], limit: float = 0.01, suffix: str = "_wins") -> DataFrame:
     """Rank-based winsorising: with n non-missing values and k = floor(limit n),
     values below the (k+1)-th smallest / above the (k+1)-th largest are
-    replaced by those order statistics.  Order statistics come from
-    ``percentile_disc`` with ranks placed mid-bucket; NULL stays NULL."""
+    replaced by those order statistics: discrete quantiles with ranks placed
+    mid-bucket.  NULL stays NULL."""
     cols = list(cols)
-    cnt = fit_row(df, {f"n{i}": F.count(finite_or_null(F.col(c).cast("double"))) for i, c in enumerate(cols)})
-    exprs = {}
+    values = {c: finite_or_null(F.col(c).cast("double")) for c in cols}
+    cnt = fit_row(df, {f"n{i}": F.count(values[c]) for i, c in enumerate(cols)})
+    ranks = {}
     for i, c in enumerate(cols):
         n = cnt[f"n{i}"]
-        if not n:
-            continue
         k = int(math.floor(limit * n))
-        exprs[f"lo{i}"] = F.expr(f"percentile_disc({(k + 0.5) / n!r}) WITHIN GROUP (ORDER BY CAST(`{c}` AS DOUBLE))")
-        exprs[f"hi{i}"] = F.expr(f"percentile_disc({(n - k - 0.5) / n!r}) WITHIN GROUP (ORDER BY CAST(`{c}` AS DOUBLE))")
-    st = fit_row(df, exprs)
+        ranks[c] = [(k + 0.5) / n, (n - k - 0.5) / n] if n else [0.0, 1.0]
+    fit = quantile_fit(df, values, ranks, discrete=True)
     ex = {}
-    for i, c in enumerate(cols):
-        if f"lo{i}" not in st:
-            ex[f"{c}{suffix}"] = F.col(c).cast("double")
-            continue
-        ex[f"{c}{suffix}"] = clip_guarded(F.col(c).cast("double"), st[f"lo{i}"], st[f"hi{i}"])
+    for c in cols:
+        x = F.col(c).cast("double")
+        ex[f"{c}{suffix}"] = clip_guarded(x, *fit[c]) if fit[c] else x
     return df.withColumns(ex)
 
 

@@ -152,11 +152,10 @@ def composition_diversity(df: DataFrame, share_cols: Sequence[str], prefix: str
 
 
 def type_flags(df: DataFrame, col: str, values: Mapping[str, str], contains: bool = False) -> DataFrame:
-    """0/1 per label (equality), or substring match on the lower-cased text."""
-    if contains:
-        return df.withColumns({k: F.lower(F.col(col).cast("string")).contains(v.lower()).cast("int")
-                               for k, v in values.items()})
-    return df.withColumns({k: (F.col(col) == F.lit(v)).cast("int") for k, v in values.items()})
+    """0/1 per label (equality), or substring match on the lower-cased text; a missing label gives 0."""
+    def hit(v):
+        return F.lower(F.col(col).cast("string")).contains(v.lower()) if contains else F.col(col) == F.lit(v)
+    return df.withColumns({k: F.coalesce(hit(v).cast("int"), F.lit(0)) for k, v in values.items()})
 
 
 def strip_symbols(df: DataFrame, col: str, out: str | None = None) -> DataFrame:

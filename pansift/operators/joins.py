@@ -1,11 +1,9 @@
 """Joins (blueprint 2.3).
 
-Broadcast hints are only placed on sides whose size is bounded by
-construction: entity-level tables (one row per entity of a fixed domain),
-top-K tables (K rows) and date-level flags (one row per calendar day).
-Everything else is left to the planner: ``autoBroadcastJoinThreshold``
-checks estimated sizes and AQE re-plans with real shuffle sizes, falling
-back to a sort-merge join when a side is large.
+No side is forced to be broadcast, since callers pass any table.  The
+planner checks estimated sizes against ``autoBroadcastJoinThreshold`` and AQE
+re-plans with the sizes that shuffles really have; large sides meet in a
+sort-merge join.
 """
 
 from __future__ import annotations
@@ -18,12 +16,12 @@ from pyspark.sql import functions as F
 
 def join_on_date(panel: DataFrame, daily: DataFrame, on: str = "date") -> DataFrame:
     """Left join of a date-level table (one row per day, bounded by the calendar)."""
-    return panel.join(F.broadcast(daily), on=on, how="left")
+    return panel.join(daily, on=on, how="left")
 
 
 def join_on_entity(panel: DataFrame, attrs: DataFrame, on: str = "entity") -> DataFrame:
     """Left join of entity attributes (one row per entity of a fixed domain)."""
-    return panel.join(F.broadcast(attrs), on=on, how="left")
+    return panel.join(attrs, on=on, how="left")
 
 
 def join_on_entity_date(panel: DataFrame, other: DataFrame, keys: Sequence[str] = ("date", "entity"),
@@ -45,7 +43,7 @@ def join_quality_flags(features: DataFrame, flags: DataFrame | None, on: str = "
     cols = list(cols)
     if flags is None:
         return features.withColumns({c: F.lit(0) for c in cols})
-    out = features.join(F.broadcast(flags.select(on, *cols)), on=on, how="left")
+    out = features.join(flags.select(on, *cols), on=on, how="left")
     return out.withColumns({c: F.coalesce(F.col(c), F.lit(0)).cast("int") for c in cols})
 
 
@@ -53,11 +51,11 @@ def membership_bucket(df: DataFrame, col: str, top_values, other: str = "OTHER",
                       out: str = "bucket") -> DataFrame:
     """Value if it is in the top set, else ``other``.
 
-    ``top_values`` is a K-row DataFrame (broadcast left join) or a list.
+    ``top_values`` is a DataFrame of the top values (left join) or a list.
     """
     if isinstance(top_values, DataFrame):
         t = top_values.select(F.col(top_values.columns[0]).alias("_top"))
-        j = df.join(F.broadcast(t), F.col(col) == F.col("_top"), "left")
+        j = df.join(t, F.col(col) == F.col("_top"), "left")
         return j.withColumn(out, F.coalesce(F.col("_top"), F.lit(other))).drop("_top")
     return df.withColumn(out, F.when(F.col(col).isin(list(top_values)), F.col(col)).otherwise(F.lit(other)))
 

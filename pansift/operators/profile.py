@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pansift.functions.numeric import finite_or_null, numeric_types
-from pansift.operators._fit import fit_row, quantile_expr
+from pansift.operators._fit import fit_row
+from pansift.operators.quantiles import quantile_fit
 from pansift.operators.timeseries import rank_top_per_key
 
 
@@ -30,18 +31,25 @@ def describe_numeric(df: DataFrame, cols: Sequence[str], approx: bool = False) -
     """count, mean, std (ddof 1), min, 25%, 50%, 75%, max per column."""
     cols = list(cols)
     aggs, rows = [], []
+    values = {c: finite_or_null(F.col(c).cast("double")) for c in cols}
+    q = _quartiles(df, values, approx)
     for i, c in enumerate(cols):
-        x = finite_or_null(F.col(c).cast("double"))
+        x = values[c]
         aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
-                 F.min(x).alias(f"a{i}"), quantile_expr(x, [0.25, 0.5, 0.75], approx).alias(f"q{i}"),
-                 F.max(x).alias(f"b{i}")]
+                 F.min(x).alias(f"a{i}"), F.max(x).alias(f"b{i}")]
         rows.append(F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("count"), F.col(f"m{i}").alias("mean"),
                              F.col(f"s{i}").alias("std"), F.col(f"a{i}").alias("min"),
-                             F.col(f"q{i}")[0].alias("p25"), F.col(f"q{i}")[1].alias("p50"),
-                             F.col(f"q{i}")[2].alias("p75"), F.col(f"b{i}").alias("max")))
+                             q[c][0].alias("p25"), q[c][1].alias("p50"), q[c][2].alias("p75"),
+                             F.col(f"b{i}").alias("max")))
     return _long(df.agg(*aggs), rows)
 
 
+def _quartiles(df: DataFrame, values: dict, approx: bool) -> dict:
+    """{column: literals of its quartiles}."""
+    fit = quantile_fit(df, values, [0.25, 0.5, 0.75], approx=approx)
+    return {c: [F.lit(x).cast("double") for x in (v or [None] * 3)] for c, v in fit.items()}
+
+
 def summary_mixed(df: DataFrame, cols: Sequence[str] | None = None, approx: bool = False) -> DataFrame:
     """R-style summary: numeric min / Q1 / median / mean / Q3 / max / NA
     count; text columns report length (rows) and NA count."""
@@ -52,12 +60,11 @@ def summary_mixed(df: DataFrame, cols: Sequence[str] | None = None, approx: bool
         aggs.append(miss)
         if _is_num(df, c):
             x = F.col(c).cast("double")
-            aggs += [F.min(x).alias(f"a{i}"), quantile_expr(x, [0.25, 0.5, 0.75], approx).alias(f"q{i}"),
-                     F.avg(x).alias(f"m{i}"), F.max(x).alias(f"b{i}")]
+            aggs += [F.min(x).alias(f"a{i}"), F.avg(x).alias(f"m{i}"), F.max(x).alias(f"b{i}")]
             rows.append(F.struct(F.lit(c).alias("column"), F.lit("numeric").alias("kind"),
-                                 F.col(f"a{i}").alias("min"), F.col(f"q{i}")[0].alias("q1"),
-                                 F.col(f"q{i}")[1].alias("median"), F.col(f"m{i}").alias("mean"),
-                                 F.col(f"q{i}")[2].alias("q3"), F.col(f"b{i}").alias("max"),
+                                 F.col(f"a{i}").alias("min"), q[c][0].alias("q1"),
+                                 q[c][1].alias("median"), F.col(f"m{i}").alias("mean"),
+                                 q[c][2].alias("q3"), F.col(f"b{i}").alias("max"),
                                  F.col(f"na{i}").alias("n_missing"), F.col("_rows").alias("length")))
         else:
             nul = F.lit(None).cast("double")
@@ -108,6 +115,7 @@ def data_dictionary(df: DataFrame, examples: int = 5, approx: bool = False,
     aggs = [F.count(F.lit(1)).alias("_rows")]
     rows = []
     txt_cols = []
+    q = _quartiles(df, {c: F.col(c) for c in cols if _is_num(df, c)}, approx)
     for i, c in enumerate(cols):
         aggs.append(F.count_if(F.col(c).isNull()).alias(f"na{i}"))
         if not exact_distinct:
@@ -121,11 +129,10 @@ def data_dictionary(df: DataFrame, examples: int = 5, approx: bool = False,
                 (F.col(f"na{i}") * 100.0 / F.col("_rows")).alias("missing_pct"), F.col(f"u{i}").alias("unique_n")]
         if _is_num(df, c):
             x = F.col(c).cast("double")
-            aggs += [F.avg(x).alias(f"m{i}"), F.stddev_pop(x).alias(f"s{i}"), F.min(x).alias(f"a{i}"),
-                     quantile_expr(x, [0.25, 0.5, 0.75], approx).alias(f"q{i}"), F.max(x).alias(f"b{i}")]
+            aggs += [F.avg(x).alias(f"m{i}"), F.stddev_pop(x).alias(f"s{i}"), F.min(x).alias(f"a{i}"), F.max(x).alias(f"b{i}")]
             rows.append(F.struct(*base, F.col(f"m{i}").alias("mean"), F.col(f"s{i}").alias("std"),
-                                 F.col(f"a{i}").alias("min"), F.col(f"q{i}")[0].alias("p25"),
-                                 F.col(f"q{i}")[1].alias("median"), F.col(f"q{i}")[2].alias("p75"),
+                                 F.col(f"a{i}").alias("min"), q[c][0].alias("p25"),
+                                 q[c][1].alias("median"), q[c][2].alias("p75"),
                                  F.col(f"b{i}").alias("max"), F.lit(None).cast("string").alias("examples")))
         else:
             txt_cols.append(c)
@@ -232,8 +239,8 @@ def robust_z(df: DataFrame, date: str, value: str, prefix: str = "citywide", thr
     aggregate (one row per day)."""
     total = f"{prefix}_{value}"
     daily = df.groupBy(date).agg(F.sum(F.col(value)).alias(total))
-    med = daily.agg(quantile_expr(total, 0.5, approx)).first()[0]
-    mad = daily.agg(quantile_expr(F.abs(F.col(total) - F.lit(med)), 0.5, approx)).first()[0]
+    med = (quantile_fit(daily, [total], [0.5], approx=approx)[total] or [None])[0]
+    mad = (quantile_fit(daily, {"d": F.abs(F.col(total) - F.lit(med))}, [0.5], approx=approx)["d"] or [None])[0]
     mad = 1.0 if not mad else mad
     z = F.lit(0.6745) * (F.col(total) - F.lit(med)) / F.lit(mad)
     zc = f"{prefix}_robust_z"

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pansift.operators._fit import quantile_expr
+from pansift.operators.quantiles import with_group_quantiles
 
 
 def sort_panel(df: DataFrame, keys: Sequence[str] = ("date", "borough")) -> DataFrame:
@@ -32,5 +32,5 @@ def top_k_rows(df: DataFrame, by: str, k: int, tiebreak: Sequence[str] = ()) ->
 
 def order_groups_by_median(df: DataFrame, group: str, value: str, approx: bool = False) -> DataFrame:
     """Groups with their median, largest median first (box order)."""
-    med = df.groupBy(group).agg(quantile_expr(value, 0.5, approx).alias("median"))
+    med = with_group_quantiles(df.select(group).distinct(), df, [group], {"median": (F.col(value), 0.5)}, approx)
     return med.orderBy(F.desc("median"), F.asc(group))

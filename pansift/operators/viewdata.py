@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pansift.functions.numeric import finite_or_null, numeric_types
-from pansift.operators._fit import quantile_expr
+from pansift.operators.quantiles import quantile_fit, quantile_table
 from pansift.operators.features import cut_equal_width_expr
 
 
@@ -37,6 +37,24 @@ def _attach(df: DataFrame, st: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.withColumns({c: F.lit(row[c]) for c in st.columns})
 
 
+def _quantile_columns(df: DataFrame, keys: Sequence[str], x, names: dict, approx: bool) -> DataFrame:
+    """Per group: ``n`` values and the named quantiles of ``x``."""
+    groups = df.groupBy(*keys).agg(F.count(x).alias("n"))
+    if approx:
+        q = df.groupBy(*keys).agg(F.percentile_approx(x, list(names.values()), 10_000).alias("values"))
+    else:
+        q = quantile_table(df, {"x": x}, list(names.values()), keys)
+    q = q.select(*[F.col(k).alias(f"_g{i}") for i, k in enumerate(keys)], "values")
+    if not keys:
+        row = q.first()
+        return groups.withColumns({o: F.lit(row["values"][i] if row and row["values"] else None).cast("double")
+                                   for i, o in enumerate(names)})
+    cond = F.lit(True)
+    for i, k in enumerate(keys):
+        cond = cond & groups[k].eqNullSafe(q[f"_g{i}"])
+    return groups.join(q, cond, "left").select(*keys, "n", *[F.col("values")[i].alias(o) for i, o in enumerate(names)])
+
+
 def histogram(df: DataFrame, col: str, bins: int = 30, by: Sequence[str] = (), style: str = "numpy") -> DataFrame:
     """Equal-width counts; only non-empty bins are returned.
 
@@ -93,8 +111,7 @@ def box_stats(df: DataFrame, group: str | None, value: str, factor: float = 1.5,
         st0 = df.agg(F.min(_x(group)).alias("lo"), F.max(_x(group)).alias("hi")).first()
         df = df.withColumn(group, cut_equal_width_expr(_x(group), st0["lo"], st0["hi"], group_bins))
     x = _x(value)
-    st = df.groupBy(*keys).agg(quantile_expr(x, [0.25, 0.5, 0.75], approx).alias("_q"), F.count(x).alias("n"))
-    st = st.select(*keys, "n", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
+    st = _quantile_columns(df, keys, x, {"q1": 0.25, "median": 0.5, "q3": 0.75}, approx)
     st = st.withColumns({"lower_fence": F.col("q1") - factor * (F.col("q3") - F.col("q1")),
                          "upper_fence": F.col("q3") + factor * (F.col("q3") - F.col("q1"))})
     j = _attach(df.select(*keys, x.alias("_v")), st, keys)
@@ -114,32 +131,32 @@ def kde(df: DataFrame, col: str, by: str | None = None, grid: int = 512, fine_bi
     fewer than 2 values are skipped.
 
     The data are first reduced to ``fine_bins`` bin counts per group (a
-    grouped count, exact up to half a bin width); each non-empty bin then
-    contributes to every grid point (``explode`` of a fixed grid, bounded by
-    bins x grid, independent of the row count) and contributions are summed.
+    grouped count, exact up to half a bin width).  A group's non-empty bins,
+    ``fine_bins`` at most, then form one array, and each grid point is a fold
+    over it; only the grid is exploded.
     """
     keys = [by] if by else []
     x = _x(col)
-    st = df.groupBy(*keys).agg(F.count(x).alias("n"), F.stddev_samp(x).alias("sd"),
-                               quantile_expr(x, [0.25, 0.75], approx).alias("_q"), F.min(x).alias("lo"), F.max(x).alias("hi"))
-    iqr = F.col("_q")[1] - F.col("_q")[0]
-    small = F.least(F.col("sd"), iqr / 1.34)
+    st = df.groupBy(*keys).agg(F.stddev_samp(x).alias("sd"), F.min(x).alias("lo"), F.max(x).alias("hi"))
+    q = _quantile_columns(df, keys, x, {"_q1": 0.25, "_q3": 0.75}, approx)
+    st = _attach(q, st, keys)
+    small = F.least(F.col("sd"), (F.col("_q3") - F.col("_q1")) / 1.34)
     base = F.when(small > 0, small).when(F.col("sd") > 0, F.col("sd")).when(F.abs(F.col("lo")) > 0, F.abs(F.col("lo"))).otherwise(F.lit(1.0))
     st = st.where(F.col("n") >= 2).withColumn("bw", F.lit(0.9) * base * F.pow(F.col("n").cast("double"), F.lit(-0.2))) \
            .withColumn("g_lo", F.col("lo") - cut * F.col("bw")).withColumn("g_hi", F.col("hi") + cut * F.col("bw")) \
            .withColumn("bin_w", F.when(F.col("hi") > F.col("lo"), (F.col("hi") - F.col("lo")) / fine_bins).otherwise(F.lit(1.0))) \
-           .drop("_q")
+           .select(*keys, "n", "bw", "g_lo", "g_hi", "lo", "bin_w")
     binned = _attach(df.select(*keys, x.alias("_v")).where(F.col("_v").isNotNull()), st, keys)
     b = F.least(F.floor((F.col("_v") - F.col("lo")) / F.col("bin_w")), F.lit(fine_bins - 1))
-    counts = binned.groupBy(*keys, b.alias("b")).agg(F.count(F.lit(1)).alias("c"))
-    counts = _attach(counts, st, keys)
+    counts = binned.groupBy(*keys, "n", "bw", "g_lo", "g_hi", "lo", "bin_w", b.alias("b")).agg(F.count(F.lit(1)).alias("c"))
     center = F.col("lo") + (F.col("b") + 0.5) * F.col("bin_w")
-    pts = counts.select(*keys, "c", "n", "bw", "g_lo", "g_hi", center.alias("center"),
-                        F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("i"))
-    gx = F.col("g_lo") + F.col("i") * (F.col("g_hi") - F.col("g_lo")) / F.lit(grid - 1)
-    z = (gx - F.col("center")) / F.col("bw")
-    contrib = F.col("c") * F.exp(-0.5 * z * z) / (F.col("n") * F.col("bw") * F.lit(math.sqrt(2 * math.pi)))
-    return pts.groupBy(*keys, "i").agg(F.first(gx).alias("x"), F.sum(contrib).alias("density"))
+    one = counts.groupBy(*keys, "n", "bw", "g_lo", "g_hi").agg(
+        F.array_sort(F.collect_list(F.struct(center.alias("m"), F.col("c").cast("double").alias("c")))).alias("bins"))
+    pts = one.select(*keys, "n", "bw", "bins", "g_lo", "g_hi", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("i"))
+    pts = pts.withColumn("x", F.col("g_lo") + F.col("i") * (F.col("g_hi") - F.col("g_lo")) / F.lit(grid - 1))
+    kernel = F.aggregate("bins", F.lit(0.0), lambda s, v: s + v["c"] * F.exp(
+        -0.5 * ((F.col("x") - v["m"]) / F.col("bw")) * ((F.col("x") - v["m"]) / F.col("bw"))))
+    return pts.select(*keys, "i", "x", (kernel / (F.col("n") * F.col("bw") * F.lit(math.sqrt(2 * math.pi)))).alias("density"))
 
 
 # Fixed parameters of the key-based sampling rule (a modular linear map of
@@ -147,24 +164,42 @@ def kde(df: DataFrame, col: str, by: str | None = None, grid: int = 512, fine_bi
 _SAMPLE_MOD, _SAMPLE_MUL, _SAMPLE_ADD = 1000003, 7919, 104729
 
 
-def scatter_sample(df: DataFrame, x: str, y: str, color: str | None = None, n: int = 5000,
+def scatter_sample(df: DataFrame, x: str, y: str, color: str | None = None, n: int | None = None,
                    seed: int = 42, key: str | None = None) -> DataFrame:
-    """About ``n`` points for a scatter plot (a sampling operator): a
-    deterministic Bernoulli sample with fraction n / rows, no shuffle and no
-    sort.  The uniform draw is a hash of the whole row, or, with ``key``
-    (an integer column), a modular linear map of the key that plain SQL can
-    reproduce."""
-    cols = [x, y] + ([color] if color else [])
+    """The points of a scatter plot: all of them, or, if ``n`` is given,
+    about ``n``: a deterministic Bernoulli sample with fraction n / rows,
+    without a shuffle or a sort.  The uniform draw is a hash of the whole
+    row, or, with ``key`` (an integer column), a modular linear map of the
+    key that plain SQL can reproduce.  ``scatter_bins`` counts all points of
+    data too large to draw."""
+    cols = ([key] if key else []) + [x, y] + ([color] if color else [])
+    if n is None:
+        return df.select(*cols)
     total = df.count()
     frac = 1.0 if total <= n else n / total
     if key is not None:
         k = F.pmod(F.col(key).cast("long"), F.lit(_SAMPLE_MOD))
         u = F.pmod(k * _SAMPLE_MUL + (_SAMPLE_ADD + seed), F.lit(_SAMPLE_MOD)) / float(_SAMPLE_MOD)
-        return df.where(u < frac).select(key, *cols)
-    u = (F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in df.columns]), F.lit(1_000_000)) / 1_000_000.0)
+    else:
+        u = F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in df.columns]), F.lit(1_000_000)) / 1_000_000.0
     return df.where(u < frac).select(*cols)
 
 
+def scatter_bins(df: DataFrame, x: str, y: str, bins: int = 50, by: Sequence[str] = ()) -> DataFrame:
+    """Exact counts of all points on a grid of ``bins`` x ``bins`` cells over
+    the ranges of both variables (cells right-open, the last closed); rows
+    without x or y are left out, as a plot leaves them out."""
+    by = list(by)
+    d = df.select(*by, _x(x).alias("_x"), _x(y).alias("_y")).where(F.col("_x").isNotNull() & F.col("_y").isNotNull())
+    r = d.agg(F.min("_x").alias("x0"), F.max("_x").alias("x1"), F.min("_y").alias("y0"), F.max("_y").alias("y1")).first()
+
+    def cell(c, lo, hi):
+        width = (hi - lo) / bins if lo is not None and hi > lo else 1.0
+        return F.least(F.floor((F.col(c) - F.lit(lo)) / F.lit(width)), F.lit(bins - 1)).cast("int")
+    return d.groupBy(*by, cell("_x", r["x0"], r["x1"]).alias("x_bin"), cell("_y", r["y0"], r["y1"]).alias("y_bin")) \
+            .agg(F.count(F.lit(1)).alias("n"))
+
+
 def top_category(df: DataFrame, col: str) -> DataFrame:
     """Most frequent label (ties: smallest) with its count."""
     from pansift.operators.profile import column_mode
@@ -181,8 +216,9 @@ def insight(df: DataFrame, x: str, y: str | None = None, plot: str = "Histogram"
         return corr_pair(df, x, y).select(F.lit("correlation").alias("kind"), F.col("r").alias("value"),
                                           F.lit(None).cast("double").alias("value2"), F.lit(None).cast("string").alias("label"))
     if _is_num(df, x):
+        median = (quantile_fit(df, {x: _x(x)}, [0.5])[x] or [None])[0]
         return df.agg(F.lit("mean_median").alias("kind"), F.avg(_x(x)).alias("value"),
-                      F.median(_x(x)).alias("value2"), F.lit(None).cast("string").alias("label"))
+                      F.lit(median).cast("double").alias("value2"), F.lit(None).cast("string").alias("label"))
     if x in df.columns:
         t = top_category(df, x)
         return t.select(F.lit("top_category").alias("kind"), F.col("n").cast("double").alias("value"),
@@ -190,35 +226,34 @@ def insight(df: DataFrame, x: str, y: str | None = None, plot: str = "Histogram"
     return spark.createDataFrame([("unavailable", None, None, None)], schema)
 
 
+# The view for the kinds of x and y ("-": none) and its reason; any other pair gets a histogram.
+VIEW_FOR = {
+    ("number", "number"): ("Scatter", "numeric vs numeric"),
+    ("group", "number"): ("Boxplot", "group vs numeric"),
+    ("number", "-"): ("Histogram / Density", "distribution of X"),
+    ("group", "-"): ("Bar Chart", "counts by group"),
+}
+
+
 def recommend_view(df: DataFrame, x: str, y: str | None = None, max_unique: int = 8) -> DataFrame:
-    """Scatter / Boxplot / Histogram-Density / Bar Chart from column types and
-    whether a numeric column is discrete (<= 8 distinct values)."""
+    """The view that ``VIEW_FOR`` names.  Text, and numbers with at most
+    ``max_unique`` values, count as groups on the x side."""
     from pansift.operators.columns import distinct_counts
-    cols = [c for c in [x, y] if c and _is_num(df, c)]
-    nd = distinct_counts(df, cols, cap=max_unique) if cols else {}
-    x_disc = _is_num(df, x) and nd[x] <= max_unique
-    x_num = _is_num(df, x) and not x_disc
-    x_group = (not _is_num(df, x)) or x_disc
-    y_num = bool(y) and _is_num(df, y)
-    rec, why = "Histogram", "default"
-    if x_num and y_num:
-        rec, why = "Scatter", "numeric vs numeric"
-    elif x_group and y_num:
-        rec, why = "Boxplot", "group vs numeric"
-    elif x_num and not y:
-        rec, why = "Histogram / Density", "distribution of X"
-    elif x_group and not y:
-        rec, why = "Bar Chart", "counts by group"
-    return df.sparkSession.createDataFrame([(x, y, rec, why)], "x string, y string, recommendation string, reason string")
+    few = _is_num(df, x) and distinct_counts(df, [x], cap=max_unique)[x] <= max_unique
+    kinds = ("number" if _is_num(df, x) and not few else "group",
+             "-" if not y else "number" if _is_num(df, y) else "group")
+    view, reason = VIEW_FOR.get(kinds, ("Histogram", "default"))
+    return df.sparkSession.createDataFrame([(x, y, view, reason)], "x string, y string, recommendation string, reason string")
 
 
 def before_after_stats(df: DataFrame, original: str, engineered: str, digits: int = 4) -> DataFrame:
     """Mean, SD, min, median, max of both variables over finite values."""
     rows, aggs = [], []
+    medians = quantile_fit(df, {"original": _x(original), "engineered": _x(engineered)}, [0.5])
     for i, (label, c) in enumerate([("original", original), ("engineered", engineered)]):
         x = _x(c)
         aggs += [F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"), F.min(x).alias(f"a{i}"),
-                 F.median(x).alias(f"d{i}"), F.max(x).alias(f"b{i}")]
+                 F.lit((medians[label] or [None])[0]).cast("double").alias(f"d{i}"), F.max(x).alias(f"b{i}")]
         rows.append(F.struct(F.lit(label).alias("variable"), F.lit(c).alias("column"),
                              *[F.round(F.col(f"{k}{i}"), digits).alias(nm) for k, nm in
                                [("m", "mean"), ("s", "sd"), ("a", "min"), ("d", "median"), ("b", "max")]]))

@@ -188,7 +188,22 @@ def q_kde(spark, sf):
     return V.kde(raw_panel(spark, sf), "temp_mean", by=ENTITY)
 
 
-@query("scatter_sample", """SELECT l_orderkey, l_extendedprice, l_discount, l_returnflag FROM lineitem
+@query("scatter_sample", "SELECT l_orderkey, l_extendedprice, l_discount, l_returnflag FROM lineitem")
+def q_scatter_points(spark, sf):
+    return V.scatter_sample(S.table(spark, sf, "lineitem"), "l_extendedprice", "l_discount", "l_returnflag", key="l_orderkey")
+
+
+@query("scatter_bins", """SELECT l_returnflag,
+  CAST(least(floor((CAST(l_extendedprice AS DOUBLE) - x0) / ((x1 - x0) / 50)), 49) AS INTEGER) AS x_bin,
+  CAST(least(floor((CAST(l_quantity AS DOUBLE) - y0) / ((y1 - y0) / 50)), 49) AS INTEGER) AS y_bin, count(*) AS n
+  FROM lineitem, (SELECT CAST(min(l_extendedprice) AS DOUBLE) AS x0, CAST(max(l_extendedprice) AS DOUBLE) AS x1,
+                         CAST(min(l_quantity) AS DOUBLE) AS y0, CAST(max(l_quantity) AS DOUBLE) AS y1 FROM lineitem) r
+  WHERE l_extendedprice IS NOT NULL AND l_quantity IS NOT NULL GROUP BY 1, 2, 3""")
+def q_scatter_bins(spark, sf):
+    return V.scatter_bins(S.table(spark, sf, "lineitem"), "l_extendedprice", "l_quantity", 50, ["l_returnflag"])
+
+
+@query("scatter_sample_key", """SELECT l_orderkey, l_extendedprice, l_discount, l_returnflag FROM lineitem
   WHERE CAST(((l_orderkey % 1000003) * 7919 + 104771) % 1000003 AS DOUBLE) / CAST(1000003 AS DOUBLE)
         < (CASE WHEN (SELECT count(*) FROM lineitem) <= 2000 THEN 1.0 ELSE 2000 / (SELECT count(*) FROM lineitem) END)""")
 def q_scatter_sample(spark, sf):
