@@ -352,9 +352,10 @@ def _yj_expr(x, lam):
 def _grid_search(df: DataFrame, cols: Sequence[str], transform, jac_expr, lo=-3.0, hi=3.0,
                  points: int = 21, passes: int = 3, refine_points: int = 11) -> dict:
     """Maximise llf(l) = -n/2 ln var_pop(T_l(x)) + (l - 1) * J(x) per column:
-    ``points`` grid values on [lo, hi], then ``refine_points`` around the
-    best point on each further pass, finished by a parabola through the
-    best point and its neighbours.
+    ``points`` grid values on [lo, hi], widened around the best point for as
+    long as that lies on an edge and still gains, then ``refine_points``
+    around the best point on each further pass, finished by a parabola through
+    the best point and its neighbours.
 
     Columns are unpivoted to (column id, value) so one pass is a single
     ``groupBy(column)`` with one variance per grid point: the aggregate width
@@ -370,40 +371,49 @@ def _grid_search(df: DataFrame, cols: Sequence[str], transform, jac_expr, lo=-3.
     base = {cols[r["cid"]]: (r["n"], r["j"] or 0.0) for r in
             long.groupBy("cid").agg(F.count("x").alias("n"), F.sum(jac_expr(F.col("x"))).alias("j")).collect()}
     bounds = {c: (lo, hi) for c in cols}
-    best = {c: None for c in cols}
-    for it in range(passes):
-        npts = points if it == 0 else refine_points
-        lo_arr = F.array(*[F.lit(float(bounds[c][0])) for c in cols])
-        hi_arr = F.array(*[F.lit(float(bounds[c][1])) for c in cols])
-        lam_lo, lam_hi = lo_arr[F.col("cid")], hi_arr[F.col("cid")]
-        exprs = []
-        for k in range(npts):
-            lam = lam_lo + (lam_hi - lam_lo) * F.lit(k / (npts - 1))
-            exprs.append(F.var_pop(transform(F.col("x"), lam)).alias(f"v{k}"))
-        rows = [dict(r.asDict(), column=cols[r["cid"]]) for r in long.groupBy("cid").agg(*exprs).collect()]
-        for r in rows:
-            c = r["column"]
+    best: dict = {c: None for c in cols}
+    top: dict = {c: -math.inf for c in cols}
+    left = {c: passes - 1 for c in cols}          # refinements still to do; absent: finished
+    while left:
+        npts = points if any(n == passes - 1 for n in left.values()) else refine_points
+        todo = sorted(left, key=cols.index)
+        at = {c: i for i, c in enumerate(todo)}
+        slot = F.array(*[F.lit(at.get(c, 0)) for c in cols])[F.col("cid")]
+        lam_lo = F.array(*[F.lit(float(bounds[c][0])) for c in todo])[slot]
+        lam_hi = F.array(*[F.lit(float(bounds[c][1])) for c in todo])[slot]
+        exprs = [F.var_pop(transform(F.col("x"), lam_lo + (lam_hi - lam_lo) * F.lit(k / (npts - 1)))).alias(f"v{k}")
+                 for k in range(npts)]
+        rows = {cols[r["cid"]]: r for r in
+                long.where(F.col("cid").isin([cols.index(c) for c in todo])).groupBy("cid").agg(*exprs).collect()}
+        for c in todo:
             n, jac = base.get(c, (0, 0.0))
             b0, b1 = bounds[c]
+            step = (b1 - b0) / (npts - 1)
             scores = []
             for k in range(npts):
-                v, lam = r[f"v{k}"], b0 + (b1 - b0) * k / (npts - 1)
-                if v is None or not (v > 0) or math.isinf(v):
-                    continue
-                scores.append((-n / 2.0 * math.log(v) + (lam - 1.0) * jac, lam))
+                v, lam = (rows[c][f"v{k}"] if c in rows else None), b0 + step * k
+                if v is not None and v > 0 and math.isfinite(v):
+                    scores.append((-n / 2.0 * math.log(v) + (lam - 1.0) * jac, lam))
             if not scores:
+                del left[c]
                 continue
             i_best = max(range(len(scores)), key=lambda i: scores[i][0])
-            lam = scores[i_best][1]
-            step = (b1 - b0) / (npts - 1)
-            if it == passes - 1 and 0 < i_best < len(scores) - 1:
-                # parabola through the best point and its neighbours
-                (y0, x0), (y1, x1), (y2, x2) = scores[i_best - 1], scores[i_best], scores[i_best + 1]
-                den = (y0 - 2 * y1 + y2)
-                if den < 0 and abs(x2 - x0 - 2 * step) < 1e-9:
-                    lam = x1 + 0.5 * step * (y0 - y2) / den
-            best[c] = lam
-            bounds[c] = (lam - step, lam + step)
+            score, lam = scores[i_best]
+            gained, top[c], best[c] = score > top[c], max(top[c], score), lam
+            if i_best in (0, len(scores) - 1) and gained:
+                # the best point lies on an edge: look on around it, twice as far
+                bounds[c] = (lam - (b1 - b0), lam + (b1 - b0))
+            elif left[c] > 0:
+                left[c] -= 1
+                bounds[c] = (lam - step, lam + step)
+            else:
+                if 0 < i_best < len(scores) - 1:
+                    # parabola through the best point and its neighbours
+                    (y0, x0), (y1, x1), (y2, x2) = scores[i_best - 1], scores[i_best], scores[i_best + 1]
+                    den = y0 - 2 * y1 + y2
+                    if den < 0 and abs(x2 - x0 - 2 * step) < 1e-9:
+                        best[c] = x1 + 0.5 * step * (y0 - y2) / den
+                del left[c]
     return best
 
 

@@ -5,20 +5,17 @@ nearest rows that have that column (the *donors*) supply a distance-
 weighted mean.  Distance is NaN-aware Euclidean: squared differences over
 the coordinates both rows have, scaled by (all coordinates / shared
 coordinates).  Weights are 1/d; when some donors are at distance 0 only
-those count.
-
-Distribution: receivers are shipped to the tasks in batches of at most
-``batch_rows`` rows (checked by count; more receivers -> more batches, each
-a separate pass).  Each donor partition computes distances to the batch in
-numpy and emits only its local k best per (receiver, column); a salted
-top-k merges those candidates.  Total work is receivers x donors, as in the
-reference, but no task holds more than one partition and one batch, and no
-pair list is materialised.
+those count.  A gap without any donor gets the column's mean.
+
+Distribution: receivers and donors are dealt to chunks of bounded size inside
+their block, and every receiver chunk meets every donor chunk of its block in
+one task of its own, which keeps its k best donors per (receiver, column) by
+(distance, donor key).  A salted top-k merges them.  Nothing passes through
+the driver, and the result does not depend on how the rows were partitioned.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 import numpy as np
@@ -28,72 +25,47 @@ from pyspark.sql import functions as F
 
 from pansift.functions.numeric import finite_or_null
 from pansift.operators.timeseries import rank_top_per_key
+from pansift.session import cut_lineage
 
 CAND_SCHEMA = "rid long, col int, d double, v double, did long"
-
-
-def _local_best(recv: pd.DataFrame, cols: Sequence[str], k: int, chunk: int = 512, block: str | None = None):
-    """mapInPandas body: donor batches -> up to k candidates per (receiver, column).
-    With ``block``, receivers only meet donors of their own block."""
-    p = len(cols)
-
-    def pairs(recv_part: pd.DataFrame, pdf: pd.DataFrame):
-        rx = recv_part[list(cols)].to_numpy(dtype=float)
-        rid = recv_part["_rid"].to_numpy()
-        dx = pdf[list(cols)].to_numpy(dtype=float)
-        did = pdf["_rid"].to_numpy()
-        yield from _best_pairs(rx, rid, dx, did, p, k, chunk)
-
-    def run(batches):
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            if block is None:
-                out = list(pairs(recv, pdf))
-            else:
-                out = []
-                for b, donors in pdf.groupby("_blk", sort=False):
-                    rb = recv[recv["_blk"] == b]
-                    if not rb.empty:
-                        out.extend(pairs(rb, donors))
-            if out:
-                yield pd.DataFrame(out, columns=["rid", "col", "d", "v", "did"])
-    return run
-
-
-def _best_pairs(rx, rid, dx, did, p, k, chunk):
-    """k nearest donors (NaN-aware distance) per receiver row and missing
-    column, as (rid, col, d, v, did) tuples; receivers in chunks of ``chunk``
-    rows bound the distance matrix held in memory."""
-    dmask = ~np.isnan(dx)
-    d0 = np.where(dmask, dx, 0.0)
-    for s in range(0, len(rx), chunk):
-        r = rx[s:s + chunk]
-        rmask = ~np.isnan(r)
-        r0 = np.where(rmask, r, 0.0)
-        both = rmask.astype(float) @ dmask.T.astype(float)           # shared coordinates
-        sq = np.maximum((r0 ** 2) @ dmask.T + rmask @ (d0 ** 2).T - 2 * r0 @ d0.T, 0.0)
+#: Rows of a chunk.
+CHUNK = 2048
+
+
+def best_donors(rx: np.ndarray, rid: np.ndarray, dx: np.ndarray, did: np.ndarray, k: int,
+                at_once: int = 256) -> list[np.ndarray]:
+    """Columns (rid, col, d, v, did) of each receiver's k nearest donors per
+    missing column; equal distances go by donor key."""
+    order = np.argsort(did, kind="stable")
+    dx, did = dx[order], did[order]
+    have, p = ~np.isnan(dx), dx.shape[1]
+    out: list[tuple] = []
+    for s in range(0, len(rx), at_once):
+        r = rx[s:s + at_once]
+        # summed column by column, so equal rows are at exactly equal distances
+        square, shared = np.zeros((len(r), len(dx))), np.zeros((len(r), len(dx)))
+        for j in range(p):
+            diff = np.subtract.outer(r[:, j], dx[:, j])
+            both = ~np.isnan(diff)
+            square += np.where(both, diff * diff, 0.0)
+            shared += both
         with np.errstate(divide="ignore", invalid="ignore"):
-            dist = np.sqrt(sq * (p / both))
-        dist[both == 0] = np.inf                                      # nothing in common: no distance
+            dist = np.where(shared > 0, np.sqrt(square * (p / shared)), np.inf)
         for j in range(p):
-            need = np.where(~rmask[:, j])[0]
-            has = np.where(dmask[:, j])[0]
-            if need.size == 0 or has.size == 0:
+            need, has = np.flatnonzero(np.isnan(r[:, j])), np.flatnonzero(have[:, j])
+            if not len(need) or not len(has):
                 continue
             sub = dist[np.ix_(need, has)]
-            kk = min(k, sub.shape[1])
-            idx = np.argpartition(sub, kk - 1, axis=1)[:, :kk]
-            for row_i, rr in enumerate(need):
-                for c in idx[row_i]:
-                    dd = sub[row_i, c]
-                    if np.isfinite(dd):
-                        yield (int(rid[s + rr]), j, float(dd), float(dx[has[c], j]), int(did[has[c]]))
-
-
-def knn_donor_join(df: DataFrame, cols: Sequence[str], key: str, k: int = 5,
-                   batch_rows: int = 50_000, block_by: str | None = None,
-                   max_pairs: int | None = None) -> DataFrame:
+            near = np.argsort(sub, axis=1, kind="stable")[:, :k]  # stable: donors stand in key order
+            d = np.take_along_axis(sub, near, axis=1)
+            row, c = np.nonzero(np.isfinite(d))
+            donor = has[near[row, c]]
+            out.append((rid[s + need[row]], np.full(len(row), j), d[row, c], dx[donor, j], did[donor]))
+    return [np.concatenate(x) for x in zip(*out)] if out else [np.empty(0)] * 5
+
+
+def knn_donor_join(df: DataFrame, cols: Sequence[str], key: str, k: int = 5, block_by: str | None = None,
+                   chunk: int = CHUNK) -> DataFrame:
     """Distance (theta) join with top-k: for every row with a gap and every
     missing column, its k nearest donors as (rid, col, d, v, did, rank),
     where ``col`` indexes ``cols``, ``d`` is the NaN-aware distance, ``v``
@@ -101,48 +73,56 @@ def knn_donor_join(df: DataFrame, cols: Sequence[str], key: str, k: int = 5,
 
     ``block_by``: donors only from the receiver's block (e.g. the entity);
     the work drops from receivers x rows to the sum over blocks.
-    ``max_pairs``: refuse (raise) when an unblocked job would compare more
-    than this many receiver-donor pairs.
     """
     cols = list(cols)
-    blk = [F.col(block_by).cast("string").alias("_blk")] if block_by else []
-    base = df.select(F.col(key).cast("long").alias("_rid"), *blk,
-                     *[finite_or_null(F.col(c).cast("double")).alias(c) for c in cols])
+    names = [f"x{i}" for i in range(len(cols))]
+    block = F.coalesce(F.col(block_by).cast("string"), F.lit("")) if block_by else F.lit("")
     gap = F.lit(False)
-    for c in cols:
-        gap = gap | F.col(c).isNull()
-    receivers = base.where(gap)
-    n_recv = receivers.count()
-    if n_recv == 0:
-        return df.sparkSession.createDataFrame([], CAND_SCHEMA + ", rank int")
-    if max_pairs is not None and block_by is None and n_recv * base.count() > max_pairs:
-        raise ValueError("KNN would compare more pairs than max_pairs; pass block_by to restrict donors")
-    n_batches = max(1, math.ceil(n_recv / batch_rows))
-    cands = None
-    for b in range(n_batches):
-        part = receivers.where(F.pmod(F.xxhash64("_rid"), F.lit(n_batches)) == b) if n_batches > 1 else receivers
-        pdf = part.toPandas()  # at most ~batch_rows rows (size-checked above)
-        got = base.mapInPandas(_local_best(pdf, cols, k, block="_blk" if block_by else None), CAND_SCHEMA)
-        cands = got if cands is None else cands.unionByName(got)
+    for n in names:
+        gap = gap | F.col(n).isNull()
+    base = df.select(F.col(key).cast("long").alias("rid"), block.alias("block"),
+                     *[finite_or_null(F.col(c).cast("double")).alias(n) for c, n in zip(cols, names)])
+    base = cut_lineage(base.withColumn("gap", gap), "knn")
+    chunks = cut_lineage(base.groupBy("block").agg(
+        F.ceil(F.count(F.lit(1)) / chunk).cast("int").alias("donor_chunks"),
+        F.ceil(F.count_if(F.col("gap")) / chunk).cast("int").alias("receiver_chunks")), "knn_chunks")
+    rows = base.join(chunks, "block")
+
+    def dealt(d, own, n, other, m):
+        mine = F.pmod(F.xxhash64("rid"), F.col(n)).cast("int").alias(own)
+        again = [F.col(c).alias(c) for c in ("block", "rid", *names)]  # columns of its own, since both sides come from one table
+        return d.select(mine, F.explode(F.sequence(F.lit(0), F.col(m) - 1)).alias(other), *again)
+    receivers = dealt(rows.where("gap"), "rc", "receiver_chunks", "dc", "donor_chunks")
+    donors = dealt(rows.where("receiver_chunks > 0"), "dc", "donor_chunks", "rc", "receiver_chunks")
+
+    def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if left.empty or right.empty:
+            return pd.DataFrame({c: [] for c in ("rid", "col", "d", "v", "did")})
+        got = best_donors(left[names].to_numpy(float), left["rid"].to_numpy(), right[names].to_numpy(float),
+                          right["rid"].to_numpy(), k)
+        return pd.DataFrame(dict(zip(("rid", "col", "d", "v", "did"), got)))
+
+    by = ["block", "rc", "dc"]
+    cands = receivers.groupBy(*by).cogroup(donors.groupBy(*by)).applyInPandas(meet, CAND_SCHEMA)
     return rank_top_per_key(cands, ["rid", "col"], [F.asc("d"), F.asc("did")], k)
 
 
-def impute_knn(df: DataFrame, cols: Sequence[str], key: str, k: int = 5,
-               batch_rows: int = 50_000, block_by: str | None = None,
-               max_pairs: int | None = None) -> DataFrame:
-    """Fill gaps in ``cols`` from the k nearest donors (weights 1/d).
+def impute_knn(df: DataFrame, cols: Sequence[str], key: str, k: int = 5, block_by: str | None = None,
+               chunk: int = CHUNK) -> DataFrame:
+    """Fill gaps in ``cols`` from the k nearest donors (weights 1/d); a gap
+    that no donor can fill (nothing in common with any) gets the column's mean.
 
-    ``key`` is a unique, non-null long column identifying rows (it keeps
-    the result stable when tasks are retried).
+    ``key`` is a unique, non-null long column identifying rows.
     """
     cols = list(cols)
-    best = knn_donor_join(df, cols, key, k, batch_rows, block_by, max_pairs)
+    best = knn_donor_join(df, cols, key, k, block_by, chunk)
     zero = F.max((F.col("d") == 0).cast("int")).over(Window.partitionBy("rid", "col"))
     w = F.when(F.col("_z") == 1, (F.col("d") == 0).cast("double")).otherwise(1.0 / F.col("d"))
-    filled = best.withColumn("_z", zero).groupBy("rid", "col").agg(
-        (F.sum(w * F.col("v")) / F.sum(w)).alias("fill"))
+    filled = best.withColumn("_z", zero).groupBy("rid", "col").agg((F.sum(w * F.col("v")) / F.sum(w)).alias("fill"))
     wide = filled.groupBy("rid").agg(*[F.max(F.when(F.col("col") == j, F.col("fill"))).alias(f"_f{j}")
                                        for j in range(len(cols))])
+    value = {c: finite_or_null(F.col(c).cast("double")) for c in cols}
+    mean = df.agg(*[F.avg(value[c]).alias(f"m{j}") for j, c in enumerate(cols)]).first()
     out = df.join(wide, F.col(key).cast("long") == F.col("rid"), "left")
-    return out.withColumns({c: F.coalesce(F.col(c).cast("double"), F.col(f"_f{j}")) for j, c in enumerate(cols)}) \
+    return out.withColumns({c: F.coalesce(value[c], F.col(f"_f{j}"), F.lit(mean[j]).cast("double")) for j, c in enumerate(cols)}) \
               .drop("rid", *[f"_f{j}" for j in range(len(cols))])

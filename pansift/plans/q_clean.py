@@ -209,22 +209,65 @@ def q_quality_report_and_fix(spark, sf):
 KNN_COLS = ["temp_mean", "wind_speed_mean", "cloud_cover_mean", "complaints_total", "temp_mean_lag1"]
 
 
-@query("impute_knn", None)
+def _keyed(p):
+    """Rows with an integer key: day * 16 + place of the entity in its domain."""
+    pos = F.array_position(F.array(*[F.lit(e) for e in S.ENTITY_DOMAIN]), F.col(ENTITY))
+    return p.withColumn("row_key", F.unix_date("date").cast("long") * 16 + pos)
+
+
+def _knn_ctes(block: bool) -> list:
+    pos = "CASE borough " + " ".join(f"WHEN '{e}' THEN {i + 1}" for i, e in enumerate(S.ENTITY_DOMAIN)) + " END"
+    cols = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in KNN_COLS)
+    square = " + ".join(f"coalesce((r.{c} - d.{c}) * (r.{c} - d.{c}), 0.0)" for c in KNN_COLS)
+    shared = " + ".join(f"CAST(r.{c} IS NOT NULL AND d.{c} IS NOT NULL AS INTEGER)" for c in KNN_COLS)
+    one = " UNION ALL ".join(f"""SELECT r.row_key AS rid, {j} AS col, ({square}) AS square, CAST(({shared}) AS DOUBLE) AS shared,
+  d.{c} AS v, d.row_key AS did FROM kb r JOIN kb d ON {'r.borough = d.borough AND ' if block else ''}r.{c} IS NULL AND d.{c} IS NOT NULL"""
+                             for j, c in enumerate(KNN_COLS))
+    return [("kb", f"SELECT date, borough, date_diff('day', DATE '1970-01-01', CAST(date AS DATE)) * 16 + {pos} AS row_key, {cols} FROM panel_raw"),
+            ("kp", one),
+            ("kd", """SELECT * FROM (SELECT rid, col, sqrt(square * (5.0::DOUBLE / shared)) AS d, v, did,
+  CAST(row_number() OVER (PARTITION BY rid, col ORDER BY sqrt(square * (5.0::DOUBLE / shared)), did) AS INTEGER) AS rank
+  FROM kp WHERE shared > 0) WHERE rank <= 5"""),
+            ("kf", """SELECT rid, col, CASE WHEN min(d) = 0 THEN avg(v) FILTER (WHERE d = 0) ELSE sum(v / d) FILTER (WHERE d > 0) / sum(1 / d) FILTER (WHERE d > 0) END AS fill
+  FROM kd GROUP BY rid, col""")]
+
+
+def _knn_filled(block: bool) -> str:
+    fills = ", ".join(f"""coalesce(b.{c}, (SELECT fill FROM kf WHERE kf.rid = b.row_key AND kf.col = {j}),
+  (SELECT avg({c}) FROM kb)) AS {c}""" for j, c in enumerate(KNN_COLS))
+    return S.with_ctes(["panel_raw"], f"SELECT b.row_key, b.date, b.borough, {fills} FROM kb b", extra=_knn_ctes(block))
+
+
+@query("impute_knn", _knn_filled(False), floats=KNN_COLS)
 def q_impute_knn(spark, sf):
     from pansift.operators.knn import impute_knn
-    p = raw_panel(spark, sf)
-    pos = F.array_position(F.array(*[F.lit(e) for e in S.ENTITY_DOMAIN]), F.col(ENTITY))
-    p = p.withColumn("row_key", F.unix_date("date").cast("long") * 16 + pos)
+    p = _keyed(raw_panel(spark, sf))
     return impute_knn(p.select("row_key", "date", ENTITY, *KNN_COLS), KNN_COLS, "row_key", k=5)
 
 
-@query("knn_donor_join", None)
+@query("impute_knn_blocked", _knn_filled(True), floats=KNN_COLS)
+def q_impute_knn_blocked(spark, sf):
+    """Donors of the same entity only."""
+    from pansift.operators.knn import impute_knn
+    p = _keyed(raw_panel(spark, sf))
+    return impute_knn(p.select("row_key", "date", ENTITY, *KNN_COLS), KNN_COLS, "row_key", k=5, block_by=ENTITY)
+
+
+@query("impute_knn_view", None)
+def q_impute_knn_view(spark, sf):
+    """Every numeric column of the feature view (unit tests hold the brute force)."""
+    from pansift.operators.columns import numeric_columns
+    from pansift.operators.knn import impute_knn
+    from pansift.plans.q_pipelines import features_of
+    view = _keyed(features_of(spark, sf))
+    cols = [c for c in numeric_columns(view) if c != "row_key"]
+    return impute_knn(view.select("row_key", "date", ENTITY, *cols), cols, "row_key", k=5)
+
+
+@query("knn_donor_join", S.with_ctes(["panel_raw"], "SELECT rid, col, d, v, did, rank FROM kd", extra=_knn_ctes(False)), floats=["d", "v"])
 def q_knn_donor_join(spark, sf):
     from pansift.operators.knn import knn_donor_join
-    p = raw_panel(spark, sf)
-    pos = F.array_position(F.array(*[F.lit(e) for e in S.ENTITY_DOMAIN]), F.col(ENTITY))
-    p = p.withColumn("row_key", F.unix_date("date").cast("long") * 16 + pos)
-    return knn_donor_join(p, KNN_COLS, "row_key", k=5)
+    return knn_donor_join(_keyed(raw_panel(spark, sf)), KNN_COLS, "row_key", k=5)
 
 
 @query("box_cox_fixed_lambda", S.with_ctes(["panel_raw"], """SELECT date, borough, precipitation_sum,

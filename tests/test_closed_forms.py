@@ -162,6 +162,7 @@ def _brute_knn(X, k):
             cands.sort()
             top = cands[:k]
             if not top:
+                out[i, j] = np.nanmean(X[:, j])
                 continue
             if any(d == 0 for d, _, _ in top):
                 ws = [1.0 if d == 0 else 0.0 for d, _, _ in top]
@@ -178,7 +179,7 @@ def test_knn_matches_brute_force(spark):
     X[rng.random(X.shape) < 0.15] = np.nan
     rows = [(i, *[None if np.isnan(v) else float(v) for v in X[i]]) for i in range(len(X))]
     df = spark.createDataFrame(rows, "id long, a double, b double, c double, d double").repartition(3)
-    got = impute_knn(df, ["a", "b", "c", "d"], "id", k=5, batch_rows=25).orderBy("id").toPandas()
+    got = impute_knn(df, ["a", "b", "c", "d"], "id", k=5, chunk=25).orderBy("id").toPandas()
     exp = _brute_knn(X, 5)
     assert np.allclose(got[["a", "b", "c", "d"]].to_numpy(dtype=float), exp, atol=1e-9, equal_nan=True)
 
@@ -240,8 +241,58 @@ def test_knn_block_by_matches_brute_force_per_block(spark):
         m = g == blk
         exp[m] = _brute_knn(X[m], 3)
     assert np.allclose(got[["a", "b", "c"]].to_numpy(dtype=float), exp, atol=1e-9, equal_nan=True)
-    with pytest.raises(ValueError):
-        impute_knn(df, ["a", "b", "c"], "id", k=3, max_pairs=10)
+
+
+def test_knn_ties_go_by_key_whatever_the_partitions(spark):
+    from pansift.operators.knn import impute_knn, knn_donor_join
+    rows = [(i, 1.0, float(i)) for i in range(40)] + [(100, 1.0, None), (101, None, None)]
+    df = spark.createDataFrame(rows, "id long, a double, b double")
+    for parts in (1, 7, 50):
+        d = df.repartition(parts)
+        best = [(r["did"], r["rank"]) for r in knn_donor_join(d, ["a", "b"], "id", 5, chunk=9).where("rid = 100").orderBy("rank").collect()]
+        assert best == [(i, i + 1) for i in range(5)]
+        got = {r["id"]: (r["a"], r["b"]) for r in impute_knn(d, ["a", "b"], "id", 5, chunk=9).where("id >= 100").collect()}
+        assert got == {100: (1.0, 2.0), 101: (1.0, 19.5)}   # nothing in common with any row: the mean
+
+
+@pytest.mark.parametrize("true", [6.0, -5.0])
+def test_lambda_search_has_no_bounds(spark, true):
+    x = np.random.default_rng(3).normal(10, 1, 2000) ** (1 / true)
+    df = spark.createDataFrame([(float(v),) for v in x], "x double")
+    got = CL.box_cox(df, "x", eps=0.0).first()["_boxcox_lambda_x"]
+    grid = np.arange(true - 4, true + 4, 0.001)
+    llf = [-len(x) / 2 * np.log(((x ** g - 1) / g if abs(g) > 1e-9 else np.log(x)).var()) + (g - 1) * np.log(x).sum() for g in grid]
+    assert abs(got - grid[int(np.argmax(llf))]) < 2e-3
+
+
+def test_quantiles_are_exact_and_never_gather_a_column(spark):
+    from pansift.operators.quantiles import quantile_fit, quantile_table
+    from pyspark.sql import functions as F
+    rng = np.random.default_rng(5)
+    rows = [(int(k % 3) if k % 11 else None, float(np.round(rng.normal(), 2)) if k % 7 else None, float(k % 2 == 0 and k < 3000),
+             float(rng.random())) for k in range(6000)]
+    df = spark.createDataFrame(rows, "g int, a double, hot double, many double").repartition(5)
+    qs = [0.0, 0.05, 0.25, 0.5, 0.9, 1.0]
+    want = df.agg(*[F.percentile(c, qs).alias(c) for c in ("a", "hot", "many")]).first()
+    got = quantile_fit(df, ["a", "hot", "many"], qs)
+    assert all(np.allclose(got[c], want[c], rtol=1e-12) for c in ("a", "hot", "many"))
+    by = {r["g"]: r["values"] for r in quantile_table(df, ["a"], qs, ["g"]).collect()}
+    assert len(by) == 4
+    for r in df.groupBy("g").agg(F.percentile("a", qs).alias("w")).collect():
+        assert np.allclose(by[r["g"]], r["w"], rtol=1e-12)
+    empty = quantile_fit(df.where("a > 99"), ["a"], [0.5])
+    assert empty == {"a": None}
+
+
+def test_missing_labels_give_zero_flags(spark):
+    from pansift.operators.aggregate import event_indicators
+    from pansift.operators.features import type_flags
+    df = spark.createDataFrame([("x", "2024-01-01", "B", None), ("y", "2024-01-01", "B", None)],
+                               "title string, date string, borough string, type string")
+    for contains in (False, True):
+        assert type_flags(df, "type", {"p": "parade"}, contains).agg({"p": "sum"}).first()[0] == 0
+    r = event_indicators(df).first()
+    assert (r["event_count"], r["event_has_parade"], r["event_has_holiday"]) == (2, 0, 0)
 
 
 def test_listing_missing_room_type_counts_as_not_entire(spark):
