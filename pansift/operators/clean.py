@@ -257,31 +257,19 @@ def scale_minmax(df: DataFrame, cols: Sequence[str], skip_constant: bool = True)
     return df.withColumns(ex) if ex else df
 
 
-def _levels(df: DataFrame, cols: Sequence[str], max_levels: int = 10_000) -> dict:
-    """Sorted distinct non-missing levels per column.
-
-    Levels of an encoded column are a small domain; the distinct
-    (column, level) pairs are counted by a distributed ``distinct`` and at
-    most ``max_levels`` per column (checked) are brought to the driver.
-    """
+def _levels(df: DataFrame, cols: Sequence[str]) -> dict:
+    """Sorted distinct non-missing levels per column.  Each level becomes a
+    column of the result, so they are brought to the driver after a
+    distributed ``distinct`` over (column, level)."""
     cols = list(cols)
     if not cols:
         return {}
     long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("v"))
                                          for c in cols])).alias("kv")).select("kv.*").where(F.col("v").isNotNull())
-    pairs = long.distinct()
-    cap = max_levels * len(cols) + 1
-    rows = pairs.limit(cap).collect()
-    if len(rows) >= cap:
-        raise ValueError(f"more than {max_levels} levels in an encoded column; not a categorical domain")
     got: dict = {c: [] for c in cols}
-    for r in rows:
+    for r in long.distinct().collect():
         got[r["column"]].append(r["v"])
-    for c in cols:
-        if len(got[c]) > max_levels:
-            raise ValueError(f"column {c} has more than {max_levels} levels")
-        got[c].sort()
-    return got
+    return {c: sorted(v) for c, v in got.items()}
 
 
 def one_hot_full_rank(df: DataFrame, cols: Sequence[str], keep_others: bool = True,

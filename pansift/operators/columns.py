@@ -173,19 +173,13 @@ def filter_flag(df: DataFrame, flag: str, keep: int = 1) -> DataFrame:
 
 
 def distinct_counts(df: DataFrame, cols: Iterable[str], cap: int | None = None) -> dict:
-    """Exact distinct count per column without an Expand per column.
-
-    Pass 1 takes ``approx_count_distinct`` of every column; only columns
-    that may be at or below ``cap`` get an exact ``collect_set`` whose size is
-    then bounded.  Without a cap, exact ``count_distinct`` is used.
-    """
+    """Exact distinct non-missing count per column: one long-form distinct
+    over (column, value) for all of them, without an Expand per column.
+    ``cap``: counts above it are reported as ``cap + 1``."""
+    from pansift.operators.profile import distinct_counts_long
     cols = list(cols)
-    if cap is None:
-        return fit_row(df, {c: F.count_distinct(F.col(c)) for c in cols})
-    approx = fit_row(df, {c: F.approx_count_distinct(F.col(c)) for c in cols})  # rsd 0.05: slack of the 2 cap + 4 threshold
-    cand = [c for c in cols if approx[c] <= 2 * cap + 4]
-    exact = fit_row(df, {c: F.size(F.collect_set(F.col(c))) for c in cand})
-    return {c: (exact[c] if c in exact else approx[c]) for c in cols}
+    got = {r["column"]: r["unique_n"] for r in distinct_counts_long(df, cols).collect()} if cols else {}
+    return {c: got[c] if cap is None else min(got[c], cap + 1) for c in cols}
 
 
 def is_discrete_numeric(df: DataFrame, cols: Iterable[str] | None = None, max_unique: int = 8) -> DataFrame:

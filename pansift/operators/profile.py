@@ -16,6 +16,7 @@ from pansift.functions.numeric import finite_or_null, numeric_types
 from pansift.operators._fit import fit_row
 from pansift.operators.quantiles import quantile_fit
 from pansift.operators.timeseries import rank_top_per_key
+from pansift.session import cut_lineage
 
 
 def _is_num(df, c):
@@ -52,9 +53,11 @@ def _quartiles(df: DataFrame, values: dict, approx: bool) -> dict:
 
 def summary_mixed(df: DataFrame, cols: Sequence[str] | None = None, approx: bool = False) -> DataFrame:
     """R-style summary: numeric min / Q1 / median / mean / Q3 / max / NA
-    count; text columns report length (rows) and NA count."""
+    count; text columns report length (rows) and NA count, and their levels
+    are counted by ``level_counts``."""
     cols = list(cols) if cols is not None else df.columns
     aggs, rows = [F.count(F.lit(1)).alias("_rows")], []
+    q = _quartiles(df, {c: F.col(c) for c in cols if _is_num(df, c)}, approx)
     for i, c in enumerate(cols):
         miss = F.count_if(F.col(c).isNull()).alias(f"na{i}")
         aggs.append(miss)
@@ -75,16 +78,30 @@ def summary_mixed(df: DataFrame, cols: Sequence[str] | None = None, approx: bool
     return _long(df.agg(*aggs), rows)
 
 
-def _examples(df: DataFrame, cols: Sequence[str], k: int) -> DataFrame:
-    """k smallest distinct non-missing values per column as ``a, b, c``.
-
-    Distinct (column, value) pairs are ranked with the salted top-k so a
-    column with many distinct values is never sorted in one task.
+def level_counts(df: DataFrame, cols: Sequence[str] | None = None, others: int | None = None) -> DataFrame:
+    """(column, level, n) for text columns, as a factor summary lists them;
+    ``others``: only so many of the most frequent levels per column (ties by
+    level), the rest counted together as ``(Other)``."""
+    cols = list(cols) if cols is not None else [c for c in df.columns if not _is_num(df, c)]
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("level"))
+                                         for c in cols])).alias("kv")).select("kv.*").where(F.col("level").isNotNull())
+    counts = long.groupBy("column", "level").agg(F.count(F.lit(1)).alias("n"))
+    if others is None:
+        return counts
+    top = rank_top_per_key(counts, "column", [F.desc("n"), F.asc("level")], others).select("column", "level", "n")
+    rest = counts.groupBy("column").agg(F.sum("n").alias("_all")).join(
+        top.groupBy("column").agg(F.sum("n").alias("_top")), "column").where("_all > _top")
+    return top.unionByName(rest.select("column", F.lit("(Other)").alias("level"), (F.col("_all") - F.col("_top")).alias("n")))
+
+
+def _examples(pairs: DataFrame, cols: Sequence[str], k: int) -> DataFrame:
+    """k smallest distinct non-missing values per column as ``a, b, c``, from
+    distinct (column, value) ``pairs``.
+
+    They are ranked with the salted top-k, so a column with many distinct
+    values is never sorted in one task.
     """
-    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
-                                         for c in cols])).alias("kv")).select("kv.*")
-    dist = long.where(F.col("value").isNotNull()).distinct()
-    top = rank_top_per_key(dist, "column", [F.asc("value")], k)
+    top = rank_top_per_key(pairs.where(F.col("column").isin(list(cols))), "column", [F.asc("value")], k)
     return top.groupBy("column").agg(
         F.concat_ws(", ", F.transform(F.array_sort(F.collect_list(F.struct("rank", "value"))),
                                       lambda s: s["value"])).alias("examples"))
@@ -98,11 +115,19 @@ def distinct_counts_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     per-column Expand that several ``count(DISTINCT)`` in one aggregate
     produce.
     """
+    return _counted(_pairs(df, cols), cols)
+
+
+def _pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Distinct non-missing (column, value as text)."""
     long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
                                          for c in cols])).alias("kv")).select("kv.*")
-    pairs = long.where(F.col("value").isNotNull()).select("column", "value").distinct()
+    return long.where(F.col("value").isNotNull()).select("column", "value").distinct()
+
+
+def _counted(pairs: DataFrame, cols: Sequence[str]) -> DataFrame:
     got = pairs.groupBy("column").agg(F.count(F.lit(1)).alias("unique_n"))
-    names = df.sparkSession.createDataFrame([(c,) for c in cols], "column string")
+    names = pairs.sparkSession.createDataFrame([(c,) for c in cols], "column string")
     return names.join(got, "column", "left").select("column", F.coalesce("unique_n", F.lit(0)).alias("unique_n"))
 
 
@@ -141,11 +166,13 @@ def data_dictionary(df: DataFrame, examples: int = 5, approx: bool = False,
                                  nul.alias("median"), nul.alias("p75"), nul.alias("max"),
                                  F.lit(None).cast("string").alias("examples")))
     out = _long(df.agg(*aggs), rows)
+    wanted = cols if exact_distinct else txt_cols
+    pairs = cut_lineage(_pairs(df, wanted), "pairs") if wanted else None   # counts and examples read the same pairs
     if exact_distinct:
-        u = distinct_counts_long(df, cols).withColumnRenamed("unique_n", "_u")
+        u = _counted(pairs, cols).withColumnRenamed("unique_n", "_u")
         out = out.join(F.broadcast(u), "column", "left").withColumn("unique_n", F.col("_u")).drop("_u")
     if txt_cols and examples:
-        ex = _examples(df, txt_cols, examples).withColumnRenamed("examples", "_ex")
+        ex = _examples(pairs, txt_cols, examples).withColumnRenamed("examples", "_ex")
         out = out.join(F.broadcast(ex), "column", "left") \
                  .withColumn("examples", F.coalesce("examples", "_ex")).drop("_ex")
     return out.orderBy(F.desc("missing_pct"), F.desc("unique_n"), F.asc("column"))
@@ -188,17 +215,16 @@ def panel_balance(df: DataFrame, date: str = "date", entity: str = "borough") ->
         .withColumn("balanced", (F.col("expected_rows") == F.col("n_rows")).cast("int"))
 
 
-def missing_panel_cells(df: DataFrame, date: str = "date", entity: str = "borough",
-                        max_entities: int = 100000) -> DataFrame:
+def missing_panel_cells(df: DataFrame, date: str = "date", entity: str = "borough") -> DataFrame:
     """(date, entity) keys absent from the panel, over the days present x the
-    entities present.  The entity list is a bounded domain (checked) and is
-    attached with ``explode`` of a literal array, not a cross join."""
-    ents = [r[0] for r in df.select(entity).where(F.col(entity).isNotNull()).distinct().limit(max_entities + 1).collect()]
-    if len(ents) > max_entities:
-        raise ValueError(f"more than {max_entities} entities; panel grid too large to enumerate")
-    days = df.select(date).where(F.col(date).isNotNull()).distinct()
-    grid = days.select(date, F.explode(F.array(*[F.lit(e) for e in ents])).alias(entity))
-    return grid.join(df.select(date, entity), [date, entity], "left_anti")
+    entities present.  Each day's entities are one set; what the set of all
+    entities (one row) holds beyond it is missing, so only missing cells are
+    written out, never the whole grid."""
+    days = df.where(F.col(date).isNotNull()).groupBy(date).agg(F.collect_set(entity).alias("_have"), F.lit(1).alias("_one"))
+    whole = df.where(F.col(date).isNotNull() | F.col(entity).isNotNull()).select(entity).distinct() \
+        .agg(F.collect_set(entity).alias("_all"), F.max(F.lit(1)).alias("_any"))
+    missing = days.join(whole, days["_one"] == whole["_any"]).select(date, F.explode(F.array_except("_all", "_have")).alias(entity))
+    return missing
 
 
 def consistency_rate(df: DataFrame, parts: Sequence[str], total: str, out: str = "pct") -> DataFrame:

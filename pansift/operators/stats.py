@@ -207,8 +207,10 @@ def treatment_dummies(df: DataFrame, categorical: Sequence[str]) -> tuple[DataFr
     levels = _levels(df, list(categorical))
     names, ex = [], {}
     for c in categorical:
-        for v in levels[c][1:]:
+        for k, v in enumerate(levels[c][1:], 2):
             nm = re.sub(r"[^0-9A-Za-z_]", "_", f"{c}_T_{v}")
+            if nm in ex or nm in df.columns:   # levels that differ in signs only: the level's number tells them apart
+                nm = f"{nm}_{k}"
             ex[nm] = F.when(F.col(c).isNull(), None).otherwise((F.col(c).cast("string") == F.lit(v)).cast("double"))
             names.append(nm)
     return df.withColumns(ex), names

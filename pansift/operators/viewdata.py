@@ -18,6 +18,10 @@ from pansift.operators.quantiles import quantile_fit, quantile_table
 from pansift.operators.features import cut_equal_width_expr
 
 
+#: A number with at most so many values counts as a group.
+FEW = 8
+
+
 def _x(c):
     return finite_or_null(F.col(c).cast("double"))
 
@@ -86,7 +90,7 @@ def histogram(df: DataFrame, col: str, bins: int = 30, by: Sequence[str] = (), s
 
 
 def bar_counts(df: DataFrame, col: str, by: Sequence[str] = (), bins: int = 10,
-               max_unique: int = 8) -> DataFrame:
+               max_unique: int = FEW) -> DataFrame:
     """Counts per category (and group / facet).  A continuous numeric x is
     first cut into ``bins`` equal-width, right-closed bins."""
     by = list(by)
@@ -235,7 +239,7 @@ VIEW_FOR = {
 }
 
 
-def recommend_view(df: DataFrame, x: str, y: str | None = None, max_unique: int = 8) -> DataFrame:
+def recommend_view(df: DataFrame, x: str, y: str | None = None, max_unique: int = FEW) -> DataFrame:
     """The view that ``VIEW_FOR`` names.  Text, and numbers with at most
     ``max_unique`` values, count as groups on the x side."""
     from pansift.operators.columns import distinct_counts

@@ -25,7 +25,16 @@ def q_daily_entity_counts(spark, sf):
                                  S.DEDUPE_ORDER, S.ENTITY_DOMAIN)
 
 
-@query("topk_pivot_counts", S.with_ctes(["fact_labeled", "top_types"], """
+@query("topk_pivot_counts", S.with_ctes(["fact_labeled"], "SELECT f.date, f.borough, "
+    + ", ".join(f"count(*) FILTER (WHERE r.k = {i}) AS top{i}_cnt" for i in range(1, 9)) + """, count(*) FILTER (WHERE r.k IS NULL) AS other_cnt
+FROM fact_labeled f LEFT JOIN r ON f.complaint_type = r.complaint_type GROUP BY 1, 2""", extra=[("r", """SELECT complaint_type, k FROM (
+  SELECT complaint_type, row_number() OVER (ORDER BY count(*) DESC, complaint_type) AS k FROM fact_labeled GROUP BY 1) WHERE k <= 8""")]))
+def q_topk_wide_counts(spark, sf):
+    lab = A.standardize_label(fact(spark, sf), "complaint_type")
+    return A.topk_pivot_counts(lab, ["date", ENTITY], "complaint_type", 8, naming="rank")
+
+
+@query("topk_bucket_counts", S.with_ctes(["fact_labeled", "top_types"], """
 SELECT f.date, f.borough, coalesce(t.complaint_type, 'OTHER') AS bucket, count(*) AS cnt
 FROM fact_labeled f LEFT JOIN top_types t ON f.complaint_type = t.complaint_type
 GROUP BY 1, 2, 3"""))

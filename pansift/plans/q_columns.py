@@ -43,13 +43,11 @@ def q_rename_first_match(spark, sf):
   'topk_' || replace(replace(replace(replace(p_brand, ' ', '_'), '/', '_'), '-', '_'), '&', 'AND') || '_cnt' AS column_name,
   count(*) AS n FROM part GROUP BY p_brand""")
 def q_safe_column_names(spark, sf):
-    # mapping built for every distinct label the data holds (label -> column name)
+    # the mapping covers every label that the data holds; a label becomes a column name, so labels reach the driver
     labels = S.table(spark, sf, "part").groupBy(F.col("p_brand").alias("label")).agg(F.count(F.lit(1)).alias("n"))
-    expr = F.col("label")
-    from pansift.functions.text import NAME_CHAR_MAP
-    for k, v in NAME_CHAR_MAP.items():
-        expr = F.replace(expr, F.lit(k), F.lit(v))
-    return labels.select("label", F.concat(F.lit("topk_"), expr, F.lit("_cnt")).alias("column_name"), "n")
+    names = C.safe_column_names([r["label"] for r in labels.select("label").collect()])
+    return labels.join(spark.createDataFrame(list(names.items()), "label string, column_name string"), "label") \
+                 .select("label", "column_name", "n")
 
 
 @query("standardize_text", S.with_ctes(["wb"], f"""SELECT id, {SU('segment')} AS segment,

@@ -134,10 +134,11 @@ def q_composition_diversity(spark, sf):
     return FE.composition_diversity(p, names).select("date", ENTITY, "complaint_entropy", "complaint_hhi", "complaint_top_share")
 
 
-@query("type_flags", S.with_ctes(["public_events"], """SELECT title, CAST(type = 'parade' AS INTEGER) AS is_parade,
-  CAST(type = 'holiday' AS INTEGER) AS is_holiday FROM public_events"""))
+@query("type_flags", S.with_ctes(["public_events"], """SELECT title, CAST(coalesce(t = 'parade', false) AS INTEGER) AS is_parade,
+  CAST(coalesce(t = 'holiday', false) AS INTEGER) AS is_holiday FROM (SELECT title, CASE WHEN length(title) % 3 > 0 THEN type END AS t FROM public_events)"""))
 def q_type_flags(spark, sf):
-    e = S.public_events(spark, sf).select("title", "type")
+    # titles of some lengths lose their type: a missing one gives 0
+    e = S.public_events(spark, sf).select("title", F.when(F.length("title") % 3 > 0, F.col("type")).alias("type"))
     return FE.type_flags(e, "type", {"is_parade": "parade", "is_holiday": "holiday"}).drop("type")
 
 

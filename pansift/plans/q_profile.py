@@ -34,6 +34,12 @@ def q_summary_mixed(spark, sf):
     return P.summary_mixed(S.workbench(spark, sf))
 
 
+@query("level_counts", S.with_ctes(["wb"], """SELECT 'segment' AS "column", CAST(segment AS VARCHAR) AS level, count(*) AS n FROM wb WHERE segment IS NOT NULL GROUP BY 2
+  UNION ALL SELECT 'name', name, count(*) FROM wb WHERE name IS NOT NULL GROUP BY 2"""))
+def q_level_counts(spark, sf):
+    return P.level_counts(S.workbench(spark, sf), ["segment", "name"])
+
+
 def _dd_sql():
     parts = []
     for c, t in S.PANEL_SCHEMA:

@@ -66,7 +66,11 @@ def q_read_json_matrix(spark, sf):
     blk = F.floor(F.col("event_id") / 24).alias("block")
     g = e.groupBy(blk).agg(F.array_sort(F.collect_list(F.struct("event_id", "event_type", "value"))).alias("r"))
     rows = F.transform("r", lambda s: F.array(s["event_id"].cast("string"), s["event_type"], s["value"].cast("string")))
-    doc = F.to_json(F.concat(F.array(F.array(F.lit("EVENT_ID"), F.lit("event_type"), F.lit(" value"))), rows))
+    # documents of odd blocks have their columns the other way round
+    rows = F.when(F.col("block") % 2 == 0, rows).otherwise(F.transform(rows, lambda r: F.reverse(r)))
+    head = F.when(F.col("block") % 2 == 0, F.array(F.lit("EVENT_ID"), F.lit("event_type"), F.lit(" value"))) \
+            .otherwise(F.array(F.lit("value"), F.lit("Event_Type"), F.lit("event_id ")))
+    doc = F.to_json(F.concat(F.array(head), rows))
     return RD.read_json_matrix(g.select("block", doc.alias("doc")), "doc", keep=["block"])
 
 
@@ -86,6 +90,23 @@ def q_extract_links_by_heading(spark, sf):
     return extract_links_by_heading(S.table(spark, sf, "pages"), heading_tag=None)
 
 
+_MONTH_NAMES = ["January", "February", "March", "April", "May", "June", "July", "August"]
+
+
+@query("extract_links_by_month", """SELECT page_id, heading, month, title, make_date(2024, month, 15) AS date FROM (
+  SELECT page_id, ['January', 'February', 'March', 'April', 'May', 'June', 'July', 'August'][CAST(page_id % 8 AS INTEGER) + 1] || ' pages' AS heading,
+  CAST(page_id % 8 + 1 AS INTEGER) AS month, regexp_replace(regexp_replace(t, '[℠®™]', '', 'g'), '^\\s+|\\s+$', '', 'g') AS title
+  FROM (SELECT page_id, regexp_replace(unnest(regexp_extract_all(html, '<a [^>]*>([^<]*)</a>', 1)), '^\\s+|\\s+$', '', 'g') AS t FROM pages)
+  WHERE length(t) > 5 AND NOT starts_with(t, 'http')) WHERE month <= 6""")
+def q_extract_links_by_month(spark, sf):
+    """Each page as a section under a month's heading; what stands outside the section does not count."""
+    p = S.table(spark, sf, "pages")
+    month = F.element_at(F.array(*[F.lit(m) for m in _MONTH_NAMES]), (F.col("page_id") % 8 + 1).cast("int"))
+    html = F.concat(F.lit("<a>before every heading</a><section><h4>"), month, F.lit(" pages</h4><div>"), F.col("html"),
+                    F.lit("</div></section><a>after the section</a>"))
+    return extract_links_by_heading(p.select("page_id", html.alias("html")), heading_tag="h4")
+
+
 @query("extract_links_under_titles", None)
 def q_extract_links_under_titles(spark, sf):
     return extract_links_by_heading(S.table(spark, sf, "pages"), heading_tag="h1", require_month=False)

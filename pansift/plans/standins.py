@@ -83,6 +83,7 @@ def hourly_weather(spark, sf_dir) -> DataFrame:
         (F.col("o_custkey") % 101).cast("double").alias("cloud_cover"))
 
 
+# Fixed values from the reference: weather columns and how each day is summed up.
 WEATHER_SPEC = {
     "temperature_2m": [("temp_mean", "mean"), ("temp_max", "max"), ("temp_min", "min")],
     "precipitation": [("precipitation_sum", "sum")],
@@ -241,10 +242,12 @@ def with_ctes(names: list[str], body: str, extra: list[tuple[str, str]] | None =
 
 WEATHER_COLS = ["temp_mean", "temp_max", "temp_min", "precipitation_sum", "wind_speed_mean",
                 "cloud_cover_mean", "rain_sum", "snowfall_sum", "wind_gust_mean"]
+# Fixed values from the reference: structural columns of the panel.
 STRUCT_COLS = ["census_income_borough_median", "census_population_borough_sum", "airbnb_listing_count",
                "airbnb_price_mean", "airbnb_price_median", "airbnb_rating_mean", "airbnb_total_reviews",
                "airbnb_entire_home_pct", "airbnb_per_1000_people_borough"]
 TOPK_COLS = [f"top{i}_cnt" for i in range(1, 9)] + ["other_cnt"]
+# Fixed values from the reference: lag and rolling columns of the panel.
 LAG_COLS = ["temp_mean_lag1", "temp_mean_ma7", "precipitation_sum_lag1", "precipitation_sum_ma7",
             "complaints_total_ma7"]
 

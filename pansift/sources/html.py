@@ -23,40 +23,54 @@ MONTHS = {"january": 1, "february": 2, "march": 3, "april": 4, "may": 5, "june":
 OUT_SCHEMA = "page_id long, heading string, month int, title string"
 
 
+# Elements without an end tag.
+VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+
+
 class _Links(HTMLParser):
-    """Collect (current heading, link text) in document order."""
+    """Collect (current heading, link text) in document order.  A heading
+    holds for its following siblings and what they contain: it ends with the
+    next heading or with the element that contains it."""
 
     def __init__(self, heading_tag):
         super().__init__(convert_charrefs=True)
         self.heading_tag = heading_tag
-        self.heading = None
-        self.in_heading = False
-        self.heading_buf: list[str] = []
-        self.link_depth = 0
-        self.link_buf: list[str] = []
+        self.open: list[str] = []
+        self.heading, self.level = None, 0
+        self.heading_buf: list[str] | None = None
+        self.link_buf: list[str] | None = None
         self.out: list[tuple] = []
 
     def handle_starttag(self, tag, attrs):
         if self.heading_tag and tag == self.heading_tag:
-            self.in_heading, self.heading_buf = True, []
+            self.heading_buf = []
         elif tag == "a":
-            self.link_depth += 1
-            if self.link_depth == 1:
-                self.link_buf = []
+            self.end_link()
+            self.link_buf = []
+        if tag not in VOID:
+            self.open.append(tag)
 
     def handle_endtag(self, tag):
-        if self.heading_tag and tag == self.heading_tag and self.in_heading:
-            self.in_heading = False
-            self.heading = "".join(self.heading_buf).strip()
-        elif tag == "a" and self.link_depth > 0:
-            self.link_depth -= 1
-            if self.link_depth == 0:
-                self.out.append((self.heading, "".join(self.link_buf).strip()))
+        if self.heading_tag and tag == self.heading_tag and self.heading_buf is not None:
+            self.heading, self.heading_buf = "".join(self.heading_buf).strip(), None
+            self.level = len(self.open) - 1
+        elif tag == "a":
+            self.end_link()
+        if tag in self.open:
+            while self.open.pop() != tag:
+                pass
+            if len(self.open) < self.level:
+                self.heading, self.level = None, 0
+
+    def end_link(self):
+        if self.link_buf is not None:
+            self.out.append((self.heading, "".join(self.link_buf).strip()))
+            self.link_buf = None
 
     def handle_data(self, data):
-        if self.in_heading:
+        if self.heading_buf is not None:
             self.heading_buf.append(data)
-        if self.link_depth > 0:
+        if self.link_buf is not None:
             self.link_buf.append(data)
 
 
@@ -78,11 +92,8 @@ def _parse_batches(heading_tag):
                 if html is None:
                     continue
                 p = _Links(heading_tag)
-                try:
-                    p.feed(html)
-                    p.close()
-                except Exception:  # noqa: BLE001 - malformed page: keep what was parsed
-                    pass
+                p.feed(html)   # the parser reads on over malformed markup; any other error is one to see
+                p.close()
                 for heading, title in p.out:
                     rows.append((int(pid), heading, _month_of(heading), title))
             yield pd.DataFrame(rows, columns=["page_id", "heading", "month", "title"])

@@ -85,14 +85,18 @@ def read_json_columnar(df: DataFrame, struct_col: str, rename: Mapping[str, str]
 def read_json_matrix(df: DataFrame, json_col: str, header: Sequence[str] | None = None,
                      keep: Sequence[str] = ()) -> DataFrame:
     """JSON array of arrays whose first row is the header -> a table of text
-    columns.  The header is read from the first document when not given
-    (one small row); data rows are matched to it by position."""
-    parsed = df.select(*keep, F.from_json(F.col(json_col), "array<array<string>>").alias("_m"))
+    columns.  Every document's rows are matched by its own header, whatever
+    its order; a name that a document lacks is NULL there.  Without
+    ``header`` the columns are the names of all documents (names only reach
+    the driver), in the order of their first places."""
+    parsed = df.select(*keep, F.from_json(F.col(json_col), "array<array<string>>").alias("_m")).where(F.size("_m") > 0)
+    parsed = parsed.withColumn("_h", F.transform(F.get("_m", 0), lambda h: F.lower(F.trim(h))))
     if header is None:
-        first = parsed.where(F.size("_m") > 0).select(F.col("_m")[0]).first()
-        header = list(first[0]) if first else []
-    rows = parsed.select(*keep, F.posexplode("_m").alias("_pos", "_row")).where(F.col("_pos") > 0)
-    return rows.select(*keep, *[F.col("_row")[i].alias(h.strip().lower()) for i, h in enumerate(header)])
+        places = parsed.select(F.posexplode("_h").alias("_place", "_name")).groupBy("_name").agg(F.min("_place").alias("_place"))
+        header = [r["_name"] for r in places.orderBy("_place", "_name").collect()]
+    names = [h.strip().lower() for h in header]
+    rows = parsed.select(*keep, "_h", F.posexplode("_m").alias("_pos", "_row")).where(F.col("_pos") > 0)
+    return rows.select(*keep, *[F.get("_row", F.array_position("_h", h) - 1).alias(h) for h in names])
 
 
 def ingest_pages(spark: SparkSession, path: str, columns: Sequence[str], ts_col: str,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
@@ -18,7 +19,7 @@ def _write(df: DataFrame, target: str, mode: str, fmt: str, partition_by: Sequen
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", versioned: bool = False,
-              fmt: str = "csv", partition_by: Sequence[str] = (), max_versions: int = 100) -> str:
+              fmt: str = "csv", partition_by: Sequence[str] = ()) -> str:
     """Write with a header (CSV) or in another format.  ``versioned``: when
     the write is refused because the target exists, write to ``<path>_v2``
     (then ``_v3`` ...) instead of failing.  Returns the path written."""
@@ -26,7 +27,7 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", versioned:
     if not versioned:
         _write(df, path, mode, fmt, partition_by)
         return path
-    for k in range(1, max_versions + 1):
+    for k in itertools.count(1):
         target = path if k == 1 else f"{path}_v{k}"
         try:
             _write(df, target, "errorifexists", fmt, partition_by)
@@ -34,7 +35,7 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", versioned:
         except AnalysisException as e:
             if "PATH_ALREADY_EXISTS" not in str(e) and "already exists" not in str(e):
                 raise
-    raise FileExistsError(f"{path}: {max_versions} versions exist")
+    raise AssertionError("unreachable")
 
 
 def write_outputs(frames: Mapping[str, DataFrame], out_dir: str, fmt: str = "parquet",

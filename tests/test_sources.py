@@ -64,3 +64,23 @@ def test_load_table_by_extension(spark):
     assert sorted(RD.load_table(spark, f"{base}/t.json").columns) == ["id", "name"]
     assert RD.load_table(spark, f"{base}/t.parquet").count() == 2
     assert RD.load_table(spark, f"{base}/t.xlsx") is None
+
+
+def test_links_end_with_the_section(spark):
+    html = "<div><h4>March</h4><p><a>inside the section</a></p></div><a>outside the section</a><h4>May</h4><br><a>under another one</a>"
+    out = extract_links_by_heading(spark.createDataFrame([(1, html)], "page_id long, html string"), heading_tag="h4")
+    assert sorted((r["title"], r["month"]) for r in out.collect()) == [("inside the section", 3), ("under another one", 5)]
+
+
+def test_json_matrix_headers_differ(spark):
+    docs = [json.dumps([["a", "b"], ["1", "2"]]), json.dumps([["b", "a"], ["3", "4"]]), json.dumps([["a", "c"], ["5", "6"]]), "[]", None]
+    out = RD.read_json_matrix(spark.createDataFrame([(d,) for d in docs], "doc string"), "doc")
+    assert out.columns == ["a", "b", "c"]
+    assert sorted(map(tuple, out.collect())) == [("1", "2", None), ("4", "3", None), ("5", None, "6")]
+
+
+def test_dummy_names_never_collide(spark):
+    from pansift.operators.stats import treatment_dummies
+    df = spark.createDataFrame([("A",), ("A-B",), ("A_B",), (None,)], "g string")
+    out, names = treatment_dummies(df, ["g"])
+    assert len(set(names)) == 2 and len(set(out.columns)) == 3
