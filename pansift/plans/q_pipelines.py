@@ -12,7 +12,7 @@ from pansift.plans.pipelines import PanelInputs, build_panel
 def panel_inputs(spark, sf, top_k=8) -> PanelInputs:
     return PanelInputs(requests=S.requests(spark, sf), hourly=S.hourly_weather(spark, sf),
                        events=S.public_events(spark, sf), census=S.census(spark, sf),
-                       listings=S.listings(spark, sf), domain=S.ENTITY_DOMAIN,
+                       listings=S.listings(spark, sf), zip_rows=S.requests(spark, sf, labels=False), domain=S.ENTITY_DOMAIN,
                        dedupe_order=S.DEDUPE_ORDER, weather_spec=S.WEATHER_SPEC,
                        entire_token=S.LISTING_ENTIRE_TOKEN, top_k=top_k, topk_naming="rank")
 
@@ -135,7 +135,7 @@ def q_feature_view(spark, sf):
     floats=["census_income_borough_median", "census_population_borough_sum"])
 def q_census_to_entity(spark, sf):
     from pansift.plans.pipelines import census_to_entity
-    return census_to_entity(S.requests(spark, sf), S.census(spark, sf), S.ENTITY_DOMAIN)
+    return census_to_entity(S.requests(spark, sf, labels=False), S.census(spark, sf), S.ENTITY_DOMAIN)
 
 
 @query("skew_transforms", None)

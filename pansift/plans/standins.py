@@ -52,18 +52,24 @@ def nation_entity(spark, sf_dir) -> DataFrame:
     return n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey).select("n_nationkey", "r_name")
 
 
-def requests(spark, sf_dir) -> DataFrame:
-    """Raw service-request stand-in (duplicates on unique_key included)."""
+def requests(spark, sf_dir, labels: bool = True) -> DataFrame:
+    """Raw service-request stand-in (duplicates on unique_key included);
+    without ``labels`` only what the ZIP map needs, so ``part`` is not read.
+    The fact meets ``supplier`` by that file's own size first, and the
+    25-row map after it: a nested join would look larger than it is."""
     li = table(spark, sf_dir, "lineitem")
     li = li.select(
         # numeric order-line key (TPC-H line numbers are 1..7): cheaper to hash and shuffle than text
         (F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("unique_key"),
         F.col("l_shipdate").alias("created_date"), "l_partkey", "l_suppkey", "l_quantity",
         "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus")
+    sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    ne = nation_entity(spark, sf_dir)
+    out = li.join(sup, li.l_suppkey == sup.s_suppkey).join(F.broadcast(ne), F.col("s_nationkey") == ne.n_nationkey)
+    if not labels:
+        return out.select("unique_key", F.col("r_name").alias("borough"), F.col("l_partkey").alias("incident_zip"))
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
-    sup = supplier_entity(spark, sf_dir)
-    out = (li.join(part, li.l_partkey == part.p_partkey)
-             .join(sup, li.l_suppkey == sup.s_suppkey))
+    out = out.join(part, li.l_partkey == part.p_partkey)
     return out.select("unique_key", "created_date", F.col("r_name").alias("borough"),
                       F.col("p_brand").alias("complaint_type"), F.col("l_partkey").alias("incident_zip"),
                       *DEDUPE_ORDER[1:])
