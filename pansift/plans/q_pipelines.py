@@ -67,7 +67,7 @@ def q_build_panel(spark, sf):
 def q_panel_features(spark, sf):
     return build_panel(panel_inputs(spark, sf), upto="features")
 from pansift.plans.pipelines import (CleanConfig, clean_table, cleaning_audit, engineer_feature, feature_view,
-                                     filtered_view, model_matrix, skew_transforms, weather_effects)
+                                     filtered_view, model_matrix, skew_transforms, weather_effects, SKEW_LOG, SKEW_WINS)
 
 SHARES = [c.replace("_cnt", "_share") for c in S.TOPK_COLS]
 SHARES_NO_OTHER = [s for s in SHARES if "OTHER" not in s.upper()]
@@ -86,7 +86,8 @@ def features_of(spark, sf):
     return stage_table(spark, sf, "feature_view", build)
 
 
-def _fv_sql():
+def _fv_parts() -> tuple[list, str]:
+    """CTEs and final SELECT of the feature view."""
     sh = ", ".join(f"CAST({c} AS DOUBLE) / nullif(complaints_total, 0) AS {c.replace('_cnt', '_share')}" for c in S.TOPK_COLS)
     ent = " + ".join(f"coalesce(-greatest({s}, 1e-12) * ln(greatest({s}, 1e-12)), 0)" for s in SHARES)
     hhi = " + ".join(f"coalesce({s} * {s}, 0)" for s in SHARES)
@@ -117,7 +118,12 @@ def _fv_sql():
   CAST(coalesce(q.is_outlier_low_citywide, 0) AS INTEGER) AS is_outlier_low_citywide,
   CAST(coalesce(q.is_outlier_high_citywide, 0) AS INTEGER) AS is_outlier_high_citywide
   FROM fv4 f LEFT JOIN quality_by_date q ON f.date = q.date"""
-    return S.with_ctes(["panel_raw", "quality_by_date"], body, extra=[("fv1", fv1), ("fv2", fv2), ("fv3", fv3), ("fv4", fv4)])
+    return [("fv1", fv1), ("fv2", fv2), ("fv3", fv3), ("fv4", fv4)], body
+
+
+def _fv_sql():
+    extra, body = _fv_parts()
+    return S.with_ctes(["panel_raw", "quality_by_date"], body, extra=extra)
 
 
 FV_FLOATS = S.PANEL_FLOATS + SHARES + ["dow_sin", "dow_cos", "month_sin", "month_cos", "temp_range", "complaints_per_1000_people",
@@ -140,6 +146,7 @@ def q_census_to_entity(spark, sf):
 
 @query("skew_transforms", None)
 def q_skew_transforms(spark, sf):
+    """With lambda by maximum likelihood; the long processed views hold the SQL for a given lambda."""
     return skew_transforms(raw_panel(spark, sf))
 
 
@@ -154,14 +161,14 @@ MM_PREDICTORS = ["day_index", "dow_sin", "dow_cos", "month_sin", "month_cos", "i
 STRUCTURAL = S.STRUCT_COLS
 
 
-def _model_inputs(spark, sf):
-    """The time-safe processed view (imputed forward only, skew transforms)."""
-    return _processed(spark, sf, time_safe=True)
+#: A given Box-Cox lambda, with which SQL can follow the processed views and matrices.
+LAMBDA = 0.25
 
 
-def _matrices(spark, sf):
+def _matrices(spark, sf, lam: float | None = None):
+    """Matrices over the time-safe processed view (imputed forward only, skew transforms)."""
     from pansift.operators.features import TEMP_BIN_LABELS
-    return model_matrix(_model_inputs(spark, sf), "log_complaints_total", MM_PREDICTORS, STRUCTURAL,
+    return model_matrix(_processed(spark, sf, time_safe=True, lam=lam), "log_complaints_total", MM_PREDICTORS, STRUCTURAL,
                         levels={"temp_bin": TEMP_BIN_LABELS})
 
 
@@ -175,6 +182,96 @@ def q_model_matrix_power(spark, sf):
     return _matrices(spark, sf)["X_A_power"]
 
 
+# -- the same in SQL, in long form: (date, borough, column, value) ----------------
+# Which columns have gaps, or vary at all, depends on the data; in long form a
+# column that is absent has no rows, so one statement covers every case.
+
+def _view_ctes(time_safe: bool) -> list:
+    """CTEs ``view`` (long: every numeric column of the processed view) and
+    ``bins`` (the filled temperature bin)."""
+    extra, body = _fv_parts()
+    fwd = "last_value({c} IGNORE NULLS) OVER (PARTITION BY {p}borough ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    back = "first_value({c} IGNORE NULLS) OVER (PARTITION BY {p}borough ORDER BY date ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)"
+    fill = fwd if time_safe else f"coalesce({back}, {fwd})"
+    value = fill.format(c="value", p="col, ")
+    filled = f"SELECT date, borough, col, value AS raw, {value} AS value FROM fl"
+    if not time_safe:
+        filled = f"""SELECT f.date, f.borough, f.col, f.raw, coalesce(f.value, m.med) AS value FROM ({filled}) f
+  LEFT JOIN (SELECT col, quantile_cont(value, 0.5) AS med FROM ({filled}) GROUP BY col) m ON f.col = m.col"""
+    win = """SELECT w.date, w.borough, w.col || '_wins' AS col, least(greatest(w.value, b.lo), b.hi) AS value FROM filled w
+  JOIN (SELECT col, list_sort(list(value))[CAST(floor(0.01 * count(value)) AS BIGINT) + 1] AS lo,
+               list_sort(list(value))[count(value) - CAST(floor(0.01 * count(value)) AS BIGINT)] AS hi
+        FROM filled WHERE value IS NOT NULL GROUP BY col) b ON w.col = b.col WHERE w.value IS NOT NULL AND w.col IN ({})""".format(
+        ", ".join(f"'{c}'" for c in SKEW_WINS))
+    return extra + [
+        ("fv", body),
+        ("fl", """SELECT date, borough, col, value FROM (SELECT date, borough, CAST(COLUMNS(* EXCLUDE (date, borough, temp_bin)) AS DOUBLE) FROM fv)
+  UNPIVOT INCLUDE NULLS (value FOR col IN (COLUMNS(* EXCLUDE (date, borough))))"""),
+        ("filled", filled),
+        ("view", f"""SELECT date, borough, col, value FROM filled WHERE value IS NOT NULL
+  UNION ALL SELECT date, borough, f.col || '_missing', CAST(raw IS NULL AS DOUBLE) FROM filled f
+    JOIN (SELECT col FROM fl GROUP BY col HAVING count_if(value IS NULL) > 0) g ON f.col = g.col
+  UNION ALL SELECT date, borough, 'temp_bin_missing', CAST(temp_bin IS NULL AS DOUBLE) FROM fv WHERE (SELECT count_if(temp_bin IS NULL) FROM fv) > 0
+  UNION ALL {win}
+  UNION ALL SELECT date, borough, 'log1p_' || col, ln(1 + value) FROM filled WHERE value IS NOT NULL AND col IN ({", ".join(f"'{c}'" for c in SKEW_LOG)})
+  UNION ALL SELECT date, borough, 'boxcox_precipitation_sum', (power(coalesce(value, 0.0) + 0.001, {LAMBDA}) - 1) / {LAMBDA}
+    FROM filled WHERE col = 'precipitation_sum'
+  UNION ALL SELECT date, borough, '_boxcox_lambda_precipitation_sum', {LAMBDA} FROM fv"""),
+        ("bins", """SELECT date, borough, coalesce(temp_bin, (SELECT temp_bin FROM fv WHERE temp_bin IS NOT NULL GROUP BY 1
+  ORDER BY count(*) DESC, temp_bin LIMIT 1)) AS temp_bin FROM fv""")]
+
+
+def _matrix_sql(kind: str) -> str:
+    """vt, std or minmax (option A), or B."""
+    from pansift.operators.features import TEMP_BIN_LABELS
+    quoted = ", ".join(f"'{c}'" for c in MM_PREDICTORS)
+    struct = ", ".join(f"'{c}'" for c in STRUCTURAL)
+    n = len(MM_PREDICTORS)
+    bins = " UNION ALL ".join(f"SELECT b.date, b.borough, 'temp_bin_{v}' AS col, CAST(coalesce(b.temp_bin = '{v}', false) AS DOUBLE) AS value "
+                              "FROM bins b JOIN ok USING (date, borough)" for v in TEMP_BIN_LABELS[1:])
+    extra = _view_ctes(True) + [
+        ("dropped", "SELECT date, borough FROM view WHERE col = 'is_outlier_low_citywide' AND value <> 0"),
+        ("ok", f"""SELECT date, borough FROM view WHERE col IN ('log_complaints_total', {quoted}) GROUP BY 1, 2 HAVING count(*) = {n + 1}
+  EXCEPT SELECT date, borough FROM dropped"""),
+        ("bin_cols", bins)]
+    target = "SELECT v.date, v.borough, v.col AS \"column\", v.value FROM view v JOIN ok USING (date, borough) WHERE v.col = 'log_complaints_total'"
+    if kind == "B":
+        return S.with_ctes(["panel_raw", "quality_by_date"], f"""{target}
+  UNION ALL SELECT v.date, v.borough, v.col, v.value FROM view v JOIN ok USING (date, borough) WHERE v.col IN ({quoted}, {struct})
+  UNION ALL SELECT * FROM bin_cols""", extra=extra)
+    extra += [
+        ("x", f"""SELECT v.date, v.borough, v.col, v.value FROM view v JOIN ok USING (date, borough) WHERE v.col IN ({quoted})
+  UNION ALL SELECT * FROM bin_cols
+  UNION ALL SELECT o.date, o.borough, 'borough_' || l.borough, CAST(o.borough = l.borough AS DOUBLE) FROM ok o,
+    (SELECT DISTINCT borough FROM ok WHERE borough > (SELECT min(borough) FROM ok)) l"""),
+        ("st", """SELECT col, avg(value) AS m, stddev_pop(value) AS s, min(value) AS lo, max(value) AS hi,
+  count_if(round(value, 6) NOT IN (0, 1)) = 0 AS flag FROM x GROUP BY col HAVING min(value) < max(value)""")]
+    scaled = {"vt": "x.value", "std": "CASE WHEN st.flag THEN x.value ELSE (x.value - st.m) / st.s END",
+              "minmax": "CASE WHEN st.flag THEN x.value ELSE (x.value - st.lo) / (st.hi - st.lo) END"}[kind]
+    return S.with_ctes(["panel_raw", "quality_by_date"],
+                       f"{target} UNION ALL SELECT x.date, x.borough, x.col, {scaled} FROM x JOIN st ON x.col = st.col", extra=extra)
+
+
+def _long(df):
+    """Numeric columns in long form, without missing values."""
+    cols = [c for c in df.columns if c not in ("date", "borough", "temp_bin")]
+    wide = df.select("date", "borough", *[F.col(f"`{c}`").cast("double").alias(c) for c in cols])
+    return wide.unpivot(["date", "borough"], [F.col(f"`{c}`") for c in cols], "column", "value").where(F.col("value").isNotNull())
+
+
+def _register_long():
+    for name, kind in (("X_A_vt", "vt"), ("X_A_std", "std"), ("X_A_minmax", "minmax"), ("X_B", "B")):
+        @query(f"model_matrix_long_{kind.lower()}", _matrix_sql(kind), floats=["value"])
+        def q_matrix(spark, sf, name=name):
+            return _long(_matrices(spark, sf, LAMBDA)[name])
+    for safe in (True, False):
+        sql = S.with_ctes(["panel_raw", "quality_by_date"], 'SELECT date, borough, col AS "column", value FROM view', extra=_view_ctes(safe))
+
+        @query(f"processed_{'time_safe' if safe else 'eda'}_long", sql, floats=["value"])
+        def q_view(spark, sf, safe=safe):
+            return _long(_processed(spark, sf, time_safe=safe, lam=LAMBDA))
+
+
 @query("weather_effects", S.with_ctes(["panel_raw"], " UNION ALL ".join(
     f"SELECT '{a}' AS x, '{b}' AS y, corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)) AS r FROM d"
     for a in ["complaints_total_city", "temp_mean", "precipitation_sum", "wind_speed_mean", "event_day", "is_weekend"]
@@ -358,7 +455,7 @@ def q_engineer_feature(spark, sf):
     return engineer_feature(S.workbench(spark, sf), "ratio", "balance", "score", " ratio ")[1]
 
 
-def _processed(spark, sf, time_safe: bool):
+def _processed(spark, sf, time_safe: bool, lam: float | None = None):
     """The reference's two processed views, each a stage table: every gappy
     column gets an indicator and is filled (EDA view: bfill + ffill in
     entity, then median / mode; time-safe view: forward fill only), then
@@ -373,8 +470,11 @@ def _processed(spark, sf, time_safe: bool):
         view = CL.impute_time_safe(fv, "borough", "date", cols) if time_safe else \
             CL.impute_eda_view(fv, "borough", "date", cols)
         # the skew transforms fit several times over the view; cut its window lineage once
-        return skew_transforms(cut_lineage(view, "processed_view"))
-    return stage_table(spark, sf, "processed_time_safe" if time_safe else "processed_eda", build)
+        return skew_transforms(cut_lineage(view, "processed_view"), lam)
+    return stage_table(spark, sf, f"processed_{'time_safe' if time_safe else 'eda'}_{lam}", build)
+
+
+_register_long()
 
 
 @query("processed_eda_view", None)
