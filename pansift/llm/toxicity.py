@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -62,7 +63,7 @@ FEATURES = ("insults", "insults_log", "learnt", "learnt_log", "learnt_most", "ne
 
 _WORD = re.compile(r"[^\W\d_]+")
 _MASKED = re.compile(r"[^\W_]*[^\W\d_][0-9@$*!|+]+[^\W_][\w@$*!|+]*|\b[0-9@$!|][^\W\d_]+[\w@$!|]*")
-_SPACED = re.compile(r"\b(?:[^\W\d_][.\-*_ ]){3,}[^\W\d_]\b")
+_SPACED = re.compile(r"(?<![^\W_])(?:[A-Za-z][.\-*_ ]){3,}[A-Za-z](?![^\W_])")
 _PLAIN = str.maketrans("0134578@$!|+", "oieastbasiit", "*.-_ ")
 #: Kinds of bytes: 1 small letter or non-ASCII, 2 capital, 3 digit or sign used for hiding letters, 4 ! and ?, 5 other punctuation.
 _KIND = np.zeros(256, np.uint8)
@@ -77,13 +78,18 @@ class Lexicon:
     """Learnt log-odds of words (``=word``) and word beginnings."""
     learnt: dict[str, float] = field(default_factory=dict)
 
-    def weight(self, word: str) -> float:
-        """Learnt weight of a word, plus 1000 for a plain insult, plus 10000 for a second person."""
-        best = self.learnt.get("=" + word, 0.0)
-        for n in BEGINNINGS:
-            if len(word) >= n:
-                best = max(best, self.learnt.get(word[:n], 0.0))
-        return best + 1000.0 * (word in INSULTS) + 10000.0 * (word in SECOND)
+    def weight(self, token: str) -> float:
+        """Largest learnt weight of a token's words, plus 1000 if one is a
+        plain insult, plus 10000 if one is a second person."""
+        bare, get = token.strip(".,!?"), self.learnt.get
+        words = (bare,) if bare.isalpha() else _WORD.findall(token)
+        best = 0.0
+        for word in words:
+            best = max(best, get("=" + word, 0.0))
+            for n in BEGINNINGS:
+                if n <= len(word):
+                    best = max(best, get(word[:n], 0.0))
+        return best + 1000.0 * (not INSULTS.isdisjoint(words)) + 10000.0 * (not SECOND.isdisjoint(words))
 
 
 def entries(text: str) -> set[str]:
@@ -96,27 +102,34 @@ def entries(text: str) -> set[str]:
 
 
 def features(text: str, weights: Remembered) -> list[float]:
-    words = _WORD.findall(text.lower())
+    words = text.lower().split()
     n = max(1, len(words))
-    marked = [(i, w) for i, w in enumerate(map(weights.__getitem__, words)) if w]
+    marks = list(map(weights.__getitem__, words))
+    marked = [(i, w) for i, w in enumerate(marks) if w] if any(marks) else []
     second = [i for i, w in marked if w >= 10000]
     insults = [i for i, w in marked if w % 10000 >= 1000]
     learnt = [(i, w % 1000) for i, w in marked if w % 1000 > 0]
     hits = sorted({*insults, *(i for i, _ in learnt)})
-    beside = sum(any(abs(i - j) <= NEAR for j in second) for i in hits) if second else 0
+    beside = sum(bisect_left(second, i - NEAR) < bisect_right(second, i + NEAR) for i in hits) if second else 0
     raw = np.frombuffer(text.encode(), np.uint8)
     kind = _KIND[raw]
     count = np.bincount(kind, minlength=6)
     letters, size = max(1, int(count[1] + count[2])), max(1, len(raw))
     letter = (kind == 1) | (kind == 2)
-    hidden = runs = stretched = shouted = 0
+    hidden = led = runs = stretched = shouted = spaced = 0
     if len(raw) > 2:
         hidden = int((letter[:-2] & (kind[1:-1] == 3) & (letter[2:] | (kind[2:] == 3))).sum())
+        led = int(((kind[:-1] == 3) & letter[1:]).sum())
         runs = int(((kind[:-1] == 4) & (kind[1:] == 4)).sum())
         stretched = int((letter[:-2] & (raw[:-2] == raw[1:-1]) & (raw[1:-1] == raw[2:])).sum())
         shouted = int(((kind[:-2] == 2) & (kind[1:-1] == 2) & (kind[2:] == 2)).sum())
-    found = _MASKED.findall(text) if hidden or count[3] else []
-    found += _SPACED.findall(text) if count[5] or len(words) > 4 else []
+    if len(raw) > 6:
+        gap = (kind == 0) | (kind == 5) | (raw == 42)
+        pair = letter[:-1] & gap[1:]
+        spaced = bool((pair[:-5] & pair[2:-3] & pair[4:-1] & letter[6:]).any())
+    # the byte kinds tell whether a pattern can match at all; most texts need no search
+    found = _MASKED.findall(text) if hidden or led else []
+    found += _SPACED.findall(text) if spaced else []
     uncovered = sum(weights[w] % 10000 > 0 for w in (x.lower().translate(_PLAIN) for x in found) if w)
     return [len(insults) / n, math.log1p(len(insults)), sum(w for _, w in learnt) / n, math.log1p(len(learnt)),
             max((w for _, w in learnt), default=0.0), beside / n, len(second) / n, int(count[2]) / letters, shouted / letters,
