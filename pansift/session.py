@@ -84,6 +84,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder for intermediate
     written tables (never a machine-local temp folder on a cluster)."""
     import uuid
+    ship_package(spark)
     return f"{checkpoint_dir(spark).rstrip('/')}/pansift-scratch/{name}-{uuid.uuid4().hex}"
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pansift.functions.text import strip_symbols_expr
+from pansift.session import ship_package
 
 # Fixed values from the reference: month names and their numbers.
 MONTHS = {"january": 1, "february": 2, "march": 3, "april": 4, "may": 5, "june": 6, "july": 7,
@@ -112,6 +113,7 @@ def extract_links_by_heading(pages: DataFrame, html_col: str = "html", id_col: s
     characters and not start with ``http``; trademark signs are removed.
     ``require_month=False`` keeps links under any heading (month may be NULL).
     """
+    ship_package(pages.sparkSession)
     src = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(html_col).alias("html"))
     links = src.mapInPandas(_parse_batches(heading_tag), OUT_SCHEMA)
     keep = (F.length("title") > min_len) & ~F.col("title").startswith("http")
