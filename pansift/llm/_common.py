@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pansift.session import cut_lineage, scratch_path  # noqa: F401  (re-exported)
+from pansift.session import cut_lineage, scratch_path, ship_package  # noqa: F401  (re-exported)
 
 #: What the contracts call white space and a word.
 SPACE = r"[\x20\x09-\x0D]"
@@ -14,6 +16,19 @@ WORD = r"[^\x20\x09-\x0D]+"
 VOCAB = "piece_bpe_32k.model"
 
 
+#: Bytes that go to a Python worker at a time, and come back.
+BATCH_BYTES = 4 << 20
+
+
+def prepare(spark: SparkSession) -> None:
+    """What operators with Python need of a session: the package on the
+    executors, and Arrow batches bounded in bytes, since whole texts are long."""
+    ship_package(spark)
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(re.sub(r"\D", "", spark.conf.get(name, "0")) or 0) != BATCH_BYTES:
+        spark.conf.set(name, f"{BATCH_BYTES}b")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -21,6 +36,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Two columns, ``doc_id`` and ``text``, null text read as empty; other
     columns go, so their names cannot clash."""
+    prepare(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 

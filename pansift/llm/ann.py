@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pansift.llm._common import cut_lineage
+from pansift.llm._common import cut_lineage, prepare
 
 #: Rows the model is fitted on, and as many again to choose the visits.
 SAMPLE = 4096
@@ -210,6 +210,7 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_
     (as many as there are parts gives the exact result).
     """
     spark = vectors.sparkSession
+    prepare(spark)
     out_type = "query_id long, rank int, vec_id long, score double"
     rows = cut_lineage(usable(vectors, id_col, vec_col), "vectors")
     lengths = rows.groupBy(F.size("vec").alias("d")).count().orderBy(F.desc("count"), "d").first()

@@ -29,7 +29,7 @@ from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pansift.llm._common import cut_lineage
+from pansift.llm._common import cut_lineage, prepare
 from pansift.llm.piece_codec import Remembered
 
 #: Labelled rows that are fitted on, at most; those with the smallest hash of their id.
@@ -163,6 +163,7 @@ class Model:
         """``rows``, all columns, and the score.  A score is the calibrated
         probability; a hundredth of it is the uncalibrated one, so that the
         order within a step of the calibration is kept."""
+        prepare(rows.sparkSession)
         if self.trees is None:
             return rows.withColumn(name, F.lit(float(self.share)))
         vector, prob, step = "__ps_vector", "__ps_probability", "__ps_step"
@@ -210,6 +211,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, id_col: st
     null ids are not learnt from.  With no or only one label value the score
     is the share of label 1.
     """
+    prepare(docs.sparkSession)
     known = (labels.select(F.col(id_col).cast("long").alias("__id"), F.col(label_col).cast("int").alias("__label"))
              .where(F.col("__id").isNotNull() & F.col("__label").isNotNull() & ~held_out("__id"))
              .groupBy("__id").agg(F.max("__label").alias("__label"))

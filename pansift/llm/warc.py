@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pansift.llm._common import cut_lineage, scratch_path
+from pansift.llm._common import cut_lineage, prepare, scratch_path
 
 #: Bytes of uncompressed records in an archive, about; a task holds them once.
 ARCHIVE_BYTES = 32 << 20
@@ -143,6 +143,7 @@ def assign_types(pages: DataFrame, least_bytes: int = 0, id_col: str = "page_id"
                  html_col: str = "html") -> DataFrame:
     """``page_id, url, html, response_id``: of pages with equal payloads of at
     least ``least_bytes`` bytes, which page holds the response."""
+    prepare(pages.sparkSession)
     html = F.coalesce(F.col(html_col), F.lit(""))
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"),
                         html.alias("html"), F.unhex(F.sha2(F.encode(html, "utf-8"), 256)).alias("key"))
