@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +13,6 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 VOCAB = "piece_bpe_32k.model"
 
-
 #: Bytes that go to a Python worker at a time, and come back.
 BATCH_BYTES = 4 << 20
 
@@ -25,7 +22,7 @@ def prepare(spark: SparkSession) -> None:
     executors, and Arrow batches bounded in bytes, since whole texts are long."""
     ship_package(spark)
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if int(re.sub(r"\D", "", spark.conf.get(name, "0")) or 0) != BATCH_BYTES:
+    if spark.conf.get(name) != f"{BATCH_BYTES}b":
         spark.conf.set(name, f"{BATCH_BYTES}b")
 
 
