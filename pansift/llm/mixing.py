@@ -1,6 +1,6 @@
 """Mixing sources to target weights by hash-threshold histograms.
 
-Every row has a 62-bit hash.  A source's target is a whole number of passes
+Every row has a 60-bit hash (the head of an MD5, so any engine can follow).  A source's target is a whole number of passes
 over it plus a part of one more pass; the part takes the rows whose hash lies
 below a threshold, so budgets are nested: a larger one holds the rows of every
 smaller one.  To find the threshold, words are summed by source and hash
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from pansift.llm._common import WORD, cut_lineage
 
-HASH_BITS = 62
+HASH_BITS = 60
 ROUND_BITS = 12
 #: A source is taken at most so many times.
 MOST_PASSES = 3
@@ -27,7 +27,8 @@ def words(text: Column) -> Column:
 
 
 def row_hash(id_col: str, text_col: str) -> Column:
-    return F.shiftrightunsigned(F.xxhash64(F.col(id_col), F.col(text_col)), 64 - HASH_BITS)
+    row = F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(":"), F.coalesce(F.col(text_col), F.lit("")))
+    return F.conv(F.substring(F.md5(row), 1, HASH_BITS // 4), 16, 10).cast("long")
 
 
 def targets(sources: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pansift.llm._common import table
 
@@ -40,7 +41,8 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pansift.llm.mixing import mix
-    return mix(table(spark, sf_dir, "documents")).drop("copies")
+    # rounded, since the sum of the sources' sizes may be taken in any order
+    return mix(table(spark, sf_dir, "documents")).drop("copies").withColumn("target", F.round("target", 6))
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,6 +132,36 @@ SELECT l.doc_id, l.line_no,
 FROM l LEFT JOIN t ON l.line = t.line
 """
 
+# Targets: with the sources in the order in which they reach their limit, the
+# unit of weight follows from how many of them stop there.
+SQL["op5_mixing"] = r"""
+WITH d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')), 1, 15) AS BIGINT) AS u
+  FROM documents),
+s AS (
+  SELECT source, CAST(source_size AS BIGINT) AS source_size, 3.0::DOUBLE * source_size AS cap,
+         CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS DOUBLE) AS weight
+  FROM (SELECT source, sum(size) AS source_size FROM d GROUP BY source)),
+k AS (
+  SELECT *, (sum(source_size) OVER () - coalesce(sum(cap) OVER below, 0)) / (sum(weight) OVER () - coalesce(sum(weight) OVER below, 0)) AS unit
+  FROM s WINDOW below AS (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+t AS (
+  SELECT source, source_size, least(cap, weight * (SELECT unit FROM k WHERE unit * weight <= cap ORDER BY cap / weight, source NULLS LAST LIMIT 1)) AS target FROM s),
+b AS (
+  SELECT *, CASE WHEN source_size = 0 THEN 0 ELSE CAST(floor(target / source_size) AS BIGINT) END AS passes FROM t),
+g AS (SELECT source, u, sum(size) AS words FROM d GROUP BY source, u),
+c AS (
+  SELECT g.source, g.u, g.words, b.target - b.passes * b.source_size AS need,
+         coalesce(sum(g.words) OVER (PARTITION BY g.source ORDER BY g.u ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM g JOIN b ON g.source IS NOT DISTINCT FROM b.source)
+SELECT d.doc_id, d.size, b.source_size, round(b.target, 6) AS target, d.source,
+       CAST(d.size * (b.passes + CASE WHEN c.before + c.words <= c.need OR (c.before <= c.need AND 2 * (c.need - c.before) > c.words)
+                                      THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source
+JOIN c ON d.source IS NOT DISTINCT FROM c.source AND d.u = c.u
+"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {k: v for k, v in globals().items() if k.startswith("op") and k[2:].split("_")[0].isdigit()}
