@@ -13,7 +13,7 @@ import re
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pansift.functions.numeric import finite_or_null, skew_adjust_factor
@@ -125,10 +125,11 @@ def skewness_adj(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def acf(series: DataFrame, date: str, value: str, lags: int = 30) -> DataFrame:
     """corr(x_t, x_{t+k}) for k = 1..lags (lag 0 = 1) with the +-1.96/sqrt(n)
-    band.  ``series`` is a daily aggregate (one row per day); the
-    un-partitioned window is only valid on such a bounded series."""
-    w = Window.orderBy(date)
-    lagged = series.select(_x(value).alias("x"), *[F.lag(_x(value), k).over(w).alias(f"l{k}") for k in range(1, lags + 1)])
+    band, over the rows in the order of ``date``, in blocks of consecutive
+    rows (``ordering.over_rows``)."""
+    from pansift.operators.ordering import over_rows
+    rows = series.select(F.col(date).alias("t"), _x(value).alias("x"))
+    lagged = over_rows(rows, "t", lags, lambda w: {f"l{k}": F.lag("x", k).over(w) for k in range(1, lags + 1)})
     ex = {"n": F.count("x")}
     for k in range(1, lags + 1):
         a = F.when(F.col(f"l{k}").isNotNull(), F.col("x"))

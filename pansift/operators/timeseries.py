@@ -54,13 +54,10 @@ def rolling_mean_prev(df: DataFrame, entity, date, cols: Iterable[str], n: int =
 
 def rolling_mean_global(daily: DataFrame, date: str, col: str, n: int = 7,
                         min_periods: int = 1, out: str | None = None) -> DataFrame:
-    """Rolling mean of one citywide series.
-
-    The window has no partition key, so it runs in one task: call it on the
-    daily aggregate (one row per day), never on raw rows.
-    """
-    w = Window.orderBy(date)
-    return daily.withColumn(out or f"{col}_ma{n}", _rolling(col, w, -(n - 1), 0, min_periods))
+    """Rolling mean over all rows in the order of ``date``, in blocks of
+    consecutive rows (``ordering.over_rows``), whatever their number."""
+    from pansift.operators.ordering import over_rows
+    return over_rows(daily, date, n - 1, lambda w: {out or f"{col}_ma{n}": _rolling(col, w, -(n - 1), 0, min_periods)})
 
 
 def lag_diff(df: DataFrame, a: str, b: str, out: str) -> DataFrame:

@@ -315,3 +315,17 @@ def test_approx_switches_close_to_exact(spark):
     a = kde(df, "x", approx=True).orderBy("i").toPandas()["density"].to_numpy()
     e = kde(df, "x").orderBy("i").toPandas()["density"].to_numpy()
     assert np.max(np.abs(a - e)) < 1e-2
+
+
+def test_rolling_and_acf_over_blocks(spark):
+    from pyspark.sql import functions as F
+    from pansift.operators.ordering import numbered, over_rows
+    n = 500
+    x = [None if i % 13 == 0 else float((i * 37) % 101) for i in range(n)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x)], "t int, x double").repartition(7)
+    assert all(r["_row"] == r["t"] for r in numbered(df, "t").collect())
+    want = pd.Series(x, dtype=float).rolling(7, min_periods=3).mean()
+    for block in (10, 64, 1000):
+        got = over_rows(df, "t", 6, lambda w: {"m": F.when(F.count("x").over(w.rowsBetween(-6, 0)) >= 3, F.avg("x").over(w.rowsBetween(-6, 0)))}, block)
+        got = got.orderBy("t").toPandas()
+        assert len(got) == n and np.allclose(got["m"], want, equal_nan=True)
