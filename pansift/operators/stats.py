@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from pansift.functions.numeric import finite_or_null, skew_adjust_factor
 from pansift.operators._fit import fit_row
+from pansift.operators.moments import pair_moments
 
 
 # ---------------------------------------------------------------- helpers --
@@ -57,26 +58,15 @@ def corr_matrix(df: DataFrame, cols: Sequence[str], missing: str = "pairwise") -
 
     ``pairwise``: each pair uses the rows where both are present;
     ``complete``: rows with any gap are dropped first.  A constant column
-    gives NULL instead of a division error (ANSI).  Pair expressions are
-    chunked inside ``fit_row`` so very wide inputs stay under codegen limits.
+    gives NULL instead of a division error (ANSI).  All pairs come from one
+    pass (``moments.pair_moments``).
     """
     cols = list(cols)
     d = df.select(*[_x(c).alias(c) for c in cols])
     if missing == "complete":
         d = d.dropna()
-    ex = {}
-    for i, a in enumerate(cols):
-        for j in range(i, len(cols)):
-            b = cols[j]
-            xa = F.when(F.col(b).isNotNull(), F.col(a))
-            xb = F.when(F.col(a).isNotNull(), F.col(b))
-            ex[f"r{i}_{j}"] = F.try_divide(F.covar_pop(xa, xb), F.stddev_pop(xa) * F.stddev_pop(xb))
-    st = fit_row(d, ex)
-    rows = []
-    for i, a in enumerate(cols):
-        for j, b in enumerate(cols):
-            v = st[f"r{min(i, j)}_{max(i, j)}"]
-            rows.append((a, b, None if v is None or (isinstance(v, float) and math.isnan(v)) else float(v)))
+    r = pair_moments(d, cols).correlation()
+    rows = [(a, b, None if math.isnan(r[i, j]) else float(r[i, j])) for i, a in enumerate(cols) for j, b in enumerate(cols)]
     return df.sparkSession.createDataFrame(rows, "x string, y string, r double")
 
 
@@ -149,17 +139,8 @@ def _cov_fit(df: DataFrame, cols: Sequence[str]) -> tuple[int, np.ndarray, np.nd
     """n, means and population covariance matrix over complete rows."""
     cols = list(cols)
     d = df.select(*[_x(c).alias(f"c{i}") for i, c in enumerate(cols)]).dropna()
-    ex = {"n": F.count(F.lit(1))}
-    ex.update({f"m{i}": F.avg(f"c{i}") for i in range(len(cols))})
-    ex.update({f"v{i}_{j}": F.covar_pop(f"c{i}", f"c{j}") for i in range(len(cols)) for j in range(i, len(cols))})
-    st = fit_row(d, ex)
-    p = len(cols)
-    mean = np.array([st[f"m{i}"] or 0.0 for i in range(p)])
-    cov = np.zeros((p, p))
-    for i in range(p):
-        for j in range(i, p):
-            cov[i, j] = cov[j, i] = st[f"v{i}_{j}"] or 0.0
-    return int(st["n"] or 0), mean, cov
+    found = pair_moments(d, d.columns)
+    return int(found.n.max(initial=0)), found.mean, found.covariance()
 
 
 def vif(df: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -244,16 +225,18 @@ def influence(df: DataFrame, y: str, numeric: Sequence[str], categorical: Sequen
     xs = dummies + list(numeric)
     fit = OLSFit(d, y, xs)
     n, p, s2, dof = fit.n, fit.p, fit.s2, fit.dof
-    xc = [F.col(c).cast("double") - F.lit(float(m)) for c, m in zip(xs, fit.mx)]
     A = fit.sxx_inv
-    quad = F.lit(1.0 / n)
-    for i in range(len(xs)):
-        for j in range(len(xs)):
-            if A[i, j] != 0:
-                quad = quad + F.lit(float(A[i, j])) * xc[i] * xc[j]
-    pred = F.lit(fit.intercept) + sum((F.lit(float(b)) * F.col(c).cast("double") for b, c in zip(fit.beta, xs)), F.lit(0.0))
-    out = d.select(*keys, *xs, y).withColumn("leverage", quad) \
-        .withColumn("resid", F.col(y).cast("double") - pred)
+    # each row is an array, so the plan has a few expressions whatever the number of regressors
+    def times(u, v):
+        return F.aggregate(F.zip_with(u, v, lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
+
+    def row(values):
+        return F.array(*[F.lit(float(v)) for v in values])
+    out = d.select(*keys, *xs, y).withColumn("_x", F.array(*[F.col(c).cast("double") - F.lit(float(m)) for c, m in zip(xs, fit.mx)]))
+    out = out.withColumn("_ax", F.transform(F.array(*[row(a) for a in A]), lambda a: times(a, F.col("_x"))))
+    out = out.withColumn("leverage", F.lit(1.0 / n) + times(F.col("_ax"), F.col("_x")))
+    pred = F.lit(float(fit.intercept + fit.beta @ fit.mx)) + times(row(fit.beta), F.col("_x"))
+    out = out.withColumn("resid", F.col(y).cast("double") - pred)
     out = out.withColumn("student_resid_internal", F.col("resid") / F.sqrt(F.lit(s2) * (1 - F.col("leverage"))))
     s2_i = (F.lit(dof * s2) - F.col("resid") * F.col("resid") / (1 - F.col("leverage"))) / F.lit(dof - 1)
     out = out.withColumn("_s_i", F.sqrt(s2_i))
@@ -262,17 +245,14 @@ def influence(df: DataFrame, y: str, numeric: Sequence[str], categorical: Sequen
     out = out.withColumn("dffits", F.col("student_resid_external") * F.sqrt(F.col("leverage") / (1 - F.col("leverage"))))
     out = out.withColumn("dffits_internal",
                          F.col("student_resid_internal") * F.sqrt(F.col("leverage") / (1 - F.col("leverage"))))
-    # DFBETAS for slopes: (A x_c)_j e / (1 - h) / (s_(i) sqrt(A_jj))
-    ex = {}
-    for j, c in enumerate(xs):
-        ax = sum((F.lit(float(A[j, k])) * xc[k] for k in range(len(xs)) if A[j, k] != 0), F.lit(0.0))
-        ex[f"dfbetas_{c}"] = ax * F.col("resid") / (1 - F.col("leverage")) / (F.col("_s_i") * F.lit(math.sqrt(max(A[j, j], 1e-300))))
+    # DFBETAS for slopes: (A x)_j e / (1 - h) / (s_(i) sqrt(A_jj))
+    scaled = F.col("resid") / (1 - F.col("leverage")) / F.col("_s_i")
+    ex = {f"dfbetas_{c}": F.col("_ax")[j] * scaled / F.lit(math.sqrt(max(A[j, j], 1e-300))) for j, c in enumerate(xs)}
     # intercept: row 0 of (X'X)^-1 x_i is 1/n - m'A (x_i - m); its diagonal entry is 1/n + m'A m
-    mA = fit.mx @ A
-    ax0 = F.lit(1.0 / n) - sum((F.lit(float(mA[k])) * xc[k] for k in range(len(xs)) if mA[k] != 0), F.lit(0.0))
+    ax0 = F.lit(1.0 / n) - times(row(fit.mx), F.col("_ax"))
     d00 = 1.0 / n + float(fit.mx @ A @ fit.mx)
-    ex["dfbetas_Intercept"] = ax0 * F.col("resid") / (1 - F.col("leverage")) / (F.col("_s_i") * F.lit(math.sqrt(max(d00, 1e-300))))
-    out = out.withColumns(ex).drop("_s_i")
+    ex["dfbetas_Intercept"] = ax0 * scaled / F.lit(math.sqrt(max(d00, 1e-300)))
+    out = out.withColumns(ex).drop("_s_i", "_x", "_ax")
     return out.withColumns({"cooks_threshold": F.lit(4.0 / n), "leverage_threshold": F.lit(2.0 * p / n)})
 
 
