@@ -220,11 +220,9 @@ def missing_panel_cells(df: DataFrame, date: str = "date", entity: str = "boroug
     entities present.  Each day's entities are one set; what the set of all
     entities (one row) holds beyond it is missing, so only missing cells are
     written out, never the whole grid."""
-    days = df.where(F.col(date).isNotNull()).groupBy(date).agg(F.collect_set(entity).alias("_have"), F.lit(1).alias("_one"))
-    whole = df.where(F.col(date).isNotNull() | F.col(entity).isNotNull()).select(entity).distinct() \
-        .agg(F.collect_set(entity).alias("_all"), F.max(F.lit(1)).alias("_any"))
-    missing = days.join(whole, days["_one"] == whole["_any"]).select(date, F.explode(F.array_except("_all", "_have")).alias(entity))
-    return missing
+    whole = df.agg(F.collect_set(entity))   # one row, read as a scalar
+    days = df.where(F.col(date).isNotNull()).groupBy(date).agg(F.collect_set(entity).alias("_have"))
+    return days.select(date, F.explode(F.array_except(whole.scalar(), F.col("_have"))).alias(entity))
 
 
 def consistency_rate(df: DataFrame, parts: Sequence[str], total: str, out: str = "pct") -> DataFrame:
