@@ -9,6 +9,7 @@ hot values are one row with a count.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -17,6 +18,25 @@ from pyspark.sql import functions as F
 from pansift.session import cut_lineage
 
 
+def _ranged(df: DataFrame, exprs: Mapping[str, Column], by: Sequence[str] = ()) -> DataFrame:
+    """Written counts of the distinct values, with the number of their range:
+    ``by..., _cid, _v, _n, _part``."""
+    long = df.select(*by, F.explode(F.array(*[
+        F.struct(F.lit(i).alias("_cid"), x.cast("double").alias("_v")) for i, x in enumerate(exprs.values())])).alias("_kv"))
+    long = long.select(*by, "_kv._cid", "_kv._v").where(F.col("_v").isNotNull())
+    counts = long.groupBy(*by, "_cid", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    return cut_lineage(counts.repartitionByRange(*by, "_cid", "_v").withColumn("_part", F.spark_partition_id()), "quantiles")
+
+
+def _wanted(q: float, n: int, discrete: bool) -> tuple[int, int, float]:
+    """Lower and upper rank (from 0) of a quantile among ``n`` values, and its place between them."""
+    if discrete:
+        k = max(0, math.ceil(q * n) - 1)
+        return k, k, float(k)
+    at = q * (n - 1)
+    return math.floor(at), math.ceil(at), at
+
+
 def quantile_table(df: DataFrame, cols: Mapping[str, Column] | Sequence[str], qs, by: Sequence[str] = (),
                    discrete: bool = False) -> DataFrame:
     """``by..., column, n, values``: the quantiles of each column (and group)
@@ -30,11 +50,7 @@ def quantile_table(df: DataFrame, cols: Mapping[str, Column] | Sequence[str], qs
     exprs = dict(cols) if isinstance(cols, Mapping) else {c: F.col(c) for c in cols}
     names = list(exprs)
     want = [list(qs[c]) if isinstance(qs, Mapping) else list(qs) for c in names]
-    long = df.select(*by, F.explode(F.array(*[
-        F.struct(F.lit(i).alias("_cid"), exprs[c].cast("double").alias("_v")) for i, c in enumerate(names)])).alias("_kv"))
-    long = long.select(*by, "_kv._cid", "_kv._v").where(F.col("_v").isNotNull())
-    counts = long.groupBy(*by, "_cid", "_v").agg(F.count(F.lit(1)).alias("_n"))
-    ranged = cut_lineage(counts.repartitionByRange(*by, "_cid", "_v").withColumn("_part", F.spark_partition_id()), "quantiles")
+    ranged = _ranged(df, exprs, by)
     group = Window.partitionBy(*by, "_cid")
     before = F.sum("_s").over(group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
     ranges = (ranged.groupBy(*by, "_cid", "_part").agg(F.sum("_n").alias("_s"))
@@ -72,6 +88,8 @@ def quantile_table(df: DataFrame, cols: Mapping[str, Column] | Sequence[str], qs
     return out.select(*by, F.array(*[F.lit(c) for c in names])[F.col("_cid")].alias("column"), "n", "values")
 
 
+#: More ranges than a shuffle has.
+_PARTS = 1 << 32
 #: Accuracy of the sketch that ``approx`` asks for.
 ACCURACY = 10_000
 
@@ -89,8 +107,36 @@ def quantile_fit(df: DataFrame, cols: Mapping[str, Column] | Sequence[str], qs,
         want = {c: list(qs[c] if isinstance(qs, Mapping) else qs) for c in names}
         row = df.agg(*[F.percentile_approx(exprs[c].cast("double"), want[c], ACCURACY).alias(f"q{i}") for i, c in enumerate(names)]).first()
         return {c: None if row[i] is None else list(row[i]) for i, c in enumerate(names)}
-    got = {r["column"]: list(r["values"]) for r in quantile_table(df, cols, qs, (), discrete).collect()}
-    return {c: got.get(c) for c in names}
+    exprs = dict(cols) if isinstance(cols, Mapping) else {c: F.col(c) for c in cols}
+    want = [list(qs[c] if isinstance(qs, Mapping) else qs) for c in names]
+    ranged = _ranged(df, exprs)
+    # a range holds one column, but for the few that lie across two: as many rows as ranges and columns
+    sums = ranged.groupBy("_cid", "_part").agg(F.sum("_n").alias("s")).orderBy("_cid", "_part").collect()
+    total = [sum(r["s"] for r in sums if r["_cid"] == i) for i in range(len(names))]
+    ranks = [sorted({k for q in w for k in _wanted(q, n, discrete)[:2]}) if n else [] for w, n in zip(want, total)]
+    starts, at, last = [], 0, None
+    for r in sums:
+        at = at if r["_cid"] == last else 0
+        last = r["_cid"]
+        if any(at <= k < at + r["s"] for k in ranks[last]):
+            starts += [F.lit(last * _PARTS + r["_part"]), F.lit(at)]
+        at += r["s"]
+    found: list[dict] = [{} for _ in names]
+    if starts:
+        near = ranged.withColumn("_before", F.try_element_at(F.create_map(*starts), F.col("_cid") * F.lit(_PARTS) + F.col("_part")))
+        inside = Window.partitionBy("_cid", "_part").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+        near = near.where(F.col("_before").isNotNull()).withColumn(
+            "_start", F.col("_before") + F.coalesce(F.sum("_n").over(inside), F.lit(0)))
+        asked = F.array(*[F.array(*[F.lit(k) for k in r]).cast("array<bigint>") for r in ranks])[F.col("_cid")]
+        hit = F.exists(asked, lambda k: (k >= F.col("_start")) & (k < F.col("_start") + F.col("_n")))
+        for r in near.where(hit).select("_cid", "_v", "_start", "_n").collect():
+            found[r["_cid"]].update({k: r["_v"] for k in ranks[r["_cid"]] if r["_start"] <= k < r["_start"] + r["_n"]})
+
+    def value(i, q):
+        low, high, place = _wanted(q, total[i], discrete)
+        a, b = found[i][low], found[i][high]
+        return a if a == b else (high - place) * a + (place - low) * b
+    return {c: [value(i, q) for q in want[i]] if total[i] else None for i, c in enumerate(names)}
 
 
 def with_group_quantiles(groups: DataFrame, df: DataFrame, keys: Sequence[str], outs: Mapping[str, tuple[Column, float]],
