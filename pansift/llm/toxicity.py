@@ -63,7 +63,7 @@ FEATURES = ("insults", "insults_log", "learnt", "learnt_log", "learnt_most", "ne
 
 _WORD = re.compile(r"[^\W\d_]+")
 _MASKED = re.compile(r"[^\W_]*[^\W\d_][0-9@$*!|+]+[^\W_][\w@$*!|+]*|\b[0-9@$!|][^\W\d_]+[\w@$!|]*")
-_SPACED = re.compile(r"(?<![^\W_])(?:[A-Za-z][.\-*_ ]){3,}[A-Za-z](?![^\W_])")
+_SPACED = re.compile(r"(?<![^\W_])(?:[^\W\d_][.\-*_ ]){3,}[^\W\d_](?![^\W_])")
 _PLAIN = str.maketrans("0134578@$!|+", "oieastbasiit", "*.-_ ")
 #: Kinds of bytes: 1 small letter or non-ASCII, 2 capital, 3 digit or sign used for hiding letters, 4 ! and ?, 5 other punctuation.
 _KIND = np.zeros(256, np.uint8)
@@ -116,19 +116,23 @@ def features(text: str, weights: Remembered) -> list[float]:
     count = np.bincount(kind, minlength=6)
     letters, size = max(1, int(count[1] + count[2])), max(1, len(raw))
     letter = (kind == 1) | (kind == 2)
-    hidden = led = runs = stretched = shouted = spaced = 0
+    sign = (kind == 3) | (raw == 33)
+    hidden = runs = stretched = shouted = 0
+    masked, spaced = bool((sign[:-1] & letter[1:]).any()), False
     if len(raw) > 2:
         hidden = int((letter[:-2] & (kind[1:-1] == 3) & (letter[2:] | (kind[2:] == 3))).sum())
-        led = int(((kind[:-1] == 3) & letter[1:]).sum())
+        masked = masked or bool((letter[:-2] & sign[1:-1] & (letter[2:] | sign[2:])).any())
         runs = int(((kind[:-1] == 4) & (kind[1:] == 4)).sum())
         stretched = int((letter[:-2] & (raw[:-2] == raw[1:-1]) & (raw[1:-1] == raw[2:])).sum())
         shouted = int(((kind[:-2] == 2) & (kind[1:-1] == 2) & (kind[2:] == 2)).sum())
-    if len(raw) > 6:
-        gap = (kind == 0) | (kind == 5) | (raw == 42)
-        pair = letter[:-1] & gap[1:]
-        spaced = bool((pair[:-5] & pair[2:-3] & pair[4:-1] & letter[6:]).any())
+    if len(text) > 6:
+        # one byte for each code point: a letter may have several
+        firsts = slice(None) if len(raw) == len(text) else (raw & 0xC0) != 0x80
+        alone, gap = letter[firsts], ((kind == 0) | (kind == 5) | (raw == 42))[firsts]
+        pair = alone[:-1] & gap[1:]
+        spaced = bool((pair[:-5] & pair[2:-3] & pair[4:-1] & alone[6:]).any())
     # the byte kinds tell whether a pattern can match at all; most texts need no search
-    found = _MASKED.findall(text) if hidden or led else []
+    found = _MASKED.findall(text) if masked else []
     found += _SPACED.findall(text) if spaced else []
     uncovered = sum(weights[w] % 10000 > 0 for w in (x.lower().translate(_PLAIN) for x in found) if w)
     return [len(insults) / n, math.log1p(len(insults)), sum(w for _, w in learnt) / n, math.log1p(len(learnt)),

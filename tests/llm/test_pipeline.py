@@ -70,6 +70,23 @@ def test_features_find_hidden_words():
     assert len(toxicity.features("", weights)) == len(toxicity.FEATURES)
 
 
+@pytest.mark.parametrize("text", ["you sh!t", "b!tch", "B!TCH, go", "st!nk", "a1!b", "1x", "e s t ú p i d o", "i.m.b.é.c.i.l.e",
+                                  "é-é-é-é", "D É B I L E", "m-o-r-o-n", "r a t t é d i o t i m b é c i l e s"])
+def test_signs_and_accents_hide_words(text):
+    weights = toxicity.Remembered(toxicity.Lexicon({"=stink": 3.0, "=aiib": 3.0, "=ix": 3.0, "=éééé": 3.0, "rat": 3.0}).weight)
+    assert dict(zip(toxicity.FEATURES, toxicity.features(text, weights)))["uncovered"] > 0
+
+
+def test_no_gate_hides_a_match():
+    rs = random.Random(5)
+    weights = toxicity.Remembered(lambda w: 1.0)
+    at = toxicity.FEATURES.index("uncovered")
+    for _ in range(20_000):
+        text = "".join(rs.choice("aBé中😀1!@*|. -_,?") for _ in range(rs.randint(1, 14)))
+        found = [x.lower().translate(toxicity._PLAIN) for x in toxicity._MASKED.findall(text) + toxicity._SPACED.findall(text)]
+        assert toxicity.features(text, weights)[at] == pytest.approx(np.log1p(sum(w != "" for w in found))), text
+
+
 # -- pipeline ----------------------------------------------------------------------
 
 @pytest.fixture(scope="module")
