@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pansift.llm import exact_dedup, mixing, sentencepiece_codec, simhash, toxicity
-from pansift.llm._common import cut_lineage, keep_ids, table
+from pansift.llm._common import cut_lineage, table
 
 #: Shingle length and bits of the near-duplicate stage.
 SHINGLE, DISTANCE = 4, 4
@@ -34,14 +34,12 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group stays, that with the smallest id.
-    Null texts count as empty; rows that share an id are one document, of
-    which the least row stays; a null id stays only in a group without ids; an
-    empty table stays empty."""
-    found = simhash.near_duplicates(docs, SHINGLE, DISTANCE)
-    kept = (found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .groupBy("doc_id").agg((F.count("*") > 1).alias("repeated")))
-    return keep_ids(docs, cut_lineage(kept, "kept"))
+    """One row of each SimHash group stays, that with the smallest id, null ids
+    last; of several rows with this id in the group the least row.  Null texts
+    count as empty; rows are decided by their own text, so rows that share an
+    id, or have none, stay if their texts are unlike; an empty table stays
+    empty."""
+    return simhash.survivors(docs, SHINGLE, DISTANCE)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

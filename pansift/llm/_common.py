@@ -44,19 +44,6 @@ def vocabulary(name: str = VOCAB) -> str:
     return public_tokenizers.path(name)
 
 
-def keep_ids(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` whose id is in ``ids`` (a written table ``doc_id,
-    repeated``, one row per id), one row for each id, all columns.
-
-    An id that names several rows (``repeated``) is reduced to its least row;
-    only those rows are grouped, and only if there are any.  Null ids match
-    null ids.
-    """
-    marks = ids.select(F.col("doc_id").alias("__id"), F.col("repeated").alias("__rep"))
-    rows = docs.join(marks, docs[id_col].eqNullSafe(marks["__id"]), "inner")
-    return once_each(rows, docs.columns, "__rep", "__id", bool(ids.where("repeated").head(1)))
-
-
 def once_each(rows: DataFrame, columns: list[str], repeated: str, key: str, any_repeated: bool) -> DataFrame:
     """``columns`` of ``rows``; of rows marked ``repeated`` the least of each ``key``."""
     once = rows.where(~F.col(repeated)).select(*columns)

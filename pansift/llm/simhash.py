@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pansift.llm._common import cut_lineage, id_and_text
+from pansift.llm._common import cut_lineage, id_and_text, once_each
 
 BITS = 64
 #: Fingerprints of a variant that are compared with each other in one step.
@@ -55,16 +55,27 @@ def fingerprint(text: str, shingle: int = 4) -> int:
     return int(sum(1 << k for k in np.flatnonzero(2 * counts > n).tolist()))
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, fp`` (signed 64 bits) per input row; null texts count as empty."""
+def text_key(text: Column) -> Column:
+    """Digest of a text (null text: empty) that tells rows with equal ids apart."""
+    return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
+
+
+def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text",
+                 keyed: bool = False) -> DataFrame:
+    """``doc_id, fp`` (signed 64 bits) per input row, and its ``key`` if
+    ``keyed``; null texts count as empty."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
                 fps = np.array([fingerprint(t, shingle) for t in part.column(1).to_pylist()], np.uint64)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fps.view(np.int64)), *part.columns[2:]],
+                                                 names=["doc_id", "fp", "key"][:part.num_columns])
 
-    return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, fp long")
+    rows = id_and_text(docs, id_col, text_col)
+    if not keyed:
+        return rows.mapInArrow(run, "doc_id long, fp long")
+    return rows.withColumn("key", text_key(F.col("text"))).mapInArrow(run, "doc_id long, fp long, key binary")
 
 
 # -- candidates -------------------------------------------------------------------
@@ -203,6 +214,19 @@ def components(edges: DataFrame) -> DataFrame:
         e.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
+def classes_of(rows: DataFrame, distance: int) -> DataFrame:
+    """A written table, one row per fingerprint of ``rows`` (``doc_id, fp``):
+    ``fp, root`` (the fingerprint that names its component) and
+    ``component_id``."""
+    least = cut_lineage(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
+    found = components(links(least.select("fp"), distance))
+    roots = found.join(least, F.col("node") == F.col("fp")).select("fp", "root", "least")
+    ids = roots.groupBy("root").agg(F.min("least").alias("linked"))
+    linked = roots.join(ids, "root").select(F.col("fp").alias("f"), "root", "linked")
+    return cut_lineage(least.join(linked, F.col("fp") == F.col("f"), "left").select(
+        "fp", F.coalesce("root", "fp").alias("root"), F.coalesce("linked", "least").alias("component_id")), "classes")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """One row per input row: ``doc_id, fingerprint`` (16 hex digits)``,
@@ -215,12 +239,27 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4, id_col
     read; an empty table gives an empty result.
     """
     rows = cut_lineage(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
-    least = cut_lineage(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
-    found = components(links(least.select("fp"), distance))
-    roots = found.join(least, F.col("node") == F.col("fp")).select("fp", "root", "least")
-    ids = roots.groupBy("root").agg(F.min("least").alias("linked"))
-    linked = roots.join(ids, "root").select(F.col("fp").alias("f"), "linked")
-    classes = cut_lineage(least.join(linked, F.col("fp") == F.col("f"), "left").select(
-        "fp", F.coalesce("linked", "least").alias("component_id")), "classes")
-    return rows.join(classes, "fp").select(
+    return rows.join(classes_of(rows, distance), "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def survivors(docs: DataFrame, shingle: int = 4, distance: int = 4, id_col: str = "doc_id",
+              text_col: str = "text") -> DataFrame:
+    """One row of each component of ``near_duplicates``, all columns: that
+    with the smallest id, null ids last, and of several rows with this id the
+    least.  Each row is decided by its own text, so ids may be null or name
+    unlike texts; an empty table gives an empty result.
+    """
+    rows = cut_lineage(fingerprints(docs, shingle, id_col, text_col, keyed=True), "fingerprints")
+    # rows with equal id and text are one until the end
+    texts = rows.groupBy("fp", "doc_id", "key").agg(F.count("*").alias("n"))
+    texts = cut_lineage(texts.join(classes_of(rows, distance).select("fp", "root"), "fp").select("root", "doc_id", "key", "n"),
+                        "texts")
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "n")
+    heads = (texts.groupBy("root", "doc_id").agg(F.sum("n").alias("n")).groupBy("root").agg(F.min(order).alias("b"))
+             .select(F.col("root").alias("r"), F.col("b.doc_id").alias("__id"), (F.col("b.n") > 1).alias("__rep")))
+    marks = cut_lineage(texts.join(heads, (F.col("root") == F.col("r")) & F.col("doc_id").eqNullSafe(F.col("__id")))
+                        .select("__id", F.col("key").alias("__key"), F.col("root").alias("__root"), "__rep"), "kept")
+    keyed = docs.withColumn("__text_key", text_key(F.col(text_col)))
+    hit = keyed.join(marks, F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (F.col("__text_key") == F.col("__key")))
+    return once_each(hit, docs.columns, "__rep", "__root", bool(marks.where("__rep").head(1)))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__
 import corpus_pipeline
-from pansift.llm import mixing, toxicity
+from pansift.llm import mixing, simhash, toxicity
 
 SF = "/root/testdata/sf0.1"
 
@@ -170,6 +170,23 @@ def test_stages_of_edges(spark, edge, empty, tmp_path):
     assert docs.count() == 0
 
 
+def test_near_copies_go_by_row(spark, make):
+    rs = random.Random(2)
+    text = lambda: " ".join("".join(rs.choice("abcdefgh") for _ in range(6)) for _ in range(400))
+    a, b, c, d, e, f = (text() for _ in range(6))
+    near = lambda t: t + " end"
+    pairs = [(3, a), (7, near(a)), (7, b), (None, near(a) + " x"), (None, c), (None, d), (None, near(d)), (None, c),
+             (9, e), (9, near(e)), (12, f), (12, f), (12, near(f))]
+    fps = [simhash.fingerprint(t, corpus_pipeline.SHINGLE) for _, t in pairs]
+    linked = lambda x, y: (fps[x] ^ fps[y]).bit_count() <= corpus_pipeline.DISTANCE
+    assert linked(0, 1) and linked(0, 3) and linked(5, 6) and linked(8, 9) and linked(10, 12) and not linked(0, 2)
+    docs = make(pairs)
+    got = corpus_pipeline.drop_near_copies(spark, docs, "")
+    assert got.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted(
+        [(3, a), (7, b), (None, c), (None, d), (9, e), (12, f)], key=str)
+
+
 def test_every_operator_is_registered():
     names = [n for n in __spark_entry__.queries() if re.match(r"op\d+_", n)]
     assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 11))
