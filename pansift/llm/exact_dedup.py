@@ -202,7 +202,8 @@ def _stays() -> Column:
 def survivors(docs: DataFrame, is_history: Column | None = None, per_shard: int = PER_SHARD,
               id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns; cases as in
-    ``dedup``.  Texts meet the decision by id, which no group shares."""
+    ``dedup``.  A row meets the decision by id, code points and digest, so
+    rows that share an id, or have none, meet only that on their own text."""
     rows, groups = decide(docs, is_history, per_shard, id_col, text_col)
     ends = groups.select("digest", "keep_id", "keep_points")
     marks = cut_lineage(rows.join(ends, "digest").where(_stays()).groupBy("digest", "keep_id", "keep_points")
@@ -210,6 +211,7 @@ def survivors(docs: DataFrame, is_history: Column | None = None, per_shard: int
     marks = marks.select(F.col("digest").alias("__digest"), F.col("keep_id").alias("__id"),
                          F.col("keep_points").alias("__points"), "__rep")
     text = F.coalesce(docs[text_col], F.lit(""))
-    hit = (docs.join(marks, docs[id_col].cast("long").eqNullSafe(F.col("__id")))
-           .where((F.length(text) == F.col("__points")) & (F.unhex(F.sha2(normalised(text), 256)) == F.col("__digest"))))
+    dealt = docs.withColumns({"__length": F.length(text).cast("long"), "__sha": F.unhex(F.sha2(normalised(text), 256))})
+    hit = dealt.join(marks, F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (F.col("__length") == F.col("__points"))
+                     & (F.col("__sha") == F.col("__digest")))
     return once_each(hit, docs.columns, "__rep", "__digest", bool(marks.where("__rep").head(1)))

@@ -199,6 +199,15 @@ def test_exact_survivors_keep_columns(edge, edge_pairs, empty):
     assert exact_dedup.survivors(empty).count() == exact_dedup.dedup(empty).count() == 0
 
 
+def test_rows_without_id_meet_only_their_own_digest(make):
+    docs = make([(None, f"text number {k}") for k in range(400)] + [(5, f"another one {k}") for k in range(400)])
+    got = exact_dedup.survivors(docs)
+    assert len({r.text for r in got.collect()}) == got.count() == 800
+    plan = got._jdf.queryExecution().sparkPlan().toString()
+    joins = re.findall(r"(?:SortMergeJoin|HashJoin) (\[.*?\]), \[", plan)
+    assert joins and all("__sha" in keys for keys in joins)
+
+
 def test_perfect_hash_is_minimal():
     digests = [hashlib.sha256(str(k).encode()).digest() for k in range(5000)]
     words = exact_dedup._words(digests)
