@@ -208,6 +208,12 @@ class TextCodec:
         self.codec = PrefixCodec(model)
         sp = self.codec.p.sp
         self.begin, self.end = packed([sp.bos_id()]), packed([sp.eos_id()])
+        texts, byte_of = self.codec.p.texts, self.codec.p.byte_of
+        self.controls = frozenset(i for i in range(len(texts)) if sp.is_control(i))
+        # a byte below 128 is a character of its own; the others are decoded in runs
+        self.surfaces = ["" if i in self.controls else chr(byte_of[i]) if byte_of.get(i, 128) < 128 else t.replace(MARK, " ")
+                         for i, t in enumerate(texts)]
+        self.in_runs = frozenset(i for i, b in byte_of.items() if b >= 128)
         self.odd: dict[str, str] = {}
         self.known = Remembered(self._learn)
 
@@ -232,8 +238,11 @@ class TextCodec:
 
     def decode(self, ids: bytes) -> str:
         """Text of ids in the form that ``encode`` returns."""
-        got = [i for i in struct.unpack(f"<{len(ids) // 4}I", ids) if not self.codec.p.sp.is_control(i)]
-        text = self.codec.surface(got)
+        got = struct.unpack(f"<{len(ids) // 4}I", ids)
+        if self.in_runs.isdisjoint(got):
+            text = "".join(map(self.surfaces.__getitem__, got))
+        else:
+            text = self.codec.surface([i for i in got if i not in self.controls])
         return text[1:] if text[:1] == " " else text
 
 

@@ -60,6 +60,12 @@ def decode(encoded: DataFrame, model: str | None = None) -> DataFrame:
     return encoded.select(F.col("doc_id").cast("long"), "ids").mapInArrow(run, "doc_id long, text string")
 
 
+def digests(codec: piece_codec.TextCodec, text: str) -> tuple[int, str, str]:
+    """Number and SHA-256 of a text's ids, and SHA-256 of what these ids decode to."""
+    got = codec.encode(text)
+    return len(got) // 4, hashlib.sha256(got).hexdigest(), hashlib.sha256(codec.decode(got).encode()).hexdigest()
+
+
 def code_digests(docs: DataFrame, model: str | None = None, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` per input row, encoded
@@ -71,12 +77,7 @@ def code_digests(docs: DataFrame, model: str | None = None, id_col: str = "doc_i
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS_AT_ONCE):
                 part = batch.slice(at, ROWS_AT_ONCE)
-                n, ids, back = [], [], []
-                for text in part.column(1).to_pylist():
-                    got = codec.encode(text)
-                    n.append(len(got) // 4)
-                    ids.append(hashlib.sha256(got).hexdigest())
-                    back.append(hashlib.sha256(codec.decoded(text).encode()).hexdigest())
+                n, ids, back = zip(*(digests(codec, text) for text in part.column(1).to_pylist()))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(back, pa.string())],
                     names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])

@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from pansift.llm import piece_codec
-from pansift.llm.sentencepiece_codec import code_digests, decode, encode
+from pansift.llm.sentencepiece_codec import code_digests, decode, digests, encode
 from pansift.llm.token_counts import count_tokens
 
 
@@ -55,6 +55,21 @@ def test_any_text(text):
     assert piece_codec.count_tokens(text, piece_codec.counter(path)) == len(ids)
 
 
+@pytest.mark.parametrize("text", ["plain words of a text", "emoji 😀 and 中文 ", "  two  spaces ▁ "])
+def test_decoded_digest_follows_the_ids(model, library, text):
+    class Faulty(piece_codec.TextCodec):
+        def encode(self, text):
+            return super().encode(text)[:-8] + self.end  # the last id is lost
+
+    def of(ids):
+        return (len(ids), hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest(),
+                hashlib.sha256(library.decode(ids).encode()).hexdigest())
+
+    ids = library.encode(text)
+    assert digests(piece_codec.TextCodec(model), text) == of([1, *ids, 2])
+    assert digests(Faulty(model), text) == of([1, *ids[:-1], 2])
+
+
 def test_every_shortcut_is_one_token(model, library):
     found = piece_codec.whole_tokens(model)
     assert len(found) > 10_000
