@@ -8,8 +8,9 @@ A second sample of the same size fixes how many parts a query has to visit.
 
 Index: the network deals every vector to its most probable part; parts are cut
 into blocks of bounded size.  Search: a query visits its most probable parts,
-meets their blocks, and the exact inner products are reranked.  Model and
-sample are the only things on the driver.
+and further ones until they hold enough vectors, meets their blocks, and the
+exact inner products are reranked.  Model, sample and the sizes of the parts are
+the only things on the driver.
 """
 
 from __future__ import annotations
@@ -155,6 +156,18 @@ def fit(sample: np.ndarray, parts: int, k: int, aim: float = AIM) -> Router:
     return router
 
 
+def visited(logits: np.ndarray, held: np.ndarray, least: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each row's parts, the most probable first (all rows in one array), and
+    where each row ends: at least ``least`` parts, and as many as hold ``k``
+    vectors besides the row's own (``held`` per part), or all."""
+    order = np.argsort(-logits, axis=1, kind="stable").astype(np.int32)
+    enough = np.cumsum(held[order], axis=1) > k
+    n = np.where(enough.any(axis=1), enough.argmax(axis=1) + 1, order.shape[1])
+    n = np.maximum(n, least)
+    taken = np.arange(order.shape[1]) < n[:, None]
+    return order[taken], np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
+
+
 def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     """``vec_id, vec`` (doubles) of vectors that take part."""
     v = F.transform(F.col(vec_col), lambda x: x.cast("double"))
@@ -205,8 +218,9 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_
     Vectors that are null, zero, empty, of another length than the most common
     one, or that hold null or non-finite components take no part, nor do null
     ids.  Rows that repeat an id count as one vector (its best score).  Ties
-    go to the smaller id.  Other columns are not read; an empty table gives an
-    empty result.  ``visits``: parts per query instead of the learnt number
+    go to the smaller id.  A query has fewer than ``k`` rows only if there are
+    fewer other vectors.  Other columns are not read; an empty table gives an
+    empty result.  ``visits``: least parts per query instead of the learnt number
     (as many as there are parts gives the exact result).
     """
     spark = vectors.sparkSession
@@ -233,12 +247,15 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                to = np.argsort(-router.logits(_arrow_matrix(b.column(1))), axis=1, kind="stable")[:, :go_to].astype(np.int32)
-                ends = np.arange(len(to) + 1, dtype=np.int32) * go_to
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.ListArray.from_arrays(ends, to.ravel())],
+                to, ends = visited(router.logits(_arrow_matrix(b.column(1))), held, go_to, k)
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.ListArray.from_arrays(ends, to)],
                                                  names=["query_id", "vec", "parts"])
 
     index = cut_lineage(rows.mapInArrow(home, "part int, vec_id long, vec array<double>"), "index")
+    # vectors of a part; an id in several parts counts in one
+    held = np.zeros(len(router.b2), np.int64)
+    for r in index.groupBy("vec_id").agg(F.min("part").alias("part")).groupBy("part").count().collect():
+        held[r["part"]] = r["count"]
     asked = cut_lineage(rows.where(F.col("vec_id") % every == 0)
                         .mapInArrow(route, "query_id long, vec array<double>, parts array<int>"), "queries")
     visits_of = asked.select(F.explode("parts").alias("part")).groupBy("part").agg(F.count("*").alias("q"))
@@ -255,7 +272,9 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_
     def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        a, b, s = best(_matrix(left["vec"]), left["query_id"].to_numpy(), _matrix(right["vec"]), right["vec_id"].to_numpy(), k)
+        ids = right["vec_id"].to_numpy()
+        most = int(np.unique(ids, return_counts=True)[1].max())  # k ids are among the best k * most rows
+        a, b, s = best(_matrix(left["vec"]), left["query_id"].to_numpy(), _matrix(right["vec"]), ids, k * most)
         return pd.DataFrame({"query_id": a, "vec_id": b, "score": s})
 
     by = ["part", "block", "lot"]

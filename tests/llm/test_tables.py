@@ -4,7 +4,7 @@ import glob
 import hashlib
 import io
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -235,6 +235,30 @@ def test_few_vectors(spark):
     assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in got) == [(20, 1, 1, 2.0), (20, 2, 3, 2.0)]
 
 
+def _clusters(n, at, rs):
+    """One vector in ``at`` lies far from the others, in a small cluster of its own."""
+    return [(k, (rs.normal(size=8) * 0.05 + 9 * np.eye(8)[1 if k % at == 0 else 0]).tolist()) for k in range(n)]
+
+
+@pytest.mark.parametrize("n, kind", [(15, "even"), (30, "even"), (120, "even"), (300, "even"), (200, "clusters"), (300, "repeats")])
+def test_rows_per_query(spark, n, kind):
+    rs = np.random.default_rng(n)
+    rows = _clusters(n, 20, rs) if kind == "clusters" else [(k, rs.normal(size=8).tolist()) for k in range(n)]
+    if kind == "repeats":
+        rows += [(7, (np.array(rows[20][1]) * (30 + j)).tolist()) for j in range(40)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = Counter(r.query_id for r in ann.search(df, visits=1).select("query_id", "vec_id").distinct().collect())
+    assert got == {q: min(20, n - 1) for q in range(0, n, 20)}
+
+
+def test_parts_visited_hold_enough():
+    logits = np.array([[3.0, 2.0, 1.0, 0.0], [0.0, 1.0, 2.0, 3.0]])
+    to, ends = ann.visited(logits, np.array([5, 0, 17, 100]), 1, 20)
+    assert (to.tolist(), ends.tolist()) == ([0, 1, 2, 3], [0, 3, 4])
+    to, ends = ann.visited(logits, np.array([5, 0, 7, 3]), 2, 20)
+    assert (to.tolist(), ends.tolist()) == ([0, 1, 2, 3, 3, 2, 1, 0], [0, 4, 8])
+
+
 def test_parts_are_balanced():
     rs = np.random.default_rng(1)
     x = rs.normal(size=(1000, 8))
