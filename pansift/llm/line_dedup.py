@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from pansift.llm._common import cut_lineage, id_and_text
 
-#: Lines of fewer characters are compared for equality only.
+#: Lines of fewer characters are compared for equality only, if ``dedup_lines`` is not told another floor.
 NEAR_CHARS = 16
 WINDOW, PARTS = 16, 16
 _BLANK = " \t\x0b\x0c\r"
@@ -92,11 +92,11 @@ def variants(suspects: DataFrame, texts: DataFrame) -> DataFrame:
     return struck.unionByName(itself).select(v1.alias("v1"), v2.alias("v2"), "whole", "exchanged", "k1", "k2", "first")
 
 
-def near_lines(classes: DataFrame, texts_of) -> DataFrame:
+def near_lines(classes: DataFrame, texts_of, near_chars: int = NEAR_CHARS) -> DataFrame:
     """``k1, k2, keep``: lines that have an earlier line within one edit, and
     the place of the earliest.  ``classes``: one row per distinct line;
     ``texts_of(suspects)`` gives their texts."""
-    windows = classes.where(F.col("len") >= NEAR_CHARS).select("k1", "k2", F.inline(F.array(*[
+    windows = classes.where(F.col("len") >= near_chars).select("k1", "k2", F.inline(F.array(*[
         F.struct((F.col("len") - d).alias("m"), F.lit(side).alias("left_equal"), F.lit(d == 0).alias("is_m"), F.col(f"tag{d}{int(side)}").alias("tag"))
         for d in (0, 1) for side in (False, True)])))
     half = F.floor(F.col("m") / 2).cast("int")
@@ -116,17 +116,19 @@ def near_lines(classes: DataFrame, texts_of) -> DataFrame:
     return checked.groupBy("k1", "k2").agg(F.min("keep").alias("keep"))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", near_chars: int = NEAR_CHARS) -> DataFrame:
     """One row per line: ``doc_id, line_no, kept, keep_doc_id, keep_line_no``.
 
     A line goes if an earlier line (by id, then line number) equals it, or
-    lies within one edit of it and both have at least ``NEAR_CHARS`` characters;
+    lies within one edit of it and both have at least ``near_chars`` (from 2) characters;
     ``keep_*`` is the place of the earliest such line, or its own.  White
     space at the ends of a line does not count; blank lines stay; null texts
     are one blank line; null ids come last; rows that repeat an id share their
     places, so what one of them keeps the others keep; other columns are not
     read; an empty table gives an empty result.
     """
+    if near_chars < 2:
+        raise ValueError("any two lines of one character are within one edit")
     line, n = F.col("line"), F.char_length("line")
     tags = [outside(line, n, n - d, (F.floor((n - d) / 2) if side else F.lit(0)).cast("int"),
                     (n - d if side else F.floor((n - d) / 2)).cast("int")).alias(f"tag{d}{int(side)}")
@@ -148,7 +150,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         return cut_lineage(texts.where((F.col("k1") == k1) & (F.col("k2") == k2))
                            .select("k1", "k2", "len", "first", "line").dropDuplicates(["k1", "k2"]), "texts")
 
-    near = near_lines(classes, texts_of)
+    near = near_lines(classes, texts_of, near_chars)
     told = classes.join(near, ["k1", "k2"], "left").where((F.col("n") > 1) | F.col("keep").isNotNull())
     told = cut_lineage(told.select("k1", "k2", F.coalesce("keep", "first").alias("keep")), "verdicts")
     mine = F.coalesce(F.col("keep"), place())

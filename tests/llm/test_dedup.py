@@ -81,6 +81,19 @@ def test_lines_edges(edge, edge_pairs, empty):
     assert line_dedup.dedup_lines(empty).count() == 0
 
 
+@pytest.mark.parametrize("floor", [2, 9])
+def test_short_lines_below_the_usual_floor(make, monkeypatch, floor):
+    rs = random.Random(8)
+    pairs = [(k, "\n".join("".join(rs.choice("abé") for _ in range(rs.choice([1, 2, 3, 5, 8, 9, 10, 15, 16]))) for _ in range(4)))
+             for k in range(60)]
+    pairs += [(100, "Read more >"), (101, "Read more »"), (102, "a line of 15 ch"), (103, "a line of 15 chs")]
+    got = line_dedup.dedup_lines(make(pairs), near_chars=floor).collect()
+    got = sorted(((r.doc_id, r.line_no, r.kept, r.keep_doc_id, r.keep_line_no) for r in got), key=str)
+    monkeypatch.setattr(line_dedup, "NEAR_CHARS", floor)
+    assert got == lines_brute(pairs)
+    assert {(101, 0, False, 100, 0), (103, 0, False, 102, 0)} <= set(got)
+
+
 def test_lines_of_documents(make):
     docs = make([(1, "first line of all the lines\nsecond"), (2, "second\nfirst line of all the lined\nthird\n"), (3, None)])
     got = {r.doc_id: r.text for r in line_dedup.without_repeats(docs).collect()}
