@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -65,6 +66,22 @@ def op9_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(table(spark, sf_dir, "embeddings"))
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pansift.llm.centroids import cluster
+    return cluster_digest(cluster(table(spark, sf_dir, "embeddings")))
+
+
+def cluster_digest(found) -> DataFrame:
+    """Per vector the totals of its cluster and the digest of its centroid."""
+    def of_cluster(values, kind):
+        return F.element_at(F.array(*[F.lit(v).cast(kind) for v in values]), F.col("cluster") + 1) if values else F.lit(None).cast(kind)
+    total = sum(found.inertia) if None not in found.inertia else None
+    total = total if total is not None and total < 1 << 63 else None
+    hashes = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in found.centroids]
+    return found.assigned.select("vec_id", "cluster", "distance", of_cluster(found.inertia, "long").alias("cluster_inertia"),
+                                 F.lit(total).cast("long").alias("inertia"), of_cluster(hashes, "string").alias("centroid_sha256"))
+
+
 SQL: dict[str, str] = {}
 
 SQL["op7_exact_dedup"] = r"""
@@ -163,6 +180,37 @@ JOIN c ON d.source IS NOT DISTINCT FROM c.source AND d.u = c.u
 """
 
 
+def _centroid_sql(rounds: int = 10) -> str:
+    """Each round is two steps of SQL: the nearest centroids, then their floored means."""
+    parts = [r"""
+e AS (
+  SELECT row_number() OVER () AS r, vec_id, embedding FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+v AS MATERIALIZED (
+  SELECT r, vec_id, unnest(range(0, 64)) AS i, CAST(floor(1024.0::DOUBLE * unnest(embedding)::DOUBLE) AS BIGINT) AS x FROM e),
+seed AS (SELECT r, row_number() OVER (ORDER BY sha256('3:' || CAST(vec_id AS VARCHAR))) - 1 AS c FROM e WHERE vec_id IS NOT NULL),
+c0 AS MATERIALIZED (SELECT CAST(c AS INT) AS c, i, x AS m FROM seed JOIN v USING (r) WHERE c < 8)"""]
+    for k in range(rounds + 1):
+        parts.append(f"""
+a{k} AS MATERIALIZED (
+  SELECT r, arg_min(c, (d, c)) AS c, min(d) AS d
+  FROM (SELECT r, c, CAST(sum((x - m) * (x - m)) AS BIGINT) AS d FROM v JOIN c{k} USING (i) GROUP BY r, c) GROUP BY r)""")
+        if k < rounds:
+            parts.append(f"""
+c{k + 1} AS MATERIALIZED (
+  SELECT c, i, CAST(coalesce((s - ((s % n) + n) % n) // n, m) AS BIGINT) AS m
+  FROM c{k} LEFT JOIN (SELECT c, i, sum(x) AS s, count(*) AS n FROM a{k} JOIN v USING (r) GROUP BY c, i) USING (c, i))""")
+    return "WITH " + ",".join(parts) + f""",
+h AS (SELECT c, sha256(string_agg(CAST(m AS VARCHAR), ',' ORDER BY i)) AS centroid_sha256 FROM c{rounds} GROUP BY c)
+SELECT vec_id, c AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(d) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM a{rounds} JOIN h USING (c) JOIN e USING (r)
+"""
+
+
+SQL["op11_centroids"] = _centroid_sql()
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {k: v for k, v in globals().items() if k.startswith("op") and k[2:].split("_")[0].isdigit()}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
