@@ -82,6 +82,23 @@ def cluster_digest(found) -> DataFrame:
                                  F.lit(total).cast("long").alias("inertia"), of_cluster(hashes, "string").alias("centroid_sha256"))
 
 
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pansift.llm.decontamination import contamination
+    return item_digest(contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
+def item_digest(found: DataFrame) -> DataFrame:
+    """Per document the number and digest of its items."""
+    names = F.concat_ws(",", F.sort_array(F.transform("items", lambda i: i.cast("string"))))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(names, 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pansift.llm.alignment import link_counts
+    return link_counts(table(spark, sf_dir, "documents"))
+
+
 SQL: dict[str, str] = {}
 
 SQL["op7_exact_dedup"] = r"""
@@ -179,6 +196,29 @@ FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source
 JOIN c ON d.source IS NOT DISTINCT FROM c.source AND d.u = c.u
 """
 
+SQL["op12_decontamination"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, w[i:i + least(len(w), 10) - 1] AS g
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+g AS (
+  SELECT r, i, n, w[i:i + n - 1] AS g
+  FROM (SELECT r, n, w, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM win) WHERE len(w) >= n)),
+m AS MATERIALIZED (SELECT r, i, n, item_id FROM g JOIN win USING (n, g)),
+h AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM m) GROUP BY r),
+t AS (SELECT r, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS s
+      FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS s FROM m WHERE item_id IS NOT NULL) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (r) LEFT JOIN t USING (r)
+"""
+
 
 def _centroid_sql(rounds: int = 10) -> str:
     """Each round is two steps of SQL: the nearest centroids, then their floored means."""
