@@ -1,28 +1,74 @@
 """Exact quantiles without gathering a column in one task.
 
-Values are counted per distinct value (combined map-side), the counts are
-range-partitioned by value and written; the rows in each range give the ranks
-at which it starts.  Only the ranges that hold a wanted rank are read again,
-and the rank is found within its range.  No task sees more than one range, and
-hot values are one row with a count.
+*Bracketed selection.*  One aggregate builds a mergeable rank sketch (KLL, a
+built-in of Spark) of every column.  While a column, or what is left of it, has no
+more values than the sketch holds, the sketch is the sorted data and the rank is
+read from it.  Otherwise the sketch gives a bracket around the rank, and the next
+scan counts what lies below it, what equals its ends, and sketches what lies
+between; the counts tell whether the rank is in it (if not, the search goes on beside
+it).  Each scan narrows a bracket some hundred times, so a trillion rows take
+four.  No value is shuffled or written: a task sends one sketch per column.
+
+*Groups.*  If no group has more values than a sketch holds, all of them are read from
+one sketch per group and column.  Larger groups take the other way: values are
+counted per distinct value (combined map-side), the counts are range-partitioned
+and written, and only ranges that hold a wanted rank are read again.
+
+Missing values, NULL or NaN, do not count.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pansift.session import cut_lineage
 
+#: Values that a sketch holds exactly, as a power of two: of a whole column, of one group's column.
+WHOLE, OF_GROUP = 14, 12
+#: The same for brackets, and how many evenly spaced ranks are read from their sketches.
+BRACKET, RANKS = 12, 1024
+#: Brackets, and columns, that are counted in one scan.
+AT_ONCE = 100
+
+
+def _value(x: Column) -> Column:
+    x = x.cast("double")
+    return F.when(~F.isnan(x), x)
+
+
+def _error(power: int) -> float:
+    """Four times the sketch's own bound (99 %) on the error of a normalised rank."""
+    return 4 * 2.3 / (1 << power) ** 0.97
+
+
+def _ranks(sketch: Column, ranks: Sequence[float]) -> Column:
+    """The sketch's values at normalised ranks (one constant in the plan)."""
+    return F.kll_sketch_get_quantile_double(sketch, F.split(F.lit(",".join(map(repr, ranks))), ",").cast("array<double>"))
+
+
+def _near(q: float, power: int) -> list[float]:
+    """Ranks from which every rank near ``q`` can be read, whatever the number of
+    values up to ``2 ** power``: for each size ``2 ** k`` eight neighbouring ones."""
+    return [min(max((math.floor(q * (1 << k)) + d + 0.5) / (1 << k), 0.0), 1.0)
+            for k in range(power + 1) for d in range(-4, 4)]
+
+
+def _place(q: float, n: int, rank: int) -> int:
+    """Where the value of ``rank`` (from 0) among ``n`` stands in ``_near(q)``."""
+    k = max((n - 1).bit_length(), 1)
+    return 8 * k + math.floor((rank + 0.5) * (1 << k) / n) - math.floor(q * (1 << k)) + 4
+
 
 def _ranged(df: DataFrame, exprs: Mapping[str, Column], by: Sequence[str] = ()) -> DataFrame:
     """Written counts of the distinct values, with the number of their range:
     ``by..., _cid, _v, _n, _part``."""
     long = df.select(*by, F.explode(F.array(*[
-        F.struct(F.lit(i).alias("_cid"), x.cast("double").alias("_v")) for i, x in enumerate(exprs.values())])).alias("_kv"))
+        F.struct(F.lit(i).alias("_cid"), _value(x).alias("_v")) for i, x in enumerate(exprs.values())])).alias("_kv"))
     long = long.select(*by, "_kv._cid", "_kv._v").where(F.col("_v").isNotNull())
     counts = long.groupBy(*by, "_cid", "_v").agg(F.count(F.lit(1)).alias("_n"))
     return cut_lineage(counts.repartitionByRange(*by, "_cid", "_v").withColumn("_part", F.spark_partition_id()), "quantiles")
@@ -50,6 +96,45 @@ def quantile_table(df: DataFrame, cols: Mapping[str, Column] | Sequence[str], qs
     exprs = dict(cols) if isinstance(cols, Mapping) else {c: F.col(c) for c in cols}
     names = list(exprs)
     want = [list(qs[c]) if isinstance(qs, Mapping) else list(qs) for c in names]
+    counts = {f"_n{i}": F.count(_value(x)) for i, x in enumerate(exprs.values())}
+    most = df.groupBy(*by).agg(F.greatest(*[c for c in counts.values()], F.lit(0)).alias("_n")).agg(F.max("_n")).first()[0] or 0
+    if most <= 1 << OF_GROUP:
+        return _from_sketches(df, exprs, want, by, discrete)
+    return _from_ranges(df, exprs, want, by, discrete)
+
+
+def _from_sketches(df: DataFrame, exprs: Mapping[str, Column], want: list[list], by: list[str], discrete: bool) -> DataFrame:
+    """``quantile_table`` of groups that a sketch holds in full: one aggregate."""
+    sketched = df.groupBy(*by).agg(*[e for i, x in enumerate(exprs.values()) for e in (
+        F.count(_value(x)).alias(f"_n{i}"), F.kll_sketch_agg_double(_value(x), 1 << OF_GROUP).alias(f"_s{i}"))])
+
+    def values(i: int) -> Column:
+        n, width = F.col(f"_n{i}"), 8 * (OF_GROUP + 1)
+        found = _ranks(F.col(f"_s{i}"), [r for q in want[i] for r in _near(q, OF_GROUP)])
+        k = F.length(F.bin(n - 1))
+        size = F.call_function("shiftleft", F.lit(1).cast("long"), k)
+
+        def at(j: int, q: float, rank: Column) -> Column:
+            place = 8 * k + F.floor((rank + 0.5) * size / n) - F.floor(F.lit(float(q)) * size) + 4
+            return F.element_at(found, (F.lit(j * width + 1) + place).cast("int"))
+        out = []
+        for j, q in enumerate(want[i]):
+            if discrete:
+                out.append(at(j, q, F.greatest(F.ceil(F.lit(float(q)) * n) - 1, F.lit(0))))
+                continue
+            where = F.lit(float(q)) * (n - 1)
+            low, high = at(j, q, F.floor(where)), at(j, q, F.ceil(where))
+            out.append(F.when(low == high, low).otherwise((F.ceil(where) - where) * low + (where - F.floor(where)) * high))
+        return F.array(*out)
+    rows = [F.when(F.col(f"_n{i}") > 0, F.struct(F.lit(c).alias("column"), F.col(f"_n{i}").alias("n"), values(i).alias("values")))
+            for i, c in enumerate(exprs)]
+    long = sketched.select(*by, F.explode(F.array_compact(F.array(*rows))).alias("_row"))
+    return long.select(*by, "_row.column", "_row.n", "_row.values")
+
+
+def _from_ranges(df: DataFrame, exprs: Mapping[str, Column], want: list[list], by: list[str], discrete: bool) -> DataFrame:
+    """``quantile_table`` by ranges of the counted values."""
+    names = list(exprs)
     ranged = _ranged(df, exprs, by)
     group = Window.partitionBy(*by, "_cid")
     before = F.sum("_s").over(group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
@@ -88,8 +173,6 @@ def quantile_table(df: DataFrame, cols: Mapping[str, Column] | Sequence[str], qs
     return out.select(*by, F.array(*[F.lit(c) for c in names])[F.col("_cid")].alias("column"), "n", "values")
 
 
-#: More ranges than a shuffle has.
-_PARTS = 1 << 32
 #: Accuracy of the sketch that ``approx`` asks for.
 ACCURACY = 10_000
 
@@ -109,28 +192,53 @@ def quantile_fit(df: DataFrame, cols: Mapping[str, Column] | Sequence[str], qs,
         return {c: None if row[i] is None else list(row[i]) for i, c in enumerate(names)}
     exprs = dict(cols) if isinstance(cols, Mapping) else {c: F.col(c) for c in cols}
     want = [list(qs[c] if isinstance(qs, Mapping) else qs) for c in names]
-    ranged = _ranged(df, exprs)
-    # a range holds one column, but for the few that lie across two: as many rows as ranges and columns
-    sums = ranged.groupBy("_cid", "_part").agg(F.sum("_n").alias("s")).orderBy("_cid", "_part").collect()
-    total = [sum(r["s"] for r in sums if r["_cid"] == i) for i in range(len(names))]
-    ranks = [sorted({k for q in w for k in _wanted(q, n, discrete)[:2]}) if n else [] for w, n in zip(want, total)]
-    starts, at, last = [], 0, None
-    for r in sums:
-        at = at if r["_cid"] == last else 0
-        last = r["_cid"]
-        if any(at <= k < at + r["s"] for k in ranks[last]):
-            starts += [F.lit(last * _PARTS + r["_part"]), F.lit(at)]
-        at += r["s"]
-    found: list[dict] = [{} for _ in names]
-    if starts:
-        near = ranged.withColumn("_before", F.try_element_at(F.create_map(*starts), F.col("_cid") * F.lit(_PARTS) + F.col("_part")))
-        inside = Window.partitionBy("_cid", "_part").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-        near = near.where(F.col("_before").isNotNull()).withColumn(
-            "_start", F.col("_before") + F.coalesce(F.sum("_n").over(inside), F.lit(0)))
-        asked = F.array(*[F.array(*[F.lit(k) for k in r]).cast("array<bigint>") for r in ranks])[F.col("_cid")]
-        hit = F.exists(asked, lambda k: (k >= F.col("_start")) & (k < F.col("_start") + F.col("_n")))
-        for r in near.where(hit).select("_cid", "_v", "_start", "_n").collect():
-            found[r["_cid"]].update({k: r["_v"] for k in ranks[r["_cid"]] if r["_start"] <= k < r["_start"] + r["_n"]})
+    return _bracketed(df, exprs, want, discrete)
+
+
+@dataclass
+class _Bracket:
+    """An open interval of column ``i`` that is looked into (None: no end), and the
+    ranks sought there.  ``below``, ``above``: ends between which they are known to lie."""
+    i: int
+    ranks: list[int]
+    low: float | None = None
+    high: float | None = None
+    below: float | None = None
+    above: float | None = None
+    found: dict = field(default_factory=dict)
+
+    def inside(self, x: Column) -> Column:
+        cond = x.isNotNull()
+        cond = cond if self.low is None else cond & (x > self.low)
+        return cond if self.high is None else cond & (x < self.high)
+
+
+def _bracketed(df: DataFrame, exprs: Mapping[str, Column], want: list[list], discrete: bool) -> dict:
+    """``quantile_fit`` by sketches."""
+    names, values = list(exprs), [_value(x) for x in exprs.values()]
+    total, found, todo = [0] * len(names), [{} for _ in names], []
+    wide = _error(WHOLE)
+    for at in range(0, len(names), AT_ONCE):
+        part = range(at, min(at + AT_ONCE, len(names)))
+        sketched = df.agg(*[e for i in part for e in (F.count(values[i]).alias(f"n{i}"),
+                                                      F.kll_sketch_agg_double(values[i], 1 << WHOLE).alias(f"s{i}"))])
+        row = sketched.select(*[f"n{i}" for i in part], *[F.when(F.col(f"n{i}") > 0, _ranks(F.col(f"s{i}"), [
+            r for q in want[i] for r in (*_near(q, WHOLE), max(0.0, q - wide), min(1.0, q + wide))])).alias(f"v{i}")
+            for i in part if want[i]]).first()
+        for i in part:
+            n = total[i] = row[f"n{i}"]
+            for j, q in enumerate(want[i] if n else ()):
+                ranks = sorted(set(_wanted(q, n, discrete)[:2]))
+                got = row[f"v{i}"][j * (8 * WHOLE + 10):(j + 1) * (8 * WHOLE + 10)]
+                if n <= 1 << WHOLE:
+                    found[i].update({r: got[_place(q, n, r)] for r in ranks})
+                else:
+                    todo.append(_Bracket(i, ranks, got[-2], got[-1]))
+    while todo:
+        now, todo = todo[:AT_ONCE], todo[AT_ONCE:]
+        todo += _narrowed(df, values, now)
+        for b in now:
+            found[b.i].update(b.found)
 
     def value(i, q):
         low, high, place = _wanted(q, total[i], discrete)
@@ -139,6 +247,50 @@ def quantile_fit(df: DataFrame, cols: Mapping[str, Column] | Sequence[str], qs,
     return {c: [value(i, q) for q in want[i]] if total[i] else None for i, c in enumerate(names)}
 
 
+def _narrowed(df: DataFrame, values: list[Column], brackets: list[_Bracket]) -> list[_Bracket]:
+    """One scan: ranks that can be told go to ``found``, brackets for the others come back."""
+    parts = []
+    for k, b in enumerate(brackets):
+        x, inside = values[b.i], b.inside(values[b.i])
+        parts += [(F.lit(0) if b.low is None else F.count_if(x < b.low)).alias(f"less{k}"),
+                  (F.lit(0) if b.low is None else F.count_if(x == b.low)).alias(f"low{k}"),
+                  (F.lit(0) if b.high is None else F.count_if(x == b.high)).alias(f"high{k}"),
+                  F.count_if(inside).alias(f"n{k}"), F.kll_sketch_agg_double(F.when(inside, x), 1 << BRACKET).alias(f"s{k}")]
+    grid = [(g + 0.5) / RANKS for g in range(RANKS)]
+    row = df.agg(*parts).select("*", *[F.when(F.col(f"n{k}") > 0, _ranks(F.col(f"s{k}"), grid)).alias(f"v{k}")
+                                       for k in range(len(brackets))]).drop(*[f"s{k}" for k in range(len(brackets))]).first()
+    rest = []
+    for k, b in enumerate(brackets):
+        first = row[f"less{k}"] + row[f"low{k}"]  # the rank at which the open interval begins
+        n, got = row[f"n{k}"], row[f"v{k}"]
+        last = first + n + (row[f"high{k}"] if b.high != b.low else 0)
+        left, inner, right = [], [], []
+        for r in b.ranks:
+            if r < row[f"less{k}"]:
+                left.append(r)
+            elif r < first:
+                b.found[r] = b.low
+            elif r < first + n:
+                if n <= RANKS:
+                    b.found[r] = got[math.floor((r - first + 0.5) * RANKS / n)]
+                else:
+                    inner.append(r)
+            elif r < last:
+                b.found[r] = b.high
+            else:
+                right.append(r)
+        if left:  # the bracket missed: on between what is known and its end
+            rest.append(_Bracket(b.i, left, b.below, b.low, b.below, b.low))
+        if right:
+            rest.append(_Bracket(b.i, right, b.high, b.above, b.high, b.above))
+        if inner:
+            wide = _error(BRACKET)
+            low = math.floor(((inner[0] - first) / n - wide) * RANKS - 1)
+            high = math.ceil(((inner[-1] - first + 1) / n + wide) * RANKS + 1)
+            rest.append(_Bracket(b.i, inner, got[low] if low >= 0 else b.low, got[high] if high < RANKS else b.high, b.low, b.high))
+    return rest
+
+
 def with_group_quantiles(groups: DataFrame, df: DataFrame, keys: Sequence[str], outs: Mapping[str, tuple[Column, float]],
                          approx: bool = False) -> DataFrame:
     """``groups`` (one row per key) with a quantile column per entry of
