@@ -16,8 +16,9 @@ import sys
 from array import array
 
 MARK = "▁"
-#: Remembered pre-tokens of a worker; beyond that the memory starts anew.
-REMEMBERED = 400_000
+#: Remembered pre-tokens of a worker and bytes that they may take; beyond either the
+#: memory starts anew.  Longer pre-tokens are not remembered.
+REMEMBERED, REMEMBERED_BYTES, LONGEST = 400_000, 96 << 20, 64
 _CUT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
@@ -38,20 +39,35 @@ def spelt(key: str) -> str:
 
 
 class Remembered(dict):
-    """A bounded memory of ``make(key)``; ``fixed`` entries stay."""
+    """A memory of ``make(key)``, bounded in entries and in bytes; ``fixed`` entries
+    stay.  Keys that are strings of more than ``LONGEST`` characters are made anew
+    each time, so one entry is small and a text without spaces leaves nothing behind."""
 
-    def __init__(self, make, fixed=(), most: int = REMEMBERED):
+    def __init__(self, make, fixed=(), most: int = REMEMBERED, most_bytes: int = REMEMBERED_BYTES):
         super().__init__(fixed)
-        self.make, self.fixed, self.most = make, dict(fixed), most
+        self.make, self.fixed, self.most, self.most_bytes, self.held = make, dict(fixed), most, most_bytes, 0
 
     def __missing__(self, key):
-        if len(self) >= self.most + len(self.fixed):
+        value = self.make(key)
+        if isinstance(key, str) and len(key) > LONGEST:
+            return value
+        size = 120 + sys.getsizeof(key) + _size(value)
+        if len(self) >= self.most + len(self.fixed) or self.held + size > self.most_bytes:
             self.clear()
             self.update(self.fixed)
-        value = self[key] = self.make(key)
+            self.held = 0
+        self.held += size
+        self[key] = value
         return value
 
 
+def _size(value) -> int:
+    """Bytes of a value; numbers in lists count as objects of their own."""
+    if isinstance(value, (list, tuple)):
+        return sys.getsizeof(value) + sum(map(_size, value))
+    return sys.getsizeof(value)
+
+
 class Pieces:
     """The vocabulary of a BPE model with byte fallback."""
 
@@ -122,7 +138,7 @@ class PrefixCodec:
             if self.merged(text) == [text]:  # else no text gives this piece
                 self.automaton.add_word(text, i)
         self.automaton.make_automaton()
-        self.compatible = Remembered(self._pair, most=2_000_000)
+        self.compatible = Remembered(self._pair, most=2_000_000, most_bytes=256 << 20)
         self.singles = frozenset(t for t in self.p.plain if len(t) == 1)
 
     def merged(self, text: str) -> list[str]:
@@ -214,28 +230,11 @@ class TextCodec:
         self.surfaces = ["" if i in self.controls else chr(byte_of[i]) if byte_of.get(i, 128) < 128 else t.replace(MARK, " ")
                          for i, t in enumerate(texts)]
         self.in_runs = frozenset(i for i, b in byte_of.items() if b >= 128)
-        self.odd: dict[str, str] = {}
-        self.known = Remembered(self._learn)
-
-    def _learn(self, key: str) -> bytes:
-        text = spelt(key)
-        ids = self.codec.ids(text)
-        got = self.codec.surface(ids)
-        if got != text.replace(MARK, " "):
-            self.odd[key] = got
-        return packed(ids)
+        self.known = Remembered(lambda key: packed(self.codec.ids(spelt(key))))
 
     def encode(self, text: str) -> bytes:
         return self.begin + b"".join(map(self.known.__getitem__, pre_tokens(text))) + self.end
 
-    def decoded(self, text: str) -> str:
-        """What the ids of ``encode(text)`` decode to.  Every pre-token's ids
-        were decoded when learnt; those that came back changed are in ``odd``."""
-        keys = pre_tokens(text)
-        if not self.odd or not any(k in self.odd for k in keys):
-            return text.replace(MARK, " ")
-        return "".join(self.odd.get(k, spelt(k).replace(MARK, " ")) for k in keys)[1:]
-
     def decode(self, ids: bytes) -> str:
         """Text of ids in the form that ``encode`` returns."""
         got = struct.unpack(f"<{len(ids) // 4}I", ids)
