@@ -94,7 +94,7 @@ def variants(suspects: DataFrame, texts: DataFrame) -> DataFrame:
 
 def near_lines(classes: DataFrame, texts_of, near_chars: int = NEAR_CHARS) -> DataFrame:
     """``k1, k2, keep``: lines that have an earlier line within one edit, and
-    the place of the earliest.  ``classes``: one row per distinct line;
+    the place of the earliest (of different lines in one place, that with the smaller hash).  ``classes``: one row per distinct line;
     ``texts_of(suspects)`` gives their texts."""
     windows = classes.where(F.col("len") >= near_chars).select("k1", "k2", F.inline(F.array(*[
         F.struct((F.col("len") - d).alias("m"), F.lit(side).alias("left_equal"), F.lit(d == 0).alias("is_m"), F.col(f"tag{d}{int(side)}").alias("tag"))
@@ -108,7 +108,7 @@ def near_lines(classes: DataFrame, texts_of, near_chars: int = NEAR_CHARS) -> Da
     who = F.struct("first", "k1", "k2")
     met = keys.groupBy("v1", "v2").agg(F.min(F.when(F.col("whole"), who)).alias("w"), F.min(F.when(~F.col("whole"), who)).alias("v"))
     partner = F.when(F.col("exchanged") | F.col("whole"), F.col("v")).otherwise(F.col("w"))
-    pairs = (keys.join(met, ["v1", "v2"]).withColumn("p", partner).where(F.col("p.first") < F.col("first"))
+    pairs = (keys.join(met, ["v1", "v2"]).withColumn("p", partner).where(F.col("p") < who)  # in one place the hashes decide
              .select("k1", "k2", F.col("p.k1").alias("p1"), F.col("p.k2").alias("p2"), F.col("p.first").alias("keep")).distinct())
     own = texts.select("k1", "k2", "line")
     theirs = texts.select(F.col("k1").alias("p1"), F.col("k2").alias("p2"), F.col("line").alias("other"))
@@ -121,11 +121,13 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     A line goes if an earlier line (by id, then line number) equals it, or
     lies within one edit of it and both have at least ``near_chars`` (from 2) characters;
-    ``keep_*`` is the place of the earliest such line, or its own.  White
-    space at the ends of a line does not count; blank lines stay; null texts
-    are one blank line; null ids come last; rows that repeat an id share their
-    places, so what one of them keeps the others keep; other columns are not
-    read; an empty table gives an empty result.
+    ``keep_*`` is the place of the earliest such line, or its own.  It names the line
+    that made this one go; that line may itself go for a still earlier one, within
+    one edit of it but not of this one.  White space at the ends of a line does not count;
+    blank lines stay; null texts are one blank line; null ids come last.  Rows that
+    repeat an id, or have none, share their places: of equal lines in one place one
+    stays (either, they cannot be told apart), of different ones that are near the one with the
+    smaller hash.  Other columns are not read; an empty table gives an empty result.
     """
     if near_chars < 2:
         raise ValueError("any two lines of one character are within one edit")
@@ -134,11 +136,13 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     (n - d if side else F.floor((n - d) / 2)).cast("int")).alias(f"tag{d}{int(side)}")
             for d in (0, 1) for side in (False, True)]
     found = lines(docs, id_col, text_col)
-    rows = found.where(line != "").select("doc_id", "line_no", *hash_pair(line), n.alias("len"), *tags)
+    rows = found.where(line != "").select("doc_id", "line_no", *hash_pair(line), n.alias("len"), *tags,
+                                          F.monotonically_increasing_id().alias("copy"))
     rows = cut_lineage(rows, "lines")
     tag_names = [f"tag{d}{s}" for d in (0, 1) for s in (0, 1)]
     classes = cut_lineage(rows.groupBy("k1", "k2", "len", *tag_names)
-                          .agg(F.min(place()).alias("first"), F.count("*").alias("n")), "classes")
+                          .agg(F.min(F.struct(place().alias("at"), "copy")).alias("f"), F.count("*").alias("n"))
+                          .withColumns({"first": F.col("f.at"), "own": F.col("f.copy")}).drop("f"), "classes")
 
     def texts_of(suspects: DataFrame) -> DataFrame:
         wanted = suspects.select("k1", "k2").distinct().join(classes.select("k1", "k2", "len", "first"), ["k1", "k2"])
@@ -152,10 +156,11 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     near = near_lines(classes, texts_of, near_chars)
     told = classes.join(near, ["k1", "k2"], "left").where((F.col("n") > 1) | F.col("keep").isNotNull())
-    told = cut_lineage(told.select("k1", "k2", F.coalesce("keep", "first").alias("keep")), "verdicts")
+    told = cut_lineage(told.select("k1", "k2", F.coalesce("keep", "first").alias("keep"),
+                                   F.when(F.col("keep").isNull(), F.col("own")).otherwise(-1).alias("stays")), "verdicts")
     mine = F.coalesce(F.col("keep"), place())
-    kept = F.col("keep").isNull() | (F.col("keep.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("keep.line_no") == F.col("line_no")))
-    out = rows.select("doc_id", "line_no", "k1", "k2").join(told, ["k1", "k2"], "left").select(
+    kept = F.coalesce(F.col("stays") == F.col("copy"), F.lit(True))
+    out = rows.select("doc_id", "line_no", "k1", "k2", "copy").join(told, ["k1", "k2"], "left").select(
         "doc_id", "line_no", kept.alias("kept"), mine["doc_id"].alias("keep_doc_id"), mine["line_no"].alias("keep_line_no"))
     blank = found.where(line == "").select("doc_id", "line_no", F.lit(True).alias("kept"), F.col("doc_id").alias("keep_doc_id"),
                                            F.col("line_no").alias("keep_line_no"))

@@ -136,12 +136,13 @@ FROM b
 
 SQL["op1_line_dedup"] = r"""
 WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
-l AS (
+l0 AS (
   SELECT doc_id, CAST(i AS INT) AS line_no,
          trim(parts[i + 1], ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS line
   FROM (SELECT doc_id, parts, unnest(range(0, len(parts))) AS i FROM split)),
+l AS MATERIALIZED (SELECT *, row_number() OVER () AS r FROM l0),
 c AS (
-  SELECT line, length(line) AS n, min({'d': doc_id, 'l': line_no}) AS first
+  SELECT line, length(line) AS n, min({'d': doc_id, 'l': line_no, 'r': r}) AS first
   FROM l WHERE line <> '' GROUP BY line),
 h AS (
   SELECT line, n, first, m, side, CASE WHEN side = 0 THEN left(line, m // 2) ELSE right(line, m - m // 2) END AS half
@@ -161,8 +162,8 @@ near AS (
   GROUP BY line),
 t AS (SELECT c.line, coalesce(near.keep, c.first) AS keep FROM c LEFT JOIN near USING (line))
 SELECT l.doc_id, l.line_no,
-       coalesce(t.keep.d = l.doc_id AND t.keep.l = l.line_no, true) AS kept,
-       coalesce(t.keep.d, l.doc_id) AS keep_doc_id, coalesce(t.keep.l, l.line_no) AS keep_line_no
+       coalesce(t.keep.r = l.r, true) AS kept,
+       CASE WHEN t.keep IS NULL THEN l.doc_id ELSE t.keep.d END AS keep_doc_id, coalesce(t.keep.l, l.line_no) AS keep_line_no
 FROM l LEFT JOIN t ON l.line = t.line
 """
 
