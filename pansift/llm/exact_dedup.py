@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pansift.llm._common import SPACE, cut_lineage, id_and_text, once_each
@@ -163,7 +163,7 @@ def look_up(index: DataFrame, batch: DataFrame, shards: int) -> DataFrame:
 def decide(docs: DataFrame, is_history: Column | None, per_shard: int, id_col: str, text_col: str
            ) -> tuple[DataFrame, DataFrame]:
     """Written tables: the digests of all rows, and the groups of equal ones."""
-    rows = cut_lineage(digest_rows(docs, id_col, text_col), "digests")
+    rows = cut_lineage(digest_rows(docs, id_col, text_col).withColumn("row", F.monotonically_increasing_id()), "digests")
     if is_history is None:
         ends = rows.agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).first()
         is_history = F.col("doc_id") <= F.lit((ends.a + ends.b) // 2 if ends.a is not None else 0)
@@ -188,10 +188,11 @@ def dedup(docs: DataFrame, is_history: Column | None = None, per_shard: int = PE
     other columns are not read; an empty table gives an empty result.
     """
     rows, groups = decide(docs, is_history, per_shard, id_col, text_col)
-    again = Window.partitionBy("digest", "doc_id", "n_points").orderBy("doc_id")
-    numbered = rows.withColumn("copy", F.row_number().over(again))
-    return (numbered.join(groups, "digest")
-            .select("doc_id", "keep_id", "group_size", (_stays() & (F.col("copy") == 1)).alias("kept"),
+    # of rows with equal id and text, and so of any number in one place, the one written first
+    stays = rows.join(groups.select("digest", "keep_id", "keep_points"), "digest").where(_stays())
+    groups = groups.join(stays.groupBy("digest").agg(F.min("row").alias("first")), "digest")
+    return (rows.join(groups, "digest")
+            .select("doc_id", "keep_id", "group_size", (F.col("row") == F.col("first")).alias("kept"),
                     F.lower(F.hex("digest")).alias("text_sha256"), "known"))
 
 
