@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pansift.llm import exact_dedup, mixing, sentencepiece_codec, simhash, toxicity
-from pansift.llm._common import cut_lineage, table
+from pansift.llm._common import cut_lineage, quoted, table
 
 #: Shingle length and bits of the near-duplicate stage.
 SHINGLE, DISTANCE = 4, 4
@@ -22,7 +22,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     the held-out fold.  Null texts are scored as empty ones, repeated rows
     alike; an empty table stays empty."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return model.with_score(docs, name="__score").where(F.col("__score") < 0.5).select(*docs.columns)
+    return model.with_score(docs, name="__score").where(F.col("__score") < 0.5).select(*quoted(docs.columns))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pansift.session import cut_lineage, scratch_path, ship_package  # noqa: F401  (re-exported)
@@ -44,10 +44,21 @@ def vocabulary(name: str = VOCAB) -> str:
     return public_tokenizers.path(name)
 
 
+def quoted(names: list[str]) -> list[Column]:
+    """Columns by name, whatever signs the names hold."""
+    return [F.col("`" + n.replace("`", "``") + "`") for n in names]
+
+
 def once_each(rows: DataFrame, columns: list[str], repeated: str, key: str, any_repeated: bool) -> DataFrame:
-    """``columns`` of ``rows``; of rows marked ``repeated`` the least of each ``key``."""
-    once = rows.where(~F.col(repeated)).select(*columns)
+    """``columns`` of ``rows``; of rows marked ``repeated`` the least of each ``key``,
+    or, where a column holds maps, which have no order, that whose JSON has the least hash."""
+    own = quoted(columns)
+    once = rows.where(~F.col(repeated)).select(*own)
     if not any_repeated:
         return once
-    least = (rows.where(F.col(repeated)).groupBy(key).agg(F.min(F.struct(*columns)).alias("__row")).select("__row.*"))
-    return once.unionByName(least)
+    row = F.struct(*own)
+    least = F.min(row)
+    if "map<" in once.schema.simpleString() or "variant" in once.schema.simpleString():
+        least = F.min_by(row, F.sha2(F.to_json(row), 256))
+    again = rows.where(F.col(repeated)).groupBy(key).agg(least.alias("__row"))
+    return once.unionByName(again.select(*[F.col("__row")[n].alias(n) for n in columns]))

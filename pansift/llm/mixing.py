@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pansift.llm._common import WORD, cut_lineage
+from pansift.llm._common import WORD, cut_lineage, quoted
 
 HASH_BITS = 60
 ROUND_BITS = 12
@@ -125,4 +125,4 @@ def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     copies = F.col("__p") + (row_hash(id_col, text_col) < F.col("__t")).cast("long")
     rows = docs.join(by, docs[source_col].cast("string").eqNullSafe(F.col("__of"))).withColumn("__n", copies.cast("int"))
     rows = rows.where(F.col("__n") > 0).withColumn("__k", F.explode(F.sequence(F.lit(1), F.col("__n"))))
-    return rows.select(*docs.columns)
+    return rows.select(*quoted(docs.columns))

@@ -29,7 +29,7 @@ from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pansift.llm._common import cut_lineage, prepare
+from pansift.llm._common import cut_lineage, prepare, quoted
 from pansift.llm.piece_codec import Remembered
 
 #: Labelled rows that are fitted on, at most; those with the smallest hash of their id.
@@ -176,7 +176,7 @@ class Model:
         out = out.withColumn(prob, vector_to_array("__ps_p")[1])
         steps = self.steps.copy().setFeaturesCol(prob).setPredictionCol(step)
         out = steps.transform(out).withColumn(name, 0.99 * F.col(step) + 0.01 * F.col(prob))
-        return out.select(*rows.columns, name)
+        return out.select(*quoted(rows.columns), name)
 
 
 def learn_lexicon(sample: DataFrame) -> Lexicon:
