@@ -20,24 +20,36 @@ def within_one(a, b):
 
 
 def lines_brute(pairs):
-    at = {}
-    order = lambda p: (p[0] is None, p[0] or 0, p[1])
-    rows = []
+    """Lines in one place (rows that share an id, or have none) go by their hash."""
+    import xxhash
+
+    def hashed(line):
+        h = xxhash.xxh64_intdigest(line.encode(), seed=42)
+        return h - (1 << 64) if h >> 63 else h
+    at, rows = {}, []
+    order = lambda line, p: (p[0] is None, p[0] or 0, p[1], hashed(line))
     for i, t in pairs:
         for k, line in enumerate((t or "").split("\n")):
             line = line.strip(" \t\x0b\x0c\r")
             rows.append((i, k, line))
-            if line and (line not in at or order((i, k)) < order(at[line])):
+            if line and (line not in at or order(line, (i, k)) < order(line, at[line])):
                 at[line] = (i, k)
     keep = {}
     for line, p in at.items():
-        best = p
+        best = line, p
         if len(line) >= line_dedup.NEAR_CHARS:
             for other, q in at.items():
-                if len(other) >= line_dedup.NEAR_CHARS and order(q) < order(best) and within_one(line, other):
-                    best = q
+                if len(other) >= line_dedup.NEAR_CHARS and order(other, q) < order(*best) and within_one(line, other):
+                    best = other, q
         keep[line] = best
-    return sorted((((i, k, keep.get(line, (i, k)) == (i, k), *keep.get(line, (i, k)))) for i, k, line in rows), key=str)
+    out, stayed = [], set()
+    for i, k, line in rows:
+        other, place = keep.get(line, (line, (i, k)))
+        stays = not line or (other == line and place == (i, k) and line not in stayed)
+        if line and stays:
+            stayed.add(line)
+        out.append((i, k, stays, *place))
+    return sorted(out, key=str)
 
 
 @pytest.fixture(scope="module")
@@ -94,6 +106,17 @@ def test_short_lines_below_the_usual_floor(make, monkeypatch, floor):
     assert {(101, 0, False, 100, 0), (103, 0, False, 102, 0)} <= set(got)
 
 
+def test_lines_without_an_id_go_as_well(make):
+    rs = random.Random(12)
+    base = ["a line that is long enough to be near", "another line that is long enough", "short"]
+    lines = ["".join(c if rs.random() > 0.03 else "z" for c in rs.choice(base)) for _ in range(300)]
+    got = line_dedup.dedup_lines(make([(None, x) for x in lines])).collect()
+    assert sorted(((r.doc_id, r.line_no, r.kept, r.keep_doc_id, r.keep_line_no) for r in got), key=str) == lines_brute([(None, x) for x in lines])
+    assert sum(r.kept for r in got) <= len(set(lines))
+    twice = line_dedup.dedup_lines(make([(5, lines[0] + "\n" + lines[1])] * 3 + [(4, lines[1])])).collect()
+    assert sum(r.kept for r in twice) == len({lines[0], lines[1]})
+
+
 def test_lines_of_documents(make):
     docs = make([(1, "first line of all the lines\nsecond"), (2, "second\nfirst line of all the lined\nthird\n"), (3, None)])
     got = {r.doc_id: r.text for r in line_dedup.without_repeats(docs).collect()}
@@ -229,3 +252,15 @@ def test_perfect_hash_is_minimal():
     assert (exact_dedup.find_slots(words, sizes, bits) == slots).all()
     with pytest.raises(ValueError):
         exact_dedup.perfect_hash(exact_dedup._words([digests[0]] * 2))
+
+
+def test_many_rows_of_one_text_without_an_id(spark):
+    """A hundred thousand equal rows: one stays, and no task sorts them (no window over their key)."""
+    docs = spark.range(100_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("").alias("text")).unionByName(
+        spark.createDataFrame([(3, "other"), (None, "other")], "doc_id long, text string"))
+    got = exact_dedup.dedup(docs)
+    assert "Window" not in got._jdf.queryExecution().optimizedPlan().toString()
+    rows = got.groupBy("doc_id", "keep_id", "group_size", "kept").count().collect()
+    assert sorted(map(tuple, rows), key=str) == sorted([(None, None, 100_000, True, 1), (None, None, 100_000, False, 99_999),
+                                                        (3, 3, 2, True, 1), (None, 3, 2, False, 1)], key=str)
+    assert exact_dedup.survivors(docs).count() == 2

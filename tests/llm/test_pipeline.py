@@ -189,7 +189,7 @@ def test_near_copies_go_by_row(spark, make):
 
 def test_every_operator_is_registered():
     names = [n for n in __spark_entry__.queries() if re.match(r"op\d+_", n)]
-    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 14))
     assert "pipeline" in __spark_entry__.queries()
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
 
@@ -198,7 +198,7 @@ def test_queries_equal_their_sql(spark):
     import duckdb
     con = duckdb.connect()
     sf = "/root/testdata/sf0.001"
-    for t in ("documents", "pages", "embeddings", "labels"):
+    for t in ("documents", "pages", "embeddings", "labels", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
     from pansift.llm import queries
     for name, sql in queries.oracle_sql().items():
@@ -207,3 +207,19 @@ def test_queries_equal_their_sql(spark):
         columns = [c[0] for c in cur.description]
         assert sorted(columns) == sorted(got.columns), name
         assert sorted(map(str, (tuple(r) for r in got.select(*columns).collect()))) == sorted(map(str, cur.fetchall())), name
+
+
+def test_columns_with_dots_and_maps(spark):
+    """Stages keep columns whatever their names and types, also of repeated rows."""
+    rows = [(k, t, "en", "s", len(t or ""), "x", {"a": (k or 0) % 3}, [{"b": None}]) for k, t in
+            [(1, "one text of five words"), (1, "one text of five words"), (2, "one text of five words"), (None, "quite another text in here"),
+             (None, "quite another text in here"), (3, None), (3, None)]]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, `a.b` string, `m``x` map<string, int>, l array<map<string, int>>"
+    docs = spark.createDataFrame(rows, schema)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, docs, "/root/testdata/sf0.001")
+        assert kept.columns == docs.columns and kept.schema["m`x"].dataType == docs.schema["m`x"].dataType, name
+        got = [(r.doc_id, r.text, r["a.b"], r["m`x"]) for r in kept.collect()]
+        if "dedup" in name:
+            assert sorted({(i, t) for i, t, *_ in got}, key=str) == sorted([(1, rows[0][1]), (None, rows[3][1]), (3, None)], key=str)
+            assert len(got) == 3 and all(m["a"] == (i or 0) % 3 for i, _, _, m in got)
