@@ -175,11 +175,25 @@ def filter_flag(df: DataFrame, flag: str, keep: int = 1) -> DataFrame:
 def distinct_counts(df: DataFrame, cols: Iterable[str], cap: int | None = None) -> dict:
     """Exact distinct non-missing count per column: one long-form distinct
     over (column, value) for all of them, without an Expand per column.
-    ``cap``: counts above it are reported as ``cap + 1``."""
+
+    ``cap`` (below 64): counts above it are reported as ``cap + 1``.  First a set
+    of bits per column, one for each of 64 kinds of hash, is merged in one
+    aggregate: more than ``cap`` bits mean more than ``cap`` values.  Only columns
+    with fewer bits, so with hardly more values than bits, are counted, and no
+    column of many values is shuffled."""
     from pansift.operators.profile import distinct_counts_long
     cols = list(cols)
-    got = {r["column"]: r["unique_n"] for r in distinct_counts_long(df, cols).collect()} if cols else {}
-    return {c: got[c] if cap is None else min(got[c], cap + 1) for c in cols}
+    if cap is None:
+        return {r["column"]: r["unique_n"] for r in distinct_counts_long(df, cols).collect()} if cols else {}
+
+    def bits(c, seed):
+        kind = F.pmod(F.xxhash64(F.lit(seed), F.col(c).cast("string")), F.lit(64)).cast("int")
+        return F.bit_or(F.when(F.col(c).isNotNull(), F.call_function("shiftleft", F.lit(1).cast("long"), kind)))
+    seen = fit_row(df, {f"b{i}_{seed}": bits(c, seed) for i, c in enumerate(cols) for seed in (0, 1)})
+    most = {c: max(bin((seen[f"b{i}_{seed}"] or 0) & ((1 << 64) - 1)).count("1") for seed in (0, 1)) for i, c in enumerate(cols)}
+    few = [c for c in cols if most[c] <= cap]
+    got = distinct_counts(df, few)
+    return {c: min(got.get(c, cap + 1), cap + 1) for c in cols}
 
 
 def is_discrete_numeric(df: DataFrame, cols: Iterable[str] | None = None, max_unique: int = 8) -> DataFrame:

@@ -8,12 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pansift.functions.numeric import finite_or_null, numeric_types
 from pansift.operators._fit import fit_row
+from pansift.operators.ordering import numbered
 from pansift.operators.quantiles import quantile_fit
 from pansift.operators.timeseries import rank_top_per_key
 from pansift.session import cut_lineage
@@ -217,12 +218,20 @@ def panel_balance(df: DataFrame, date: str = "date", entity: str = "borough") ->
 
 def missing_panel_cells(df: DataFrame, date: str = "date", entity: str = "borough") -> DataFrame:
     """(date, entity) keys absent from the panel, over the days present x the
-    entities present.  Each day's entities are one set; what the set of all
-    entities (one row) holds beyond it is missing, so only missing cells are
-    written out, never the whole grid."""
-    whole = df.agg(F.collect_set(entity))   # one row, read as a scalar
-    days = df.where(F.col(date).isNotNull()).groupBy(date).agg(F.collect_set(entity).alias("_have"))
-    return days.select(date, F.explode(F.array_except(whole.scalar(), F.col("_have"))).alias(entity))
+    entities present (missing keys are neither).
+
+    The days are numbered; an entity's numbers in order, with one before the
+    first day, leave *gaps* between neighbours, and only gaps are written out.
+    No set of entities or days is held anywhere; a task holds the day
+    numbers of one entity."""
+    days = numbered(df.where(F.col(date).isNotNull()).select(F.col(date).alias("_day")).distinct(), "_day", "_no")
+    keys = df.where(F.col(entity).isNotNull()).select(F.col(date).alias("_date"), F.col(entity).alias("_of")).distinct()
+    marks = keys.join(days, F.col("_date") == F.col("_day")).select("_of", "_no")
+    marks = marks.unionByName(keys.select("_of", F.lit(-1).cast("long").alias("_no")).distinct())
+    after = F.lead("_no").over(Window.partitionBy("_of").orderBy("_no"))
+    gaps = marks.withColumn("_next", F.coalesce(after, F.lit(days.count()))).where(F.col("_next") > F.col("_no") + 1)
+    missing = gaps.select("_of", F.explode(F.sequence(F.col("_no") + 1, F.col("_next") - 1)).alias("_no"))
+    return missing.join(days, "_no").select(F.col("_day").alias(date), F.col("_of").alias(entity))
 
 
 def consistency_rate(df: DataFrame, parts: Sequence[str], total: str, out: str = "pct") -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pansift.functions.numeric import finite_or_null, skew_adjust_factor
 from pansift.operators._fit import fit_row
 from pansift.operators.moments import pair_moments
+from pansift.operators.tallskinny import FLAT, complete, qr_factor
 
 
 # ---------------------------------------------------------------- helpers --
@@ -135,28 +136,18 @@ def acf(series: DataFrame, date: str, value: str, lags: int = 30) -> DataFrame:
 
 # ------------------------------------------------------ linear models --
 
-def _cov_fit(df: DataFrame, cols: Sequence[str]) -> tuple[int, np.ndarray, np.ndarray]:
-    """n, means and population covariance matrix over complete rows."""
-    cols = list(cols)
-    d = df.select(*[_x(c).alias(f"c{i}") for i, c in enumerate(cols)]).dropna()
-    found = pair_moments(d, d.columns)
-    return int(found.n.max(initial=0)), found.mean, found.covariance()
-
-
 def vif(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Variance inflation factors (regression with a constant) = diagonal of
-    the inverse correlation matrix over complete rows; sorted at the sink."""
+    """Variance inflation factors (regression with a constant) over complete
+    rows: the squared row lengths of the inverse of the scaled triangular
+    factor (``tallskinny``); sorted at the sink.  Features that depend on
+    each other exactly, or do not vary, give infinity for all."""
     feats = list(features)
-    n, _, cov = _cov_fit(df, feats)
-    sd = np.sqrt(np.diag(cov))
-    with np.errstate(divide="ignore", invalid="ignore"):
-        corr = cov / np.outer(sd, sd)
-    if not np.all(np.isfinite(corr)) or np.linalg.matrix_rank(corr) < len(feats):
-        # perfectly collinear (or constant) features: R^2 = 1, VIF infinite
+    r = qr_factor(df, feats).scaled()
+    sizes = np.linalg.svd(r, compute_uv=False) if feats else np.zeros(0)
+    if not len(sizes) or sizes[-1] <= FLAT * sizes[0]:
         diag = [float("inf")] * len(feats)
     else:
-        inv = np.linalg.inv(corr)
-        diag = [float(inv[i, i]) for i in range(len(feats))]
+        diag = [float(x) for x in (np.linalg.inv(r) ** 2).sum(axis=1)]
     rows = sorted([(f, diag[i]) for i, f in enumerate(feats)], key=lambda r: -r[1])
     return df.sparkSession.createDataFrame(rows, "feature string, vif double")
 
@@ -177,23 +168,26 @@ def treatment_dummies(df: DataFrame, categorical: Sequence[str]) -> tuple[DataFr
 
 
 class OLSFit:
-    """Closed-form OLS with intercept from centred moments."""
+    """OLS with intercept from the triangular factor of the centred columns."""
 
     def __init__(self, df: DataFrame, y: str, xs: Sequence[str]):
         self.y, self.xs = y, list(xs)
-        n, mean, cov = _cov_fit(df, [y] + self.xs)
-        self.n, self.p = n, len(self.xs) + 1
-        my, mx = mean[0], mean[1:]
-        sxx, sxy, syy = cov[1:, 1:] * n, cov[1:, 0] * n, cov[0, 0] * n
-        self.sxx_inv = np.linalg.pinv(sxx)
-        self.beta = self.sxx_inv @ sxy
-        self.intercept = float(my - self.beta @ mx)
-        self.mx = mx
-        sse = float(syy - self.beta @ sxy)
-        self.sse, self.sst = sse, float(syy)
+        fit = qr_factor(df, [*self.xs, y])
+        n, k = fit.n, len(self.xs)
+        self.n, self.p, self.mx = n, k + 1, fit.mean[:k]
+        length = fit.lengths()
+        scale = np.where(length[:k] > 0, length[:k], 1.0)
+        u, d, v = np.linalg.svd(np.where(length[:k] > 0, fit.r[:k, :k] / scale, 0.0), full_matrices=False)
+        good = d > FLAT * max(d.max(initial=0.0), 1e-300)
+        inverse = (v.T[:, good] / d[good]) @ u.T[good] / scale[:, None]   # of r, least lengths if columns depend on each other
+        self.sxx_inv = inverse @ inverse.T
+        self.beta = inverse @ fit.r[:k, k]
+        self.intercept = float(fit.mean[k] - self.beta @ self.mx)
+        rest = fit.r[:, k] - fit.r[:, :k] @ self.beta
+        self.sse, self.sst = float(rest @ rest), float(fit.r[:, k] @ fit.r[:, k])
         self.dof = n - self.p
-        self.s2 = sse / self.dof if self.dof > 0 else float("nan")
-        self.r2 = 1.0 - sse / syy if syy > 0 else float("nan")
+        self.s2 = self.sse / self.dof if self.dof > 0 else float("nan")
+        self.r2 = 1.0 - self.sse / self.sst if self.sst > 0 else float("nan")
         self.adj_r2 = 1.0 - (1 - self.r2) * (n - 1) / self.dof if self.dof > 0 else float("nan")
 
     def table(self) -> list:
@@ -209,8 +203,8 @@ class OLSFit:
 
 def ols_summary(df: DataFrame, y: str, numeric: Sequence[str], categorical: Sequence[str] = ()) -> DataFrame:
     """Coefficients, standard errors, t, p, R^2 and adjusted R^2 for
-    ``y ~ C(cat) + numeric`` over complete rows."""
-    d, dummies = treatment_dummies(df.dropna(subset=[y, *numeric, *categorical]), categorical)
+    ``y ~ C(cat) + numeric`` over complete rows (present and finite)."""
+    d, dummies = treatment_dummies(complete(df, [y, *numeric], categorical), categorical)
     fit = OLSFit(d, y, dummies + list(numeric))
     rows = [r + (float(fit.r2), float(fit.adj_r2), int(fit.n)) for r in fit.table()]
     return df.sparkSession.createDataFrame(
@@ -220,8 +214,9 @@ def ols_summary(df: DataFrame, y: str, numeric: Sequence[str], categorical: Sequ
 def influence(df: DataFrame, y: str, numeric: Sequence[str], categorical: Sequence[str] = (),
               keys: Sequence[str] = ()) -> DataFrame:
     """Per row: leverage, residual, internal / external studentised residual,
-    Cook's D, DFFITS and DFBETAS, plus the 4/n and 2p/n thresholds."""
-    d, dummies = treatment_dummies(df.dropna(subset=[y, *numeric, *categorical]), categorical)
+    Cook's D, DFFITS and DFBETAS, plus the 4/n and 2p/n thresholds.  Rows are
+    those of the fit: values present and finite."""
+    d, dummies = treatment_dummies(complete(df, [y, *numeric], categorical), categorical)
     xs = dummies + list(numeric)
     fit = OLSFit(d, y, xs)
     n, p, s2, dof = fit.n, fit.p, fit.s2, fit.dof
@@ -262,19 +257,18 @@ def top_influential(infl: DataFrame, k: int = 10, by: str = "cooks_d") -> DataFr
 
 
 def pca_2d(df: DataFrame, cols: Sequence[str], k: int = 2, keys: Sequence[str] = ()) -> tuple[DataFrame, list]:
-    """Standardise (ddof 0) over complete rows, project on the top-k
-    principal axes; returns (scores, explained variance ratios).  Each axis
+    """Standardise (ddof 0) over complete rows (present and finite), project on the
+    top-k principal axes, the right singular vectors of the scaled triangular
+    factor; returns (scores, explained variance ratios).  Each axis
     is signed so its largest-magnitude loading is positive."""
     cols = list(cols)
-    n, mean, cov = _cov_fit(df, cols)
-    sd = np.sqrt(np.diag(cov))
+    fit = qr_factor(df, cols)
+    mean, sd = fit.mean, fit.lengths() / math.sqrt(max(fit.n, 1))
     sd[sd == 0] = 1.0
-    corr = cov / np.outer(sd, sd)
-    vals, vecs = np.linalg.eigh(corr)
-    order = np.argsort(vals)[::-1]
-    vals, vecs = vals[order], vecs[:, order]
-    ratios = [float(v / vals.sum()) for v in vals[:k]]
-    d = df.dropna(subset=cols)
+    sizes, axes = np.linalg.svd(fit.scaled())[1:]
+    ratios = [float(v) for v in (sizes ** 2 / max((sizes ** 2).sum(), 1e-300))[:k]]
+    vecs = axes.T
+    d = complete(df, cols)
     ex = {}
     for comp in range(k):
         v = vecs[:, comp]

@@ -94,10 +94,10 @@ def bfill_ffill(df: DataFrame, entity, date, cols: Iterable[str]) -> DataFrame:
 def dedupe_keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
     """First row per key under an explicit ascending total order.
 
-    Implemented as ``min(struct(order..., rest...))`` per key: a hash
-    aggregate with map-side partial aggregation, so a hot key that holds a
-    large share of the rows is reduced on every mapper before the shuffle
-    instead of landing whole in one sort task.
+    Implemented as ``min(struct(order..., rest...))`` per key: an aggregate
+    with a map-side part (Spark sorts for it, as structs have no hash aggregate),
+    so a hot key that holds a large share of the rows is reduced on every mapper
+    before the shuffle instead of landing whole in one task.
     """
     keys = list(keys)
     order = [c for c in (order or []) if c not in keys]

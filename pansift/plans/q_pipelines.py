@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
+
 from pyspark.sql import functions as F
 
 from pansift.plans import standins as S
@@ -20,13 +23,20 @@ def panel_inputs(spark, sf, top_k=8) -> PanelInputs:
 _STAGE_TABLES: dict = {}
 
 
-def input_state(spark, sf) -> tuple:
-    """What the input files are: how many, their bytes, and a hash over their
-    paths, lengths and modification times."""
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
-             .load(sf).select("path", "modificationTime", "length"))
-    row = files.agg(F.count(F.lit(1)), F.sum("length"), F.sum(F.xxhash64("path", "modificationTime", "length").cast("decimal(38,0)"))).first()
-    return tuple(row)
+def input_state(spark, sf) -> str:
+    """What the input files are: a hash over their paths, lengths and
+    modification times, listed by their file system (one call per folder, no job)."""
+    jvm = spark.sparkContext._jvm
+    top = jvm.org.apache.hadoop.fs.Path(sf)
+    fs = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    todo, state = [top], hashlib.sha256()
+    while todo:
+        listed = fs.listStatus(todo.pop())
+        # reading a file changes its access time
+        text = jvm.org.apache.commons.lang3.ArrayUtils.toString(listed)
+        state.update(re.sub(r"access_time=\d+", "", text).encode())
+        todo += [s.getPath() for s in listed if s.isDirectory()] if "isDirectory=true" in text else []
+    return state.hexdigest()
 
 
 def stage_table(spark, sf, name: str, build):

@@ -107,9 +107,17 @@ def q_extract_links_by_month(spark, sf):
     return extract_links_by_heading(p.select("page_id", html.alias("html")), heading_tag="h4")
 
 
-@query("extract_links_under_titles", None)
+@query("extract_links_under_titles", """SELECT CASE WHEN page_id % 7 = 0 THEN NULL ELSE page_id END AS page_id,
+  'Title of ' || CAST(page_id AS VARCHAR) AS heading, CAST(NULL AS INTEGER) AS month,
+  regexp_replace(regexp_replace(t, '[℠®™]', '', 'g'), '^\\s+|\\s+$', '', 'g') AS title, CAST(NULL AS DATE) AS date
+  FROM (SELECT page_id, regexp_replace(unnest(regexp_extract_all(html, '<a [^>]*>([^<]*)</a>', 1)), '^\\s+|\\s+$', '', 'g') AS t FROM pages)
+  WHERE length(t) > 5 AND NOT starts_with(t, 'http')""")
 def q_extract_links_under_titles(spark, sf):
-    return extract_links_by_heading(S.table(spark, sf, "pages"), heading_tag="h1", require_month=False)
+    """Each page as a section under a title of its own, every seventh page without an id."""
+    html = F.concat(F.lit("<a>before every title</a><section><h1>Title of "), F.col("page_id").cast("string"), F.lit("</h1><div>"),
+                    F.regexp_replace("html", "(?i)<(/?)h1\\b", "<$1h2"), F.lit("</div></section><a>after the section</a>"))
+    p = S.table(spark, sf, "pages").select(F.when(F.col("page_id") % 7 != 0, F.col("page_id")).alias("page_id"), html.alias("html"))
+    return extract_links_by_heading(p, heading_tag="h1", require_month=False)
 
 
 def _api_events(spark, sf):

@@ -178,9 +178,11 @@ KDE_SQL = S.with_ctes(["panel_raw"], """SELECT c.borough, g.i, first(c.g_lo + g.
     ("st", """SELECT *, 0.9 * (CASE WHEN least(sd, iqr / 1.34) > 0 THEN least(sd, iqr / 1.34) WHEN sd > 0 THEN sd
        WHEN abs(lo) > 0 THEN abs(lo) ELSE 1.0 END) * power(CAST(n AS DOUBLE), -0.2) AS bw,
        CASE WHEN hi > lo THEN (hi - lo) / 4096 ELSE 1.0 END AS bin_w FROM st0 WHERE n >= 2"""),
-    ("cnt", """SELECT st.borough, st.n, st.bw, st.lo - 3 * st.bw AS g_lo, st.hi + 3 * st.bw AS g_hi,
-       st.lo + (least(floor((p.temp_mean - st.lo) / st.bin_w), 4095) + 0.5) * st.bin_w AS center, count(*) AS c
-       FROM panel_raw p JOIN st ON p.borough = st.borough WHERE p.temp_mean IS NOT NULL GROUP BY ALL""")])
+    ("bins", """SELECT st.borough, st.n, st.bw, st.lo, st.bin_w, st.lo - 3 * st.bw AS g_lo, st.hi + 3 * st.bw AS g_hi,
+       least(floor((p.temp_mean - st.lo) / st.bin_w), 4095) AS b, (p.temp_mean - st.lo) / st.bin_w AS place
+       FROM panel_raw p JOIN st ON p.borough = st.borough WHERE p.temp_mean IS NOT NULL"""),
+    ("cnt", """SELECT borough, n, bw, g_lo, g_hi, lo + (b + d) * bin_w AS center, sum(CASE WHEN d = 0 THEN 1 - (place - b) ELSE place - b END) AS c
+       FROM bins, (VALUES (0), (1)) h(d) GROUP BY borough, n, bw, g_lo, g_hi, lo, bin_w, b + d""")])
 
 
 @query("kde", KDE_SQL, floats=["x", "density"])
@@ -205,15 +207,15 @@ def q_scatter_bins(spark, sf):
 
 @query("scatter_sample_key", """SELECT l_orderkey, l_extendedprice, l_discount, l_returnflag FROM lineitem
   WHERE CAST(((l_orderkey % 1000003) * 7919 + 104771) % 1000003 AS DOUBLE) / CAST(1000003 AS DOUBLE)
-        < (CASE WHEN (SELECT count(*) FROM lineitem) <= 2000 THEN 1.0 ELSE 2000 / (SELECT count(*) FROM lineitem) END)""")
+        < 0.05""")
 def q_scatter_sample(spark, sf):
     return V.scatter_sample(S.table(spark, sf, "lineitem"), "l_extendedprice", "l_discount", "l_returnflag",
-                            n=2000, key="l_orderkey")
+                            fraction=0.05, key="l_orderkey")
 
 
 @query("scatter_sample_hash", None)
 def q_scatter_sample_hash(spark, sf):
-    return V.scatter_sample(S.table(spark, sf, "lineitem"), "l_extendedprice", "l_discount", "l_returnflag", n=2000)
+    return V.scatter_sample(S.table(spark, sf, "lineitem"), "l_extendedprice", "l_discount", "l_returnflag", fraction=0.05)
 
 
 @query("top_category", """SELECT c_mktsegment, n FROM (SELECT c_mktsegment, count(*) AS n FROM customer GROUP BY 1)
@@ -236,7 +238,7 @@ def q_insight_scatter(spark, sf):
 
 @query("recommend_view", S.with_ctes(["wb"], """SELECT 'tier' AS x, 'balance' AS y,
   CASE WHEN (SELECT count(DISTINCT tier) FROM wb) <= 8 THEN 'Boxplot' ELSE 'Scatter' END AS recommendation,
-  CASE WHEN (SELECT count(DISTINCT tier) FROM wb) <= 8 THEN 'group vs numeric' ELSE 'numeric vs numeric' END AS reason"""))
+  CASE WHEN (SELECT count(DISTINCT tier) FROM wb) <= 8 THEN 'one spread per group of x' ELSE 'both axes are measured' END AS reason"""))
 def q_recommend_view(spark, sf):
     return V.recommend_view(S.workbench(spark, sf), "tier", "balance")
 

@@ -21,7 +21,7 @@ from pansift.session import ship_package
 MONTHS = {"january": 1, "february": 2, "march": 3, "april": 4, "may": 5, "june": 6, "july": 7,
           "august": 8, "september": 9, "october": 10, "november": 11, "december": 12}
 
-OUT_SCHEMA = "page_id long, heading string, month int, title string"
+OUT_SCHEMA = "page_id string, heading string, month int, title string"
 
 
 # Elements without an end tag.
@@ -96,7 +96,7 @@ def _parse_batches(heading_tag):
                 p.feed(html)   # the parser reads on over malformed markup; any other error is one to see
                 p.close()
                 for heading, title in p.out:
-                    rows.append((int(pid), heading, _month_of(heading), title))
+                    rows.append((pid, heading, _month_of(heading), title))
             yield pd.DataFrame(rows, columns=["page_id", "heading", "month", "title"])
     return run
 
@@ -112,10 +112,12 @@ def extract_links_by_heading(pages: DataFrame, html_col: str = "html", id_col: s
     kept (no month, no date).  Titles must be longer than ``min_len``
     characters and not start with ``http``; trademark signs are removed.
     ``require_month=False`` keeps links under any heading (month may be NULL).
+    Pages without an id give links without one; pages without HTML give none.
     """
     ship_package(pages.sparkSession)
-    src = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(html_col).alias("html"))
-    links = src.mapInPandas(_parse_batches(heading_tag), OUT_SCHEMA)
+    # ids go through pandas as text, whose number columns know no nulls
+    src = pages.select(F.col(id_col).cast("long").cast("string").alias("page_id"), F.col(html_col).alias("html"))
+    links = src.mapInPandas(_parse_batches(heading_tag), OUT_SCHEMA).withColumn("page_id", F.col("page_id").cast("long"))
     keep = (F.length("title") > min_len) & ~F.col("title").startswith("http")
     if heading_tag and require_month:
         keep = keep & F.col("month").isNotNull() & (F.col("month") <= (max_month or 12))

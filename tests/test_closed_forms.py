@@ -92,7 +92,7 @@ def test_kde_close_to_exact(spark):
     bw = 0.9 * min(x.std(ddof=1), (q3 - q1) / 1.34) * len(x) ** -0.2
     g = got["x"].to_numpy()
     exact = np.exp(-0.5 * ((g[:, None] - x[None, :]) / bw) ** 2).sum(axis=1) / (len(x) * bw * math.sqrt(2 * math.pi))
-    assert np.max(np.abs(got["density"].to_numpy() - exact)) < 2e-3
+    assert np.max(np.abs(got["density"].to_numpy() - exact)) < 1e-5
 
 
 def test_histogram_last_bin_closed(spark):
