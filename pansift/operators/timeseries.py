@@ -3,8 +3,10 @@
 All frames are row-based, as in the reference: no calendar gap filling
 before shifting.  Every windowed column built by one call shares one
 ``Window`` spec, so Spark plans a single exchange + sort for all of them.
-Windows are partitioned by the entity; use them on panel-grain data (one
-row per entity and day), not on raw event rows.
+Windows are partitioned by the entity, which suits panel-grain data (one
+row per entity and day).  With ``block``, lags, rolling means and fills run in blocks
+of so many consecutive rows instead (``ordering``), so one entity's series of any
+length is dealt to many tasks, with the same result.
 """
 
 from __future__ import annotations
@@ -15,19 +17,30 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pansift.functions.numeric import safe_div
+from pansift.operators.ordering import filled_rows, over_rows
 
 
 def _spec(entity, date):
-    ents = [entity] if isinstance(entity, str) else list(entity or [])
-    w = Window.partitionBy(*ents) if ents else Window.partitionBy()
-    order = [date] if isinstance(date, str) else list(date)
-    return w.orderBy(*order)
+    return Window.partitionBy(*_listed(entity)).orderBy(*_listed(date))
 
 
-def lag_features(df: DataFrame, entity, date, cols: Iterable[str], lags: Sequence[int] = (1,)) -> DataFrame:
+def _listed(x) -> list[str]:
+    return [x] if isinstance(x, str) else list(x or [])
+
+
+def _windowed(df: DataFrame, entity, date, back: int, columns, block: int | None) -> DataFrame:
+    """``columns(window)`` over each entity, in blocks if ``block`` is given."""
+    if block is None:
+        return df.withColumns(columns(_spec(entity, date)))
+    return over_rows(df, _listed(date), back, columns, block, _listed(entity))
+
+
+def lag_features(df: DataFrame, entity, date, cols: Iterable[str], lags: Sequence[int] = (1,),
+                 block: int | None = None) -> DataFrame:
     """``<col>_lag<k>`` = value k rows earlier inside the entity."""
-    w = _spec(entity, date)
-    return df.withColumns({f"{c}_lag{k}": F.lag(F.col(c), k).over(w) for c in cols for k in lags})
+    cols, lags = list(cols), list(lags)
+    return _windowed(df, entity, date, max(lags, default=0),
+                     lambda w: {f"{c}_lag{k}": F.lag(F.col(c), k).over(w) for c in cols for k in lags}, block)
 
 
 def _rolling(c: str, w, lo: int, hi: int, min_periods: int) -> Column:
@@ -36,27 +49,26 @@ def _rolling(c: str, w, lo: int, hi: int, min_periods: int) -> Column:
 
 
 def rolling_mean(df: DataFrame, entity, date, cols: Iterable[str], n: int = 7,
-                 min_periods: int = 3, suffix: str | None = None) -> DataFrame:
+                 min_periods: int = 3, suffix: str | None = None, block: int | None = None) -> DataFrame:
     """Trailing n-row mean including the current row; NULL until
     ``min_periods`` non-missing values are in the frame."""
-    w = _spec(entity, date)
-    suffix = suffix or f"_ma{n}"
-    return df.withColumns({f"{c}{suffix}": _rolling(c, w, -(n - 1), 0, min_periods) for c in cols})
+    cols, suffix = list(cols), suffix or f"_ma{n}"
+    return _windowed(df, entity, date, n - 1,
+                     lambda w: {f"{c}{suffix}": _rolling(c, w, -(n - 1), 0, min_periods) for c in cols}, block)
 
 
 def rolling_mean_prev(df: DataFrame, entity, date, cols: Iterable[str], n: int = 7,
-                      min_periods: int = 3, suffix: str | None = None) -> DataFrame:
+                      min_periods: int = 3, suffix: str | None = None, block: int | None = None) -> DataFrame:
     """Same as ``rolling_mean`` over the n rows *before* the current one (leak-safe)."""
-    w = _spec(entity, date)
-    suffix = suffix or f"_ma{n}_prev"
-    return df.withColumns({f"{c}{suffix}": _rolling(c, w, -n, -1, min_periods) for c in cols})
+    cols, suffix = list(cols), suffix or f"_ma{n}_prev"
+    return _windowed(df, entity, date, n,
+                     lambda w: {f"{c}{suffix}": _rolling(c, w, -n, -1, min_periods) for c in cols}, block)
 
 
 def rolling_mean_global(daily: DataFrame, date: str, col: str, n: int = 7,
                         min_periods: int = 1, out: str | None = None) -> DataFrame:
     """Rolling mean over all rows in the order of ``date``, in blocks of
     consecutive rows (``ordering.over_rows``), whatever their number."""
-    from pansift.operators.ordering import over_rows
     return over_rows(daily, date, n - 1, lambda w: {out or f"{col}_ma{n}": _rolling(col, w, -(n - 1), 0, min_periods)})
 
 
@@ -69,13 +81,15 @@ def lag_pct_change(df: DataFrame, a: str, b: str, out: str) -> DataFrame:
     return df.withColumn(out, safe_div(F.col(a) - F.col(b), F.col(b)))
 
 
-def ffill(df: DataFrame, entity, date, cols: Iterable[str]) -> DataFrame:
+def ffill(df: DataFrame, entity, date, cols: Iterable[str], block: int | None = None) -> DataFrame:
     """Carry the last known value forward inside the entity."""
+    if block is not None:
+        return filled_rows(df, _listed(date), _listed(entity), list(cols), block=block)
     w = _spec(entity, date).rowsBetween(Window.unboundedPreceding, 0)
     return df.withColumns({c: F.last(F.col(c), ignorenulls=True).over(w) for c in cols})
 
 
-def bfill_ffill(df: DataFrame, entity, date, cols: Iterable[str]) -> DataFrame:
+def bfill_ffill(df: DataFrame, entity, date, cols: Iterable[str], block: int | None = None) -> DataFrame:
     """Backward fill, then forward fill for the trailing gap.
 
     The backward fill is a running ``last(ignorenulls)`` over the reversed
@@ -83,8 +97,9 @@ def bfill_ffill(df: DataFrame, entity, date, cols: Iterable[str]) -> DataFrame:
     evaluated incrementally, whereas a current-row-to-unbounded-following
     frame is re-aggregated for every row (quadratic in the series length).
     """
-    ents = [entity] if isinstance(entity, str) else list(entity or [])
-    order = [date] if isinstance(date, str) else list(date)
+    if block is not None:
+        return filled_rows(df, _listed(date), _listed(entity), list(cols), backward=True, block=block)
+    ents, order = _listed(entity), _listed(date)
     back = Window.partitionBy(*ents).orderBy(*[F.desc(o) for o in order]).rowsBetween(Window.unboundedPreceding, 0)
     fwd = _spec(entity, date).rowsBetween(Window.unboundedPreceding, 0)
     return df.withColumns({c: F.coalesce(F.last(F.col(c), ignorenulls=True).over(back),

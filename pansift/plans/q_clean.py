@@ -191,6 +191,18 @@ def q_dummies_drop_first(spark, sf):
     return CL.dummies_drop_first(p, [ENTITY, "temp_bin"], levels={"temp_bin": TEMP_BIN_LABELS})
 
 
+@query("sparse_design", """SELECT o_orderkey, 'o_totalprice' AS "column", CAST(NULL AS VARCHAR) AS level, CAST(o_totalprice AS DOUBLE) AS value
+  FROM orders WHERE o_totalprice IS NULL OR o_totalprice <> 0
+  UNION ALL SELECT o_orderkey, 'o_orderpriority', o_orderpriority, 1.0 FROM orders WHERE o_orderpriority <> (SELECT min(o_orderpriority) FROM orders)
+  UNION ALL SELECT o_orderkey, 'o_custkey', CAST(o_custkey AS VARCHAR), 1.0 FROM orders
+    WHERE CAST(o_custkey AS VARCHAR) <> (SELECT min(CAST(o_custkey AS VARCHAR)) FROM orders)""", floats=["value"])
+def q_sparse_design(spark, sf):
+    """Rows as sparse vectors; every customer is a level."""
+    from pansift.operators.sparse import design_entries, sparse_design
+    rows, levels = sparse_design(S.table(spark, sf, "orders"), ["o_totalprice"], ["o_orderpriority", "o_custkey"])
+    return design_entries(rows, levels, ["o_orderkey"])
+
+
 @query("split_binary_continuous", S.with_ctes(["panel_raw"], """SELECT * FROM (VALUES ('is_weekend', 'binary'),
   ('event_has_parade', 'binary'), ('event_has_holiday', 'binary'), ('day_of_week', 'continuous'),
   ('temp_mean', 'continuous'), ('complaints_total', 'continuous')) t("column", kind)

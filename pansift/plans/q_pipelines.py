@@ -209,9 +209,10 @@ def _view_ctes(time_safe: bool) -> list:
         filled = f"""SELECT f.date, f.borough, f.col, f.raw, coalesce(f.value, m.med) AS value FROM ({filled}) f
   LEFT JOIN (SELECT col, quantile_cont(value, 0.5) AS med FROM ({filled}) GROUP BY col) m ON f.col = m.col"""
     win = """SELECT w.date, w.borough, w.col || '_wins' AS col, least(greatest(w.value, b.lo), b.hi) AS value FROM filled w
-  JOIN (SELECT col, list_sort(list(value))[CAST(floor(0.01 * count(value)) AS BIGINT) + 1] AS lo,
-               list_sort(list(value))[count(value) - CAST(floor(0.01 * count(value)) AS BIGINT)] AS hi
-        FROM filled WHERE value IS NOT NULL GROUP BY col) b ON w.col = b.col WHERE w.value IS NOT NULL AND w.col IN ({})""".format(
+  JOIN (SELECT col, max(value) FILTER (WHERE r = CAST(floor(0.01 * n) AS BIGINT) + 1) AS lo,
+               max(value) FILTER (WHERE r = n - CAST(floor(0.01 * n) AS BIGINT)) AS hi
+        FROM (SELECT col, value, row_number() OVER (PARTITION BY col ORDER BY value) AS r, count(*) OVER (PARTITION BY col) AS n
+              FROM filled WHERE value IS NOT NULL) GROUP BY col) b ON w.col = b.col WHERE w.value IS NOT NULL AND w.col IN ({})""".format(
         ", ".join(f"'{c}'" for c in SKEW_WINS))
     return extra + [
         ("fv", body),
@@ -231,6 +232,10 @@ def _view_ctes(time_safe: bool) -> list:
   ORDER BY count(*) DESC, temp_bin LIMIT 1)) AS temp_bin FROM fv""")]
 
 
+#: Long CTEs that a statement reads several times.
+LONG_ONCE = ("fv", "fl", "filled", "view", "ok", "bins", "x")
+
+
 def _matrix_sql(kind: str) -> str:
     """vt, std or minmax (option A), or B."""
     from pansift.operators.features import TEMP_BIN_LABELS
@@ -248,7 +253,7 @@ def _matrix_sql(kind: str) -> str:
     if kind == "B":
         return S.with_ctes(["panel_raw", "quality_by_date"], f"""{target}
   UNION ALL SELECT v.date, v.borough, v.col, v.value FROM view v JOIN ok USING (date, borough) WHERE v.col IN ({quoted}, {struct})
-  UNION ALL SELECT * FROM bin_cols""", extra=extra)
+  UNION ALL SELECT * FROM bin_cols""", extra=extra, materialized=LONG_ONCE)
     extra += [
         ("x", f"""SELECT v.date, v.borough, v.col, v.value FROM view v JOIN ok USING (date, borough) WHERE v.col IN ({quoted})
   UNION ALL SELECT * FROM bin_cols
@@ -259,7 +264,7 @@ def _matrix_sql(kind: str) -> str:
     scaled = {"vt": "x.value", "std": "CASE WHEN st.flag THEN x.value ELSE (x.value - st.m) / st.s END",
               "minmax": "CASE WHEN st.flag THEN x.value ELSE (x.value - st.lo) / (st.hi - st.lo) END"}[kind]
     return S.with_ctes(["panel_raw", "quality_by_date"],
-                       f"{target} UNION ALL SELECT x.date, x.borough, x.col, {scaled} FROM x JOIN st ON x.col = st.col", extra=extra)
+                       f"{target} UNION ALL SELECT x.date, x.borough, x.col, {scaled} FROM x JOIN st ON x.col = st.col", extra=extra, materialized=LONG_ONCE)
 
 
 def _long(df):
@@ -408,15 +413,16 @@ def q_event_table(spark, sf):
   UNION ALL SELECT 2, 'missing_median', '{c}', 'treated', NULL, NULL
   """ for c in ("id", "nation", "balance", "score", "tier"))
     + """UNION ALL SELECT 3, 'outliers_remove_iqr', NULL, 'rows', (SELECT count(*) FROM d0), (SELECT count(*) FROM c2)
-  UNION ALL SELECT 3, 'outliers_remove_iqr', 'balance', 'treated', NULL, NULL)
+  UNION ALL SELECT 3, 'outliers_remove_iqr', 'balance', 'treated', NULL, NULL
+  """ + "".join(f"""UNION ALL SELECT 3, 'outliers_remove_iqr', '{c}', 'missing', (SELECT count_if({c} IS NULL) FROM b), (SELECT count_if({c} IS NULL) FROM c2)
+  """ for c in ("name", "balance", "segment")) + """)
   WHERE metric <> 'missing' OR "before" <> "after" """, extra=[("d0", "SELECT DISTINCT * FROM wb"),
-    ("b", "SELECT coalesce(balance, (SELECT quantile_cont(balance, 0.5) FROM d0)) AS balance FROM d0"),
-    ("c2", """SELECT balance FROM b, (SELECT quantile_cont(balance, 0.25) AS q1, quantile_cont(balance, 0.75) AS q3 FROM b) q
+    ("b", "SELECT name, segment, coalesce(balance, (SELECT quantile_cont(balance, 0.5) FROM d0)) AS balance FROM d0"),
+    ("c2", """SELECT name, segment, balance FROM b, (SELECT quantile_cont(balance, 0.25) AS q1, quantile_cont(balance, 0.75) AS q3 FROM b) q
   WHERE balance BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)""")]))
 def q_cleaning_log(spark, sf):
-    # the label column is left out of the removal step's figures, which concern rows
     cfg = CleanConfig(remove_duplicates=True, missing_strategy="median", outlier_strategy="remove_iqr", outlier_cols=["balance"])
-    return clean_table(S.workbench(spark, sf), cfg)[1].where("not (name = 'outliers_remove_iqr' and metric = 'missing')")
+    return clean_table(S.workbench(spark, sf), cfg)[1]
 
 
 @query("weather_effects_fits", S.with_ctes(["panel_raw"], " UNION ALL ".join(

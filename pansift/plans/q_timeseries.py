@@ -89,6 +89,28 @@ def q_bfill_ffill(spark, sf):
     return TS.bfill_ffill(p, ENTITY, "date", ["temp_mean"])
 
 
+#: Rows of a block in the queries below: few, so that the entities' series span several.
+_BLOCK = 700
+
+
+@query("lag_features_blocks", S.with_ctes(["panel_raw"], f"""SELECT date, borough, complaints_total,
+  lag(complaints_total, 1) OVER w AS complaints_total_lag1, lag(complaints_total, 7) OVER w AS complaints_total_lag7 FROM panel_raw {W}"""))
+def q_lag_features_blocks(spark, sf):
+    """Lags in blocks of consecutive rows."""
+    p = raw_panel(spark, sf).select("date", ENTITY, "complaints_total")
+    return TS.lag_features(p, ENTITY, "date", ["complaints_total"], [1, 7], block=_BLOCK)
+
+
+@query("bfill_ffill_blocks", S.with_ctes(["panel_raw"], """SELECT date, borough, coalesce(
+  first_value(temp_mean_lag1 IGNORE NULLS) OVER (PARTITION BY borough ORDER BY date ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING),
+  last_value(temp_mean_lag1 IGNORE NULLS) OVER (PARTITION BY borough ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS temp_mean_lag1
+  FROM panel_raw"""), floats=["temp_mean_lag1"])
+def q_bfill_ffill_blocks(spark, sf):
+    """Fills in blocks, each with what it carries in."""
+    p = raw_panel(spark, sf).select("date", ENTITY, "temp_mean_lag1")
+    return TS.bfill_ffill(p, ENTITY, "date", ["temp_mean_lag1"], block=_BLOCK)
+
+
 @query("dedupe_keep_first", S.with_ctes(["requests"], f"""SELECT * EXCLUDE (rn) FROM (SELECT *,
   row_number() OVER (PARTITION BY unique_key ORDER BY {', '.join(S.DEDUPE_ORDER)}) AS rn FROM requests) WHERE rn = 1"""))
 def q_dedupe_keep_first(spark, sf):

@@ -222,9 +222,10 @@ cte("events_daily", f"""SELECT date, {strip_upper('borough')} AS borough, CAST(c
   FROM events_expanded WHERE date IS NOT NULL GROUP BY 1, 2""", ["events_expanded"])
 
 
-def with_ctes(names: list[str], body: str, extra: list[tuple[str, str]] | None = None) -> str:
+def with_ctes(names: list[str], body: str, extra: list[tuple[str, str]] | None = None, materialized: tuple = ()) -> str:
     """Render ``WITH`` for the named CTEs (plus their dependencies, in order),
-    then ``extra`` (name, sql) CTEs local to one query, then the body."""
+    then ``extra`` (name, sql) CTEs local to one query, then the body.
+    ``materialized``: extra CTEs that are computed once however often they are read."""
     order: list[str] = []
 
     def visit(n):
@@ -236,7 +237,8 @@ def with_ctes(names: list[str], body: str, extra: list[tuple[str, str]] | None =
 
     for n in names:
         visit(n)
-    parts = [f"{n} AS ({SQL_CTES[n][0]})" for n in order] + [f"{n} AS ({q})" for n, q in (extra or [])]
+    parts = [f"{n} AS ({SQL_CTES[n][0]})" for n in order]
+    parts += [f"{n} AS {'MATERIALIZED ' if n in materialized else ''}({q})" for n, q in (extra or [])]
     if not parts:
         return body
     return "WITH " + ",\n".join(parts) + "\n" + body
