@@ -6,29 +6,34 @@ then moves to the part that holds most neighbours, within a capacity), and a
 small network that predicts how a vector's neighbours spread over the parts.
 A second sample of the same size fixes how many parts a query has to visit.
 
-Index: the network deals every vector to its most probable part; parts are cut
-into blocks of bounded size.  Search: a query visits its most probable parts,
-and further ones until they hold enough vectors, meets their blocks, and the
-exact inner products are reranked.  Model, sample and the sizes of the parts are
-the only things on the driver.
+Index: the network deals every vector to its most probable part.  Where ``MOST_PARTS``
+parts would hold too many vectors each, every large part is split again, by a
+network of its own that a task fits on a sample of the part's rows, and so on: the
+number of parts grows with the table, and what a query meets does not.
+Search: a query visits its most probable parts, and in them their most
+probable parts, and further ones until they hold enough vectors; parts are cut
+into blocks of bounded size, and the exact inner products are reranked.  Model, sample
+and sizes of the first level's parts are the only things on the driver.
 """
 
 from __future__ import annotations
 
+import math
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pansift.llm._common import cut_lineage, prepare
 
 #: Rows the model is fitted on, and as many again to choose the visits.
 SAMPLE = 4096
-#: Vectors that one part should hold, and the limits of how many parts there are.
+#: Vectors that one part should hold, and the limits of how many parts a level has.
 PER_PART, LEAST_PARTS, MOST_PARTS = 2500, 8, 256
 #: Vectors, and queries, that meet in one task.
 BLOCK = 4096
@@ -210,8 +215,72 @@ def best(q: np.ndarray, q_ids: np.ndarray, x: np.ndarray, x_ids: np.ndarray, k:
     return tuple(np.concatenate(a) if out else np.empty(0) for a in zip(*out))
 
 
+def levels_of(count: int, per_part: int, most_parts: int) -> int:
+    """Levels at which no part need hold more than twice ``per_part`` vectors."""
+    return max(1, math.ceil(math.log(max(1.0, count / (2 * per_part)), most_parts)))
+
+
+def split(index: DataFrame, asked: DataFrame, per_part: int, most_parts: int, k: int, aim: float) -> tuple[DataFrame, DataFrame]:
+    """One level more.  ``index``: ``cell, vec_id, vec``; ``asked``: ``cell, query_id, vec``.
+    A cell of more than ``2 * per_part`` vectors becomes up to ``most_parts``
+    cells, and its queries go to the most probable of these.  Both come back written."""
+    sizes = cut_lineage(index.groupBy("cell").agg(F.count("*").alias("n")), "cells")
+    large = sizes.where(F.col("n") > 2 * per_part)
+    # the sample of a cell: the rows with the smallest hashes of their ids
+    first = Window.partitionBy("cell").orderBy(F.xxhash64("vec_id"), "vec_id")
+    sample = index.join(large, "cell").withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= 2 * SAMPLE).drop("_r")
+
+    def learn(g: pd.DataFrame) -> pd.DataFrame:
+        parts = min(most_parts, max(2, round(int(g["n"].iloc[0]) / per_part)), max(1, len(g) // 4))
+        router = fit(_matrix(g["vec"]), parts, k, aim)
+        return pd.DataFrame({"cell": [int(g["cell"].iloc[0])], "model": [pickle.dumps(router)]})
+
+    models = cut_lineage(sample.groupBy("cell").applyInPandas(learn, "cell long, model binary"), "routers")
+
+    def dealt(rows, id_col, counts):
+        """``rows`` of large cells in lots of bounded size, and the models for each lot."""
+        lots = counts.select("cell", F.ceil(F.col("n") / BLOCK).cast("int").alias("lots"))
+        own = rows.join(lots, "cell").withColumn("lot", F.pmod(F.xxhash64(id_col), "lots").cast("int")).drop("lots")
+        return own, lots.withColumn("lot", F.explode(F.sequence(F.lit(0), F.col("lots") - 1))).drop("lots")
+
+    def home(rows: pd.DataFrame, model: pd.DataFrame) -> pd.DataFrame:
+        if rows.empty or model.empty:
+            return pd.DataFrame([], columns=["cell", "vec_id", "vec"])
+        part = pickle.loads(model["model"].iloc[0]).logits(_matrix(rows["vec"])).argmax(axis=1)
+        return pd.DataFrame({"cell": rows["cell"].to_numpy() * most_parts + part, "vec_id": rows["vec_id"], "vec": rows["vec"]})
+
+    rows, lots = dealt(index, "vec_id", large)
+    found = rows.groupBy("cell", "lot").cogroup(models.join(lots, "cell").groupBy("cell", "lot")).applyInPandas(
+        home, "cell long, vec_id long, vec array<double>")
+    small = sizes.where(F.col("n") <= 2 * per_part).select("cell")
+    below = F.col("cell") * most_parts
+    parts = cut_lineage(found.unionByName(index.join(small, "cell").withColumn("cell", below)), "index")
+    held = parts.groupBy("cell").agg(F.count("*").alias("n")).select(
+        F.floor(F.col("cell") / most_parts).cast("long").alias("cell"), F.struct((F.col("cell") % most_parts).cast("int").alias("p"), "n").alias("h"))
+    routed = models.join(held.groupBy("cell").agg(F.collect_list("h").alias("held")), "cell")
+    routed = routed.select("cell", "model", F.transform("held", lambda h: h["p"]).alias("parts"), F.transform("held", lambda h: h["n"]).alias("ns"))
+
+    def route(rows: pd.DataFrame, model: pd.DataFrame) -> pd.DataFrame:
+        if rows.empty or model.empty:
+            return pd.DataFrame([], columns=["cell", "query_id", "vec"])
+        router = pickle.loads(model["model"].iloc[0])
+        n = np.zeros(len(router.b2), np.int64)
+        n[np.asarray(model["parts"].iloc[0], int)] = model["ns"].iloc[0]
+        to, ends = visited(router.logits(_matrix(rows["vec"])), n, min(router.visits, len(n)), k)
+        of = np.repeat(np.arange(len(rows)), np.diff(ends))
+        return pd.DataFrame({"cell": rows["cell"].to_numpy()[of] * most_parts + to, "query_id": rows["query_id"].to_numpy()[of],
+                             "vec": rows["vec"].to_numpy()[of]})
+
+    queries = asked.join(large.select("cell"), "cell")
+    rows, lots = dealt(queries, "query_id", queries.groupBy("cell").agg(F.count("*").alias("n")))
+    went = rows.groupBy("cell", "lot").cogroup(routed.join(lots, "cell").groupBy("cell", "lot")).applyInPandas(
+        route, "cell long, query_id long, vec array<double>")
+    stay = asked.join(small, "cell").withColumn("cell", below)
+    return parts, cut_lineage(went.unionByName(stay), "queries")
+
+
 def search(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_id", vec_col: str = "embedding",
-           visits: int | None = None) -> DataFrame:
+           visits: int | None = None, per_part: int = PER_PART, most_parts: int = MOST_PARTS) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` nearest found by inner
     product for each row whose id is divisible by ``every``, among all other rows.
 
@@ -221,7 +290,7 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_
     go to the smaller id.  A query has fewer than ``k`` rows only if there are
     fewer other vectors.  Other columns are not read; an empty table gives an
     empty result.  ``visits``: least parts per query instead of the learnt number
-    (as many as there are parts gives the exact result).
+    (as many as there are parts gives the exact result, on one level).
     """
     spark = vectors.sparkSession
     prepare(spark)
@@ -233,8 +302,10 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_
     dim, count = lengths
     rows = rows.where(F.size("vec") == dim)
     sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").select("vec").limit(2 * SAMPLE).toPandas()["vec"]
-    parts = min(MOST_PARTS, max(LEAST_PARTS, round(count / PER_PART)))
-    router = fit(_matrix(sample), min(parts, max(1, len(sample) // 4)), k)
+    parts = min(most_parts, max(LEAST_PARTS, round(count / per_part)))
+    levels = levels_of(count, per_part, most_parts)
+    aim = AIM ** (1 / levels)  # a neighbour is found if no level loses it
+    router = fit(_matrix(sample), min(parts, max(1, len(sample) // 4)), k, aim)
     go_to = min(visits or router.visits, len(router.b2))
 
     def home(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -258,16 +329,19 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_
         held[r["part"]] = r["count"]
     asked = cut_lineage(rows.where(F.col("vec_id") % every == 0)
                         .mapInArrow(route, "query_id long, vec array<double>, parts array<int>"), "queries")
-    visits_of = asked.select(F.explode("parts").alias("part")).groupBy("part").agg(F.count("*").alias("q"))
-    # one row per part: into how many blocks its vectors, and its queries, are dealt
-    sizes = cut_lineage(index.groupBy("part").agg(F.count("*").alias("n")).join(visits_of, "part").select(
-        "part", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"), F.ceil(F.col("q") / BLOCK).cast("int").alias("lots")),
+    index = index.select(F.col("part").cast("long").alias("cell"), "vec_id", "vec")
+    asked = asked.select(F.explode(F.col("parts").cast("array<bigint>")).alias("cell"), "query_id", "vec")
+    for _ in range(levels - 1):
+        index, asked = split(index, asked, per_part, most_parts, k, aim)
+    # one row per cell: into how many blocks its vectors, and its queries, are dealt
+    visits_of = asked.groupBy("cell").agg(F.count("*").alias("q"))
+    sizes = cut_lineage(index.groupBy("cell").agg(F.count("*").alias("n")).join(visits_of, "cell").select(
+        "cell", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"), F.ceil(F.col("q") / BLOCK).cast("int").alias("lots")),
         "parts")
-    x = (index.join(sizes, "part").withColumn("block", F.pmod(F.xxhash64("vec_id"), "blocks").cast("int"))
-         .select("part", "block", F.explode(F.sequence(F.lit(0), F.col("lots") - 1)).alias("lot"), "vec_id", "vec"))
-    q = (asked.select("query_id", "vec", F.explode("parts").alias("part")).join(sizes, "part")
-         .withColumn("lot", F.pmod(F.xxhash64("query_id"), "lots").cast("int"))
-         .select("part", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "lot", "query_id", "vec"))
+    x = (index.join(sizes, "cell").withColumn("block", F.pmod(F.xxhash64("vec_id"), "blocks").cast("int"))
+         .select("cell", "block", F.explode(F.sequence(F.lit(0), F.col("lots") - 1)).alias("lot"), "vec_id", "vec"))
+    q = (asked.join(sizes, "cell").withColumn("lot", F.pmod(F.xxhash64("query_id"), "lots").cast("int"))
+         .select("cell", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "lot", "query_id", "vec"))
 
     def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
@@ -277,7 +351,7 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_
         a, b, s = best(_matrix(left["vec"]), left["query_id"].to_numpy(), _matrix(right["vec"]), ids, k * most)
         return pd.DataFrame({"query_id": a, "vec_id": b, "score": s})
 
-    by = ["part", "block", "lot"]
+    by = ["cell", "block", "lot"]
     found = (q.groupBy(*by).cogroup(x.groupBy(*by)).applyInPandas(meet, "query_id long, vec_id long, score double")
              .groupBy("query_id", "vec_id").agg(F.max("score").alias("score")))
     return best_of(found, k).select("query_id", "rank", "vec_id", "score")
@@ -285,6 +359,5 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_
 
 def best_of(found: DataFrame, k: int) -> DataFrame:
     """The k best of each query; a query has k rows for each block it met."""
-    from pyspark.sql import Window
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order).cast("int")).where(F.col("rank") <= k)
