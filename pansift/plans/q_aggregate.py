@@ -21,7 +21,7 @@ def counts(spark, sf):
 
 @query("daily_entity_counts", S.with_ctes(["counts"], "SELECT * FROM counts"))
 def q_daily_entity_counts(spark, sf):
-    return A.daily_entity_counts(S.requests(spark, sf), "created_date", ENTITY, "unique_key",
+    return A.daily_entity_counts(S.requests(spark, sf, labels=False), "created_date", ENTITY, "unique_key",
                                  S.DEDUPE_ORDER, S.ENTITY_DOMAIN)
 
 
@@ -55,7 +55,7 @@ def q_hourly_to_daily(spark, sf):
 
 @query("majority_map", S.with_ctes(["zip_map"], "SELECT zip_int AS incident_zip, borough FROM zip_map"))
 def q_majority_map(spark, sf):
-    return A.majority_map(S.requests(spark, sf), "incident_zip", ENTITY, S.ENTITY_DOMAIN)
+    return A.majority_map(S.requests(spark, sf, labels=False), "incident_zip", ENTITY, S.ENTITY_DOMAIN)
 
 
 @query("entity_attributes", S.with_ctes(["census_entity"], "SELECT * FROM census_entity"),

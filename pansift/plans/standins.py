@@ -54,7 +54,7 @@ def nation_entity(spark, sf_dir) -> DataFrame:
 
 def requests(spark, sf_dir, labels: bool = True) -> DataFrame:
     """Raw service-request stand-in (duplicates on unique_key included);
-    without ``labels`` only what the ZIP map needs, so ``part`` is not read.
+    without ``labels`` no complaint type, so ``part`` is not read.
     The fact meets ``supplier`` by that file's own size first, and the
     25-row map after it: a nested join would look larger than it is."""
     li = table(spark, sf_dir, "lineitem")
@@ -67,7 +67,8 @@ def requests(spark, sf_dir, labels: bool = True) -> DataFrame:
     ne = nation_entity(spark, sf_dir)
     out = li.join(sup, li.l_suppkey == sup.s_suppkey).join(F.broadcast(ne), F.col("s_nationkey") == ne.n_nationkey)
     if not labels:
-        return out.select("unique_key", F.col("r_name").alias("borough"), F.col("l_partkey").alias("incident_zip"))
+        return out.select("unique_key", "created_date", F.col("r_name").alias("borough"),
+                          F.col("l_partkey").alias("incident_zip"), *DEDUPE_ORDER[1:])
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
     out = out.join(part, li.l_partkey == part.p_partkey)
     return out.select("unique_key", "created_date", F.col("r_name").alias("borough"),
