@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from pansift.plans import standins as S
@@ -81,7 +83,41 @@ VIF_FEATURES = ["temp_mean", "precipitation_sum", "wind_speed_mean", "cloud_cove
                 "census_income_borough_median", "airbnb_listing_count", "event_count", "is_weekend"]
 
 
-@query("vif", None)
+def _inverse_ctes(xs: dict, y: str | None, where: str) -> list:
+    """CTEs of a linear model in SQL: ``d`` (rows, regressors ``x0, x1, ...``), ``m`` (their
+    moments and correlations ``a_i_j``) and ``g``, in which the correlation
+    matrix has become its inverse: one elimination step per regressor, each one row."""
+    n = range(len(xs))
+    rows = ", ".join(f"CAST({e} AS DOUBLE) AS x{i}" for i, e in enumerate(xs.values()))
+    moments = ["count(*) AS n", *[f"avg(x{i}) AS m{i}, stddev_pop(x{i}) AS sd{i}" for i in n],
+               *[("1.0::DOUBLE" if i == j else f"corr(x{min(i, j)}, x{max(i, j)})") + f" AS a_{i}_{j}" for i in n for j in n]]
+    if y:
+        moments += ["avg(y) AS my", "var_pop(y) * count(*) AS syy", *[f"covar_pop(x{i}, y) AS c{i}" for i in n]]
+    out = [("d", f"SELECT date, borough, {rows}{f', CAST({y} AS DOUBLE) AS y' if y else ''} FROM panel_raw WHERE {where}"),
+           ("m", f"SELECT {', '.join(moments)} FROM d")]
+    last = "m"
+    for k in n:
+        def cell(i, j):
+            if i == j == k:
+                return f"1 / a_{k}_{k}"
+            return f"a_{k}_{j} / a_{k}_{k}" if i == k else f"-a_{i}_{k} / a_{k}_{k}" if j == k else f"a_{i}_{j} - a_{i}_{k} * a_{k}_{j} / a_{k}_{k}"
+        new = f"g{k}" if k < len(xs) - 1 else "g"
+        out.append((new, f"SELECT * REPLACE ({', '.join(f'{cell(i, j)} AS a_{i}_{j}' for i in n for j in n)}) FROM {last}"))
+        last = new
+    return out
+
+
+#: One-row CTEs that are read several times.
+_MODEL_ONCE = ("d", "m", "g", "fit", "h", *[f"g{k}" for k in range(12)])
+
+
+def _vif_sql(features: list) -> str:
+    ctes = _inverse_ctes({f: f for f in features}, None, " AND ".join(f"{f} IS NOT NULL" for f in features))
+    return S.with_ctes(["panel_raw"], " UNION ALL ".join(f"SELECT '{f}' AS feature, a_{i}_{i} AS vif FROM g" for i, f in enumerate(features)),
+                       extra=ctes, materialized=_MODEL_ONCE)
+
+
+@query("vif", _vif_sql(VIF_FEATURES), floats=["vif"])
 def q_vif(spark, sf):
     return ST.vif(raw_panel(spark, sf), VIF_FEATURES)
 
@@ -96,17 +132,68 @@ def q_vif_two(spark, sf):
 OLS_NUM = ["temp_mean", "precipitation_sum", "is_weekend", "event_count", "month"]
 
 
-@query("ols_summary", None)
+#: Regressors of the full model: an entity's indicator (the first is the base) and the numbers.
+OLS_X = {f"borough_T_{re.sub('[^0-9A-Za-z_]', '_', v)}": f"borough = '{v}'" for v in sorted(S.ENTITY_DOMAIN)[1:]} | {c: c for c in OLS_NUM}
+
+
+def _model_ctes() -> list:
+    """``fit``: the one row of ``g`` with coefficients ``b0, b1, ...``, intercept ``b``
+    and variance ``s2``; ``d00``: variance of the intercept over ``s2``."""
+    n = range(len(OLS_X))
+    where = " AND ".join(f"{c} IS NOT NULL" for c in ["borough", "log_complaints_total", *OLS_NUM])
+    beta = {j: "(" + " + ".join(f"a_{j}_{i} * c{i} / (sd{j} * sd{i})" for i in n) + ")" for j in n}
+    both = " + ".join(f"m{i} * m{j} * a_{i}_{j} / (n * sd{i} * sd{j})" for i in n for j in n)
+    return _inverse_ctes(OLS_X, "log_complaints_total", where) + [
+        ("h", f"SELECT *, {', '.join(f'{beta[j]} AS b{j}' for j in n)}, 1.0 / n + {both} AS d00 FROM g"),
+        ("fit", f"""SELECT *, my - ({' + '.join(f'b{j} * m{j}' for j in n)}) AS b, n - {len(OLS_X) + 1} AS dof,
+  (syy - n * ({' + '.join(f'b{j} * c{j}' for j in n)})) / (n - {len(OLS_X) + 1}) AS s2,
+  n * ({' + '.join(f'b{j} * c{j}' for j in n)}) / syy AS r2 FROM h""")]
+
+
+def _ols_sql() -> str:
+    """The table; p is the integral of cos(v) ** (dof - 1) beyond the angle of t, by Simpson's rule."""
+    terms = ["SELECT 'Intercept' AS term, b AS coef, sqrt(s2 * d00) AS se, dof, r2, n FROM fit"]
+    terms += [f"SELECT '{c}', b{j}, sqrt(s2 * a_{j}_{j} / n) / sd{j}, dof, r2, n FROM fit" for j, c in enumerate(OLS_X)]
+    return S.with_ctes(["panel_raw"], """SELECT term, coef, se, t, least(1.0, 2 / sqrt(pi()) * exp(lgamma((dof + 1) / 2.0) - lgamma(dof / 2.0)) * w / 3
+    * sum(CASE WHEN k IN (0, 2000) THEN 1 WHEN k % 2 = 1 THEN 4 ELSE 2 END * exp((dof - 1) * ln(greatest(cos(v + k * w), 1e-300))))) AS p,
+  r2, 1 - (1 - r2) * (n - 1) / dof AS adj_r2, n
+  FROM (SELECT *, least(pi() / 2 - v, 12 / sqrt(dof)) / 2000 AS w FROM (SELECT *, coef / se AS t, atan(abs(coef / se) / sqrt(dof)) AS v FROM terms)),
+    range(0, 2001) r(k) GROUP BY term, coef, se, t, dof, v, w, r2, n""",
+                       extra=_model_ctes() + [("terms", " UNION ALL ".join(terms))], materialized=_MODEL_ONCE)
+
+
+@query("ols_summary", _ols_sql(), floats=["coef", "se", "t", "p", "r2", "adj_r2"])
 def q_ols_summary(spark, sf):
     return ST.ols_summary(raw_panel(spark, sf), "log_complaints_total", OLS_NUM, [ENTITY])
 
 
-@query("influence", None)
+def _influence_sql() -> str:
+    n, p = range(len(OLS_X)), len(OLS_X) + 1
+    ax = {j: "(" + " + ".join(f"a_{j}_{i} * z{i}" for i in n) + f") / (n * sd{j})" for j in n}
+    return S.with_ctes(["panel_raw"], f"""SELECT date, borough, {', '.join(f'x{j} AS {c}' for j, c in enumerate(OLS_X))}, y AS log_complaints_total,
+  h AS leverage, e AS resid, e / sqrt(s2 * (1 - h)) AS student_resid_internal, e / (si * sqrt(1 - h)) AS student_resid_external,
+  power(e / sqrt(s2 * (1 - h)), 2) * h / ({p} * (1 - h)) AS cooks_d, e / (si * sqrt(1 - h)) * sqrt(h / (1 - h)) AS dffits,
+  e / sqrt(s2 * (1 - h)) * sqrt(h / (1 - h)) AS dffits_internal,
+  {', '.join(f'q{j} * e / ((1 - h) * si * sqrt(a_{j}_{j} / n) / sd{j}) AS dfbetas_{c}' for j, c in enumerate(OLS_X))},
+  (1.0 / n - ({' + '.join(f'm{j} * q{j}' for j in n)})) * e / ((1 - h) * si * sqrt(d00)) AS "dfbetas_Intercept",
+  4.0 / n AS cooks_threshold, 2.0 * {p} / n AS leverage_threshold
+  FROM (SELECT *, sqrt((dof * s2 - e * e / (1 - h)) / (dof - 1)) AS si FROM q)""", extra=_model_ctes() + [
+        ("z", f"SELECT d.*, fit.*, {', '.join(f'(x{j} - m{j}) / sd{j} AS z{j}' for j in n)} FROM d, fit"),
+        ("w", f"SELECT *, {', '.join(f'{ax[j]} AS q{j}' for j in n)}, y - my - ({' + '.join(f'b{j} * (x{j} - m{j})' for j in n)}) AS e FROM z"),
+        ("q", f"SELECT *, 1.0 / n + {' + '.join(f'q{j} * (x{j} - m{j})' for j in n)} AS h FROM w")], materialized=_MODEL_ONCE)
+
+
+_FULL_FLOATS = [*OLS_X, "log_complaints_total", "leverage", "resid", "student_resid_internal", "student_resid_external", "cooks_d",
+                "dffits", "dffits_internal", *[f"dfbetas_{c}" for c in OLS_X], "dfbetas_Intercept", "cooks_threshold", "leverage_threshold"]
+
+
+@query("influence", _influence_sql(), floats=_FULL_FLOATS)
 def q_influence(spark, sf):
     return ST.influence(raw_panel(spark, sf), "log_complaints_total", OLS_NUM, [ENTITY], keys=["date", ENTITY])
 
 
-@query("top_influential", None)
+@query("top_influential", "SELECT date, borough, cooks_d, leverage, student_resid_external FROM (" + _influence_sql()
+       + ") _i ORDER BY cooks_d DESC LIMIT 10", floats=["cooks_d", "leverage", "student_resid_external"])
 def q_top_influential(spark, sf):
     infl = ST.influence(raw_panel(spark, sf), "log_complaints_total", OLS_NUM, [ENTITY], keys=["date", ENTITY])
     return ST.top_influential(infl, 10).select("date", ENTITY, "cooks_d", "leverage", "student_resid_external")
