@@ -91,6 +91,7 @@ class ByteLevel:
         pre = spec.get("pre_tokenizer") or {}
         if pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or spec.get("normalizer"):
             raise ValueError("not a plain byte-level vocabulary")
+        self.lossless = all(bytes([b]) in ranks for b in range(256))
         self.fast = tiktoken.Encoding("byte-level", pat_str=BYTE_LEVEL_CUT, mergeable_ranks=ranks, special_tokens={})
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
@@ -117,42 +118,40 @@ class Pieces:
         return [next(got) if len(c) == 1 else [i for _ in c for i in next(got)] for c in cut]
 
 
+def straight(ends_a: list[int], ends_b: list[int], i: int, j: int) -> int:
+    """How many tokens from ``i`` and ``j`` on end alike at this shift, in probes of doubling length."""
+    run, probe = 0, 4
+    while True:
+        a, b = ends_a[i + run:i + run + probe], ends_b[j + run:j + run + probe]
+        if a != b:
+            for x, y in zip(a, b):
+                if x != y:
+                    break
+                run += 1
+            return run
+        if len(a) < probe:  # both end here
+            return run + len(a)
+        run += probe
+        probe *= 2
+
+
 def diagonal_runs(ends_a: list[int], ends_b: list[int]) -> Iterator[tuple[int, int, int, int, bool]]:
     """``(a0, a1, b0, b1, straight)``: in order, stretches of one-to-one tokens
     (straight) and single groups of others.  Both arrays ascend to the same last end."""
     i = j = 0
-    n, m = len(ends_a), len(ends_b)
-    while i < n:
-        if ends_a[i] == ends_b[j]:
-            run, probe = 1, 2
-            while i + run < n and j + run < m:
-                a, b = ends_a[i + run:i + run + probe], ends_b[j + run:j + run + probe]
-                if a == b:
-                    run += len(a)
-                    probe *= 2
-                    continue
-                good, bad = 0, min(len(a), len(b))  # the first difference lies in [good, bad]
-                while good < bad:
-                    mid = (good + bad + 1) // 2
-                    if a[good:mid] == b[good:mid]:
-                        good = mid
-                    else:
-                        bad = mid - 1
-                run += good
-                break
+    while i < len(ends_a):
+        run = straight(ends_a, ends_b, i, j)
+        if run:
             yield i, i + run, j, j + run, True
             i, j = i + run, j + run
-            if i >= n:
+            if i >= len(ends_a):
                 break
         a, b = i, j
-        x, y = ends_a[a], ends_b[b]
-        while x != y:
-            if x < y:
+        while ends_a[a] != ends_b[b]:
+            if ends_a[a] < ends_b[b]:
                 a += 1
-                x = ends_a[a]
             else:
                 b += 1
-                y = ends_b[b]
         yield i, a + 1, j, b + 1, False
         i, j = a + 1, b + 1
 
@@ -176,38 +175,39 @@ class Aligner:
                 yield [], []
                 continue
             a = self.a.encode(" " + text)
-            yield (a, b) if b"".join(map(self.a.bytes_of.__getitem__, a)) == raw else ([], [])
+            # with every byte in the vocabulary nothing gets lost on the byte-level side
+            yield (a, b) if self.a.lossless or b"".join(map(self.a.bytes_of.__getitem__, a)) == raw else ([], [])
 
-    def runs(self, a: list[int], b: list[int]) -> tuple[list[int], list[int], list[tuple[int, int, int, int, bool]]]:
-        ends_a = list(accumulate(map(self.size_a.__getitem__, a)))
-        ends_b = list(accumulate(map(self.size_b.__getitem__, b)))
-        return ends_a, ends_b, list(diagonal_runs(ends_a, ends_b))
+    def ends(self, a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
+        """Byte offsets at which the tokens end."""
+        return list(accumulate(map(self.size_a.__getitem__, a))), list(accumulate(map(self.size_b.__getitem__, b)))
 
     def groups(self, a: list[int], b: list[int]) -> list[tuple[list[int], list[int]]]:
         """Ids of each group, in order."""
         out = []
-        for i, i2, j, j2, straight in self.runs(a, b)[2]:
-            out += [([x], [y]) for x, y in zip(a[i:i2], b[j:j2])] if straight else [(a[i:i2], b[j:j2])]
+        for i, i2, j, j2, one in diagonal_runs(*self.ends(a, b)):
+            out += [([x], [y]) for x, y in zip(a[i:i2], b[j:j2])] if one else [(a[i:i2], b[j:j2])]
         return out
 
     def links(self, a: list[int], b: list[int]) -> tuple[list[int], list[int], int, str]:
-        """Ids of every link (one list per side), the number of groups, and their text."""
-        ends_a, ends_b, runs = self.runs(a, b)
-        link_a, link_b, n, text = [], [], 0, []
+        """Ids of every link (one list per side), the number of groups, and their
+        text.  Goes the way of ``diagonal_runs``, and links on it."""
+        ends_a, ends_b = self.ends(a, b)
         name_a, name_b = list(map(self.name_a.__getitem__, a)), list(map(self.name_b.__getitem__, b))
-        for i, i2, j, j2, straight in runs:
-            if straight:
-                link_a += a[i:i2]
-                link_b += b[j:j2]
-                n += i2 - i
-                text += map("|".join, zip(name_a[i:i2], name_b[j:j2]))
-                continue
-            n += 1
-            text.append(",".join(name_a[i:i2]) + "|" + ",".join(name_b[j:j2]))
+        link_a, link_b, n, text, i, j, last = [], [], 0, [], 0, 0, len(a)
+        while i < last:
+            run = straight(ends_a, ends_b, i, j)
+            if run:
+                link_a += a[i:i + run]
+                link_b += b[j:j + run]
+                text += map("|".join, zip(name_a[i:i + run], name_b[j:j + run]))
+                n, i, j = n + run, i + run, j + run
+                if i >= last:
+                    break
+            first_a, first_b, x, y = i, j, ends_a[i], ends_b[j]
             link_a.append(a[i])
             link_b.append(b[j])
-            x, y, end = ends_a[i], ends_b[j], ends_a[i2 - 1]
-            while x != end or y != end:  # the side that ends first goes on: its next token overlaps the other's
+            while x != y:  # the side that ends first goes on: its next token overlaps the other's
                 if x < y:
                     i += 1
                     x = ends_a[i]
@@ -216,6 +216,8 @@ class Aligner:
                     y = ends_b[j]
                 link_a.append(a[i])
                 link_b.append(b[j])
+            n, i, j = n + 1, i + 1, j + 1
+            text.append(",".join(name_a[first_a:i]) + "|" + ",".join(name_b[first_b:j]))
         return link_a, link_b, n, ";".join(text)
 
 
