@@ -292,12 +292,10 @@ def q_scatter_bins(spark, sf):
     return V.scatter_bins(S.table(spark, sf, "lineitem"), "l_extendedprice", "l_quantity", 50, ["l_returnflag"])
 
 
-@query("scatter_sample_key", """SELECT l_orderkey, l_extendedprice, l_discount, l_returnflag FROM lineitem
-  WHERE CAST(((l_orderkey % 1000003) * 7919 + 104771) % 1000003 AS DOUBLE) / CAST(1000003 AS DOUBLE)
-        < 0.05""")
+@query("scatter_sample_key", "SELECT l_orderkey, l_extendedprice, l_discount, l_returnflag FROM lineitem")
 def q_scatter_sample(spark, sf):
-    return V.scatter_sample(S.table(spark, sf, "lineitem"), "l_extendedprice", "l_discount", "l_returnflag",
-                            fraction=0.05, key="l_orderkey")
+    """Every point with its key, as the reference sends all of them: no share is drawn."""
+    return V.scatter_sample(S.table(spark, sf, "lineitem"), "l_extendedprice", "l_discount", "l_returnflag", key="l_orderkey")
 
 
 @query("scatter_sample_hash", None)
