@@ -70,9 +70,21 @@ def sparse_design(df: DataFrame, numeric: Sequence[str], categorical: Sequence[s
     return rows.drop("__entries", *[f"__index{j}" for j in range(len(categorical))]), names.unionByName(levels)
 
 
+#: Most frequent entries whose names are sent to every task.
+FREQUENT = 256
+
+
 def design_entries(rows: DataFrame, dictionary: DataFrame, keys: Sequence[str], features: str = "features") -> DataFrame:
-    """The entries in long form: ``keys..., column, level, value``."""
+    """The entries in long form: ``keys..., column, level, value``.
+
+    A number is an entry of nearly every row, as is a level of a column that has few:
+    by index, all of them would meet in one task.  The names of the ``FREQUENT``
+    most frequent entries go to the rows instead; any other entry is at most one in
+    ``FREQUENT``, and those meet the dictionary by index."""
     flat = rows.select(*keys, F.explode(F.arrays_zip(F.col(features)["indices"].alias("i"), F.col(features)["values"].alias("v"))).alias("_e"))
+    flat = cut_lineage(flat.select(*keys, F.col("_e.i").alias("index"), F.col("_e.v").alias("value")), "entries")
     named = dictionary.where(F.col("index").isNotNull())
-    return flat.select(*keys, F.col("_e.i").alias("index"), F.col("_e.v").alias("value")).join(named, "index") \
-        .select(*keys, "column", "level", "value")
+    count = flat.groupBy("index").agg(F.count(F.lit(1)).alias("n"))
+    frequent = F.col("index").isin([r["index"] for r in count.orderBy(F.desc("n"), "index").limit(FREQUENT).collect()])
+    few = flat.where(frequent).join(F.broadcast(named.where(frequent)), "index")
+    return few.unionByName(flat.where(~frequent).join(named, "index")).select(*keys, "column", "level", "value")

@@ -85,3 +85,22 @@ def test_many_levels(spark):
     back = design_entries(rows, levels, ["id"])
     assert back.count() == 200_000 - 2
     assert back.where(F.col("level") != F.concat(F.lit("v"), F.col("id") % 100_000)).count() == 0
+
+
+def test_entries_that_all_rows_share_do_not_meet_in_one_task(spark):
+    df = spark.range(4000, numPartitions=4).select("id", (F.col("id") + 1.0).alias("n"), (F.col("id") % 3).cast("string").alias("f"),
+                                                   F.col("id").cast("string").alias("k"))
+    rows, levels = sparse_design(df, ["n"], ["f", "k"])
+    old = {c: spark.conf.get(c) for c in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        for c, v in zip(old, ("false", "-1")):
+            spark.conf.set(c, v)
+        out = design_entries(rows, levels, ["id"]).withColumn("p", F.spark_partition_id())
+        shared = [r["count"] for r in out.where("column = 'n'").groupBy("p").count().collect()]
+        got = {tuple(r) for r in out.drop("p").collect()}
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
+    assert sum(shared) == 4000 and max(shared) < 2000
+    want = {(i, "n", None, i + 1.0) for i in range(4000)} | {(i, "f", str(i % 3), 1.0) for i in range(4000) if i % 3}
+    assert got == want | {(i, "k", str(i), 1.0) for i in range(1, 4000)}
